@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import mixing, neardup
+from evenkeel.llm import knn, mixing, neardup
 from evenkeel.llm.common import cut, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -16,6 +16,10 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     docs = cut(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("__size")), "sizes")
@@ -23,4 +27,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op9_exact_top_k, op10_mix_sources)}
