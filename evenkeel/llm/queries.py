@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, mixing, neardup
+from evenkeel.llm import decontam, knn, mixing, neardup, tokencount
 from evenkeel.llm.common import cut, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +28,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counted = tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -39,4 +46,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op6_decontamination, op9_exact_top_k, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
