@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, mixing, neardup, tokencount
+from evenkeel.llm import decontam, knn, mixing, neardup, quality, tokencount, toxicity
 from evenkeel.llm.common import cut, table
+from evenkeel.llm.labelled import in_fold, labelled_sample
+
+#: Labelled rows at most that the classifiers are fitted to.
+QUALITY_ROWS, TOXICITY_ROWS = 4096, 8192
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -16,6 +20,20 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 4, 2)
+    sample = labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", ~held_out, QUALITY_ROWS, "doc_id", "text")
+    scored = quality.quality(docs, sample)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 5, 0)
+    sample = labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out, TOXICITY_ROWS, "doc_id", "text")
+    scored = toxicity.toxicity(docs, sample)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select(
@@ -46,4 +64,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
