@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, mixing, neardup, quality, tokencount, toxicity
+from evenkeel.llm import decontam, knn, mixing, neardup, pii, quality, tokencount, toxicity
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
@@ -15,6 +15,15 @@ QUALITY_ROWS, TOXICITY_ROWS = 4096, 8192
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = pii.plain(F.col("spans"))
+    kinds = F.transform(base, lambda x: x["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
+    every = F.array_sort(F.concat(base, pii.plain(F.col("terms"))))
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(every).alias("spans"))
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -64,4 +73,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
