@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, mixing, neardup, pii, quality, tokencount, toxicity
+from evenkeel.llm import decontam, knn, lm, mixing, neardup, pii, quality, tokencount, toxicity
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
@@ -15,6 +15,15 @@ QUALITY_ROWS, TOXICITY_ROWS = 4096, 8192
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 5, 1)
+    model = lm.train(docs.where(~held_out))
+    scored = lm.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     base = pii.plain(F.col("spans"))
@@ -73,4 +82,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
