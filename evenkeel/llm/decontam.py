@@ -230,3 +230,10 @@ def contamination(
         lambda a: a["n"],
     )
     return found.select("doc_id", "n_words", "runs", covered.alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 10) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, with all their columns."""
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))
+    found = contamination(keyed, benchmark, id_col="__key", text_col=text_col, window=window)
+    return keyed.join(found.where("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)

@@ -204,6 +204,16 @@ def near_duplicates(
     )
 
 
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does; of repeated rows one stays."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, size=size, percent=percent)
+    gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    left = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    if found.groupBy("doc_id", "node").count().where("count > 1 and doc_id is not null").isEmpty():
+        return left
+    return left.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).select(*docs.columns)
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The text of each wanted node: of the row with its id whose set is that node (ids can repeat)."""
     there = docs.join(wanted, "doc_id").select("node", "check", "text")

@@ -148,3 +148,14 @@ def toxicity(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def without_toxic(docs: DataFrame, sample: DataFrame, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(sample))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in text_slices(batches, text_col, 1 << 20):
+            yield rows.filter(pa.array(sent.value.score(buf, offs) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
