@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, lm, mixing, neardup, pii, quality, tokencount, toxicity
+from evenkeel.llm import decontam, knn, lm, mixing, neardup, pii, quality, substrings, tokencount, toxicity
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
@@ -71,6 +71,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -82,4 +87,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op9_exact_top_k, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources)}
