@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from evenkeel.queries import deltas
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**deltas.QUERIES}
+ORACLE_SQL: dict[str, str] = {**deltas.ORACLE_SQL}
