@@ -79,7 +79,7 @@ def unique_violations(df: DataFrame, unique: Unique) -> DataFrame:
 
 
 def collated(c: Column, collation: str = "UNICODE_CI") -> Column:
-    return c.collate(collation)
+    return F.collate(c, collation)
 
 
 def collation_collisions(df: DataFrame, column: str, collation: str = "UNICODE_CI") -> DataFrame:

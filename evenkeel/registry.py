@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.queries import deltas
+from evenkeel.queries import catalogs, checks, deltas
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**deltas.QUERIES}
-ORACLE_SQL: dict[str, str] = {**deltas.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**deltas.QUERIES, **checks.QUERIES, **catalogs.QUERIES}
+ORACLE_SQL: dict[str, str] = {**deltas.ORACLE_SQL, **checks.ORACLE_SQL, **catalogs.ORACLE_SQL}
