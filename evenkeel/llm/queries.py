@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, lm, mixing, neardup, pii, quality, substrings, tokencount, toxicity
+from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, substrings, tokencount, toxicity
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
 #: Labelled rows at most that the classifiers are fitted to.
 QUALITY_ROWS, TOXICITY_ROWS = 4096, 8192
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_neardup": oracles.NEAR_DUPLICATES,
+    "op6_decontamination": oracles.DECONTAMINATION,
+    "op9_exact_top_k": oracles.TOP_K,
+    "op10_mix_sources": oracles.MIXING,
+}
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
