@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions import scalars
 from evenkeel.operators import evidence, history, mapping, validate
 from evenkeel.plans.table_plan import Check, Column, TablePlan, Unique
-from evenkeel.queries.derive import DOCUMENTS, EVENTS, ORDERS, table
+from evenkeel.queries.derive import DOCUMENTS, EVENTS, ORDERS, evidence_digest_sql, row_hash_sql, table
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -395,15 +395,20 @@ def sequence_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_sequence_keys(seen, names)[0]
 
 
-@_query("SELECT document.database, CAST(NULL AS VARCHAR) AS document FROM (SELECT 'x' AS database) document WHERE false")
+def _document_sql(plan: TablePlan) -> str:
+    """A table's part of the report, as text."""
+    columns = " || ',' || ".join(f"'{{\"column\":\"{c}\",\"nulls\":' || (SELECT count(*) FILTER ({c} IS NULL) FROM {plan.name}) || '}}'" for c in sorted(plan.names))
+    keys = " || ',' || ".join(f"'{{\"name\":\"{k.name}\",\"rows\":' || (SELECT count({k.columns[0]}) FROM {plan.name}) || '}}'" for k in plan.foreign_keys) or "''"
+    digest = evidence_digest_sql("h", f"(SELECT {row_hash_sql(plan)} AS h FROM {plan.name})")
+    return f"""'{{"name":"{plan.name}","rows":' || (SELECT count(*) FROM {plan.name}) || ',"aggregate":"' || {digest} || '","columns":[' || {columns} || '],"foreignKeys":[' || {keys} || ']}}'"""
+
+
+@_query(f"""SELECT 'main' AS database, '{{"database":"main","tables":[' || {_document_sql(EVENTS)} || ',' || {_document_sql(ORDERS)} || ']}}' AS document""")
 def evidence_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = {"orders": (table(spark, sf_dir, "orders"), ORDERS), "events": (table(spark, sf_dir, "events"), EVENTS)}
     return history.evidence_document(evidence.database_evidence(parts), "main")
 
 
-del ORACLE_SQL["evidence_document"]
-
-
 @_query("SELECT s.c AS next_key, 'key-mismatch' AS code FROM (SELECT 1 AS c) s WHERE false")
 def compare_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.max("c_custkey").alias("v")).select(F.col("c_nationkey").cast("string").alias("table"), "v")
