@@ -89,13 +89,18 @@ def operation_json(domain: str = "evenkeel-operation") -> Column:
 def operations_hash(ops: DataFrame) -> DataFrame:
     """One row, ``operations_sha256``: the hash of the operations' hashes in key order.
 
-    Operations are hashed by runs of their key hash's first byte and then
-    together, so that no task gathers more than a 256th part.
+    Operations are hashed by runs of equal first five digits of their key hash,
+    runs by their first two, and these 256 together: key hashes are spread
+    evenly, so a run holds a millionth of the operations.
     """
-    one = ops.select(F.substring("key_sha256", 1, 2).alias("run"), "key_sha256", F.sha2(operation_json(), 256).alias("h"))
-    runs = one.groupBy("run").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key_sha256", "h"))), lambda x: x["h"]), "\n"), 256).alias("d"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run", "d"))), lambda x: x["d"]), "\n")
-    return runs.agg(F.sha2(text, 256).alias("operations_sha256"))
+
+    def joined(df: DataFrame, group: list[str], order: str, value: str, name: str) -> DataFrame:
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), "\n")
+        return df.groupBy(*group).agg(F.sha2(text, 256).alias(name))
+
+    one = ops.select(F.substring("key_sha256", 1, 5).alias("run"), "key_sha256", F.sha2(operation_json(), 256).alias("h"))
+    runs = joined(one, ["run"], "key_sha256", "h", "d").withColumn("part", F.substring("run", 1, 2))
+    return joined(joined(runs, ["part"], "run", "d", "e"), [], "part", "e", "operations_sha256")
 
 
 def shape_violations(ops: DataFrame, table: str) -> DataFrame:

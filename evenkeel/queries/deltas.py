@@ -224,7 +224,10 @@ def _json_sql(p: str = "") -> str:
     return f"'{{\"Domain\":\"evenkeel-operation\",\"KeySha256\":\"' || {p}key_sha256 || '\",\"Kind\":\"' || {p}kind || '\",\"SourceRowSha256\":' || {q('source_row_sha256')} || ',\"TargetRowSha256\":' || {q('target_row_sha256')} || '}}'"
 
 
-@_query(f"SELECT sha256(string_agg(d, chr(10) ORDER BY run)) AS operations_sha256 FROM (SELECT substr(key_sha256, 1, 2) AS run, sha256(string_agg(sha256({_json_sql()}), chr(10) ORDER BY key_sha256)) AS d FROM ({compared_sql('orders')}) WHERE kind <> 'unchanged' GROUP BY 1)")
+_RUNS = f"SELECT substr(key_sha256, 1, 5) AS run, sha256(string_agg(sha256({_json_sql()}), chr(10) ORDER BY key_sha256)) AS d FROM ({compared_sql('orders')}) WHERE kind <> 'unchanged' GROUP BY 1"
+
+
+@_query(f"SELECT sha256(string_agg(e, chr(10) ORDER BY part)) AS operations_sha256 FROM (SELECT substr(run, 1, 2) AS part, sha256(string_agg(d, chr(10) ORDER BY run)) AS e FROM ({_RUNS}) GROUP BY 1)")
 def operations_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.operations_hash(_ops(spark, sf_dir)[3])
 
