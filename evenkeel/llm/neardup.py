@@ -8,10 +8,15 @@ coordinate each, so every coordinate fills; most sets fill in a few rounds.
 Coordinates are cut into bands; documents that agree on a band are candidates.
 
 Candidates are confirmed on the full sets. Buckets are never expanded into all
-pairs: first every member is compared with the bucket's smallest member, then,
-in buckets that still hold different components, with another member; only
-members of different components that remain after these rounds are compared
-with each other. Documents with equal sets are one node throughout.
+pairs. Every member of a bucket is compared with the bucket's middle, the member
+that shares most buckets with others; most groups are one component after that.
+A member that stays apart from its middle c can still be linked with another
+member x. What they share lies inside c (and what else most of the group has) or
+outside it: the first part is at most the smaller of their overlaps with it, so only members whose
+overlaps allow a link by themselves, or that share enough shingles outside c,
+are compared; the latter are found by a join on those shingles alone. No link
+is lost by that, and random edits of one text seldom share such shingles.
+Documents with equal sets are one node throughout.
 
 Defined results: a document without words (or null text) has an empty set, is
 linked with nothing and is its own component; a row whose id is null is linked
@@ -33,8 +38,6 @@ from evenkeel.llm.components import components
 
 BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
-#: Star rounds before the remaining members of a bucket are compared with each other.
-STARS = 2
 
 _U = np.uint64
 _NEXT = _U(0xC2B2AE3D27D4EB4F)
@@ -112,22 +115,42 @@ def _sketches(size: int):
     return run
 
 
+def _pairs_of_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Row slices with the sets of ``text_a`` and ``text_b`` of each row."""
+    for rows in batches:
+        for part, buf, offs in text_slices([rows], "text_a", 1 << 20):
+            ones, first = shingles(buf, offs, size)
+            others: list[np.ndarray] = []
+            for _, buf_b, offs_b in text_slices([part], "text_b", 1 << 20):
+                s, f = shingles(buf_b, offs_b, size)
+                others += [s[f[i] : f[i + 1]] for i in range(len(f) - 1)]
+            yield part, [(ones[first[i] : first[i + 1]], b) for i, b in enumerate(others)]
+
+
+def _inside(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which elements of ``b`` are in ``a``; both are sorted."""
+    if not len(a):
+        return np.zeros(len(b), bool)
+    return a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b
+
+
 def _verify(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            for cut_rows, buf, offs in text_slices([rows], "text_a", 1 << 20):
-                ones, first_1 = shingles(buf, offs, size)
-                others: list[np.ndarray] = []
-                for _, buf_2, offs_2 in text_slices([cut_rows], "text_b", 1 << 20):
-                    s, f = shingles(buf_2, offs_2, size)
-                    others += [s[f[i] : f[i + 1]] for i in range(len(f) - 1)]
-                linked = []
-                for i, b in enumerate(others):
-                    a = ones[first_1[i] : first_1[i + 1]]
-                    at = np.minimum(np.searchsorted(b, a), max(0, len(b) - 1))
-                    both = int((b[at] == a).sum()) if len(b) else 0
-                    linked.append(bool(both) and 100 * both >= percent * (len(a) + len(b) - both))
-                yield pa.RecordBatch.from_arrays([cut_rows.column("a"), cut_rows.column("b"), pa.array(linked)], names=["a", "b", "linked"])
+        for part, pairs in _pairs_of_sets(batches, size):
+            both = [int(_inside(a, b).sum()) for a, b in pairs]
+            linked = [n > 0 and 100 * n >= percent * (len(a) + len(b) - n) for n, (a, b) in zip(both, pairs, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
+
+    return run
+
+
+def _outside(size: int):
+    """What a member has that its middle lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, pairs in _pairs_of_sets(batches, size):
+            own = [signed(b[~_inside(a, b)]) for a, b in pairs]
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(own, pa.list_(pa.int64()))], names=["c", "node", "own"])
 
     return run
 
@@ -151,46 +174,47 @@ def near_duplicates(
     )
     nodes = cut(nodes, "nodes")
     bands = nodes.select("node", "n", F.explode("bands").alias("band"))
-    texts = None
-    tested = linked = labels = None
-    for turn in range(STARS + 1):
-        if labels is None:
-            now = bands.withColumn("label", F.col("node"))
-        else:
-            now = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = now.groupBy("band").agg(
-            F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("turn"), "node", "n", "label")).alias("c"),
-        ).where("low <> high" + (" and members > 2" if turn else ""))
-        close = f"100 * least(n, n_b) >= {percent} * greatest(n, n_b)"
-        if turn < STARS:
-            stars = mixed.select("band", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"), F.col("c.label").alias("label_b"))
-            pairs = now.join(stars, "band").where(f"node <> b and label <> label_b and {close}")
-        else:
-            left = cut(now.join(mixed.select("band"), "band", "left_semi"), "mixed")
-            right = left.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-            pairs = left.join(right, "band").where(f"node < b and label <> label_b and {close}")
-        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < STARS:
-                continue
-            break
+    shared = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    crowded = cut(bands.join(shared, "band"), "crowded")
+    # copies of one text meet it in more bands than they meet each other
+    degrees = crowded.groupBy("node").agg(F.sum("members").alias("degree"))
+    crowded = crowded.join(degrees, "node")
+    middles = crowded.groupBy("band").agg(F.max(F.struct("degree", "node", "n")).alias("c"))
+    middles = middles.select("band", F.col("c.node").alias("c"), F.col("c.n").alias("n_c"))
+    seen = cut(crowded.join(middles, "band").where("node <> c").select("c", "n_c", "node", "n").distinct(), "seen")
+
+    known: list[DataFrame] = []
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        done = with_texts(pairs).mapInArrow(_verify(size, percent), "a long, b long, both long, linked boolean")
+        return cut(done, "verified")
+
+    def with_texts(pairs: DataFrame) -> DataFrame:
+        """``a, b`` with their texts, which are fetched once for each node."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if texts is not None:
+        for texts in known:
             wanted = wanted.join(texts.select("node"), "node", "left_anti")
-        wanted = nodes.join(wanted, "node", "left_semi").select("node", "check", "doc_id")
-        found = cut(_texts(docs, wanted, size), "texts")
-        texts = found if texts is None else texts.union(found)
-        done = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        done = done.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-        done = cut(done.mapInArrow(_verify(size, percent), "a long, b long, linked boolean"), "verified")
-        tested = done.select("a", "b") if tested is None else tested.union(done.select("a", "b"))
-        good = done.where("linked").select("a", "b")
-        linked = good if linked is None else linked.union(good)
-        labels = cut(components(linked), "labels")
+        wanted = cut(nodes.join(wanted, "node", "left_semi").select("node", "check", "doc_id"), "wanted")
+        if not wanted.isEmpty():
+            known.append(cut(_texts(docs, wanted, size), "texts"))
+        texts = known[0]
+        for more in known[1:]:
+            texts = texts.union(more)
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        return both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+
+    labels = None
+    stars = seen.where(f"100 * least(n, n_c) >= {percent} * greatest(n, n_c)").select(F.col("c").alias("a"), F.col("node").alias("b"))
+    if not stars.isEmpty():
+        tested = verified(stars)
+        links = tested.where("linked").select("a", "b")
+        labels = cut(components(links), "labels")
+        pairs = _apart(seen, tested, labels, percent, lambda p: with_texts(p).mapInArrow(_outside(size), "c long, node long, own array<long>"))
+        done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            links = links.union(verified(pairs).where("linked").select("a", "b"))
+            labels = cut(components(links), "labels")
     if labels is None:
         named = nodes.select("node", "check", F.col("doc_id").alias("component_id"))
     else:
@@ -204,6 +228,42 @@ def near_duplicates(
     )
 
 
+def _apart(seen: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, outside) -> DataFrame:
+    """Pairs that can be linked though one of them stays apart from the middle that both were compared with."""
+    label = labels.select("node", "label")
+    at = seen.join(tested.select(F.col("a").alias("c"), F.col("b").alias("node"), "both"), ["c", "node"], "left")
+    at = at.join(label, "node", "left").join(label.select(F.col("node").alias("c"), F.col("label").alias("label_c")), "c", "left")
+    at = at.select(
+        "c", "node", "n", F.coalesce("both", F.least("n", "n_c")).alias("both"), F.coalesce("label", "node").alias("label"),
+        (F.coalesce("label", "node") != F.coalesce("label_c", "c")).alias("apart"),
+    )
+    at = cut(at, "at")
+    groups = at.groupBy("c").agg(F.count("*").alias("members"), F.count_if("apart").alias("n_apart")).where("n_apart > 0 and members > 1")
+    at = cut(at.join(groups.select("c"), "c", "left_semi"), "apart")
+
+    def side(df: DataFrame, x: str) -> DataFrame:
+        return df.withColumnsRenamed({"node": x, "n": f"n_{x}", "both": f"both_{x}", "label": f"label_{x}", "apart": f"apart_{x}"})
+
+    # every pair is met once: from its apart member, or from the smaller one if both are
+    differ = f"a <> b and label_a <> label_b and (a < b or not apart_b) and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    enough = f"100 * ({{0}}) >= {percent} * (n_a + n_b - ({{0}}))"
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    own = outside(at.select(F.col("c").alias("a"), F.col("node").alias("b")))
+    own = cut(own.select("c", "node", F.explode("own").alias("shingle")), "outside")
+    # what most members of a group have counts as inside as well, whether the middle has it or not
+    usual = own.groupBy("c", "shingle").agg(F.count("*").alias("k")).join(groups.select("c", "members"), "c").where("k >= 8 and 4 * k >= members")
+    usual = cut(usual.select("c", "shingle"), "usual")
+    more = own.join(usual, ["c", "shingle"], "left_semi").groupBy("c", "node").agg(F.count("*").alias("more"))
+    at = at.join(more, ["c", "node"], "left").withColumn("both", F.col("both") + F.coalesce("more", F.lit(0))).drop("more")
+    at = cut(at, "inside")
+    own = at.join(own.join(usual, ["c", "shingle"], "left_anti"), ["c", "node"])
+    alone = side(at.where("apart"), "a").join(side(at, "b"), "c").where(f"{differ} and {enough.format('least(both_a, both_b)')}")
+    common = side(own.where("apart"), "a").join(side(own, "b"), ["c", "shingle"]).where(differ)
+    common = common.groupBy("c", "a", "b", "n_a", "n_b", "both_a", "both_b").agg(F.count("*").alias("also"))
+    common = common.where(enough.format("least(both_a, both_b) + also"))
+    return alone.select(*ends).union(common.select(*ends)).distinct()
+
+
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does; of repeated rows one stays."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, size=size, percent=percent)
@@ -216,7 +276,7 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def _texts(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The text of each wanted node: of the row with its id whose set is that node (ids can repeat)."""
-    there = docs.join(wanted, "doc_id").select("node", "check", "text")
+    there = docs.hint("merge").join(wanted, "doc_id").select("node", "check", "text")  # one plan for any size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in text_slices(batches, most=1 << 20):
