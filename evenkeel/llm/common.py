@@ -119,6 +119,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """Factors that take the place of a span out of a difference of ``prefix_hashes``."""
+    return _powers(n)[1]
+
+
 def prefix_hashes(buf: np.ndarray) -> np.ndarray:
     """Running polynomial hashes: ``span_hashes`` gives that of any span from them."""
     out = np.zeros(len(buf) + 1, np.uint64)

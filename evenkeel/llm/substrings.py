@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut, flat, mix, prefix_hashes, rows_of, signed, span_hashes, text_slices
+from evenkeel.llm.common import cut, inverse_powers, prefix_hashes, rows_of, signed, span_hashes, text_slices
 from evenkeel.llm.suffixes import common_prefixes, suffix_array
 
 ANCHOR = 48
@@ -51,10 +51,15 @@ def anchors(buf: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray,
     if n < length:
         return none, none, none, none, none.view(np.uint64)
     width = length - ANCHOR + 1
-    at = np.arange(n - ANCHOR + 1)
-    h = span_hashes(prefix_hashes(buf), at, at + ANCHOR)
+    running = prefix_hashes(buf)
+    h = running[ANCHOR:] - running[:-ANCHOR]
+    h *= inverse_powers(len(h))
+    h ^= h >> _U(32)
+    h *= _U(0xD6E8FEB86659FD93)
     bits = _U(int(n).bit_length())
-    v = (h >> bits << bits) | at.astype(np.uint64)
+    v = h >> bits
+    v <<= bits
+    v |= np.arange(len(h), dtype=np.uint64)
     padded = np.full(-(-len(v) // width) * width, ~_U(0), np.uint64)
     padded[: len(v)] = v
     blocks = padded.reshape(-1, width)
@@ -150,50 +155,46 @@ class Group:
         self.columns = np.flatnonzero((self.rows != self.rows[:1]).any(axis=0))
         self.windows, self.wide = windows, wide
 
-    def reach(self, agreed: np.ndarray) -> np.ndarray:
-        """For each row and kept column, the first column in which the row leaves all others."""
-        ends = np.append(self.columns, self.wide)
-        return ends[np.arange(len(self.columns))[None, :] + agreed]
+    def repeated(self, agreed: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of window starts (row, first, end) whose window stands in another row as well.
 
-    def repeated(self, agreed: np.ndarray, length: int) -> list[list[dict]]:
-        """Runs of window starts, of each context, whose window stands in another context as well."""
-        m = len(self.windows)
-        reach = np.append(self.reach(agreed), np.full((m, 1), self.wide), axis=1)
-        out = []
-        for i in range(m):
-            start = np.arange(self.shift[i], self.shift[i] + self.windows[i])
-            good = start + length <= reach[i, np.searchsorted(self.columns, start)]
-            edge = np.flatnonzero(np.diff(np.concatenate(([False], good, [False])).astype(np.int8)))
-            out.append([{"a": int(a), "b": int(b)} for a, b in zip(edge[0::2], edge[1::2], strict=True)])
-        return out
+        ``agreed``: in how many kept columns, from each on, a row agrees with the
+        other row that it agrees with furthest; it leaves all others in the next one.
+        """
+        columns = self.columns
+        ends = np.append(columns, self.wide)[np.arange(len(columns)) + agreed]
+        ends = np.append(ends, np.full((len(agreed), 1), self.wide), axis=1)
+        start = np.arange(int((self.shift + self.windows).max()))
+        good = start + length <= ends[:, np.searchsorted(columns, start)]
+        good &= (start >= self.shift[:, None]) & (start < (self.shift + self.windows)[:, None])
+        edge = np.diff(np.pad(good.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+        row, first = np.nonzero(edge == 1)
+        end = np.nonzero(edge == -1)[1]
+        return row, first - self.shift[row], end - self.shift[row]
 
 
 def agreements(groups: list[Group]) -> list[np.ndarray]:
     """For every row and kept column of each group, in how many kept columns from there on it agrees with its best other row."""
-    parts, base = [], 0
+    parts, places, base, place = [], [], 0, 0
     for g in groups:
-        kept = g.rows[:, g.columns]
-        # symbols of different columns and groups differ, so only aligned suffixes agree
-        code = np.arange(len(g.columns), dtype=np.int64) * (256 + len(kept)) + kept
-        parts.append(np.append(code + base + 1, np.zeros((len(kept), 1), np.int64), axis=1).reshape(-1))
-        base += (len(g.columns) + 1) * (256 + len(kept))
-    text = np.unique(np.concatenate(parts), return_inverse=True)[1]
-    order = suffix_array(text)
-    out, at = [], 0
-    owner = np.repeat(np.arange(len(groups)), [len(p) for p in parts])
-    group_order = np.argsort(owner[order], kind="stable")  # keeps the order of suffixes within each group
-    for g, p in zip(groups, parts, strict=True):
-        own = order[group_order[at : at + len(p)]] - at
-        wide = len(g.columns) + 1
-        row, column = own // wide, own % wide
-        inside = column < wide - 1
-        row, column = row[inside], column[inside]
-        lcp = np.append(common_prefixes(g.rows[:, g.columns], row, column), 0)
-        agreed = np.zeros((len(g.rows), len(g.columns)), np.int64)
-        agreed[row, column] = np.maximum(lcp[:-1], np.where(np.append(column[1:] == column[:-1], False), lcp[1:], 0))
-        out.append(agreed)
-        at += len(p)
-    return out
+        m, d = len(g.rows), len(g.columns)
+        # symbols of different columns and groups differ, so only aligned suffixes of a group agree
+        code = np.arange(d, dtype=np.int64) * (256 + m) + g.rows[:, g.columns] + base + 1
+        parts.append(np.append(code, np.zeros((m, 1), np.int64), axis=1).reshape(-1))
+        places.append(np.tile(np.append(np.arange(place, place + d), -1), m))
+        base += (d + 1) * (256 + m)
+        place += d
+    symbols, column = np.concatenate(parts), np.concatenate(places)
+    rest = np.concatenate([np.tile(np.arange(len(g.columns), -1, -1), len(g.rows)) for g in groups])
+    order = suffix_array(np.unique(symbols, return_inverse=True)[1])
+    beside = np.flatnonzero((column[order[1:]] == column[order[:-1]]) & (column[order[1:]] >= 0))
+    one, other = order[beside], order[beside + 1]
+    common = common_prefixes(symbols, one, other, rest[one])
+    best = np.zeros(len(symbols), np.int64)
+    np.maximum.at(best, one, common)
+    np.maximum.at(best, other, common)
+    edges = np.cumsum([0, *(len(p) for p in parts)])
+    return [best[a:b].reshape(len(g.rows), -1)[:, :-1] for g, a, b in zip(groups, edges[:-1], edges[1:], strict=True)]
 
 
 _FLAGGED = "anchor long, same long, before int, windows int, runs array<struct<a:int,b:int>>"
@@ -203,47 +204,64 @@ def _flag(length: int, also: list[str]):
     """Streams contexts in the order of their anchors; an anchor's are taken together."""
     fields = ["anchor", "same", "before", "windows", *also]
 
-    def solve(held: list[list[dict]]) -> pa.RecordBatch:
-        groups = [Group(np.array([r["before"] for r in g]), np.array([r["windows"] for r in g]), [r["context"] for r in g], length) for g in held]
-        # two different rows differ in every kept column
-        big = [i for i, g in enumerate(groups) if len(g.rows) > 2]
-        agreed = {i: a for i, a in zip(big, agreements([groups[i] for i in big]), strict=True)} if big else {}
-        out: dict[str, list] = {f: [] for f in [*fields, "runs"]}
-        for i, (g, rows) in enumerate(zip(groups, held, strict=True)):
-            found = g.repeated(agreed.get(i, np.zeros((len(rows), len(g.columns)), np.int64)), length)
-            for r, runs in zip(rows, found, strict=True):
-                runs = [{"a": 0, "b": r["windows"]}] if r["n"] > 1 else runs
-                if runs:
-                    for f in fields:
-                        out[f].append(r[f])
-                    out["runs"].append(runs)
-        kinds = {"anchor": pa.int64(), "same": pa.int64(), "whole": pa.int64()}
-        runs_kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-        return pa.RecordBatch.from_pydict(out, schema=pa.schema([(f, kinds.get(f, pa.int32())) for f in fields] + [("runs", runs_kind)]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[dict]] = []
+    def solve(rows: pa.RecordBatch) -> pa.RecordBatch:
+        """The flagged windows of whole anchors."""
+        anchor, n = rows.column("anchor").to_numpy(), rows.column("n").to_numpy()
+        before, windows = (rows.column(c).to_numpy().astype(np.int64) for c in ("before", "windows"))
+        edges = np.append(np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])), len(anchor))
+        # contexts that stand more than once are flagged whole; others need another context of their anchor
+        whole = np.flatnonzero(n > 1)
+        found = [(whole, np.zeros(len(whole), np.int64), windows[whole])]
+        once = np.add.reduceat((n == 1).astype(np.int64), edges[:-1])
+        held: list[tuple[int, Group]] = []
         size = 0
-        last: list[dict] = []
 
         def close() -> None:
-            nonlocal size, last
-            if len(last) > 1 or last and last[0]["n"] > 1:
-                held.append(last)
-                size += sum(len(r["context"]) for r in last)
-            last = []
-
-        for rows in batches:
-            for r in rows.to_pylist():
-                if last and last[0]["anchor"] != r["anchor"]:
-                    close()
-                    if size > 8 * SORTED:
-                        yield solve(held)
-                        held, size = [], 0
-                last.append(r)
+            nonlocal held, size
+            # of two different rows, each differs from the other in every kept column
+            large = [g for _, g in held if len(g.rows) > 2]
+            agreed = iter(agreements(large) if large else ())
+            for a, g in held:
+                row, first, end = g.repeated(next(agreed) if len(g.rows) > 2 else np.zeros((2, len(g.columns)), np.int64), length)
+                single = n[a + row] == 1
+                found.append((a + row[single], first[single], end[single]))
+            held, size = [], 0
+
+        context = rows.column("context")
+        for k in np.flatnonzero((once > 0) & (np.diff(edges) > 1)):
+            a, b = int(edges[k]), int(edges[k + 1])
+            g = Group(before[a:b], windows[a:b], context.slice(a, b - a).to_pylist(), length)
+            held.append((a, g))
+            size += len(g.rows) * (len(g.columns) + 1) * (len(g.rows) > 2)
+            if size > SORTED:
+                close()
         close()
-        if held:
-            yield solve(held)
+        row, first, end = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((first, row))
+        row, first, end = row[order], first[order], end[order]
+        new = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else row
+        runs = pa.StructArray.from_arrays([pa.array(first.astype(np.int32)), pa.array(end.astype(np.int32))], names=["a", "b"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)).astype(np.int32)), runs)
+        return pa.RecordBatch.from_arrays([*rows.select(fields).take(pa.array(row[new])).columns, lists], names=[*fields, "runs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            anchor = batch.column("anchor").to_numpy()
+            changes = np.flatnonzero(anchor[1:] != anchor[:-1])
+            if rest and rest[-1].column("anchor")[-1].as_py() != int(anchor[0]):
+                yield solve(pa.concat_batches(rest))
+                rest = []
+            if len(changes):
+                last = int(changes[-1]) + 1
+                yield solve(pa.concat_batches([*rest, batch.slice(0, last)]))
+                rest = [batch.slice(last)]
+            else:
+                rest.append(batch)
+        if rest:
+            yield solve(pa.concat_batches(rest))
 
     return run
 
@@ -253,8 +271,13 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed, spans, kept = [], [], []
         for i, runs in enumerate(rows.column("runs").to_pylist()):
             text = buf[offs[i] : offs[i + 1]]
+            if not runs:
+                removed.append(0)
+                spans.append(0)
+                kept.append(text.tobytes())
+                continue
             edge = np.zeros(len(text) + 1, np.int64)
-            for r in runs or ():
+            for r in runs:
                 edge[r["s"]] += 1
                 edge[r["e"]] -= 1
             gone = np.cumsum(edge[:-1]) > 0

@@ -101,17 +101,19 @@ def suffix_array(symbols: Sequence[int] | np.ndarray) -> np.ndarray:
     return np.array(out[1:], np.int64)
 
 
-def common_prefixes(rows: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
-    """How far each suffix of a row agrees with the one before it in order (rows of equal width, read in parallel)."""
-    out = np.zeros(len(row), np.int64)
-    live = np.arange(1, len(row))
-    live = live[column[live] == column[live - 1]]
-    width = rows.shape[1]
-    step = 0
-    while len(live):
-        live = live[column[live] + step < width]
-        same = rows[row[live], column[live] + step] == rows[row[live - 1], column[live] + step]
-        live = live[same]
-        out[live] += 1
-        step += 1
-    return out
+def common_prefixes(symbols: np.ndarray, one: np.ndarray, other: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How far the suffixes at ``one`` and ``other`` agree, up to ``most`` symbols each: by halving, all pairs at once.
+
+    Stretches are compared by sums of 64-bit hashes of their symbols, so symbols
+    that differ must stand for different places as well as different values.
+    """
+    from evenkeel.llm.common import mix
+
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(symbols.astype(np.uint64) + np.uint64(1)))))
+    low, high = np.zeros(len(one), np.int64), most.astype(np.int64)
+    while (low < high).any():
+        middle = (low + high + 1) // 2
+        same = sums[one + middle] - sums[one] == sums[other + middle] - sums[other]
+        low = np.where(same, middle, low)
+        high = np.where(same, high, middle - 1)
+    return low
