@@ -43,9 +43,9 @@ BUCKETS = 1 << 16
 # The base patterns, written so that no text makes the engine go back over what it has read:
 # a match begins where a run of its first characters begins, or where the last match ended.
 _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-_IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
+_IP = r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}"
 # runs of digits with single separators, of the right number of digits; others are matches that would be dropped
-_CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
+_CARD = r"[0-9](?<![0-9][0-9])(?<![0-9][ -][0-9])(?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 _WORD = r"(?<=[^\p{L}\p{N}])\p{L}{3,}(?=[^\p{L}\p{N}])"
 _WORDS = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{N}])"
@@ -74,7 +74,7 @@ def _ip_ok(value: Column) -> Column:
 class Kind:
     name: str
     pattern: str
-    sign: str  # without one of these characters there is no match
+    needs: str  # without a match of this there is none of the pattern
 
     def keeps(self, value: Column) -> Column:
         if self.name == "ip":
@@ -90,34 +90,63 @@ class Kind:
         return F.lower(value) if self.name == "email" else value if self.name == "ip" else _digits(value)
 
 
-BASE = (Kind("email", _EMAIL, "@"), Kind("ip", _IP, "."), Kind("card", _CARD, "0123456789"), Kind("phone", _PHONE, "+"))
+BASE = (Kind("email", _EMAIL, "@"), Kind("ip", _IP, r"[0-9]\.[0-9]"), Kind("card", _CARD, "[0-9][ -]?[0-9]"), Kind("phone", _PHONE, r"\+[0-9]"))
 
 
-def _running(lengths: Column, block: int = 256) -> Column:
-    """Sums of all elements before each element, by blocks so that long arrays stay cheap."""
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    blocks = F.ceil(F.size(lengths) / block).cast("int")
-    starts = F.aggregate(
-        F.transform(F.sequence(F.lit(0), F.greatest(blocks - 1, F.lit(0))), lambda b: total(F.slice(lengths, b * block + 1, F.lit(block)))),
-        F.array(F.lit(0)),
-        lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)),
-    )
-    return F.transform(
-        lengths,
-        lambda _, i: F.element_at(starts, (i / block).cast("int") + 1) + total(F.slice(lengths, (i / block).cast("int") * block + 1, i % block)),
-    )
+#: Elements of an array that one partial sum spans.
+_BLOCK = 256
+
+
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda x, y: x + y)
+
+
+def located(df: DataFrame, searches: dict[str, tuple[Column, str, Column | None]]) -> DataFrame:
+    """Add, for each search (text, pattern, condition), ``__v_`` the matches and ``__t_`` the characters before each.
+
+    Every step is a column of its own, so that no step is computed again for
+    each element of the next; the sums before each element go by blocks, so
+    long arrays stay cheap.
+    """
+    col = lambda x, name: F.col(f"__{x}_{name}")
+    strings, numbers = F.array().cast("array<string>"), F.array().cast("array<int>")
+    found, gaps, steps, starts, before = {}, {}, {}, {}, {}
+    for name, (text, pattern, there) in searches.items():
+        v, g, s, b = (col(x, name) for x in "vgsb")
+        match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        found[f"__v_{name}"] = F.coalesce(match if there is None else F.when(there, match), strings)
+        gaps[f"__g_{name}"] = F.when(F.size(v) > 0, F.transform(F.split(text, pattern, -1), F.length)).otherwise(numbers)
+        steps[f"__s_{name}"] = F.transform(v, _step(g))
+        starts[f"__b_{name}"] = _block_starts(s)
+        before[f"__t_{name}"] = F.transform(s, _before(s, b, g))
+    for stage in (found, gaps, steps, starts, before):
+        df = df.withColumns(stage)
+    return df.drop(*[f"__{x}_{name}" for x in "gsb" for name in searches])
+
 
+def _step(gaps: Column):
+    """How far a match and the text before it go."""
+    return lambda m, i: F.get(gaps, i) + F.length(m)
 
-def _steps(values: Column, gaps: Column) -> Column:
-    """How far each match and the text before it go."""
-    return F.transform(values, lambda m, i: F.element_at(gaps, i + 1) + F.length(m))
 
+def _block_starts(steps: Column) -> Column:
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(steps) / _BLOCK).cast("int")), lambda b: _total(F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK))))
+    return F.aggregate(blocks, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
 
-def _kept(i: int, kind: Kind, values: Column, gaps: Column, before: Column) -> Column:
+
+def _before(steps: Column, starts: Column, gaps: Column):
+    def before(_: Column, i: Column) -> Column:
+        block = F.floor(i / _BLOCK).cast("int")
+        return F.get(starts, block) + _total(F.slice(steps, block * _BLOCK + 1, i % _BLOCK)) + F.get(gaps, i)
+
+    return before
+
+
+def _kept(i: int, kind: Kind, values: Column, before: Column) -> Column:
     """The spans of a kind's matches that hold."""
 
     def span(m: Column, k: Column) -> Column:
-        s = F.element_at(before, k + 1) + F.element_at(gaps, k + 1)
+        s = F.get(before, k)
         entity = F.concat(F.lit(f"{kind.name}:"), kind.entity(m))
         return F.struct(s.alias("s"), F.lit(i).alias("kind"), (s + F.length(m)).alias("e"), entity.alias("entity"), kind.keeps(m).alias("ok"))
 
@@ -129,53 +158,37 @@ def _kept(i: int, kind: Kind, values: Column, gaps: Column, before: Column) -> C
 
 def base_spans(docs: DataFrame, text: str) -> DataFrame:
     """Add ``spans``: the patterns' spans (s, kind, e, entity) by start, then kind; code points, end exclusive."""
-    empty, none = F.array().cast("array<string>"), F.array().cast("array<int>")
-    for kind in BASE:
-        there = F.col(text).contains(kind.sign) if len(kind.sign) == 1 else F.col(text).rlike("[0-9]{2}|[0-9][ -][0-9]")
-        found = F.when(there, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(empty)
-        docs = docs.withColumn(f"__v_{kind.name}", F.coalesce(found, empty))
-    for kind in BASE:
-        v = F.col(f"__v_{kind.name}")
-        gaps = F.when(F.size(v) > 0, F.transform(F.split(text, kind.pattern, -1), F.length)).otherwise(none)
-        docs = docs.withColumn(f"__g_{kind.name}", gaps)
-    for kind in BASE:
-        v, g = F.col(f"__v_{kind.name}"), F.col(f"__g_{kind.name}")
-        docs = docs.withColumn(f"__t_{kind.name}", F.when(F.size(v) > 0, _running(_steps(v, g))).otherwise(none))
-    parts = [_kept(i, kind, *(F.col(f"__{x}_{kind.name}") for x in "vgt")) for i, kind in enumerate(BASE)]
+    searches = {kind.name: (F.col(text), kind.pattern, F.col(text).rlike(kind.needs)) for kind in BASE}
+    docs = located(docs, searches)
+    parts = [_kept(i, kind, F.col(f"__v_{kind.name}"), F.col(f"__t_{kind.name}")) for i, kind in enumerate(BASE)]
     docs = docs.withColumn("spans", F.array_sort(F.concat(*parts)))
-    return docs.drop(*[f"__{x}_{kind.name}" for x in "vgt" for kind in BASE])
+    return docs.drop(*[f"__{x}_{kind.name}" for x in "vt" for kind in BASE])
 
 
-def _near(side: str) -> Column:
+def _terms(side: str) -> Column:
     """Terms of the text before or after a span, with their places."""
-    window = F.col(side)
-    words = F.regexp_extract_all(window, F.lit(_WORD), F.lit(0))
-    gaps = F.transform(F.split(window, _WORD, -1), F.length)
-    before = _running(_steps(words, gaps))
-    return F.transform(
-        words,
-        lambda m, i: F.struct(
-            F.lower(m).alias("term"),
-            (F.col(f"{side}_at") + F.element_at(before, i + 1) + F.element_at(gaps, i + 1)).alias("s"),
-            F.length(m).alias("n"),
-        ),
-    )
+    at, before = F.col(f"{side}_at"), F.col(f"__t_{side}")
+    return F.transform(f"__v_{side}", lambda m, i: F.struct(F.lower(m).alias("term"), (at + F.get(before, i)).alias("s"), F.length(m).alias("n")))
 
 
 def _windows(found: DataFrame) -> DataFrame:
     """``(key, entity, term, s, e)``: the terms near each entity that overlap no pattern's span."""
     one = found.where("size(spans) > 0").select("key", "spans", F.explode(F.arrays_zip("spans", "around")).alias("x"))
     one = one.select("key", "spans", F.col("x.spans.entity").alias("entity"), "x.around.*")
-    left = one.select("key", "spans", "entity", F.explode(_near("left")).alias("t"))
-    right = one.select("key", "spans", "entity", F.explode(_near("right")).alias("t"))
-    terms = left.union(right).select("key", "spans", "entity", F.col("t.term").alias("term"), F.col("t.s").alias("s"), (F.col("t.s") + F.col("t.n")).alias("e"))
+    one = located(one, {side: (F.col(side), _WORD, None) for side in ("left", "right")})
+    one = one.select("key", "spans", "entity", F.explode(F.concat(_terms("left"), _terms("right"))).alias("t"))
+    terms = one.select("key", "spans", "entity", F.col("t.term").alias("term"), F.col("t.s").alias("s"), (F.col("t.s") + F.col("t.n")).alias("e"))
     free = ~F.exists("spans", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"]))
     return terms.where(free).select("key", "entity", "term", "s", "e")
 
 
-def _around(text: Column, spans: Column) -> Column:
+def _points(text: Column) -> Column:
+    """Four bytes a character: a part is found without reading what is before it. Kept as a column, or it is made anew for each part."""
+    return F.encode(text, "UTF-32")
+
+
+def _around(points: Column, spans: Column) -> Column:
     """The text on both sides of each span, closed by a blank where it is not cut."""
-    points = F.encode(text, "UTF-32")  # four bytes a character: a part is found without reading what is before it
     n = (F.octet_length(points) / 4).cast("int")
     part = lambda a, b: F.decode(F.substring(points, a * 4 + 1, (b - a) * 4), "UTF-32")
 
@@ -199,7 +212,8 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = base_spans(texts, "text")
-    around = F.when(F.size("spans") > 0, _around(F.col("text"), F.col("spans")))
+    found = found.withColumn("points", F.when(F.size("spans") > 0, _points(F.col("text"))))
+    around = F.when(F.size("spans") > 0, _around(F.col("points"), F.col("spans")))
     found = cut(found.select("doc_id", _key("doc_id", "text").alias("key"), "spans", around.alias("around")), "found")
     near = _windows(found)
     pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(f"n_both >= {SUPPORT}")
@@ -256,9 +270,9 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     )
     found = found.select(F.col("key").alias("__key"), merged.alias("__merged"))
     out = docs.withColumn("__key", _key(id_col, text_col)).join(found, "__key", "left")
+    out = out.withColumn("__points", F.when(F.col("__merged").isNotNull(), _points(F.col(text_col))))
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit(""))
-    points = F.encode(F.col(text_col), "UTF-32")
-    merged = F.col("__merged")
+    points, merged = F.col("__points"), F.col("__merged")
     upto = lambda i: F.when(i > 0, F.get(merged, i - 1)["e"]).otherwise(0)
     text_part = lambda a, b: F.decode(F.substring(points, a * 4 + 1, (b - a) * 4), "UTF-32")
     parts = F.transform(merged, lambda x, i: F.concat(text_part(upto(i), x["s"]), F.element_at(tags, x["kind"] + 1)))
