@@ -14,8 +14,7 @@ of it or more are replaced by a general word there, from ``REMOVE`` on removed.
 All counts cover all documents. Pairs are formed only within ``WINDOW``
 characters of an entity, so their number is a bounded multiple of the entities';
 counting is by partial sums, so an entity or word in a third of the documents is
-no hot key. Terms are counted in the corpus only if their hash bucket holds a
-candidate; that filter is a bitmap of fixed size, which drops no candidate.
+no hot key. All words of the corpus are counted.
 
 Defined results: a null text is empty; rows with equal id and text are one
 document in the counts and get equal results; a null id is an id of its own; a
@@ -37,8 +36,6 @@ KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 64
 #: Documents in which a term stands near an entity, and shares of its information, from which it is treated.
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
-#: Hash buckets of the candidate filter.
-BUCKETS = 1 << 16
 
 # The base patterns, written so that no text makes the engine go back over what it has read:
 # a match begins where a run of its first characters begins, or where the last match ended.
@@ -218,14 +215,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     near = _windows(found)
     pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(f"n_both >= {SUPPORT}")
     pairs = cut(pairs, "pairs")
-    bucket = lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int")
-    bits = [0] * (BUCKETS // 64)
-    by_word = pairs.select(bucket(F.col("term")).alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
-    for r in by_word.agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("bits")).collect():
-        bits[r["w"]] = r["bits"]
-    bitmap = F.array(*[F.lit(x).cast("long") for x in bits])
-    candidate = lambda w: (F.element_at(bitmap, F.shiftright(bucket(w), 6) + 1).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bucket(w) % 64))) != 0
-    words = F.filter(F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0)), candidate)
+    words = F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0))
     in_corpus = texts.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     entities = found.where("size(spans) > 0").select(F.explode(F.array_distinct("spans.entity")).alias("entity"), "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     total = found.select(F.count("*").alias("n_docs"))
