@@ -8,8 +8,11 @@ discloses the part
     log(p(e, t) / (p(e) p(t))) / log(1 / p(e))
 
 of the information of entity e, 1 if t stands only where e does. Terms that
-stand near an entity in ``SUPPORT`` documents at least and disclose ``GENERALISE``
-of it or more are replaced by a general word there, from ``REMOVE`` on removed.
+disclose ``GENERALISE`` of an entity or more are replaced by a general word
+there, from ``REMOVE`` on removed. No number of documents is too small: a pair
+counts unless documents drawn blindly would bring it together as often with a
+probability over ``CHANCE``, so one that stands once counts from 1 / ``CHANCE``
+documents on if term and entity are in no other.
 
 All counts cover all documents. Pairs are formed only within ``WINDOW``
 characters of an entity, so their number is a bounded multiple of the entities';
@@ -24,6 +27,7 @@ result; extra columns are kept by ``sanitise`` and not read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,8 +38,8 @@ from evenkeel.llm.common import cut
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Characters on either side of an entity in which terms are looked for.
 WINDOW = 64
-#: Documents in which a term stands near an entity, and shares of its information, from which it is treated.
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: Shares of an entity's information from which a term is treated, and the probability up to which a pair is no chance.
+GENERALISE, REMOVE, CHANCE = 0.8, 0.95, 0.01
 
 # The base patterns, written so that no text makes the engine go back over what it has read:
 # a match begins where a run of its first characters begins, or where the last match ended.
@@ -205,6 +209,19 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.col(text_col)))
 
 
+def _evidence(both: Column, one: Column, other: Column, n: Column) -> Column:
+    """-log of a bound on the probability that ``one`` documents of ``n``, drawn blindly, hold ``both`` or more of ``other`` (Hoeffding)."""
+    a, p = both / one, other / n
+    rest = F.when(a < 1, (1 - a) * F.log(F.try_divide(1 - a, 1 - p))).otherwise(0.0)
+    return F.when(a > p, one * (a * F.log(a / p) + rest)).otherwise(0.0)
+
+
+def _disclosed(both: Column, entity: Column, term: Column, n: Column) -> Column:
+    """The share of an entity's information that a term discloses; null if their meeting may be chance."""
+    sure = F.greatest(_evidence(both, entity, term, n), _evidence(both, term, entity, n)) >= -math.log(CHANCE) - 1e-9
+    return F.when((n > entity) & sure, F.log(both * n / (entity * term)) / F.log(n / entity))
+
+
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -213,15 +230,15 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     around = F.when(F.size("spans") > 0, _around(F.col("points"), F.col("spans")))
     found = cut(found.select("doc_id", _key("doc_id", "text").alias("key"), "spans", around.alias("around")), "found")
     near = _windows(found)
-    pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(f"n_both >= {SUPPORT}")
+    pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     pairs = cut(pairs, "pairs")
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0))
     in_corpus = texts.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     entities = found.where("size(spans) > 0").select(F.explode(F.array_distinct("spans.entity")).alias("entity"), "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     total = found.select(F.count("*").alias("n_docs"))
     told = pairs.join(in_corpus, "term").join(entities, "entity").crossJoin(F.broadcast(total))
-    disclosed = F.log(F.col("n_both") * F.col("n_docs") / (F.col("n_entity") * F.greatest("n_term", "n_both"))) / F.log(F.col("n_docs") / F.col("n_entity"))
-    told = told.where("n_docs > n_entity").select("entity", "term", disclosed.alias("disclosed")).where(F.col("disclosed") >= GENERALISE)
+    disclosed = _disclosed(F.col("n_both"), F.col("n_entity"), F.greatest("n_term", "n_both"), F.col("n_docs"))
+    told = told.select("entity", "term", disclosed.alias("disclosed")).where(F.col("disclosed") >= GENERALISE)
     told = cut(told, "told")
     terms = near.join(told, ["entity", "term"]).groupBy("key", "s", "e").agg(F.max("disclosed").alias("disclosed"))
     terms = terms.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))

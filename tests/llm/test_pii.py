@@ -71,3 +71,11 @@ def test_long_lists_keep_their_places(spark):
     text = " ".join(f"user{i}@host{i % 7}.example" for i in range(700))
     got = pii.find(table(spark, [(1, text)])).select(pii.listed(pii.plain(F.col("spans")))).first()[0]
     assert got == ",".join(brute(text))
+
+
+def test_a_pair_that_stands_once_is_treated_if_it_is_no_chance(spark):
+    plain = [(i, f"we say the usual words number {i} again") for i in range(200)]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain, (900, "the usual words zanzibar at boss@firm.example")])).collect()}
+    assert "zanzibar" not in clean[900] and "the usual words" in clean[900]
+    few = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain[:20], (900, "the usual words zanzibar at boss@firm.example")])).collect()}
+    assert "zanzibar" in few[900]  # one document in 21 may be chance
