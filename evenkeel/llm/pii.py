@@ -1,23 +1,28 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations only.
 
 Protected entities (addresses of mail and net, card and telephone numbers) are
-found by patterns. Words that stand near an entity may reveal it as well. The
-corpus says how strongly: with p(x) the share of documents that hold x, a term t
-discloses the part
+found by patterns. Words that stand in the documents of an entity may reveal it
+as well. The corpus says how strongly: with p(x) the share of documents that
+hold x, a term t discloses the part
 
     log(p(e, t) / (p(e) p(t))) / log(1 / p(e))
 
 of the information of entity e, 1 if t stands only where e does. Terms that
-disclose ``GENERALISE`` of an entity or more are replaced by a general word
-there, from ``REMOVE`` on removed. No number of documents is too small: a pair
-counts unless documents drawn blindly would bring it together as often with a
-probability over ``CHANCE``, so one that stands once counts from 1 / ``CHANCE``
-documents on if term and entity are in no other.
-
-All counts cover all documents. Pairs are formed only within ``WINDOW``
-characters of an entity, so their number is a bounded multiple of the entities';
-counting is by partial sums, so an entity or word in a third of the documents is
-no hot key. All words of the corpus are counted.
+disclose ``GENERALISE`` of an entity or more are replaced by a general word,
+from ``REMOVE`` on removed, wherever they stand in the corpus. No number of
+documents is too small: a pair counts unless documents drawn blindly would bring
+it together as often with a probability over ``CHANCE``, so one that stands once
+counts from 1 / ``CHANCE`` documents on if term and entity are in no other.
+
+Terms are all runs of letters, digits and underscores outside the patterns'
+spans; in scripts without blanks between words, all pairs of neighbours. All
+counts cover all documents and all terms, by partial sums. Entities that stand in
+the same documents are one class, terms likewise (told apart by their number of
+documents and 128 bits of hash), and pairs are formed of classes, so a list of
+a million addresses in one document is one class of entities. A term is left out
+of pairs only if it stands in so many documents that it cannot reach
+``GENERALISE`` for any entity beside it: p(e, t) is at most p(e), so it discloses
+no more than log(p(t)) / log(p(e)) if it is the more frequent one.
 
 Defined results: a null text is empty; rows with equal id and text are one
 document in the counts and get equal results; a null id is an id of its own; a
@@ -36,8 +41,8 @@ from pyspark.sql import functions as F
 from evenkeel.llm.common import cut
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Characters on either side of an entity in which terms are looked for.
-WINDOW = 64
+#: Of a term in over a share 1 / ``HOT`` of the documents there are ``HOT`` times the terms of a document at most: few enough to broadcast.
+HOT = 100
 #: Shares of an entity's information from which a term is treated, and the probability up to which a pair is no chance.
 GENERALISE, REMOVE, CHANCE = 0.8, 0.95, 0.01
 
@@ -48,8 +53,9 @@ _IP = r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}"
 # runs of digits with single separators, of the right number of digits; others are matches that would be dropped
 _CARD = r"[0-9](?<![0-9][0-9])(?<![0-9][ -][0-9])(?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-_WORD = r"(?<=[^\p{L}\p{N}])\p{L}{3,}(?=[^\p{L}\p{N}])"
-_WORDS = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{N}])"
+# scripts that have no blanks between words
+_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_TERM = rf"[{_DENSE}]++|[\p{{L}}\p{{M}}\p{{N}}_&&[^{_DENSE}]]++"
 
 
 def _digits(value: Column) -> Column:
@@ -166,47 +172,74 @@ def base_spans(docs: DataFrame, text: str) -> DataFrame:
     return docs.drop(*[f"__{x}_{kind.name}" for x in "vt" for kind in BASE])
 
 
-def _terms(side: str) -> Column:
-    """Terms of the text before or after a span, with their places."""
-    at, before = F.col(f"{side}_at"), F.col(f"__t_{side}")
-    return F.transform(f"__v_{side}", lambda m, i: F.struct(F.lower(m).alias("term"), (at + F.get(before, i)).alias("s"), F.length(m).alias("n")))
-
-
-def _windows(found: DataFrame) -> DataFrame:
-    """``(key, entity, term, s, e)``: the terms near each entity that overlap no pattern's span."""
-    one = found.where("size(spans) > 0").select("key", "spans", F.explode(F.arrays_zip("spans", "around")).alias("x"))
-    one = one.select("key", "spans", F.col("x.spans.entity").alias("entity"), "x.around.*")
-    one = located(one, {side: (F.col(side), _WORD, None) for side in ("left", "right")})
-    one = one.select("key", "spans", "entity", F.explode(F.concat(_terms("left"), _terms("right"))).alias("t"))
-    terms = one.select("key", "spans", "entity", F.col("t.term").alias("term"), F.col("t.s").alias("s"), (F.col("t.s") + F.col("t.n")).alias("e"))
-    free = ~F.exists("spans", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"]))
-    return terms.where(free).select("key", "entity", "term", "s", "e")
-
-
 def _points(text: Column) -> Column:
     """Four bytes a character: a part is found without reading what is before it. Kept as a column, or it is made anew for each part."""
     return F.encode(text, "UTF-32")
 
 
-def _around(points: Column, spans: Column) -> Column:
-    """The text on both sides of each span, closed by a blank where it is not cut."""
-    n = (F.octet_length(points) / 4).cast("int")
+def _covered(spans: Column) -> Column:
+    """Spans (s, e) by start, those that overlap as one."""
+    last = lambda a: F.get(a, F.size(a) - 1)
+    both = lambda s, e: F.struct(s.alias("s"), e.alias("e"))
+    return F.aggregate(
+        spans,
+        F.array().cast("array<struct<s:int,e:int>>"),
+        lambda a, x: F.when((F.size(a) > 0) & (last(a)["e"] > x["s"]), F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(both(last(a)["s"], F.greatest(last(a)["e"], x["e"])))))
+        .otherwise(F.concat(a, F.array(both(x["s"], x["e"])))),
+    )
+
+
+def _blanked(points: Column, covered: Column) -> Column:
+    """The text with blanks in place of the spans; all else keeps its place."""
     part = lambda a, b: F.decode(F.substring(points, a * 4 + 1, (b - a) * 4), "UTF-32")
+    upto = lambda i: F.when(i > 0, F.get(covered, i - 1)["e"]).otherwise(0)
+    parts = F.transform(covered, lambda x, i: F.concat(part(upto(i), x["s"]), F.repeat(F.lit(" "), x["e"] - x["s"])))
+    return F.concat(F.array_join(parts, ""), part(F.get(covered, F.size(covered) - 1)["e"], (F.octet_length(points) / 4).cast("int")))
+
+
+def _pairs(run: Column) -> Column:
+    """The pairs of neighbours in a run of a script without blanks, with their places."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.length(run) - 2, F.lit(0))), lambda i: F.struct(F.substring(run, i + 1, F.lit(2)).alias("m"), i.alias("at")))
+
+
+def _folded(text: Column) -> Column:
+    """Lower case that does not depend on what stands beside a term."""
+    return F.replace(F.lower(text), F.lit("ς"), F.lit("σ"))
+
+
+def _terms(text: Column) -> Column:
+    """The different terms of a text."""
+    found = F.regexp_extract_all(_folded(text), F.lit(_TERM), F.lit(0))
+    dense = lambda m: F.when(m.rlike(f"^[{_DENSE}]"), F.transform(_pairs(m), lambda x: x["m"])).otherwise(F.array(m))
+    any_dense = (F.octet_length(text) > F.length(text)) & text.rlike(f"[{_DENSE}]")
+    return F.array_distinct(F.when(any_dense, F.flatten(F.transform(found, dense))).otherwise(found))
+
+
+def _term_places(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """``(key, s, e, disclosed)`` of the terms of the texts (key, clear) that are marked (key, term, disclosed)."""
+    found = cut(texts.select("key", F.regexp_extract_all("clear", F.lit(_TERM), F.lit(0)).alias("v"), F.transform(F.split("clear", _TERM, -1), F.length).alias("g")), "found_terms")
+    one = found.select("key", F.posexplode("v").alias("i", "m"))
+    whole = F.array(F.struct(F.col("m").alias("m"), F.lit(0).alias("at")))
+    one = one.select("key", "i", F.explode(F.when((F.octet_length("m") > F.length("m")) & F.col("m").rlike(f"^[{_DENSE}]"), _pairs(F.col("m"))).otherwise(whole)).alias("x"))
+    one = one.select("key", "i", "x.at", F.length("x.m").alias("n"), _folded(F.col("x.m")).alias("term")).join(marked, ["key", "term"])
+    hits = one.groupBy("key").agg(F.collect_list(F.struct("i", "at", "n", "disclosed")).alias("hits"))
+    steps = found.select("key", "g", F.transform("v", _step(F.col("g"))).alias("steps")).join(hits, "key").withColumn("starts", _block_starts(F.col("steps")))
+    before = _before(F.col("steps"), F.col("starts"), F.col("g"))
+
+    def place(x: Column) -> Column:
+        s = before(x, x["i"]) + x["at"]
+        return F.struct(s.alias("s"), (s + x["n"]).alias("e"), x["disclosed"].alias("disclosed"))
+
+    return steps.select("key", F.explode(F.transform("hits", place)).alias("x")).select("key", "x.*")
 
-    def both(x: Column) -> Column:
-        a, b = F.greatest(x["s"] - WINDOW, F.lit(0)), F.least(x["e"] + WINDOW, n)
-        return F.struct(
-            F.concat(F.when(a == 0, " ").otherwise(""), part(a, x["s"]), F.lit(" ")).alias("left"),
-            (a - F.when(a == 0, 1).otherwise(0)).alias("left_at"),
-            F.concat(F.lit(" "), part(x["e"], b), F.when(b == n, " ").otherwise("")).alias("right"),
-            (x["e"] - 1).alias("right_at"),
-        )
 
-    return F.transform(spans, both)
+def _documents(of: str) -> list[Column]:
+    """Of the rows of a group: their number, and two hashes of the set of their keys."""
+    return [F.count("*").alias(f"n_{of}"), *[F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"{of}_{i}") for i in (1, 2)]]
 
 
 def _key(id_col: str, text_col: str) -> Column:
-    return F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.col(text_col)))
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.col(text_col))))
 
 
 def _evidence(both: Column, one: Column, other: Column, n: Column) -> Column:
@@ -225,25 +258,39 @@ def _disclosed(both: Column, entity: Column, term: Column, n: Column) -> Column:
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = base_spans(texts, "text")
+    found = base_spans(texts, "text").withColumn("covered", _covered(F.col("spans")))
     found = found.withColumn("points", F.when(F.size("spans") > 0, _points(F.col("text"))))
-    around = F.when(F.size("spans") > 0, _around(F.col("points"), F.col("spans")))
-    found = cut(found.select("doc_id", _key("doc_id", "text").alias("key"), "spans", around.alias("around")), "found")
-    near = _windows(found)
-    pairs = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = cut(pairs, "pairs")
-    words = F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0))
-    in_corpus = texts.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    entities = found.where("size(spans) > 0").select(F.explode(F.array_distinct("spans.entity")).alias("entity"), "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = found.select(F.count("*").alias("n_docs"))
-    told = pairs.join(in_corpus, "term").join(entities, "entity").crossJoin(F.broadcast(total))
-    disclosed = _disclosed(F.col("n_both"), F.col("n_entity"), F.greatest("n_term", "n_both"), F.col("n_docs"))
-    told = told.select("entity", "term", disclosed.alias("disclosed")).where(F.col("disclosed") >= GENERALISE)
-    told = cut(told, "told")
-    terms = near.join(told, ["entity", "term"]).groupBy("key", "s", "e").agg(F.max("disclosed").alias("disclosed"))
+    clear = F.when(F.size("spans") > 0, _blanked(F.col("points"), F.col("covered"))).otherwise(F.col("text"))
+    found = cut(found.select("doc_id", _key("doc_id", "text").alias("key"), "spans", clear.alias("clear")), "found")
+    # rows with equal id and text are one document
+    once = found.select("key", "spans", "clear").dropDuplicates(["key"])
+    words = cut(once.select("key", F.size("spans").alias("n"), _terms(F.col("clear")).alias("words")), "words")
+    own = cut(found.where("size(spans) > 0").select("key", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct(), "entities")
+    entities = cut(own.groupBy("entity").agg(*_documents("entity")), "counted_entities")
+    n_docs, most = words.count(), entities.agg(F.max("n_entity")).first()[0]
+    none = F.array().cast("array<struct<s:int,kind:int,e:int,disclosed:double>>")
+    if most is None:
+        return found.select("doc_id", "key", "spans").withColumn("terms", none)
+    counted = cut(words.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "counted_terms")
+    # what a term discloses of an entity in fewer documents is log(p(t)) / log(p(e)) at most
+    reach = lambda n_entity: F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_entity, GENERALISE) * (1 + 1e-9)
+    hot = counted.where((F.col("n_term") > reach(F.lit(most))) & (F.col("n_term") * HOT > n_docs)).select("term")
+    hot = F.broadcast(hot)
+    counted = counted.where(F.col("n_term") <= reach(F.lit(most)))
+    held = lambda docs: docs.select("key", F.explode("words").alias("term")).join(hot, "term", "left_anti")
+    term_class, entity_class = (["n_" + x, x + "_1", x + "_2"] for x in ("term", "entity"))
+    near = held(words.where("n > 0")).join(counted, "term").select("key", *term_class).distinct()
+    beside = own.join(entities, "entity").select("key", *entity_class).distinct()
+    pairs = near.join(beside, "key").where(F.col("n_term") <= reach(F.col("n_entity")))
+    pairs = pairs.groupBy(*term_class, *entity_class).agg(F.count("*").alias("n_both"))
+    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs)))
+    told = told.where(F.col("disclosed") >= GENERALISE).groupBy(*term_class).agg(F.max("disclosed").alias("disclosed"))
+    told = cut(counted.join(told, term_class).select("term", "disclosed"), "told")
+    marked = cut(held(words).join(told, "term"), "marked")
+    terms = cut(_term_places(once.select("key", "clear").join(marked.select("key").distinct(), "key", "left_semi"), marked), "places")
     terms = terms.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))
     out = found.select("doc_id", "key", "spans").join(terms, "key", "left")
-    return out.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:int,kind:int,e:int,disclosed:double>>")))
+    return out.withColumn("terms", F.coalesce("terms", none))
 
 
 def listed(spans: Column) -> Column:
@@ -258,7 +305,7 @@ def plain(spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all spans replaced in the text: entities and terms by their kind, the strongest terms by nothing."""
-    found = find(docs, id_col=id_col, text_col=text_col).where("size(spans) > 0").dropDuplicates(["key"])
+    found = find(docs, id_col=id_col, text_col=text_col).where("size(spans) > 0 or size(terms) > 0").dropDuplicates(["key"])
     removed = F.transform(
         F.col("terms"), lambda x: F.struct(x["s"].alias("s"), F.when(x["disclosed"] >= REMOVE, len(KINDS)).otherwise(x["kind"]).alias("kind"), x["e"].alias("e"))
     )

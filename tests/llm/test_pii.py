@@ -79,3 +79,16 @@ def test_a_pair_that_stands_once_is_treated_if_it_is_no_chance(spark):
     assert "zanzibar" not in clean[900] and "the usual words" in clean[900]
     few = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain[:20], (900, "the usual words zanzibar at boss@firm.example")])).collect()}
     assert "zanzibar" in few[900]  # one document in 21 may be chance
+
+
+def test_terms_are_treated_wherever_they_stand(spark):
+    plain = [(i, f"we say the usual words number {i % 20} again 一二三四") for i in range(400)]
+    far = "the usual words " * 10
+    rows = [(800 + i, f"zanzibar user7x 王芳说 {far}write to boss@firm.example") for i in range(9)] + [(900, f"zanzibar {far}"), (900, f"zanzibar {far}"), (901, "看王芳了 user7x")]
+    found = pii.find(table(spark, plain + rows)).where("doc_id >= 800").select("doc_id", F.explode("terms").alias("t")).collect()
+    texts = dict(rows)
+    seen = {(r["doc_id"], texts[r["doc_id"]][r["t"]["s"] : r["t"]["e"]]) for r in found}
+    assert {(i, w) for i in range(800, 809) for w in ("zanzibar", "user7x", "王芳")} <= seen
+    assert {(900, "zanzibar"), (901, "user7x"), (901, "王芳")} <= seen and not {w for _, w in seen} & {"the", "usual", "words", "看王"}
+    clean = pii.sanitise(table(spark, plain + rows)).collect()
+    assert not any("zanzibar" in r["text"] or "王芳" in r["text"] or "user7x" in r["text"] for r in clean) and all(r["text"] == dict(plain)[r["doc_id"]] for r in clean if r["doc_id"] < 800)
