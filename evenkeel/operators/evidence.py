@@ -8,10 +8,12 @@ partitioning, for large ones.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -135,21 +137,90 @@ def database_evidence(tables: Mapping[str, tuple[DataFrame, TablePlan]], digest:
 def relation_digest(df: DataFrame, exclude: tuple[str, ...] = (), mode: str = "multiset", hexed: tuple[str, ...] = ()) -> DataFrame:
     """``rows, sha256`` of a table without the columns ``exclude``: rows as JSON, hashed.
 
-    ``sorted`` hashes the sorted hashes of a small table in one group;
-    ``multiset`` sums them and scales. Columns in ``hexed`` are taken as their
+    ``sorted`` hashes the sorted hashes as a stream of chunks, in bounded memory
+    for any number of rows; ``multiset`` sums them and needs no order. Columns in ``hexed`` are taken as their
     bytes in hex, so that a change of type alone leaves the digest as it is.
     """
     names = [c for c in df.columns if c not in exclude]
     columns = [F.hex(F.encode(f"`{c}`", "UTF-8")).alias(c) if c in hexed else F.col(f"`{c}`") for c in names]
     h = df.select(F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256).alias("h"))
     if mode == "sorted":
-        if h.limit(EXACT_ROWS + 1).count() > EXACT_ROWS:
-            raise ValueError(f"over {EXACT_ROWS} rows: use the multiset digest")
-        return h.agg(F.count("*").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("sha256"))
+        counted = h.groupBy().agg(F.count("*").alias("rows"))
+        digest = sorted_sha256(h.withColumn("g", F.lit(0)), ["g"], "h", "").select("sha256")
+        return counted.join(F.broadcast(digest), how="left").select("rows", F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("sha256"))  # one row and one row at most
     sums = h.agg(F.count("*").alias("rows"), *limb_sums(F.col("h")))
     return sums.select("rows", multiset_digest([F.col(f"limb_{i}") for i in range(_LIMBS)]).alias("sha256"))
 
 
+#: Lines of a chunk of a sorted stream, at most.
+_CHUNK_LINES = 4096
+
+
+def _chunks(group: list[str]):
+    """Sorted lines and their numbers, packed: a row for each run of lines of a group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _CHUNK_LINES):
+                rows = batch.slice(at, _CHUNK_LINES)
+                keys = rows.select(group).to_pylist()
+                edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    one = rows.slice(a, 1).select(group)
+                    lines, n = rows.column("line").slice(a, b - a), rows.column("n").slice(a, b - a)
+                    columns = [lines.slice(0, 1), pa.array([lines.to_pylist()], pa.list_(pa.string())), pa.array([n.to_pylist()], pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([*one.columns, *columns], names=[*group, "line", "lines", "n"])
+
+    return run
+
+
+def _streamed(group: list[str], separator: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, digest = None, None
+        mark = separator.encode()
+
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*now.columns, pa.array([digest.hexdigest()])], names=[*group, "sha256"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1).select(group)
+                if now is None or not one.equals(now):
+                    if now is not None:
+                        yield closed()
+                    now, digest, first = one, hashlib.sha256(), True
+                for line, n in zip(batch.column("lines")[i].as_py(), batch.column("n")[i].as_py(), strict=True):
+                    raw = line.encode()
+                    if first:
+                        digest.update(raw)
+                        n, first = n - 1, False
+                    while n:  # equal lines, a part at a time
+                        part = min(n, _CHUNK_LINES)
+                        digest.update((mark + raw) * part)
+                        n -= part
+        if now is not None:
+            yield closed()
+
+    return run
+
+
+def sorted_sha256(rows: DataFrame, group: list[str], line: str | Column, separator: str) -> DataFrame:
+    """For each group, ``sha256`` of its lines, sorted and joined by ``separator``.
+
+    Equal lines are counted, the rest is sorted by ranges and packed into chunks
+    in parallel; one task for each group reads chunks in order and holds one
+    batch. SHA-256 of a joined text cannot be had from parts, so that last step
+    is a stream.
+    """
+    spark_type = lambda c: f"`{c}` {rows.schema[c].dataType.simpleString()}"
+    kinds = ", ".join(spark_type(c) for c in group)
+    line = F.col(line) if isinstance(line, str) else line
+    counted = rows.select(*group, line.alias("line")).groupBy(*group, "line").agg(F.count("*").alias("n"))
+    ranges = counted.repartitionByRange(*group, "line").sortWithinPartitions(*group, "line")
+    chunks = ranges.mapInArrow(_chunks(group), f"{kinds}, line string, lines array<string>, n array<bigint>")
+    return chunks.repartition(*group).sortWithinPartitions(*group, "line").mapInArrow(_streamed(group, separator), f"{kinds}, sha256 string")
+
+
 def max_lengths(df: DataFrame, columns: list[str]) -> DataFrame:
     """The longest value of each column in bytes, 0 if there is none."""
     return df.agg(*[F.coalesce(F.max(F.octet_length(f"`{c}`")), F.lit(0)).cast("bigint").alias(c) for c in columns])
