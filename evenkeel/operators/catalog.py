@@ -112,8 +112,11 @@ def component_hashes(columns: DataFrame, constraints: DataFrame) -> DataFrame:
 
 def schema_fingerprint(hashes: DataFrame) -> DataFrame:
     """One row, ``schema_sha256``, over the whole-table hashes in order of name."""
-    line = F.concat_ws("|", "table", "sha256")
-    return hashes.where("component = 'whole'").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("schema_sha256"))
+    from evenkeel.operators.evidence import sorted_sha256
+
+    whole = hashes.where("component = 'whole'").withColumn("__all", F.lit(0))
+    digest = sorted_sha256(whole, ["__all"], F.concat_ws("|", "table", "sha256"), "\n")
+    return digest.agg(F.coalesce(F.max("sha256"), F.sha2(F.lit(""), 256)).alias("schema_sha256"))  # one row at most
 
 
 def component_drift(expected: DataFrame, observed: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.operators.evidence import sorted_sha256
+
 PLAN = ["plan_id", "plan_sha256"]
 
 
@@ -154,7 +156,7 @@ def database_rollup(evidence: DataFrame, group: list[str]) -> DataFrame:
 def database_operations_hash(tables: DataFrame, group: list[str]) -> DataFrame:
     """For each group: SHA-256 of ``table:hash`` in order, joined by ``|``."""
     line = F.concat_ws(":", "table", "operations_sha256")
-    return tables.groupBy(*group).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "|"), 256).alias("operations_sha256"))
+    return sorted_sha256(tables, group, line, "|").withColumnRenamed("sha256", "operations_sha256")
 
 
 def evidence_document(evidence: DataFrame, database: str) -> DataFrame:

@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.operators.evidence import relation_digest
+from evenkeel.operators.evidence import relation_digest, stored
 from evenkeel.operators.violations import violation
 
 
 def occurrence_facts(facts: DataFrame, columns: list[str]) -> DataFrame:
-    """Number equal facts 1, 2, 3 ..., so that a table of facts with repeats has a key."""
-    return facts.withColumn("occurrence", F.row_number().over(Window.partitionBy(*columns).orderBy(*columns)))
+    """Number equal facts 1, 2, 3 ..., so that a table of facts with repeats has a key.
+
+    Rows are numbered within each partition, behind the counts of earlier ones,
+    so a value that many rows share is not one task.
+    """
+    parts = stored(facts.withColumn("__part", F.spark_partition_id()), "facts")
+    counts = parts.groupBy(*columns, "__part").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*columns).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(columns)], F.col("__part").alias("__p"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
+    within = F.row_number().over(Window.partitionBy(*columns, "__part").orderBy(*columns))
+    same = F.col("__part") == F.col("__p")
+    for i, c in enumerate(columns):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__{i}"))
+    numbered = parts.withColumn("__in", within).join(starts, same)
+    return numbered.withColumn("occurrence", (F.col("__start") + F.col("__in")).cast("int")).select(*facts.columns, "occurrence")
 
 
 def preservation_violations(before: DataFrame, after: DataFrame, allowed: DataFrame, keys: list[str], object_col: str) -> DataFrame:
