@@ -9,25 +9,33 @@ hold x, a term t discloses the part
 
 of the information of entity e, 1 if t stands only where e does. Terms that
 disclose ``GENERALISE`` of an entity or more are replaced by a general word,
-from ``REMOVE`` on removed, wherever they stand in the corpus. No number of
-documents is too small: a pair counts unless documents drawn blindly would bring
-it together as often with a probability over ``CHANCE``, so one that stands once
-counts from 1 / ``CHANCE`` documents on if term and entity are in no other.
+from ``REMOVE`` on removed, wherever they stand in the corpus. Every pair that
+stands together counts, however rare, with what its rarity proves: documents
+drawn blindly must bring it together as often with a probability of at most
+``CHANCE`` for all terms of the corpus together, that is ``CHANCE`` / (number of
+terms) for a pair. A word that stands once, beside an address that stands once,
+proves nothing by this: some words of every document stand nowhere else. One
+that stands with it twice and nowhere else is proof from some thousand documents
+on. With ``per_pair`` the bound is ``CHANCE`` for each pair by itself.
 
 Terms are all runs of letters, digits and underscores outside the patterns'
 spans; in scripts without blanks between words, all pairs of neighbours. All
 counts cover all documents and all terms, by partial sums. Entities that stand in
 the same documents are one class, terms likewise (told apart by their number of
 documents and 128 bits of hash), and pairs are formed of classes, so a list of
-a million addresses in one document is one class of entities. A term is left out
-of pairs only if it stands in so many documents that it cannot reach
-``GENERALISE`` for any entity beside it: p(e, t) is at most p(e), so it discloses
-no more than log(p(t)) / log(p(e)) if it is the more frequent one.
+a million addresses in one document is one class of entities. Only what cannot
+change the result is left out of pairs: terms in so many documents that they
+cannot reach ``GENERALISE`` for any entity beside them (p(e, t) is at most p(e), so
+a term discloses no more than log(p(t)) / log(p(e)) if it is the more frequent
+one), and terms and entities in so few documents that not even meeting in all of
+them is proof.
 
 Defined results: a null text is empty; rows with equal id and text are one
 document in the counts and get equal results; a null id is an id of its own; a
 span of a term never overlaps a pattern's span; an empty table gives an empty
-result; extra columns are kept by ``sanitise`` and not read.
+result; extra columns, whatever their names, are kept by ``sanitise`` and not
+read. Work on a text grows in proportion to it and to its spans: a text of many
+megabytes with a hundred thousand spans is one row like others.
 """
 
 from __future__ import annotations
@@ -38,12 +46,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut
+from evenkeel.llm.common import cut, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Of a term in over a share 1 / ``HOT`` of the documents there are ``HOT`` times the terms of a document at most: few enough to broadcast.
 HOT = 100
-#: Shares of an entity's information from which a term is treated, and the probability up to which a pair is no chance.
+#: Shares of an entity's information from which a term is treated, and the probability up to which meeting is no chance.
 GENERALISE, REMOVE, CHANCE = 0.8, 0.95, 0.01
 
 # The base patterns, written so that no text makes the engine go back over what it has read:
@@ -141,12 +149,14 @@ def _block_starts(steps: Column) -> Column:
     return F.aggregate(blocks, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
 
 
-def _before(steps: Column, starts: Column, gaps: Column):
-    def before(_: Column, i: Column) -> Column:
-        block = F.floor(i / _BLOCK).cast("int")
-        return F.get(starts, block) + _total(F.slice(steps, block * _BLOCK + 1, i % _BLOCK)) + F.get(gaps, i)
+def _sum_before(steps: Column, starts: Column, i: Column) -> Column:
+    # each column is named twice: one that is named once would be computed again for each element
+    block = F.floor(i / _BLOCK).cast("int")
+    return F.when(F.size(starts) > block, F.get(starts, block)) + _total(F.slice(steps, block * _BLOCK + 1, i % _BLOCK))
+
 
-    return before
+def _before(steps: Column, starts: Column, gaps: Column):
+    return lambda _, i: _sum_before(steps, starts, i) + F.get(gaps, i)
 
 
 def _kept(i: int, kind: Kind, values: Column, before: Column) -> Column:
@@ -168,33 +178,54 @@ def base_spans(docs: DataFrame, text: str) -> DataFrame:
     searches = {kind.name: (F.col(text), kind.pattern, F.col(text).rlike(kind.needs)) for kind in BASE}
     docs = located(docs, searches)
     parts = [_kept(i, kind, F.col(f"__v_{kind.name}"), F.col(f"__t_{kind.name}")) for i, kind in enumerate(BASE)]
-    docs = docs.withColumn("spans", F.array_sort(F.concat(*parts)))
+    docs = docs.withColumn("spans", F.sort_array(F.concat(*parts)))
     return docs.drop(*[f"__{x}_{kind.name}" for x in "vt" for kind in BASE])
 
 
-def _points(text: Column) -> Column:
-    """Four bytes a character: a part is found without reading what is before it. Kept as a column, or it is made anew for each part."""
-    return F.encode(text, "UTF-32")
+#: Characters in a block of a text that is taken apart.
+_PART = 1024
 
 
-def _covered(spans: Column) -> Column:
-    """Spans (s, e) by start, those that overlap as one."""
-    last = lambda a: F.get(a, F.size(a) - 1)
-    both = lambda s, e: F.struct(s.alias("s"), e.alias("e"))
-    return F.aggregate(
-        spans,
-        F.array().cast("array<struct<s:int,e:int>>"),
-        lambda a, x: F.when((F.size(a) > 0) & (last(a)["e"] > x["s"]), F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(both(last(a)["s"], F.greatest(last(a)["e"], x["e"])))))
-        .otherwise(F.concat(a, F.array(both(x["s"], x["e"])))),
-    )
+def _blocks(text: Column) -> Column:
+    """The text in blocks: a part is found without reading what is before it. Kept as a column, or it is made anew for each part."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PART}}}"), F.lit(0))
+
+
+def _part(blocks: Column, a: Column, b: Column) -> Column:
+    """The characters from ``a`` to before ``b``."""
+    first, last = F.floor(a / _PART).cast("int"), F.floor((b - 1) / _PART).cast("int")
+    inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    many = F.concat(F.substring(F.get(blocks, first), a % _PART + 1, F.lit(_PART)), inner, F.substring(F.get(blocks, last), F.lit(1), (b - 1) % _PART + 1))
+    return F.when(b <= a, "").when(first == last, F.substring(F.get(blocks, first), a % _PART + 1, b - a)).otherwise(many)
+
+
+def _rest(blocks: Column, a: Column) -> Column:
+    """The characters from ``a`` on."""
+    first = F.floor(a / _PART).cast("int")
+    return F.concat(F.coalesce(F.substring(F.get(blocks, first), a % _PART + 1, F.lit(_PART)), F.lit("")), F.array_join(F.slice(blocks, first + 2, F.size(blocks)), ""))
+
 
+def united(df: DataFrame, spans: Column, out: str) -> DataFrame:
+    """Add ``out``: the spans (s, kind, e) in order, those that overlap as one under the kind of the first.
 
-def _blanked(points: Column, covered: Column) -> Column:
+    Starts and ends are sorted together; a span begins where none was open.
+    """
+    x = {n: f"__{out}_{n}" for n in ("events", "steps", "sums", "starts", "ends")}
+    edge = lambda at, step: F.transform(spans, lambda y: F.struct(y[at].alias("p"), F.lit(step).alias("step"), y["kind"].alias("kind")))
+    df = df.withColumn(x["events"], F.sort_array(F.concat(edge("s", 1), edge("e", -1))))
+    df = df.withColumn(x["steps"], F.transform(x["events"], lambda y: y["step"]))
+    df = df.withColumn(x["sums"], _block_starts(F.col(x["steps"])))
+    at = lambda step, open_: F.filter(x["events"], lambda y, i: (y["step"] == step) & (_sum_before(F.col(x["steps"]), F.col(x["sums"]), i) == open_))
+    df = df.withColumns({x["starts"]: at(1, 0), x["ends"]: at(-1, 1)})
+    whole = F.zip_with(x["starts"], x["ends"], lambda a, b: F.struct(a["p"].alias("s"), a["kind"].alias("kind"), b["p"].alias("e")))
+    return df.withColumn(out, whole).drop(*x.values())
+
+
+def _blanked(blocks: Column, covered: Column) -> Column:
     """The text with blanks in place of the spans; all else keeps its place."""
-    part = lambda a, b: F.decode(F.substring(points, a * 4 + 1, (b - a) * 4), "UTF-32")
     upto = lambda i: F.when(i > 0, F.get(covered, i - 1)["e"]).otherwise(0)
-    parts = F.transform(covered, lambda x, i: F.concat(part(upto(i), x["s"]), F.repeat(F.lit(" "), x["e"] - x["s"])))
-    return F.concat(F.array_join(parts, ""), part(F.get(covered, F.size(covered) - 1)["e"], (F.octet_length(points) / 4).cast("int")))
+    parts = F.transform(covered, lambda x, i: F.concat(_part(blocks, upto(i), x["s"]), F.repeat(F.lit(" "), x["e"] - x["s"])))
+    return F.concat(F.array_join(parts, ""), _rest(blocks, F.get(covered, F.size(covered) - 1)["e"]))
 
 
 def _pairs(run: Column) -> Column:
@@ -249,46 +280,72 @@ def _evidence(both: Column, one: Column, other: Column, n: Column) -> Column:
     return F.when(a > p, one * (a * F.log(a / p) + rest)).otherwise(0.0)
 
 
-def _disclosed(both: Column, entity: Column, term: Column, n: Column) -> Column:
-    """The share of an entity's information that a term discloses; null if their meeting may be chance."""
-    sure = F.greatest(_evidence(both, entity, term, n), _evidence(both, term, entity, n)) >= -math.log(CHANCE) - 1e-9
+def _disclosed(both: Column, entity: Column, term: Column, n: Column, proof: float) -> Column:
+    """The share of an entity's information that a term discloses; null if their meeting is no proof."""
+    sure = F.greatest(_evidence(both, entity, term, n), _evidence(both, term, entity, n)) >= proof - 1e-9
     return F.when((n > entity) & sure, F.log(both * n / (entity * term)) / F.log(n / entity))
 
 
-def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fewest_documents(n_docs: int, proof: float) -> int | None:
+    """The least number of documents in which meeting can be proof; None if no number is.
+
+    A pair that meets in k documents has evidence of k log(n / k) at most, which
+    grows up to k = n / e.
+    """
+    k = 1
+    while k * math.log(n_docs / k) < proof - 1e-9:
+        k += 1
+        if k > n_docs / math.e:
+            return None
+    return k
+
+
+def _once(found: DataFrame) -> DataFrame:
+    """A row for each key. Texts move only if there are repeated rows."""
+    if found.groupBy("key").count().where("count > 1").isEmpty():
+        return found
+    return found.dropDuplicates(["key"])
+
+
+def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_pair: bool = False) -> DataFrame:
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = base_spans(texts, "text").withColumn("covered", _covered(F.col("spans")))
-    found = found.withColumn("points", F.when(F.size("spans") > 0, _points(F.col("text"))))
-    clear = F.when(F.size("spans") > 0, _blanked(F.col("points"), F.col("covered"))).otherwise(F.col("text"))
+    found = united(base_spans(texts, "text"), F.col("spans"), "covered")
+    found = found.withColumn("blocks", F.when(F.size("spans") > 0, _blocks(F.col("text"))))
+    clear = F.when(F.size("spans") > 0, _blanked(F.col("blocks"), F.col("covered"))).otherwise(F.col("text"))
     found = cut(found.select("doc_id", _key("doc_id", "text").alias("key"), "spans", clear.alias("clear")), "found")
     # rows with equal id and text are one document
-    once = found.select("key", "spans", "clear").dropDuplicates(["key"])
+    once = _once(found.select("key", "spans", "clear"))
     words = cut(once.select("key", F.size("spans").alias("n"), _terms(F.col("clear")).alias("words")), "words")
     own = cut(found.where("size(spans) > 0").select("key", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct(), "entities")
     entities = cut(own.groupBy("entity").agg(*_documents("entity")), "counted_entities")
     n_docs, most = words.count(), entities.agg(F.max("n_entity")).first()[0]
     none = F.array().cast("array<struct<s:int,kind:int,e:int,disclosed:double>>")
+    nothing = found.select("doc_id", "key", "spans").withColumn("terms", none)
     if most is None:
-        return found.select("doc_id", "key", "spans").withColumn("terms", none)
+        return nothing
     counted = cut(words.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "counted_terms")
+    proof = math.log((1 if per_pair else max(1, counted.count())) / CHANCE)
+    fewest = fewest_documents(n_docs, proof)
+    if fewest is None or fewest > most:
+        return nothing
     # what a term discloses of an entity in fewer documents is log(p(t)) / log(p(e)) at most
     reach = lambda n_entity: F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_entity, GENERALISE) * (1 + 1e-9)
     hot = counted.where((F.col("n_term") > reach(F.lit(most))) & (F.col("n_term") * HOT > n_docs)).select("term")
     hot = F.broadcast(hot)
-    counted = counted.where(F.col("n_term") <= reach(F.lit(most)))
+    counted = counted.where((F.col("n_term") <= reach(F.lit(most))) & (F.col("n_term") >= fewest))
     held = lambda docs: docs.select("key", F.explode("words").alias("term")).join(hot, "term", "left_anti")
     term_class, entity_class = (["n_" + x, x + "_1", x + "_2"] for x in ("term", "entity"))
-    near = held(words.where("n > 0")).join(counted, "term").select("key", *term_class).distinct()
-    beside = own.join(entities, "entity").select("key", *entity_class).distinct()
-    pairs = near.join(beside, "key").where(F.col("n_term") <= reach(F.col("n_entity")))
+    beside = cut(own.join(entities.where(F.col("n_entity") >= fewest), "entity").select("key", *entity_class).distinct(), "beside")
+    near = held(words.where("n > 0").join(beside.select("key").distinct(), "key", "left_semi")).join(counted, "term").select("key", *term_class).distinct()
+    pairs = near.join(beside, (near["key"] == beside["key"]) & (F.col("n_term") <= reach(F.col("n_entity")))).drop("key")
     pairs = pairs.groupBy(*term_class, *entity_class).agg(F.count("*").alias("n_both"))
-    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs)))
+    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), proof))
     told = told.where(F.col("disclosed") >= GENERALISE).groupBy(*term_class).agg(F.max("disclosed").alias("disclosed"))
     told = cut(counted.join(told, term_class).select("term", "disclosed"), "told")
     marked = cut(held(words).join(told, "term"), "marked")
     terms = cut(_term_places(once.select("key", "clear").join(marked.select("key").distinct(), "key", "left_semi"), marked), "places")
-    terms = terms.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))
+    terms = terms.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))
     out = found.select("doc_id", "key", "spans").join(terms, "key", "left")
     return out.withColumn("terms", F.coalesce("terms", none))
 
@@ -303,33 +360,21 @@ def plain(spans: Column) -> Column:
     return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e")))
 
 
-def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_pair: bool = False) -> DataFrame:
     """``docs`` with all spans replaced in the text: entities and terms by their kind, the strongest terms by nothing."""
-    found = find(docs, id_col=id_col, text_col=text_col).where("size(spans) > 0 or size(terms) > 0").dropDuplicates(["key"])
+    found = find(docs, id_col=id_col, text_col=text_col, per_pair=per_pair).where("size(spans) > 0 or size(terms) > 0").dropDuplicates(["key"])
     removed = F.transform(
         F.col("terms"), lambda x: F.struct(x["s"].alias("s"), F.when(x["disclosed"] >= REMOVE, len(KINDS)).otherwise(x["kind"]).alias("kind"), x["e"].alias("e"))
     )
-    every = F.array_sort(F.concat(plain(F.col("spans")), removed))
-    # spans that overlap are one, under the kind of the first
-    merged = F.aggregate(
-        every,
-        F.array().cast("array<struct<s:int,kind:int,e:int>>"),
-        lambda a, x: F.when(
-            (F.size(a) > 0) & (F.get(a, F.size(a) - 1)["e"] > x["s"]),
-            F.concat(
-                F.slice(a, F.lit(1), F.size(a) - 1),
-                F.array(F.struct(F.get(a, F.size(a) - 1)["s"].alias("s"), F.get(a, F.size(a) - 1)["kind"].alias("kind"), F.greatest(F.get(a, F.size(a) - 1)["e"], x["e"]).alias("e"))),
-            ),
-        ).otherwise(F.concat(a, F.array(x))),
-    )
-    found = found.select(F.col("key").alias("__key"), merged.alias("__merged"))
-    out = docs.withColumn("__key", _key(id_col, text_col)).join(found, "__key", "left")
-    out = out.withColumn("__points", F.when(F.col("__merged").isNotNull(), _points(F.col(text_col))))
+    found = united(found.withColumn("every", F.concat(plain(F.col("spans")), removed)), F.col("every"), "merged")
+    key, merged, blocks = unused(docs, "key", "merged", "blocks")
+    found = found.select(F.col("key").alias(key), F.col("merged").alias(merged))
+    out = docs.withColumn(key, _key(id_col, text_col)).join(found, key, "left")
+    out = out.withColumn(blocks, F.when(F.col(merged).isNotNull(), _blocks(F.col(text_col))))
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit(""))
-    points, merged = F.col("__points"), F.col("__merged")
+    blocks, merged = F.col(blocks), F.col(merged)
     upto = lambda i: F.when(i > 0, F.get(merged, i - 1)["e"]).otherwise(0)
-    text_part = lambda a, b: F.decode(F.substring(points, a * 4 + 1, (b - a) * 4), "UTF-32")
-    parts = F.transform(merged, lambda x, i: F.concat(text_part(upto(i), x["s"]), F.element_at(tags, x["kind"] + 1)))
-    tail = text_part(F.get(merged, F.size(merged) - 1)["e"], (F.octet_length(points) / 4).cast("int"))
+    parts = F.transform(merged, lambda x, i: F.concat(_part(blocks, upto(i), x["s"]), F.element_at(tags, x["kind"] + 1)))
+    tail = _rest(blocks, F.get(merged, F.size(merged) - 1)["e"])
     clean = F.when(merged.isNotNull(), F.concat(F.array_join(parts, ""), tail)).otherwise(F.col(text_col))
     return out.withColumn(text_col, clean).select(*docs.columns)

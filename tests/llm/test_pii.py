@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 from corpus import documents, table
@@ -73,12 +75,86 @@ def test_long_lists_keep_their_places(spark):
     assert got == ",".join(brute(text))
 
 
-def test_a_pair_that_stands_once_is_treated_if_it_is_no_chance(spark):
+def test_a_pair_that_stands_once_is_treated_if_each_pair_is_judged_by_itself(spark):
     plain = [(i, f"we say the usual words number {i} again") for i in range(200)]
-    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain, (900, "the usual words zanzibar at boss@firm.example")])).collect()}
+    one = (900, "the usual words zanzibar at boss@firm.example")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain, one]), per_pair=True).collect()}
     assert "zanzibar" not in clean[900] and "the usual words" in clean[900]
-    few = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain[:20], (900, "the usual words zanzibar at boss@firm.example")])).collect()}
+    few = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain[:20], one]), per_pair=True).collect()}
     assert "zanzibar" in few[900]  # one document in 21 may be chance
+    # by all terms together: each of the plain texts has a number that stands nowhere else as well
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, [*plain, one])).collect()}
+    assert "zanzibar" in clean[900] and "[EMAIL]" in clean[900]
+    twice = [*plain, one, (901, "zanzibar has boss@firm.example"), (902, "zanzibar or boss@firm.example")]
+    assert not any("zanzibar" in r["text"] for r in pii.sanitise(table(spark, twice)).collect())
+
+
+def disclosed_by_hand(rows):
+    """The disclosing terms of each text by the formula, over all pairs of entities and terms."""
+    docs = sorted(set(rows), key=str)
+    entity_docs, term_docs = {}, {}
+    for i, text in docs:
+        clear = text
+        for m in EMAIL.finditer(text):
+            entity_docs.setdefault(m.group().lower(), set()).add((i, text))
+            clear = clear.replace(m.group(), " ")
+        for w in re.findall(r"\w+", clear.lower()):
+            term_docs.setdefault(w, set()).add((i, text))
+    n, proof = len(docs), math.log(len(term_docs) / pii.CHANCE)
+
+    def evidence(both, one, other):
+        a, p = both / one, other / n
+        return one * (a * math.log(a / p) + ((1 - a) * math.log((1 - a) / (1 - p)) if a < 1 else 0)) if a > p else 0
+
+    told = set()
+    for e in entity_docs.values():
+        for w, t in term_docs.items():
+            both = len(e & t)
+            if both and max(evidence(both, len(e), len(t)), evidence(both, len(t), len(e))) >= proof - 1e-9:
+                if math.log(both * n / (len(e) * len(t))) / math.log(n / len(e)) >= pii.GENERALISE:
+                    told.add(w)
+    return {d: sorted((w, m.start()) for m in re.finditer(r"\w+", d[1].lower()) if (w := m.group()) in told and "@" not in d[1][m.start() - 1 : m.end() + 1]) for d in docs}
+
+
+def test_terms_are_those_of_the_formula(spark):
+    rng = random.Random(4)
+    common = [f"word{k}" for k in range(60)]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(25))) for i in range(300)]
+    for p in range(12):  # people with a name, a town that others share, and some documents each
+        for k in range(rng.randint(1, 6)):
+            rows.append((1000 + 10 * p + k, f"{' '.join(rng.choice(common) for _ in range(12))} name{p} of town{p % 3} at p{p}@firm{p % 4}.example"))
+    rows += [(2000 + i, f"name{i % 3} {rng.choice(common)}") for i in range(8)]
+    rows += rows[:40] + rows[300:330] + rows[300:310]  # repeated rows are one document
+    expected = disclosed_by_hand(rows)
+    assert any(expected.values())
+    found = pii.find(table(spark, rows)).select("doc_id", "key", "terms").collect()
+    assert len(found) == len(rows)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, t)
+    for r in found:
+        text = texts[r["doc_id"]]
+        assert sorted((text[t["s"] : t["e"]].lower(), t["s"]) for t in r["terms"]) == expected[(r["doc_id"], text)], r["doc_id"]
+
+
+def test_many_spans_in_one_text_are_no_more_work_each(spark):
+    text = " ".join(f"user{i}@host{i % 7}.example" for i in range(50_000))
+    df = table(spark, [(1, text), (2, "clean"), (2, "clean")])
+    assert pii.find(df).where("doc_id = 1").select(F.size("spans")).first()[0] == 50_000
+    got = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert got == {1: " ".join(["[EMAIL]"] * 50_000), 2: "clean"}
+
+
+def test_overlapping_spans_are_one(spark):
+    df = spark.sql("select array(struct(0 s, 1 kind, 5 e), struct(3 s, 0 kind, 9 e), struct(4 s, 2 kind, 6 e), struct(9 s, 3 kind, 11 e), struct(20 s, 2 kind, 21 e), struct(20 s, 0 kind, 20 + 3 e)) spans")
+    got = pii.united(df, F.col("spans"), "whole").first()["whole"]
+    assert [(x["s"], x["kind"], x["e"]) for x in got] == [(0, 1, 9), (9, 3, 11), (20, 0, 23)]
+
+
+def test_reserved_names_are_kept(spark):
+    df = table(spark, [(1, "boss@firm.example"), (2, None)]).withColumns({"__key": F.lit("a"), "__merged": F.lit("b"), "__blocks": F.lit("c")})
+    got = pii.sanitise(df)
+    assert got.columns == df.columns and {(r["doc_id"], r["text"], r["__key"], r["__merged"], r["__blocks"]) for r in got.collect()} == {(1, "[EMAIL]", "a", "b", "c"), (2, None, "a", "b", "c")}
 
 
 def test_terms_are_treated_wherever_they_stand(spark):
