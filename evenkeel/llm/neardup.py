@@ -10,18 +10,28 @@ Coordinates are cut into bands; documents that agree on a band are candidates.
 Candidates are confirmed on the full sets. Buckets are never expanded into all
 pairs. Every member of a bucket is compared with the bucket's middle, the member
 that shares most buckets with others; most groups are one component after that.
-A member that stays apart from its middle c can still be linked with another
-member x. What they share lies inside c (and what else most of the group has) or
-outside it: the first part is at most the smaller of their overlaps with it, so only members whose
-overlaps allow a link by themselves, or that share enough shingles outside c,
-are compared; the latter are found by a join on those shingles alone. No link
-is lost by that, and random edits of one text seldom share such shingles.
-Documents with equal sets are one node throughout.
+Two members a and b that are still in different components can be linked with
+each other. Let m be what most members of the bucket have (it need not be any
+document's set), D(x) what a set and m do not share, and
+
+    S(x) = |D(x)| - n(x) * (100 - percent) / (100 + percent).
+
+Then a and b are linked if S(a) + S(b) <= 0, and else only if their D share
+(S(a) + S(b)) / 2 shingles. The first is settled by the member of least S: all
+that are linked with any other by this rule are linked with it. For the second,
+the shingles of each D are put in one order, from the most common in the bucket
+to the rarest; the rarest one that a linked pair shares stands at place
+(S(a) + S(b)) / 2 or later in both. Pairs are formed on such places alone and then
+tested on the whole D, which is exact; random edits of one text seldom share
+rare shingles. No link within a bucket is lost by that. Documents with equal
+sets are one node throughout.
 
 Defined results: a document without words (or null text) has an empty set, is
 linked with nothing and is its own component; a row whose id is null is linked
 with nothing and has a null component; repeated rows with equal text are links
-like any other; an empty table gives an empty result.
+like any other; an empty table gives an empty result; extra columns are not read
+(``one_of_each`` keeps them, whatever their names); a very long text is a set
+like others, held by one task while it is compared.
 """
 
 from __future__ import annotations
@@ -30,10 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut, mix, rows_of, signed, text_slices, words
+from evenkeel.llm.common import cut, mix, rows_of, signed, text_slices, unused, words
 from evenkeel.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -134,23 +144,23 @@ def _inside(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b
 
 
-def _verify(size: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, pairs in _pairs_of_sets(batches, size):
-            both = [int(_inside(a, b).sum()) for a, b in pairs]
-            linked = [n > 0 and 100 * n >= percent * (len(a) + len(b) - n) for n, (a, b) in zip(both, pairs, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
-
-    return run
+_DIFFERENCES = "c long, node long, n_c long, n long, both long, linked boolean, apart array<long>"
 
 
-def _outside(size: int):
-    """What a member has that its middle lacks."""
+def _differences(size: int, percent: int):
+    """Of each pair: how many shingles both have, whether that is a link, and the shingles that only one of them has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, pairs in _pairs_of_sets(batches, size):
-            own = [signed(b[~_inside(a, b)]) for a, b in pairs]
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(own, pa.list_(pa.int64()))], names=["c", "node", "own"])
+            inside = [_inside(a, b) for a, b in pairs]
+            both = [int(x.sum()) for x in inside]
+            linked = [n > 0 and 100 * n >= percent * (len(a) + len(b) - n) for n, (a, b) in zip(both, pairs, strict=True)]
+            apart = [signed(np.concatenate((b[~x], a[~_inside(b, a)]))) for x, (a, b) in zip(inside, pairs, strict=True)]
+            columns = [part.column(c) for c in ("c", "node", "n_c", "n")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(both, pa.int64()), pa.array(linked, pa.bool_()), pa.array(apart, pa.list_(pa.int64()))],
+                names=["c", "node", "n_c", "n", "both", "linked", "apart"],
+            )
 
     return run
 
@@ -183,43 +193,24 @@ def near_duplicates(
     middles = middles.select("band", F.col("c.node").alias("c"), F.col("c.n").alias("n_c"))
     seen = cut(crowded.join(middles, "band").where("node <> c").select("c", "n_c", "node", "n").distinct(), "seen")
 
-    known: list[DataFrame] = []
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        done = with_texts(pairs).mapInArrow(_verify(size, percent), "a long, b long, both long, linked boolean")
-        return cut(done, "verified")
-
-    def with_texts(pairs: DataFrame) -> DataFrame:
-        """``a, b`` with their texts, which are fetched once for each node."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        for texts in known:
-            wanted = wanted.join(texts.select("node"), "node", "left_anti")
-        wanted = cut(nodes.join(wanted, "node", "left_semi").select("node", "check", "doc_id"), "wanted")
-        if not wanted.isEmpty():
-            known.append(cut(_texts(docs, wanted, size), "texts"))
-        texts = known[0]
-        for more in known[1:]:
-            texts = texts.union(more)
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        return both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-
     labels = None
-    stars = seen.where(f"100 * least(n, n_c) >= {percent} * greatest(n, n_c)").select(F.col("c").alias("a"), F.col("node").alias("b"))
-    if not stars.isEmpty():
-        tested = verified(stars)
-        links = tested.where("linked").select("a", "b")
-        labels = cut(components(links), "labels")
-        pairs = _apart(seen, tested, labels, percent, lambda p: with_texts(p).mapInArrow(_outside(size), "c long, node long, own array<long>"))
-        done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            links = links.union(verified(pairs).where("linked").select("a", "b"))
-            labels = cut(components(links), "labels")
+    if not seen.isEmpty():
+        texts = cut(_texts(docs, nodes, seen.select(F.explode(F.array("c", "node")).alias("node")).distinct(), size), "texts")
+        pairs = seen.join(texts.select(F.col("node").alias("c"), F.col("text").alias("text_a")), "c").join(texts.withColumnRenamed("text", "text_b"), "node")
+        pairs = pairs.select("c", "node", "n_c", "n", "text_a", "text_b").mapInArrow(_differences(size, percent), _DIFFERENCES)
+        pairs = cut(pairs, "differences")
+        labels = cut(components(pairs.where("linked").select(F.col("c").alias("a"), F.col("node").alias("b"))), "labels")
+        more = cut(_links_apart(pairs, labels, percent), "links")
+        if not more.isEmpty():  # links between components
+            joined = components(more).withColumnsRenamed({"node": "label", "label": "whole"})
+            lone = more.select(F.explode(F.array("a", "b")).alias("node")).join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+            labels = labels.union(lone.distinct()).join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label"))
+            labels = cut(labels, "labels")
     if labels is None:
         named = nodes.select("node", "check", F.col("doc_id").alias("component_id"))
     else:
-        member = nodes.join(labels, "node", "left").select("node", "check", "doc_id", F.coalesce("label", "node").alias("label"))
-        least = member.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+        member = cut(nodes.join(labels, "node", "left").select("node", "check", "doc_id", F.coalesce("label", "node").alias("label")), "members")
+        least = cut(member.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
         named = member.join(least, "label").select("node", "check", "component_id")
     out = rows.select("doc_id", "n_shingles", "node", "check").join(named, ["node", "check"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
@@ -228,40 +219,47 @@ def near_duplicates(
     )
 
 
-def _apart(seen: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, outside) -> DataFrame:
-    """Pairs that can be linked though one of them stays apart from the middle that both were compared with."""
-    label = labels.select("node", "label")
-    at = seen.join(tested.select(F.col("a").alias("c"), F.col("b").alias("node"), "both"), ["c", "node"], "left")
-    at = at.join(label, "node", "left").join(label.select(F.col("node").alias("c"), F.col("label").alias("label_c")), "c", "left")
-    at = at.select(
-        "c", "node", "n", F.coalesce("both", F.least("n", "n_c")).alias("both"), F.coalesce("label", "node").alias("label"),
-        (F.coalesce("label", "node") != F.coalesce("label_c", "c")).alias("apart"),
-    )
-    at = cut(at, "at")
-    groups = at.groupBy("c").agg(F.count("*").alias("members"), F.count_if("apart").alias("n_apart")).where("n_apart > 0 and members > 1")
-    at = cut(at.join(groups.select("c"), "c", "left_semi"), "apart")
+def _links_apart(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: labels of components that are linked by members of a bucket other than its middle (see the module)."""
+    at = pairs.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    groups = at.groupBy("c").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    groups = cut(groups.select("c", "members"), "groups")
+    at = cut(at.join(groups.select("c"), "c", "left_semi").select("c", "node", "n", "label", "apart"), "apart")
+    often = at.select("c", F.explode("apart").alias("shingle")).groupBy("c", "shingle").agg(F.count("*").alias("k")).join(groups, "c")
+    often = cut(often.where("k > 1").withColumn("most", F.expr("2 * k > members")), "often")
+    # no more than twice the mean size of D can be in most of them
+    usual = often.where("most").groupBy("c").agg(F.collect_list("shingle").alias("usual"))
+    at = at.join(usual, "c", "left").withColumn("usual", F.coalesce("usual", F.array().cast("array<long>")))
+    at = at.withColumn("apart", F.concat(F.array_except("apart", "usual"), F.array_except("usual", "apart"))).drop("usual")
+    whole, gap = 100 + percent, 100 - percent
+    at = cut(at.withColumn("s", F.expr(f"{whole} * size(apart) - {gap} * n")), "recentred")  # S times ``whole``
+    least = at.groupBy("c").agg(F.min("s").alias("s_least"), F.min_by("node", F.struct("s", "node")).alias("nearest"), F.min_by("label", F.struct("s", "node")).alias("label_nearest"))
+    least = cut(least, "nearest")
+    sure = at.join(least, "c").where("s + s_least <= 0").select(F.col("label").alias("label_a"), F.col("label_nearest").alias("label_b"))
+
+    counted = often.select("c", "shingle", F.expr("if(most, members - k, k)").alias("k")).where("k > 1")
+    place = Window.partitionBy("c", "node").orderBy(F.desc("k"), "shingle")
+    ranked = at.select("c", "node", F.explode("apart").alias("shingle")).join(counted, ["c", "shingle"]).withColumn("place", F.row_number().over(place))
+    sized = at.join(least, "c").select("c", "node", "n", "label", "s", "s_least", F.size("apart").alias("d"))
+    # of two members the one with larger S is linked with the nearest only if both are: so that S is over -s_least
+    ranked = ranked.join(sized, ["c", "node"]).withColumns(
+        {"as_far": F.expr(f"s + s_least > 0 and {2 * whole} * place >= s + s_least"), "as_near": F.expr(f"{whole} * place >= s and {2 * whole} * place > s - s_least")}
+    )
+    ranked = cut(ranked.where("as_far or as_near"), "rare")
 
     def side(df: DataFrame, x: str) -> DataFrame:
-        return df.withColumnsRenamed({"node": x, "n": f"n_{x}", "both": f"both_{x}", "label": f"label_{x}", "apart": f"apart_{x}"})
-
-    # every pair is met once: from its apart member, or from the smaller one if both are
-    differ = f"a <> b and label_a <> label_b and (a < b or not apart_b) and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    enough = f"100 * ({{0}}) >= {percent} * (n_a + n_b - ({{0}}))"
-    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    own = outside(at.select(F.col("c").alias("a"), F.col("node").alias("b")))
-    own = cut(own.select("c", "node", F.explode("own").alias("shingle")), "outside")
-    # what most members of a group have counts as inside as well, whether the middle has it or not
-    usual = own.groupBy("c", "shingle").agg(F.count("*").alias("k")).join(groups.select("c", "members"), "c").where("k >= 8 and 4 * k >= members")
-    usual = cut(usual.select("c", "shingle"), "usual")
-    more = own.join(usual, ["c", "shingle"], "left_semi").groupBy("c", "node").agg(F.count("*").alias("more"))
-    at = at.join(more, ["c", "node"], "left").withColumn("both", F.col("both") + F.coalesce("more", F.lit(0))).drop("more")
-    at = cut(at, "inside")
-    own = at.join(own.join(usual, ["c", "shingle"], "left_anti"), ["c", "node"])
-    alone = side(at.where("apart"), "a").join(side(at, "b"), "c").where(f"{differ} and {enough.format('least(both_a, both_b)')}")
-    common = side(own.where("apart"), "a").join(side(own, "b"), ["c", "shingle"]).where(differ)
-    common = common.groupBy("c", "a", "b", "n_a", "n_b", "both_a", "both_b").agg(F.count("*").alias("also"))
-    common = common.where(enough.format("least(both_a, both_b) + also"))
-    return alone.select(*ends).union(common.select(*ends)).distinct()
+        return df.select("c", "shingle", *[F.col(name).alias(f"{name}_{x}") for name in ("node", "n", "label", "s", "d", "place")])
+
+    met = "(s_a > s_b or s_a = s_b and node_a > node_b) and label_a <> label_b"
+    enough = f"least(place_a, place_b) * {2 * whole} >= s_a + s_b and least(d_a, d_b) * {2 * whole} >= s_a + s_b"
+    near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    found = side(ranked.where("as_far"), "a").join(side(ranked.where("as_near"), "b"), ["c", "shingle"]).where(f"{met} and {enough} and {near}")
+    found = cut(found.groupBy("node_a", "node_b").agg(F.min("c").alias("c")), "candidates")
+    sets = lambda x: at.select("c", *[F.col(name).alias(f"{name}_{x}") for name in ("node", "s", "label", "apart")])
+    tested = found.join(sets("a"), ["c", "node_a"]).join(sets("b"), ["c", "node_b"])
+    linked = tested.where(f"{2 * whole} * size(array_intersect(apart_a, apart_b)) >= s_a + s_b").select("label_a", "label_b")
+    ends = [F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")]
+    return sure.union(linked).where("label_a <> label_b").select(*ends).distinct()
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -271,12 +269,14 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     left = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     if found.groupBy("doc_id", "node").count().where("count > 1 and doc_id is not null").isEmpty():
         return left
-    return left.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).select(*docs.columns)
+    (name,) = unused(docs, "text")
+    return left.withColumn(name, F.xxhash64(text_col)).dropDuplicates([id_col, name]).select(*docs.columns)
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The text of each wanted node: of the row with its id whose set is that node (ids can repeat)."""
-    there = docs.hint("merge").join(wanted, "doc_id").select("node", "check", "text")  # one plan for any size
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``node, text`` of each wanted node: of the row with its id whose set is that node (ids can repeat)."""
+    ids = nodes.join(wanted, "node", "left_semi").select("node", "check", "doc_id")
+    there = docs.hint("merge").join(ids, "doc_id").select("node", "check", "text")  # one plan for any size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in text_slices(batches, most=1 << 20):

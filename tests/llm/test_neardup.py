@@ -4,6 +4,7 @@ import numpy as np
 from corpus import documents, table, words
 
 from evenkeel.llm import neardup
+from evenkeel.llm.common import cut
 from evenkeel.llm.components import components
 
 
@@ -61,6 +62,49 @@ def test_a_family_around_one_text(spark):
     check(spark, rows, 2)
 
 
+def family(members, edits, rng, words=120, variants=0, new=40):
+    base = [f"w{i}" for i in range(words)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, members):
+        w = list(base)
+        for k in rng.sample(range(0, words, 2), edits):
+            w[k] = f"x{rng.randrange(new)}_{k}"
+        if variants:  # what many members have and the base lacks
+            w[1 + 2 * (i % variants)] = f"v{i % variants}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_members_apart_from_the_base_are_linked_with_each_other(spark):
+    """Families in which some members are near one another only: by shared edits, by variants, by what both lack."""
+    for seed, edits in ((1, 7), (2, 9)):
+        rng = random.Random(seed)
+        rows = family(60, edits, rng, variants=3)
+        for i, text in rows[1:40]:  # a changed copy of a changed copy
+            w = text.split()
+            w[rng.randrange(len(w))] = f"y{i}"
+            rows.append((1000 + i, " ".join(w[: len(w) - rng.randrange(12)])))
+        check(spark, rows, 2)
+
+
+def test_work_on_members_apart_grows_with_their_number(spark, monkeypatch):
+    counts = {}
+
+    def counting(df, name):
+        out = cut(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "cut", counting)
+    seen = []
+    for members in (300, 1200):
+        rows = family(members, 9, random.Random(8), words=160, new=10**6)
+        got = neardup.near_duplicates(table(spark, rows), size=2).collect()
+        assert len(got) == members
+        seen.append((counts["differences"], counts["rare"], counts["candidates"]))
+    assert all(late <= 8 * max(early, 200) for early, late in zip(*seen, strict=True)), seen
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (3, None), (4, ""), (5, "  "), (1, "other words here now")]
     got = neardup.near_duplicates(table(spark, rows), size=2).collect()
