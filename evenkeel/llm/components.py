@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut
+from evenkeel.llm.common import cut, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = cut(large, "edges")  # from larger to smaller node
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = cut(small.select("e.*").where("a <> b").distinct(), "edges")
+        last, edges = edges, cut(small.select("e.*").where("a <> b").distinct(), "edges")
+        discard(last, large)
         now = _sum(edges)
         if now == before:
             break

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut, mix, rows_of, signed, text_slices, unused, words
+from evenkeel.llm.common import cut, discard, mix, rows_of, signed, text_slices, unused, words
 from evenkeel.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -185,13 +185,14 @@ def near_duplicates(
     nodes = cut(nodes, "nodes")
     bands = nodes.select("node", "n", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    crowded = cut(bands.join(shared, "band"), "crowded")
+    crowded = crowded_rows = cut(bands.join(shared, "band"), "crowded")
     # copies of one text meet it in more bands than they meet each other
     degrees = crowded.groupBy("node").agg(F.sum("members").alias("degree"))
     crowded = crowded.join(degrees, "node")
     middles = crowded.groupBy("band").agg(F.max(F.struct("degree", "node", "n")).alias("c"))
     middles = middles.select("band", F.col("c.node").alias("c"), F.col("c.n").alias("n_c"))
     seen = cut(crowded.join(middles, "band").where("node <> c").select("c", "n_c", "node", "n").distinct(), "seen")
+    discard(crowded_rows)
 
     labels = None
     if not seen.isEmpty():
@@ -199,8 +200,10 @@ def near_duplicates(
         pairs = seen.join(texts.select(F.col("node").alias("c"), F.col("text").alias("text_a")), "c").join(texts.withColumnRenamed("text", "text_b"), "node")
         pairs = pairs.select("c", "node", "n_c", "n", "text_a", "text_b").mapInArrow(_differences(size, percent), _DIFFERENCES)
         pairs = cut(pairs, "differences")
+        discard(texts, seen)
         labels = cut(components(pairs.where("linked").select(F.col("c").alias("a"), F.col("node").alias("b"))), "labels")
-        more = cut(_links_apart(pairs, labels, percent), "links")
+        more = _links_apart(pairs, labels, percent)
+        discard(pairs)
         if not more.isEmpty():  # links between components
             joined = components(more).withColumnsRenamed({"node": "label", "label": "whole"})
             lone = more.select(F.explode(F.array("a", "b")).alias("node")).join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
@@ -224,7 +227,7 @@ def _links_apart(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     at = pairs.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = at.groupBy("c").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     groups = cut(groups.select("c", "members"), "groups")
-    at = cut(at.join(groups.select("c"), "c", "left_semi").select("c", "node", "n", "label", "apart"), "apart")
+    member = at = cut(at.join(groups.select("c"), "c", "left_semi").select("c", "node", "n", "label", "apart"), "apart")
     often = at.select("c", F.explode("apart").alias("shingle")).groupBy("c", "shingle").agg(F.count("*").alias("k")).join(groups, "c")
     often = cut(often.where("k > 1").withColumn("most", F.expr("2 * k > members")), "often")
     # no more than twice the mean size of D can be in most of them
@@ -232,7 +235,8 @@ def _links_apart(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     at = at.join(usual, "c", "left").withColumn("usual", F.coalesce("usual", F.array().cast("array<long>")))
     at = at.withColumn("apart", F.concat(F.array_except("apart", "usual"), F.array_except("usual", "apart"))).drop("usual")
     whole, gap = 100 + percent, 100 - percent
-    at = cut(at.withColumn("s", F.expr(f"{whole} * size(apart) - {gap} * n")), "recentred")  # S times ``whole``
+    at = recentred = cut(at.withColumn("s", F.expr(f"{whole} * size(apart) - {gap} * n")), "recentred")  # S times ``whole``
+    discard(member)
     least = at.groupBy("c").agg(F.min("s").alias("s_least"), F.min_by("node", F.struct("s", "node")).alias("nearest"), F.min_by("label", F.struct("s", "node")).alias("label_nearest"))
     least = cut(least, "nearest")
     sure = at.join(least, "c").where("s + s_least <= 0").select(F.col("label").alias("label_a"), F.col("label_nearest").alias("label_b"))
@@ -259,7 +263,9 @@ def _links_apart(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     tested = found.join(sets("a"), ["c", "node_a"]).join(sets("b"), ["c", "node_b"])
     linked = tested.where(f"{2 * whole} * size(array_intersect(apart_a, apart_b)) >= s_a + s_b").select("label_a", "label_b")
     ends = [F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")]
-    return sure.union(linked).where("label_a <> label_b").select(*ends).distinct()
+    links = cut(sure.union(linked).where("label_a <> label_b").select(*ends).distinct(), "links")
+    discard(groups, often, recentred, least, ranked, found)
+    return links
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:

@@ -46,11 +46,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut, unused
+from evenkeel.llm.common import cut, discard, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Of a term in over a share 1 / ``HOT`` of the documents there are ``HOT`` times the terms of a document at most: few enough to broadcast.
 HOT = 100
+#: Rows of one term or key each, some 50 bytes, up to which a table is broadcast.
+SENT = 400_000
 #: Shares of an entity's information from which a term is treated, and the probability up to which meeting is no chance.
 GENERALISE, REMOVE, CHANCE = 0.8, 0.95, 0.01
 
@@ -307,6 +309,11 @@ def _once(found: DataFrame) -> DataFrame:
     return found.dropDuplicates(["key"])
 
 
+def _sent(few: DataFrame) -> DataFrame:
+    """A stored table that is broadcast if it has ``SENT`` rows at most; else its join is left to Spark, which shuffles."""
+    return F.broadcast(few) if few.count() <= SENT else few
+
+
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_pair: bool = False) -> DataFrame:
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -324,16 +331,16 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     nothing = found.select("doc_id", "key", "spans").withColumn("terms", none)
     if most is None:
         return nothing
-    counted = cut(words.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "counted_terms")
-    proof = math.log((1 if per_pair else max(1, counted.count())) / CHANCE)
+    terms_counted = cut(words.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "counted_terms")
+    proof = math.log((1 if per_pair else max(1, terms_counted.count())) / CHANCE)
     fewest = fewest_documents(n_docs, proof)
     if fewest is None or fewest > most:
         return nothing
     # what a term discloses of an entity in fewer documents is log(p(t)) / log(p(e)) at most
     reach = lambda n_entity: F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_entity, GENERALISE) * (1 + 1e-9)
-    hot = counted.where((F.col("n_term") > reach(F.lit(most))) & (F.col("n_term") * HOT > n_docs)).select("term")
+    hot = terms_counted.where((F.col("n_term") > reach(F.lit(most))) & (F.col("n_term") * HOT > n_docs)).select("term")
     hot = F.broadcast(hot)
-    counted = counted.where((F.col("n_term") <= reach(F.lit(most))) & (F.col("n_term") >= fewest))
+    counted = terms_counted.where((F.col("n_term") <= reach(F.lit(most))) & (F.col("n_term") >= fewest))
     held = lambda docs: docs.select("key", F.explode("words").alias("term")).join(hot, "term", "left_anti")
     term_class, entity_class = (["n_" + x, x + "_1", x + "_2"] for x in ("term", "entity"))
     beside = cut(own.join(entities.where(F.col("n_entity") >= fewest), "entity").select("key", *entity_class).distinct(), "beside")
@@ -343,8 +350,10 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), proof))
     told = told.where(F.col("disclosed") >= GENERALISE).groupBy(*term_class).agg(F.max("disclosed").alias("disclosed"))
     told = cut(counted.join(told, term_class).select("term", "disclosed"), "told")
-    marked = cut(held(words).join(told, "term"), "marked")
-    terms = cut(_term_places(once.select("key", "clear").join(marked.select("key").distinct(), "key", "left_semi"), marked), "places")
+    marked = cut(words.select("key", F.explode("words").alias("term")).join(_sent(told), "term"), "marked")
+    keys = _sent(cut(marked.select("key").distinct(), "marked_keys"))
+    discard(words, terms_counted, own, entities, beside, told)
+    terms = cut(_term_places(once.select("key", "clear").join(keys, "key", "left_semi"), marked), "places")
     terms = terms.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))
     out = found.select("doc_id", "key", "spans").join(terms, "key", "left")
     return out.withColumn("terms", F.coalesce("terms", none))
