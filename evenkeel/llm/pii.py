@@ -248,13 +248,13 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.when(any_dense, F.flatten(F.transform(found, dense))).otherwise(found))
 
 
-def _term_places(texts: DataFrame, marked: DataFrame) -> DataFrame:
-    """``(key, s, e, disclosed)`` of the terms of the texts (key, clear) that are marked (key, term, disclosed)."""
+def _term_places(texts: DataFrame, told: DataFrame) -> DataFrame:
+    """``(key, s, e, disclosed)`` of the terms of the texts (key, clear) that are told (term, disclosed)."""
     found = cut(texts.select("key", F.regexp_extract_all("clear", F.lit(_TERM), F.lit(0)).alias("v"), F.transform(F.split("clear", _TERM, -1), F.length).alias("g")), "found_terms")
     one = found.select("key", F.posexplode("v").alias("i", "m"))
     whole = F.array(F.struct(F.col("m").alias("m"), F.lit(0).alias("at")))
     one = one.select("key", "i", F.explode(F.when((F.octet_length("m") > F.length("m")) & F.col("m").rlike(f"^[{_DENSE}]"), _pairs(F.col("m"))).otherwise(whole)).alias("x"))
-    one = one.select("key", "i", "x.at", F.length("x.m").alias("n"), _folded(F.col("x.m")).alias("term")).join(marked, ["key", "term"])
+    one = one.select("key", "i", "x.at", F.length("x.m").alias("n"), _folded(F.col("x.m")).alias("term")).join(told, "term")
     hits = one.groupBy("key").agg(F.collect_list(F.struct("i", "at", "n", "disclosed")).alias("hits"))
     steps = found.select("key", "g", F.transform("v", _step(F.col("g"))).alias("steps")).join(hits, "key").withColumn("starts", _block_starts(F.col("steps")))
     before = _before(F.col("steps"), F.col("starts"), F.col("g"))
@@ -302,11 +302,11 @@ def fewest_documents(n_docs: int, proof: float) -> int | None:
     return k
 
 
-def _once(found: DataFrame) -> DataFrame:
-    """A row for each key. Texts move only if there are repeated rows."""
-    if found.groupBy("key").count().where("count > 1").isEmpty():
-        return found
-    return found.dropDuplicates(["key"])
+def _cleared(texts: DataFrame) -> DataFrame:
+    """Add to ``text`` its ``spans`` and ``clear``, the text with blanks in their place."""
+    found = united(base_spans(texts, "text"), F.col("spans"), "covered")
+    found = found.withColumn("blocks", F.when(F.size("spans") > 0, _blocks(F.col("text"))))
+    return found.withColumn("clear", F.when(F.size("spans") > 0, _blanked(F.col("blocks"), F.col("covered"))).otherwise(F.col("text")))
 
 
 def _sent(few: DataFrame) -> DataFrame:
@@ -317,13 +317,13 @@ def _sent(few: DataFrame) -> DataFrame:
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_pair: bool = False) -> DataFrame:
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = united(base_spans(texts, "text"), F.col("spans"), "covered")
-    found = found.withColumn("blocks", F.when(F.size("spans") > 0, _blocks(F.col("text"))))
-    clear = F.when(F.size("spans") > 0, _blanked(F.col("blocks"), F.col("covered"))).otherwise(F.col("text"))
-    found = cut(found.select("doc_id", _key("doc_id", "text").alias("key"), "spans", clear.alias("clear")), "found")
-    # rows with equal id and text are one document
-    once = _once(found.select("key", "spans", "clear"))
-    words = cut(once.select("key", F.size("spans").alias("n"), _terms(F.col("clear")).alias("words")), "words")
+    texts = texts.withColumn("key", _key("doc_id", "text"))
+    # spans are found anew where texts are read: that is less work than to store the texts
+    found = cut(base_spans(texts, "text").select("doc_id", "key", "spans"), "found")
+    # rows with equal id and text are one document; nothing moves if there are none
+    repeated = not found.groupBy("key").count().where("count > 1").isEmpty()
+    once = lambda df: df.dropDuplicates(["key"]) if repeated else df
+    words = cut(once(_cleared(texts).select("key", F.size("spans").alias("n"), _terms(F.col("clear")).alias("words"))), "words")
     own = cut(found.where("size(spans) > 0").select("key", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct(), "entities")
     entities = cut(own.groupBy("entity").agg(*_documents("entity")), "counted_entities")
     n_docs, most = words.count(), entities.agg(F.max("n_entity")).first()[0]
@@ -350,10 +350,11 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), proof))
     told = told.where(F.col("disclosed") >= GENERALISE).groupBy(*term_class).agg(F.max("disclosed").alias("disclosed"))
     told = cut(counted.join(told, term_class).select("term", "disclosed"), "told")
-    marked = cut(words.select("key", F.explode("words").alias("term")).join(_sent(told), "term"), "marked")
-    keys = _sent(cut(marked.select("key").distinct(), "marked_keys"))
-    discard(words, terms_counted, own, entities, beside, told)
-    terms = cut(_term_places(once.select("key", "clear").join(keys, "key", "left_semi"), marked), "places")
+    sent = _sent(told)
+    keys = _sent(cut(words.select("key", F.explode("words").alias("term")).join(sent, "term").select("key").distinct(), "marked"))
+    discard(words, terms_counted, own, entities, beside)
+    marked = once(_cleared(texts.select("key", "text").join(keys, "key", "left_semi")).select("key", "clear"))
+    terms = cut(_term_places(marked, sent), "places")
     terms = terms.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))
     out = found.select("doc_id", "key", "spans").join(terms, "key", "left")
     return out.withColumn("terms", F.coalesce("terms", none))
