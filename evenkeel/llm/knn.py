@@ -1,24 +1,27 @@
 """Exact top-k search by inner product: a Voronoi kNN join.
 
-A few pivots split the vectors into cells. Each cell is summarised by its size
-and radius, a table of ``PIVOTS`` rows at most. A query is first solved in its
-own cell; its k-th score there is a bound that every result must reach. Another
-cell can hold a result only if ``query . pivot + |query| * radius`` reaches that
-bound, and the query is sent to those cells alone. Cells are cut into blocks and
-the queries of a cell into chunks by a hash of the id, so a vector that a third
-of the rows share fills many blocks and not one task; each (block, chunk) pair
-is solved by one matrix product and returns k rows a query at most.
-
-Defined results: vectors that are null, empty, or hold a null, a non-finite
-component or one beyond 2**30 after scaling take no part, nor do rows with a
-null id; a shorter vector counts as filled up with zeros; rows with the query's
-id are not its candidates; of queries with one id one row is asked; repeated
-candidates are results of their own; ties go to the smaller id; an empty table
-gives an empty result; other columns are not read.
+Pivots, about as many as the root of the number of vectors, split these into
+cells. Each cell is summarised by its size and radius, a table of a row for each
+pivot. A query is first solved in its own cell; its k-th score there is a bound
+that every result must reach. Another cell can hold a result only if
+``query . pivot + |query| * radius`` reaches that bound, and the query is sent to
+those cells alone. Cells are cut into blocks and the queries of a cell into chunks
+by a hash of the row, so a vector that a third of the rows share fills many blocks
+and not one task; each (block, chunk) pair is solved by one matrix product and
+returns k rows a query at most.
+
+Defined results: vectors that are null or hold a null or non-finite component
+(also one that is infinite after scaling) take no part, nor do rows with a null
+id; a shorter vector, also an empty one, counts as filled up with zeros. Every
+row is one of its own, whatever its id: each row that is asked for is answered,
+with all other rows as candidates, those of the same id included; ties go to the
+smaller id. Scores are exact; one beyond 64 bits counts as the nearest number of 64
+bits. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,58 +31,66 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.common import cut
 
+#: Pivots at least; from its square on, there are as many as the root of the number of vectors.
 PIVOTS = 64
 #: Rows in a block of a cell, and queries in a chunk, about.
 BLOCK, CHUNK = 4096, 2048
-_LIMIT = float(1 << 30)
+_LEAST = -(1 << 63)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Equal-length int32 vectors, stored as bytes, as a float64 matrix."""
+    """Equal-length vectors, stored as bytes, as a matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
     n = len(column)
     _, offsets, data = column.buffers()
     offs = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
-    return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]].view(np.int32).reshape(n, -1).astype(np.float64)
+    return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]].view(np.float64).reshape(n, -1) if n and offs[-1] > offs[0] else np.zeros((n, 0))
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; doubles hold them exactly unless components are very large."""
-    if len(a) and len(b) and a.shape[1] * np.abs(a).max() * np.abs(b).max() >= 2.0**53:
-        return a.astype(np.int64) @ b.astype(np.int64).T
-    return (a @ b.T).astype(np.int64)
-
-
-def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: float = 64, also: list[str] | None = None) -> DataFrame:
-    """``(id, ints)``: floor(scale * x) of each component, without the vectors that take no part."""
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > F.lit(_LIMIT))
-    ints = F.transform(F.col(vector_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    usable = F.col(id_col).isNotNull() & (F.size(vector_col) > 0) & ~F.exists(
-        F.col(vector_col), lambda x: bad(x.cast("double") * F.lit(float(scale)))
-    )
-    return vectors.where(F.coalesce(usable, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), F.transform(ints, lambda x: x.cast("int")).alias("ints"), *(also or []))
+    """Exact inner products of whole numbers, held by doubles where these are exact, as 64-bit integers."""
+    if not a.size or not b.size or a.shape[1] * float(np.abs(a).max()) * float(np.abs(b).max()) < 2.0**53:
+        return (a @ b.T).astype(np.int64)
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = np.abs(a) @ np.abs(b).T
+        small = [np.where(np.abs(x) < 2.0**62, x, 0).astype(np.int64) for x in (a, b)]
+        out = small[0] @ small[1].T
+    for i, k in zip(*np.nonzero(~(size < 2.0**62)), strict=True):
+        exact = sum(int(x) * int(y) for x, y in zip(a[i], b[k], strict=True))
+        out[i, k] = min(max(exact, _LEAST), -_LEAST - 1)
+    return out
+
+
+def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: float, asked: Column) -> DataFrame:
+    """``(id, ints, asked)``: floor(scale * x) of each component, without the vectors that take no part."""
+    scaled = F.transform(F.col(vector_col), lambda x: F.lit(float(scale)) * x.cast("double"))
+    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), scaled.alias("x"), F.coalesce(asked, F.lit(False)).alias("asked"))
+    good = ~F.exists("x", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    # doubles from 2**53 on are whole
+    whole = F.transform("x", lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x))
+    return rows.where(good).select("id", whole.alias("ints"), "asked")
 
 
 def _assign(pivots: np.ndarray, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = (pivots**2).sum(axis=1) / 2
+        with np.errstate(over="ignore"):
+            half = (pivots**2).sum(axis=1) / 2
         for rows in batches:
             column = rows.column("ints")
             n = np.diff(column.offsets.to_numpy())
-            m = np.zeros((len(n), width), np.int32)
-            m[np.arange(width) < n[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
-            x = m.astype(np.float64)
-            cell = np.argmax(x @ pivots.T - half, axis=1)
-            far = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
-            size = 4 * width
-            packed = pa.Array.from_buffers(
-                pa.binary(), len(n), [None, pa.py_buffer(np.arange(0, (len(n) + 1) * size, size, dtype=np.int32)), pa.py_buffer(m)]
-            )
+            x = np.zeros((len(n), width))
+            x[np.arange(width) < n[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+            with np.errstate(over="ignore", invalid="ignore"):
+                cell = np.argmax(x @ pivots.T - half, axis=1)
+                far = np.nan_to_num(np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1)), nan=np.inf, posinf=np.inf)
+            size = 8 * width
+            ends = pa.py_buffer(np.arange(len(n) + 1, dtype=np.int32) * np.int32(size))
+            packed = pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(x)])
             yield pa.RecordBatch.from_arrays(
-                [rows.column("id"), pa.array(cell.astype(np.int32)), pa.array(far), rows.column("asked"), packed],
-                names=["id", "cell", "far", "asked", "vec"],
+                [rows.column("row"), rows.column("id"), pa.array(cell.astype(np.int32)), pa.array(far), rows.column("asked"), packed],
+                names=["row", "id", "cell", "far", "asked", "vec"],
             )
 
     return run
@@ -88,23 +99,23 @@ def _assign(pivots: np.ndarray, width: int):
 def _solve(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """Scores of the queries in ``left`` against the rows in ``right``: k for each at most."""
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
-            asked, least = left.column("id").to_numpy(), left.column("least").to_numpy()
-            ids = right.column("id").to_numpy()
+            asked, own, least = (left.column(c).to_numpy() for c in ("id", "row", "least"))
+            ids, row = right.column("id").to_numpy(), right.column("row").to_numpy()
             order = np.argsort(ids, kind="stable")
-            ids, rows = ids[order], _matrix(right.column("vec"))[order]
+            ids, row, rows = ids[order], row[order], _matrix(right.column("vec"))[order]
             scores = _products(_matrix(left.column("vec")), rows)
             for i, q in enumerate(asked):
                 s = scores[i]
-                at = np.flatnonzero((s >= least[i]) & (ids != q))
+                at = np.flatnonzero((s >= least[i]) & (row != own[i]))
                 if len(at) > k:
                     part = s[at]
                     at = at[part >= np.partition(part, len(part) - k)[len(part) - k]]
-                    at = at[np.argsort(-s[at], kind="stable")[:k]]
-                found.append((np.full(len(at), q), ids[at], s[at]))
-        q, c, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64()), "score": pa.array(s, pa.int64())})
+                    at = at[np.lexsort((ids[at], ~s[at]))[:k]]
+                found.append((np.full(len(at), own[i]), np.full(len(at), q), ids[at], s[at]))
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4
+        return pa.table({name: pa.array(x, pa.int64()) for name, x in zip(("row", "query_id", "vec_id", "score"), columns, strict=True)})
 
     return run
 
@@ -115,12 +126,15 @@ def _cells(pivots: np.ndarray, radius: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             x = _matrix(rows.column("vec"))
-            most = x @ pivots.T + np.sqrt((x**2).sum(axis=1))[:, None] * radius
-            most += 1e-6 * np.abs(most) + 1e-3  # for rounding
+            with np.errstate(over="ignore", invalid="ignore"):
+                most = x @ pivots.T + np.sqrt((x**2).sum(axis=1))[:, None] * np.maximum(radius, 0)
+                most += 1e-6 * np.abs(most) + 1e-3  # for rounding
+            most[np.isnan(most)] = np.inf
+            most = np.maximum(most, _LEAST)
             reach = (most >= rows.column("least").to_numpy()[:, None]) & (radius >= 0)
             reach[np.arange(len(x)), rows.column("cell").to_numpy()] = False
             row, cell = np.nonzero(reach)
-            out = rows.select(["id", "vec", "least"]).take(pa.array(row))
+            out = rows.select(["row", "id", "vec", "least"]).take(pa.array(row))
             yield out.append_column("cell", pa.array(cell.astype(np.int32)))
 
     return run
@@ -130,41 +144,44 @@ def exact_top_k(
     vectors: DataFrame, asked: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 64
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k best rows for every row that ``asked`` marks."""
-    result = "query_id long, vec_id long, score long"
-    ints = integer_vectors(vectors.withColumn("__asked", F.coalesce(asked, F.lit(False))), id_col, vector_col, scale, ["__asked"])
-    pivot_rows = ints.select("id", "ints").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).select("ints").collect()
-    width = ints.agg(F.max(F.size("ints"))).first()[0]
-    if not pivot_rows:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    result = "row long, query_id long, vec_id long, score long"
+    spark = vectors.sparkSession
+    ints = integer_vectors(vectors, id_col, vector_col, scale, asked)
+    n, width = ints.agg(F.count("*"), F.max(F.size("ints"))).first()
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    # as many vectors as the root of all
+    pivot_rows = ints.select("id", "ints").orderBy(F.xxhash64("id"), "id").limit(max(PIVOTS, math.isqrt(n))).select("ints").collect()
     pivots = np.zeros((len(pivot_rows), width))
     for i, row in enumerate(pivot_rows):
         pivots[i, : len(row[0])] = row[0]
     pivots = np.unique(pivots, axis=0)
-    cells = ints.withColumnRenamed("__asked", "asked").mapInArrow(_assign(pivots, width), "id long, cell int, far double, asked boolean, vec binary")
+    cells = ints.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_assign(pivots, width), "row long, id long, cell int, far double, asked boolean, vec binary")
     cells = cut(cells, "cells")
-    radius, blocks, chunks = np.full(len(pivots), -1.0), np.ones(len(pivots), int), np.ones(len(pivots), int)
-    for row in cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.count_if("asked").alias("q")).collect():
-        radius[row["cell"]], blocks[row["cell"]], chunks[row["cell"]] = row["far"], -(-row["n"] // BLOCK), max(1, -(-row["q"] // CHUNK))
-    of = lambda counts: F.element_at(F.array(*[F.lit(int(x)) for x in counts]), F.col("cell") + 1)
-    deal = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
-
-    def solved(queries: DataFrame, chunk_count: Column) -> DataFrame:
-        """Every query against all blocks of the cells that it is sent to."""
+    pieces = lambda n, size: F.greatest(F.lit(1), F.ceil(F.col(n) / size)).cast("int")
+    stats = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.count_if("asked").alias("q"))
+    stats = cut(stats.select("cell", "far", pieces("n", BLOCK).alias("blocks"), pieces("q", CHUNK).alias("chunks")), "cell_sizes")
+    radius = np.full(len(pivots), -1.0)
+    for cell in stats.collect():  # a row for each pivot at most
+        radius[cell["cell"]] = cell["far"]
+    deal = lambda salt, n: F.pmod(F.xxhash64("row", F.lit(salt)), n).cast("int")
+
+    def solved(queries: DataFrame, chunks: DataFrame) -> DataFrame:
+        """Every query against all blocks of the cells that it is sent to; ``chunks``: of a cell's queries."""
+        sizes = F.broadcast(stats.select("cell", "blocks").join(F.broadcast(chunks), "cell"))
+        data = cells.join(sizes, "cell").select(*[F.col(c).alias(c) for c in ("row", "id", "vec", "cell")], deal("block", F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        sent = queries.join(sizes, "cell").select("row", "id", "vec", "least", "cell", deal("chunk", F.col("chunks")).alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         key = ["cell", "block", "chunk"]
-        data = cells.select("id", "vec", "cell", deal("block", of(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), chunk_count - 1)).alias("chunk"))
-        sent = queries.select("id", "vec", "least", "cell", deal("chunk", chunk_count).alias("chunk"), F.explode(F.sequence(F.lit(0), of(blocks) - 1)).alias("block"))
         return sent.groupBy(key).cogroup(data.groupBy(key)).applyInArrow(_solve(k), result)
 
-    queries = cells.where("asked").dropDuplicates(["id"]).select("id", "vec", "cell")
-    lowest = F.lit(-(1 << 63)).cast("long")
-    own = cut(solved(queries.withColumn("least", lowest), of(chunks)), "own")
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    bound = own.withColumn("rank", F.row_number().over(place)).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-    bounded = queries.join(bound, "id", "left").withColumn("least", F.coalesce("least", lowest))
-    elsewhere = cut(bounded.mapInArrow(_cells(pivots, radius), "id long, vec binary, least long, cell int"), "elsewhere")
-    sent_to = np.ones(len(pivots), int)
-    for row in elsewhere.groupBy("cell").count().collect():
-        sent_to[row["cell"]] = -(-row["count"] // CHUNK)
-    found = own.union(solved(elsewhere, of(sent_to)))
+    queries = cells.where("asked").select("row", "id", "vec", "cell")
+    lowest = F.lit(_LEAST).cast("long")
+    own = cut(solved(queries.withColumn("least", lowest), stats.select("cell", "chunks")), "own")
+    place = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    bound = own.withColumn("rank", F.row_number().over(place)).where(F.col("rank") == k).select("row", F.col("score").alias("least"))
+    bounded = queries.join(bound, "row", "left").withColumn("least", F.coalesce("least", lowest))
+    elsewhere = cut(bounded.mapInArrow(_cells(pivots, radius), "row long, id long, vec binary, least long, cell int"), "elsewhere")
+    sent_to = cut(elsewhere.groupBy("cell").agg(F.count("*").alias("q")).select("cell", pieces("q", CHUNK).alias("chunks")), "sent_to")
+    found = own.union(solved(elsewhere, sent_to))
     ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

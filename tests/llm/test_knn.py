@@ -8,12 +8,14 @@ from evenkeel.llm import knn
 
 
 def brute(rows, k):
-    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) and abs(64 * x) <= 2**30 for x in v)]
+    """By the contract: whole numbers without bound, every row its own query and candidate."""
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(64 * x) for x in v)]
     out = []
-    for q in sorted({i for i, _ in good if i % 20 == 0}):
-        v = next(v for i, v in good if i == q)
-        best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:k]
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    for at, (q, v) in enumerate(good):
+        if q % 20 == 0:
+            score = lambda w: min(max(sum(a * b for a, b in zip(v, w)), -(2**63)), 2**63 - 1)  # noqa: E731, B023
+            best = sorted((-score(w), i) for other, (i, w) in enumerate(good) if other != at)[:k]
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     return out
 
 
@@ -24,12 +26,19 @@ def test_results_are_those_of_all_pairs(spark, monkeypatch, block):
     rng = random.Random(6)
     rows = [(i, [rng.gauss(i % 5, 1) for _ in range(6)]) for i in range(300)]
     rows += [(1000 + i, [1.0] * 6) for i in range(80)]  # one vector many times: ties go to the smaller id
-    rows += [(2000, None), (2020, []), (2040, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2060, [float("nan")] * 6), (2080, [float("inf")] * 6), (None, [1.0] * 6), (2100, [2.0]), (2120, [1e30] * 6)]
+    rows += [(2000, None), (2020, []), (2040, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2060, [float("nan")] * 6), (2080, [float("inf")] * 6), (None, [1.0] * 6), (2100, [2.0]), (2120, [3e8, -3e8, 1e8, 5.0, 0.1, 0.0]), (20, [9.0] * 6), (20, [9.0] * 6), (21, [2e9, 1.0]), (2140, [2.0**26, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"id": F.lit("x"), "cell": F.lit(1), "score": F.lit(0)})
     got = knn.exact_top_k(df, F.col("vec_id") % 20 == 0, k=20).collect()
     assert sorted(tuple(r) for r in got) == sorted(brute(rows, 20))
 
 
+def test_products_beyond_doubles_and_64_bits(spark):
+    rows = [(0, [1e15, 1e-2]), (1, [1e15, 1.0]), (2, [1e30, 3.0]), (3, [-1e30, 3.0]), (20, [1e30, 1e30]), (4, [1e30, -1e30, 7.0]), (40, [0.0, 1.0, 1.0]), (5, [1e307, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = knn.exact_top_k(df, F.col("vec_id") % 20 == 0, k=20).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows, 20))
+
+
 def test_few_rows_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in knn.exact_top_k(df, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 64 * 64 * 11)]
