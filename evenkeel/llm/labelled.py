@@ -12,17 +12,18 @@ def in_fold(id_col: str, folds: int, fold: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, most: int, id_col: str, text_col: str) -> DataFrame:
-    """``(text, label)`` of at most ``most`` labelled ids, the same ones at each run.
+    """``(__id, text, label)`` of at most ``most`` labelled ids, one row for each, the same ones at each run.
 
     The ids are those of smallest hash, so the sample is spread over the table;
-    only these ids are broadcast. Of several labels for an id, one is used.
+    only these ids are broadcast. Of several labels for an id the least is used, of
+    several texts the one of smallest hash.
     """
     ids = (
         labels.where(usable & F.col(id_col).isNotNull() & F.col(label).isin(0, 1))
-        .select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("__id"), "__id", "label")
+        .groupBy(F.col(id_col).alias("__id"))
+        .agg(F.min(F.col(label).cast("int")).alias("label"))
+        .orderBy(F.xxhash64("__id"), "__id")
         .limit(most)
-        .dropDuplicates(["__id"])
     )
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), "__id").select("__id", "text", "label")
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "__id")
+    return texts.groupBy("__id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("label").alias("label"))

@@ -1,17 +1,19 @@
 """A toxicity classifier: a linear model over character n-grams, scaled by naive Bayes log-count ratios.
 
-Features are the presence of lower-cased n-grams of ``ORDERS`` bytes, hashed to
-``BINS``. On a bounded sample of labelled rows (``most_rows``), tasks count in
-how many documents of either class each bin is present; the ``KEPT`` bins that
-tell the classes apart best are kept, each with the ratio of its smoothed log
-frequencies in the two classes, and a ridge logistic regression is fitted on the
-presence of these bins times their ratios. Scoring reads each whole text once
-and moves nothing between tasks.
+Features are the presence of lower-cased n-grams of ``ORDERS`` characters, hashed
+to ``BINS``. On a bounded sample of labelled rows (``most`` of ``labelled_sample``),
+tasks count in how many documents of either class each bin is present; that gives
+every bin the ratio of its smoothed log frequencies in the two classes. A ridge
+logistic regression is fitted by Spark on the presence of all bins times their
+ratios, from sums over partitions; the driver holds vectors of ``BINS`` numbers
+only. Scoring reads each whole text once and moves nothing between tasks.
 
 Defined results: a null or empty text has no n-grams and gets the model's base
-score; repeated rows are scored alike; without labels of both classes every
-score is the share of label 1 (0 if there are none); an empty table gives an
-empty result; extra columns are not read.
+score; a very long text is read in one piece by one task; repeated rows are
+scored alike; without labels of both classes every score is the share of label 1
+(0 if there are none); bytes that are no UTF-8 count as unknown characters; an
+empty table gives an empty result; extra columns are not read by ``toxicity``
+and kept by ``without_toxic``.
 """
 
 from __future__ import annotations
@@ -21,56 +23,65 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from evenkeel.llm.common import LOWER, NOT_SPACE, cut, text_slices
+from evenkeel.llm.common import cut, discard, text_slices
 
 ORDERS = (4, 5, 6)
 BITS = 20
 BINS = 1 << BITS
-#: Bins kept for the linear model, and documents a kept bin is in at least.
-KEPT, LEAST = 1024, 5
 
-_PLAIN = np.where(NOT_SPACE, LOWER, 32).astype(np.uint8)
 _U = np.uint64
-
-
-def gram_bins(buf: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each order, the bin of the n-gram at each byte."""
-    wide = _PLAIN[buf].astype(np.uint64)
-    code = np.zeros(len(wide), np.uint64)
+#: Lower case of the characters of the basic plane; all white space is a blank.
+_PLAIN = np.array([32 if chr(c).isspace() else ord(low) if len(low := chr(c).lower()) == 1 else c for c in range(1 << 16)], np.uint64)
+
+
+def characters(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lower-cased characters of a slice as numbers, and each row's first."""
+    raw = buf.tobytes()
+    try:
+        codes = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+        at = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))[offs]
+    except UnicodeDecodeError:
+        rows = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)]
+        codes = np.frombuffer("".join(rows).encode("utf-32-le"), np.uint32)
+        at = np.cumsum([0, *map(len, rows)])
+    return np.where(codes < len(_PLAIN), _PLAIN[np.minimum(codes, len(_PLAIN) - 1)], codes), at
+
+
+def present(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, bin) pairs of the n-grams in a slice, in order."""
+    codes, at = characters(buf, offs)
+    kind = np.uint32 if len(offs) <= 1 << (32 - BITS) else _U
+    row = np.repeat(np.arange(len(at) - 1, dtype=kind), np.diff(at))
+    found, h = [], np.zeros(len(codes), _U)
     for n in range(1, max(ORDERS) + 1):
-        if len(wide) < n:
-            return
-        code = code[: len(wide) - n + 1] | (wide[n - 1 :] << _U(8 * (n - 1)))
-        if n in ORDERS:
-            with np.errstate(over="ignore"):
-                yield n, ((code + _U(n)) * _U(0x9E3779B97F4A7C15) >> _U(64 - BITS)).astype(np.int64)
-
-
-def present(buf: np.ndarray, offs: np.ndarray, place: np.ndarray | None = None, width: int = BINS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, feature) pairs; ``place`` numbers the kept bins and has -1 for all others."""
-    pairs = []
-    for n, bins in gram_bins(buf):
-        feature = bins if place is None else place[bins]
-        at = np.arange(len(bins)) if place is None else np.flatnonzero(feature >= 0)
-        row = np.searchsorted(offs, at, "right") - 1
-        inside = at + n <= offs[row + 1]
-        pairs.append(row[inside] * width + feature[at[inside]])
-    found = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-    return found // width, found % width
+        if len(codes) < n:
+            break
+        with np.errstate(over="ignore"):
+            h = h[: len(codes) - n + 1] * _U(0x100000001B3) + codes[n - 1 :] + _U(1)
+            if n in ORDERS:
+                inside = row[: len(h)] == row[n - 1 :]
+                bins = ((h + _U(n)) * _U(0x9E3779B97F4A7C15) >> _U(64 - BITS)).astype(kind)
+                found.append(((row[: len(h)] << kind(BITS)) | bins)[inside])
+    pairs = np.sort(np.concatenate(found)) if found else np.zeros(0, kind)
+    if len(pairs):
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+    return (pairs >> kind(BITS)).astype(np.int64), (pairs & kind(BINS - 1)).astype(np.int64)
 
 
 @dataclass
 class Model:
-    place: np.ndarray  # the number of each kept bin, -1 for all others
     weights: np.ndarray
     base: float
 
     def score(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        row, feature = present(buf, offs, self.place, max(1, len(self.weights)))
-        z = self.base + np.bincount(row, self.weights[feature], len(offs) - 1) if len(row) else np.full(len(offs) - 1, self.base)
+        row, bins = present(buf, offs)
+        z = self.base + np.bincount(row, self.weights[bins], len(offs) - 1)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -85,57 +96,47 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (there, counts[0, there], counts[1, there])], names=["bin", "n0", "n1"])
 
 
-def _presence(place: np.ndarray, width: int):
+#: How Spark stores a sparse vector, so that a table of vectors is written from Arrow.
+_SPARSE = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+
+
+def _vectors(ratio):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in text_slices(batches, most=1 << 19):
-            row, feature = present(buf, offs, place, width)
-            first = np.searchsorted(row, np.arange(len(offs))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(first), pa.array(feature.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([rows.column("label"), lists], names=["label", "features"])
+            row, bins = present(buf, offs)
+            first = pa.array(np.searchsorted(row, np.arange(len(offs))).astype(np.int32))
+            n = rows.num_rows
+            lists = [pa.ListArray.from_arrays(first, pa.array(x)) for x in (bins.astype(np.int32), ratio.value[bins].astype(np.float64))]
+            vector = pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, BINS, np.int32)), *lists], names=["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([rows.column("label").cast(pa.float64()), vector], names=["label", "features"])
 
     return run
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a ridge logistic regression, by Newton steps."""
-    x = np.hstack((x, np.ones((len(x), 1))))
-    w = np.zeros(x.shape[1])
-    keep = np.full(len(w), ridge)
-    keep[-1] = 1e-6
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x
-        step = np.linalg.solve(hessian + np.diag(keep), x.T @ (p - y) + keep * w)
-        w -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w[:-1], float(w[-1])
-
-
-def fit(sample: DataFrame, *, parts: int = 8, ridge: float = 1.0) -> Model:
+def fit(sample: DataFrame, *, parts: int = 4, ridge: float = 1.0, rounds: int = 50) -> Model:
     """Fit the model to ``(text, label)`` rows, whose number the caller bounds."""
-    sample = cut(sample.repartition(parts, "__id"), "labelled")
+    spark = sample.sparkSession
+    sample = cut(sample.repartition(parts, "__id").select("text", "label"), "labelled")
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     ones, zeros = size.get(1, 0), size.get(0, 0)
     if not ones or not zeros:
         share = min(max(ones / max(1, ones + zeros), 1e-9), 1 - 1e-9)
-        return Model(np.full(BINS, -1), np.zeros(1), float(np.log(share / (1 - share))))
-    counts = sample.select("text", "label").mapInArrow(_class_counts, "bin long, n0 long, n1 long")
-    counts = counts.groupBy("bin").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(f"n0 + n1 >= {LEAST}")
-    gap = F.col("n1") / ones - F.col("n0") / zeros
-    share = (F.col("n0") + F.col("n1")) / (ones + zeros)
-    told = gap * gap / (share * (1.001 - share))
-    best = counts.orderBy(told.desc(), "bin").limit(KEPT).collect()
-    place = np.full(BINS, -1)
-    place[[r["bin"] for r in best]] = np.arange(len(best))
-    p, q = np.array([[r["n1"], r["n0"]] for r in best], float).T + 1
-    ratio = np.log(p / (ones + 2)) - np.log(q / (zeros + 2))
-    rows = sample.select("text", "label").mapInArrow(_presence(place, len(best)), "label int, features array<int>").collect()
-    x = np.zeros((len(rows), len(best)), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["features"]] = 1
-    weights, base = logistic(x * ratio.astype(np.float32), np.array([r["label"] for r in rows], float), ridge)
-    return Model(place, weights * ratio, base)
+        return Model(np.zeros(BINS, np.float32), float(np.log(share / (1 - share))))
+    counts = sample.mapInArrow(_class_counts, "bin long, n0 long, n1 long")
+    counts = counts.groupBy("bin").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # at most BINS rows
+    found = counts.select("bin", (F.log((F.col("n1") + 1) / (ones + 2)) - F.log((F.col("n0") + 1) / (zeros + 2))).cast("float").alias("ratio")).toArrow()
+    ratio = np.zeros(BINS, np.float32)
+    ratio[found.column("bin").to_numpy()] = found.column("ratio").to_numpy()
+    del found
+    sent = spark.sparkContext.broadcast(ratio)
+    stored = cut(sample.mapInArrow(_vectors(sent), f"label double, features {_SPARSE}"), "vectors")
+    vectors = spark.read.schema(StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])).parquet(stored.stored_at)
+    fitted = LogisticRegression(regParam=ridge / (ones + zeros), maxIter=rounds, tol=1e-5, standardization=False).fit(vectors)
+    model = Model(fitted.coefficients.toArray().astype(np.float32) * ratio, float(fitted.intercept))
+    sent.destroy()
+    discard(sample, stored)
+    return model
 
 
 def toxicity(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,7 +144,7 @@ def toxicity(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text
     sent = docs.sparkSession.sparkContext.broadcast(fit(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches, most=1 << 20):
+        for rows, buf, offs in text_slices(batches, most=1 << 17):
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sent.value.score(buf, offs))], names=["doc_id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -155,7 +156,7 @@ def without_toxic(docs: DataFrame, sample: DataFrame, *, text_col: str = "text",
     sent = docs.sparkSession.sparkContext.broadcast(fit(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches, text_col, 1 << 20):
+        for rows, buf, offs in text_slices(batches, text_col, 1 << 17):
             yield rows.filter(pa.array(sent.value.score(buf, offs) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
