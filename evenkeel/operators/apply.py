@@ -9,14 +9,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canonical import key_hash, row_hash
-from evenkeel.operators.delta import resolve_ops, survivors
+from evenkeel.operators.delta import adopt, key_violations, resolve_ops, survivors
 from evenkeel.operators.evidence import compare_evidence, database_evidence, table_evidence
+from evenkeel.operators.history import database_rollup
 from evenkeel.operators.validate import set_difference
-from evenkeel.operators.violations import ContractError, require_none, violation
-from evenkeel.plans.table_plan import DatabasePlan, TablePlan
-from evenkeel.sources.snapshots import publish, stage
+from evenkeel.operators.violations import ContractError, empty, require_none, violation
+from evenkeel.plans.table_plan import DatabasePlan, TablePlan, parent_first
+from evenkeel.sources.snapshots import current_state, current_versions, publish, read_current, stage
 
 JOURNAL = "database string, plan_id string, plan_sha256 string, operations_sha256 string, evidence_sha256 string, committed_at timestamp"
+FENCES = "database string, schema_plan_sha256 string, target_schema_sha256 string, target_generation bigint, target_observation_sha256 string"
+SEQUENCES = "database string, table string, column string, next_value bigint"
+
+
+@dataclass(frozen=True)
+class Checkpoint:
+    """What a plan for a database is known by, and the state of the target that it was made against."""
+
+    database: str
+    plan_id: str
+    plan_sha256: str
+    operations_sha256: str
+    schema_plan_sha256: str
+    target_schema_sha256: str
+    target_generation: int
+    target_observation_sha256: str
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([self.__dict__], f"{FENCES}, plan_id string, plan_sha256 string, operations_sha256 string")
 
 
 def apply_delta(source: DataFrame, target: DataFrame, ops: DataFrame, plan: TablePlan) -> DataFrame:
@@ -117,20 +137,116 @@ def copy_database(spark: SparkSession, source: Mapping[str, DataFrame], db: Data
     return done
 
 
+def require_keys(source: DataFrame, target: DataFrame, plan: TablePlan) -> None:
+    """No null and no repeated key on either side."""
+    require_none(key_violations(source, plan, "source").unionByName(key_violations(target, plan, "target")))
+
+
 def apply_and_publish(source: DataFrame, target: DataFrame, ops: DataFrame, plan: TablePlan, root: str) -> str:
     """Resolve, apply, write a version, compare it with the source, publish; raises and publishes nothing on any drift."""
+    spark = source.sparkSession
+    base = current_versions(spark, root).get(plan.name)
+    require_keys(source, target, plan)
     good, bad = resolve_ops(ops, source, target, plan)
     require_none(bad)
-    spark = source.sparkSession
     folder = stage(apply_delta(source, target, good, plan), root, plan.name)
     written = spark.read.parquet(f"{root}/{folder}")
     require_none(compare_evidence(table_evidence(source, plan), table_evidence(written, plan)))
-    publish(spark, root, {plan.name: folder})
+    publish(spark, root, {plan.name: folder}, {plan.name: base})
     return folder
 
 
+def write_fence(spark: SparkSession, root: str, checkpoint: Checkpoint) -> None:
+    """Store the state of a database's target; of several the last stays."""
+    old, base = read_current(spark, root, "_fence", FENCES), current_versions(spark, root).get("_fence")
+    new = checkpoint.frame(spark).select(*old.columns)
+    publish(spark, root, {"_fence": stage(upsert_rows(old, new, ["database"]).coalesce(1), root, "_fence")}, {"_fence": base})
+
+
+def evidence_hash(tables: DataFrame) -> str:
+    """One hash of the evidence of a database's tables."""
+    return tables.withColumn("__all", F.lit(1)).transform(lambda df: database_rollup(df, ["__all"])).first()["content_sha256"]
+
+
+def aligned_sequences(database: str, tables: Mapping[str, tuple[DataFrame, TablePlan]]) -> DataFrame:
+    """``database, table, column, next_value`` of all planned identity columns: above every value in use."""
+    out = None
+    for name in sorted(tables):
+        df, plan = tables[name]
+        for i in plan.identities:
+            after = F.coalesce(F.max(f"`{i.column}`") + i.increment, F.lit(i.start)) if i.increment > 0 else F.coalesce(F.min(f"`{i.column}`") + i.increment, F.lit(i.start))
+            one = df.agg(after.cast("bigint").alias("next_value")).select(F.lit(database).alias("database"), F.lit(name).alias("table"), F.lit(i.column).alias("column"), "next_value")
+            out = one if out is None else out.unionByName(one)
+    return empty(next(iter(tables.values()))[0].sparkSession, SEQUENCES) if out is None else out
+
+
+def apply_database(spark: SparkSession, root: str, db: DatabasePlan, sources: Mapping[str, DataFrame], ops: Mapping[str, DataFrame], checkpoint: Checkpoint) -> str:
+    """Apply the plan of a whole database once: ``applied``, or ``replayed`` if it was applied before.
+
+    In this order: a plan of the journal is not applied again, and the target
+    must still be what was committed; the stored fence must be that of the plan;
+    keys must be filled and unique; operations must still hold; the new tables
+    must equal their sources. Only then new tables, sequences, fence and journal
+    row become visible, by one pointer, and only if nobody published any of them
+    meanwhile. A failed run leaves nothing visible and can be run again.
+    """
+    _, state = current_state(spark, root)
+    versions, own = state["versions"], checkpoint.frame(spark)
+    stored = lambda name, schema: spark.read.schema(schema).parquet(f"{root}/{versions[name]}") if name in versions else empty(spark, schema)
+    at = lambda name: spark.read.parquet(f"{root}/{versions[name]}")
+    journal, fences = stored("_journal", JOURNAL), stored("_fence", FENCES)
+    known = replay_state(journal, own.select("database", "plan_id", "plan_sha256", "operations_sha256")).first()["state"]
+    if known == "conflict":
+        raise ContractError({"canonical_delta_plan_conflict": 1})
+    if known == "replay":
+        said = journal.where((F.col("plan_sha256") == checkpoint.plan_sha256) & (F.col("database") == checkpoint.database)).first()["evidence_sha256"]
+        if evidence_hash(database_evidence({n: (at(n), p) for n, p in db.tables.items()})) != said:
+            raise ContractError({"canonical_delta_replay_target_drift": 1})
+        return "replayed"
+    require_none(fence_violations(fences, own))
+    staged = {}
+    for name in parent_first(db.tables):
+        plan, target = db.tables[name], at(name)
+        require_keys(sources[name], target, plan)
+        good, bad = resolve_ops(ops[name], sources[name], target, plan)
+        require_none(bad)
+        staged[name] = stage(apply_delta(sources[name], target, good, plan), root, name)
+    written = {n: (spark.read.parquet(f"{root}/{staged[n]}"), p) for n, p in db.tables.items()}
+    found = database_evidence(written)
+    require_none(compare_evidence(database_evidence({n: (sources[n], p) for n, p in db.tables.items()}), found))
+    said = evidence_hash(found)
+    row = own.select("database", "plan_id", "plan_sha256", "operations_sha256", F.lit(said).alias("evidence_sha256"), F.current_timestamp().alias("committed_at"))
+    fence = own.select("database", "schema_plan_sha256", "target_schema_sha256", (F.col("target_generation") + 1).alias("target_generation"), F.lit(said).alias("target_observation_sha256"))
+    sequences = upsert_rows(stored("_sequences", SEQUENCES), aligned_sequences(checkpoint.database, written), ["database", "table", "column"])
+    for name, df in (("_journal", journal.unionByName(row)), ("_fence", upsert_rows(fences, fence, ["database"])), ("_sequences", sequences)):
+        staged[name] = stage(df.coalesce(1), root, name)  # a row for each plan, database, identity column
+    publish(spark, root, staged, {n: versions.get(n) for n in staged})
+    return "applied"
+
+
+def adopt_and_publish(spark: SparkSession, source: DataFrame, plan: TablePlan, root: str, id_col: str, key_col: str) -> tuple[int, int]:
+    """Insert what the table lacks of ``source``, prove the result equal to it, set the next identity; (inserted, replayed)."""
+    _, state = current_state(spark, root)
+    versions = state["versions"]
+    existing = spark.read.parquet(f"{root}/{versions[plan.name]}")
+    require_keys(source, existing, plan)
+    new, replayed, conflicts = adopt(source, existing, id_col, key_col)
+    require_none(conflicts)
+    staged = {plan.name: stage(existing.unionByName(new.select(*existing.columns)), root, plan.name)}
+    written = spark.read.parquet(f"{root}/{staged[plan.name]}")
+    require_none(compare_evidence(table_evidence(source, plan), table_evidence(written, plan)))
+    old = read_current(spark, root, "_sequences", SEQUENCES)
+    sequences = upsert_rows(old, aligned_sequences("", {plan.name: (written, plan)}), ["database", "table", "column"])
+    staged["_sequences"] = stage(sequences.coalesce(1), root, "_sequences")
+    publish(spark, root, staged, {n: versions.get(n) for n in staged})
+    return written.count() - existing.count(), replayed.count()
+
+
 def archive_rows(df: DataFrame, predicate: str, keys: list[str], folder: str) -> tuple[DataFrame, DataFrame]:
-    """Write the rows that meet ``predicate`` to ``folder``, prove the archive equal to them, and return (archive, survivors)."""
+    """Write the rows that meet ``predicate`` to ``folder``, prove the archive equal to them, and return (archive, survivors).
+
+    ``df`` is read more than once: it must be a table version or a capture, which do not change.
+    """
     chosen = df.where(predicate)
     chosen.write.mode("errorifexists").parquet(folder)
     archive = df.sparkSession.read.parquet(folder)

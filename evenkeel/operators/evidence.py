@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canonical import row_hash
+from evenkeel.operators.validate import fk_orphans
 from evenkeel.operators.violations import VIOLATION, empty
 from evenkeel.plans.table_plan import TablePlan, order_columns
 
@@ -56,10 +57,11 @@ def multiset_digest(limbs: list[Column]) -> Column:
     return F.sha2(F.unhex(F.concat(*[F.lpad(F.hex(w), 8, "0") for w in reversed(words)])), 256)
 
 
-def table_evidence(df: DataFrame, plan: TablePlan, digest: str = "none") -> DataFrame:
-    """One row: table, row_count, aggregate_sha256, null_counts, relationship_counts, content_sha256.
+def table_evidence(df: DataFrame, plan: TablePlan, digest: str = "none", parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row: table, row_count, aggregate_sha256, null_counts, relationship_counts, content_sha256, orphan_counts.
 
     ``digest``: ``exact`` or ``chunked`` adds the ordered digest; ``none`` leaves it null.
+    ``parents``: tables by name; foreign keys into them get their number of rows without a parent.
     """
     hashed = df.select(*[f"`{c}`" for c in plan.names], row_hash(plan.columns).alias("__row"))
     nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"__null_{i}") for i, c in enumerate(plan.names)]
@@ -77,9 +79,14 @@ def table_evidence(df: DataFrame, plan: TablePlan, digest: str = "none") -> Data
         counts(plan.names, "__null_").alias("null_counts"),
         counts([fk.name for fk in plan.foreign_keys], "__fk_").alias("relationship_counts"),
     )
-    if digest == "none":
-        return one.withColumn("content_sha256", F.lit(None).cast("string"))
-    return one.crossJoin(F.broadcast(ordered_digest(df, plan, digest)))  # one row and one row
+    one = one.withColumn("content_sha256", F.lit(None).cast("string")) if digest == "none" else one.crossJoin(F.broadcast(ordered_digest(df, plan, digest)))  # one row and one row
+    one = one.withColumn("orphan_counts", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>")))
+    for fk in plan.foreign_keys:
+        if fk.parent in (parents or {}):
+            n = fk_orphans(df, parents[fk.parent], fk).agg(F.count("*").alias("__n"))
+            one = one.crossJoin(F.broadcast(n))  # one row and one row
+            one = one.withColumn("orphan_counts", F.map_concat("orphan_counts", F.create_map(F.lit(fk.name), F.col("__n")))).drop("__n")
+    return one
 
 
 def _filled(columns: tuple[str, ...]) -> Column:
@@ -126,10 +133,10 @@ def ranked_by(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def database_evidence(tables: Mapping[str, tuple[DataFrame, TablePlan]], digest: str = "none") -> DataFrame:
-    """The evidence rows of all tables."""
-    out = None
+    """The evidence rows of all tables, with the orphans of the foreign keys between them."""
+    out, parents = None, {name: df for name, (df, _) in tables.items()}
     for name in sorted(tables):
-        one = table_evidence(*tables[name], digest)
+        one = table_evidence(*tables[name], digest, parents)
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -252,7 +259,7 @@ def compare_evidence(expected: DataFrame, observed: DataFrame) -> DataFrame:
         for check, c in plain
     ]
     maps = [("null-count", "null_counts"), ("relationship", "relationship_counts")]
-    if "orphan_counts" in expected.columns:
+    if "orphan_counts" in expected.columns and "orphan_counts" in observed.columns:
         maps.append(("orphan", "orphan_counts"))
     entries = [
         F.transform(

@@ -64,10 +64,15 @@ def plan_count_violations(declared: DataFrame, ops: DataFrame) -> DataFrame:
     """``run, table, code``: declared counts and hashes (inserts, updates, deletes, operations_sha256) against the operations."""
     keys = ["run", "table"]
     line = F.concat_ws("|", "key_sha256", "kind", F.coalesce("source_row_sha256", F.lit("-")), F.coalesce("target_row_sha256", F.lit("-")))
-    runs = ops.withColumn("part", F.substring("key_sha256", 1, 2)).groupBy(*keys, "part").agg(
+    # key hashes are spread evenly: a run holds a millionth of a table's operations
+    runs = ops.withColumn("run_of", F.substring("key_sha256", 1, 5)).groupBy(*keys, "run_of").agg(
         F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("d"),
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}s") for k in ("insert", "update", "delete")],
     )
+    runs = runs.groupBy(*keys, F.substring("run_of", 1, 2).alias("part")).agg(
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run_of", "d"))), lambda x: x["d"]), "\n"), 256).alias("d"),
+        *[F.sum(f"n_{k}s").alias(f"n_{k}s") for k in ("insert", "update", "delete")],
+    )
     again = runs.groupBy(*keys).agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "d"))), lambda x: x["d"]), "\n"), 256).alias("again"),
         *[F.sum(f"n_{k}s").alias(f"n_{k}s") for k in ("insert", "update", "delete")],

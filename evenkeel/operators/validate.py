@@ -136,12 +136,12 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionAll(right.exceptAll(left).withColumn("side", F.lit("right")))
 
 
-def key_order_violations(df: DataFrame, ordinal: str, keys: list[str], run: list[str] | None = None) -> DataFrame:
+def key_order_violations(df: DataFrame, ordinal: str, keys: list[str], run: list[str]) -> DataFrame:
     """Rows of inputs with an ordinal whose key does not rise: equal keys are duplicates, lower ones out of order.
 
-    ``run`` names the columns that tell inputs apart; each is checked by itself.
+    ``run`` names the columns that tell inputs (files, logs, their parts) apart; each is checked by itself, by one task.
     """
-    w = Window.partitionBy(*(run or [F.lit(0)])).orderBy(ordinal)
+    w = Window.partitionBy(*run).orderBy(ordinal)
     key = F.struct(*keys)
     before = F.lag(key).over(w)
     code = F.when(before == key, "delta_duplicate_key").when(before > key, "delta_key_order_invalid")

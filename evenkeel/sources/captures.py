@@ -8,8 +8,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.operators.evidence import joined_hash, table_evidence
-from evenkeel.operators.violations import ContractError
+from evenkeel.operators.evidence import compare_evidence, database_evidence, joined_hash, table_evidence
+from evenkeel.operators.validate import set_difference
+from evenkeel.operators.violations import VIOLATION, ContractError, require_none, violation
 from evenkeel.plans.table_plan import TablePlan
 
 MANIFEST = "database string, table string, capture_id string, rows bigint, aggregate_sha256 string, captured_at timestamp"
@@ -40,6 +41,15 @@ def replay_capture(spark: SparkSession, folder: str, plan: TablePlan) -> DataFra
     return rows
 
 
+def snapshot_violations(source: DataFrame, manifest: DataFrame, plan: TablePlan) -> DataFrame:
+    """Where an independent look at the source differs from a capture's manifest in rows or content."""
+    now = table_evidence(source, plan).select("table", F.col("row_count").alias("now_rows"), F.col("aggregate_sha256").alias("now_sha"))
+    both = manifest.where(F.col("table") == plan.name).join(now, "table", "full_outer")
+    code = F.when(F.col("capture_id").isNull(), "capture_missing").when(F.col("rows") != F.col("now_rows"), "capture_source_count_mismatch").when(F.col("aggregate_sha256") != F.col("now_sha"), "capture_source_content_mismatch")
+    both = both.withColumn("code", code).where("code is not null")
+    return both.select("table", F.lit("capture").alias("check"), "code", F.col("rows").cast("string").alias("expected"), F.col("now_rows").cast("string").alias("observed"), F.lit(None).cast("string").alias("field"))
+
+
 def scan_artifacts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """``file_name, byte_length, observed_sha256`` of every file below ``path``; one read of each."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
@@ -68,8 +78,44 @@ def undelivered(planned: DataFrame, delivered: DataFrame, name: str = "database"
 
 
 def verify_export(spark: SparkSession, folder: str, plans: dict[str, TablePlan], recorded: DataFrame) -> DataFrame:
-    """Compare an export, read again, with recorded evidence."""
-    from evenkeel.operators.evidence import compare_evidence, database_evidence
-
+    """Compare an export, read again, with its manifest's files, its plans' columns, and recorded evidence."""
+    bad = []
+    for name, plan in sorted(plans.items()):
+        if sorted(spark.read.parquet(f"{folder}/{name}").columns) != sorted(plan.names):
+            bad.append((name, "schema", "export_schema_mismatch", None, None, None))
+    if bad:
+        return spark.createDataFrame(bad, VIOLATION)
+    said = spark.read.parquet(f"{folder}/_manifest").select("table", "file_name", "byte_length", "observed_sha256")
+    files = None
+    for name in sorted(plans):
+        one = scan_artifacts(spark, f"{folder}/{name}", "part-*").withColumn("table", F.lit(name))
+        files = one if files is None else files.unionByName(one)
+    changed = set_difference(said, files).groupBy("table").agg(F.count("*").alias("n")).select(*violation(F.col("table"), "files", "export_file_mismatch", F.lit(0), F.col("n")))
     now = database_evidence({n: (spark.read.parquet(f"{folder}/{n}"), p) for n, p in plans.items()})
-    return compare_evidence(recorded, now)
+    return compare_evidence(recorded, now).unionByName(changed)
+
+
+def deliver(spark: SparkSession, databases: dict[str, dict[str, tuple[DataFrame, TablePlan]]], folder: str) -> dict[str, str]:
+    """Export the databases that are not yet delivered, and re-verify those that are: ``delivered`` or ``verified`` by name.
+
+    A database counts as delivered when its ``_delivered`` evidence is there,
+    which is written last, so a run that failed is taken up where it ended; the
+    whole export is final when every database is.
+    """
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = lambda path: fs.Path(path)
+    done = {}
+    for name, tables in sorted(databases.items()):
+        own, receipt = f"{folder}/{name}", f"{folder}/_delivered/{name}"
+        system = at(own).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if system.exists(at(f"{receipt}/_SUCCESS")):
+            bad = verify_export(spark, own, {n: p for n, (_, p) in tables.items()}, spark.read.parquet(receipt))
+            require_none(bad)
+            done[name] = "verified"
+            continue
+        system.delete(at(own), True)  # what a failed run left
+        system.delete(at(receipt), True)
+        export_tables(tables, own)
+        database_evidence({n: (spark.read.parquet(f"{own}/{n}"), p) for n, (_, p) in tables.items()}).write.parquet(receipt)
+        done[name] = "delivered"
+    return done

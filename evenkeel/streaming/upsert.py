@@ -2,29 +2,24 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from evenkeel.operators.apply import upsert_rows
-from evenkeel.sources.snapshots import current_versions, read_text, stage, write_text
+from evenkeel.sources.snapshots import current_state, publish, stage
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, root: str, table: str, keys: list[str], order: str) -> bool:
     """Apply one batch; false if it was applied before.
 
-    Version and batch number are published in one step, so a batch that is
+    Version and batch number stand in one pointer file, so a batch that is
     delivered again after a crash finds its number and changes nothing.
     """
     spark = batch.sparkSession
-    state = json.loads(read_text(spark, f"{root}/_batches.json") or "{}")
-    versions = current_versions(spark, root)
-    if state.get(table, {}).get("batch", -1) >= batch_id:
-        # the pointer may lag if the last run ended between the two files
-        if versions.get(table) != state[table]["folder"]:
-            write_text(spark, f"{root}/_current.json", json.dumps(versions | {table: state[table]["folder"]}, sort_keys=True))
+    _, state = current_state(spark, root)
+    versions = state["versions"]
+    if state["batches"].get(table, -1) >= batch_id:
         return False
     changes = batch.where(F.col("op") != "delete").drop("op")
     if table in versions:
@@ -37,8 +32,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, root: str, table: str, keys: l
         latest = batch.groupBy(*keys).agg(F.max_by("op", order).alias("op")).where("op <> 'delete'")
         new = upsert_rows(changes.limit(0), changes.join(latest.select(*keys), keys, "left_semi"), keys, order)
     folder = stage(new, root, table)
-    write_text(spark, f"{root}/_batches.json", json.dumps(state | {table: {"batch": batch_id, "folder": folder}}, sort_keys=True))
-    write_text(spark, f"{root}/_current.json", json.dumps(current_versions(spark, root) | {table: folder}, sort_keys=True))
+    publish(spark, root, {table: folder}, {table: versions.get(table)}, {table: batch_id})
     return True
 
 

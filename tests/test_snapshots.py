@@ -1,9 +1,12 @@
+import threading
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.operators import apply, delta, evidence
 from evenkeel.operators.violations import ContractError
-from evenkeel.plans.table_plan import Column, DatabasePlan, TablePlan
+from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, Identity, TablePlan
 from evenkeel.sources import captures, snapshots
 from evenkeel.streaming.upsert import upsert_batch, upsert_stream
 
@@ -74,3 +77,107 @@ def test_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         upsert_stream(changes, root, "t", ["id"], "at", f"{tmp_path}/cp").awaitTermination(60)
     assert spark.read.parquet(f"{root}/{snapshots.current_versions(spark, root)['t']}").count() == 2
+
+
+def test_pointers_survive_a_crash_and_other_publishers(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    publish = lambda name, **more: snapshots.publish(spark, root, {name: f"{name}/v"}, **more)
+    assert publish("a") == 1 and publish("b") == 2
+    with monkeypatch.context() as m:  # the file is written, and the run ends before it gets its number
+        m.setattr(snapshots.json, "dumps", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            publish("c")
+    (tmp_path / "_pointers" / "00000000000000000003.json.x.tmp").write_text("{")
+    assert set(snapshots.current_versions(spark, root)) == {"a", "b"}
+    assert not snapshots._write_new(spark, f"{root}/_pointers/{2:020d}.json", "{}"), "a number is given once"
+    names = [f"t{i}" for i in range(8)]
+    threads = [threading.Thread(target=lambda part=part: [publish(n) for n in part]) for part in (names[:4], names[4:])]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    number, state = snapshots.current_state(spark, root)
+    assert number == 10 and set(state["versions"]) == {"a", "b", *names}
+    with pytest.raises(ContractError, match="snapshot_version_conflict"):
+        publish("a", based_on={"a": "a/older"})
+
+
+PARENT = TablePlan("p", (Column("id", "bigint", False), Column("v", "text")), ("id",), identities=(Identity("id"),))
+CHILD = TablePlan("c", (Column("id", "bigint", False), Column("p_id", "bigint")), ("id",), foreign_keys=(ForeignKey("c_p", ("p_id",), "p", ("id",)),))
+DB = DatabasePlan("d", {"c": CHILD, "p": PARENT})
+
+
+def sides(spark, n, text):
+    return {"p": table(spark, n, text), "c": spark.range(n).select("id", (F.col("id") % 3).alias("p_id"))}
+
+
+def test_a_plan_is_applied_once(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    apply.copy_database(spark, sides(spark, 5, "old"), DB, root)
+    now = snapshots.read_database(spark, root, DB)
+    source = sides(spark, 7, "new")
+    ops = {n: delta.plan_delta(source[n], now[n], p) for n, p in DB.tables.items()}
+    ops = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in ops.items()}
+    check = apply.Checkpoint("d", "plan-1", "1" * 64, "2" * 64, "3" * 64, "4" * 64, 1, "5" * 64)
+    run = lambda c=check, s=source, o=ops: apply.apply_database(spark, root, DB, s, o, c)
+    with pytest.raises(ContractError, match="canonical_delta_fence_stale"):
+        run()  # no fence yet
+    apply.write_fence(spark, root, replace(check, target_generation=9))
+    with pytest.raises(ContractError, match="canonical_delta_fence_stale"):
+        run()
+    apply.write_fence(spark, root, check)
+    with pytest.raises(ContractError, match="delta_duplicate_key"):
+        run(s=source | {"p": source["p"].union(source["p"].limit(1))})
+    before = snapshots.current_state(spark, root)
+    with pytest.raises(ContractError):
+        run(s=sides(spark, 8, "new"))  # the source moved on
+    assert snapshots.current_state(spark, root) == before, "a failed run leaves nothing visible"
+    assert run() == "applied"
+    now = snapshots.read_database(spark, root, DB)
+    assert all(delta.plan_delta(source[n], now[n], p).isEmpty() for n, p in DB.tables.items())
+    journal = snapshots.read_current(spark, root, "_journal", apply.JOURNAL).collect()
+    assert [(r["plan_id"], r["operations_sha256"]) for r in journal] == [("plan-1", "2" * 64)]
+    assert snapshots.read_current(spark, root, "_fence", apply.FENCES).first()["target_generation"] == 2
+    assert [tuple(r) for r in snapshots.read_current(spark, root, "_sequences", apply.SEQUENCES).collect()] == [("d", "p", "id", 7)]
+    after = snapshots.current_state(spark, root)
+    assert run() == "replayed" and snapshots.current_state(spark, root) == after, "a second run changes nothing"
+    for other in (replace(check, operations_sha256="6" * 64), replace(check, plan_id="plan-2"), replace(check, plan_sha256="7" * 64)):
+        with pytest.raises(ContractError, match="canonical_delta_plan_conflict"):
+            run(other)
+    snapshots.publish(spark, root, {"p": snapshots.stage(table(spark, 7, "drift"), root, "p")})
+    with pytest.raises(ContractError, match="canonical_delta_replay_target_drift"):
+        run()
+
+
+def test_orphans_are_evidence(spark):
+    tables = {"c": (spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id long, p_id long"), CHILD), "p": (table(spark, 3), PARENT)}
+    found = {r["table"]: r["orphan_counts"] for r in evidence.database_evidence(tables).collect()}
+    assert found == {"c": {"c_p": 1}, "p": {}}
+    good = evidence.database_evidence(tables | {"c": (spark.createDataFrame([(1, 1), (2, 2), (3, None)], "id long, p_id long"), CHILD)})
+    assert "orphan-mismatch" in {r["code"] for r in evidence.compare_evidence(good, evidence.database_evidence(tables)).collect()}
+
+
+def test_adoption_inserts_and_sets_the_next_identity(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    snapshots.publish(spark, root, {"p": snapshots.stage(table(spark, 3), root, "p")})
+    assert apply.adopt_and_publish(spark, table(spark, 5), PARENT, root, "id", "v") == (2, 3)
+    assert apply.adopt_and_publish(spark, table(spark, 5), PARENT, root, "id", "v") == (0, 5)
+    assert snapshots.read_current(spark, root, "_sequences", apply.SEQUENCES).first()["next_value"] == 5
+    with pytest.raises(ContractError, match="event_row_absent"):
+        apply.adopt_and_publish(spark, table(spark, 4), PARENT, root, "id", "v")
+
+
+def test_deliveries_go_on_where_they_ended(spark, tmp_path):
+    folder = f"file://{tmp_path}/out"
+    databases = {"one": {"p": (table(spark, 3), PARENT)}, "two": {"p": (table(spark, 4), PARENT)}}
+    assert captures.deliver(spark, {"one": databases["one"]}, folder) == {"one": "delivered"}
+    (tmp_path / "out" / "two" / "p").mkdir(parents=True)  # of a run that failed
+    assert captures.deliver(spark, databases, folder) == {"one": "verified", "two": "delivered"}
+    table(spark, 2).write.mode("overwrite").parquet(f"{folder}/one/p")
+    with pytest.raises(ContractError, match="export_file_mismatch"):
+        captures.deliver(spark, databases, folder)
+
+
+def test_a_capture_is_held_against_the_source(spark, tmp_path):
+    manifest = captures.capture_table(table(spark, 5), PLAN, f"file://{tmp_path}/c", "d")
+    codes = lambda df: [r["code"] for r in captures.snapshot_violations(df, manifest, PLAN).collect()]
+    assert codes(table(spark, 5)) == [] and codes(table(spark, 6)) == ["capture_source_count_mismatch"]
+    assert codes(table(spark, 5, "y")) == ["capture_source_content_mismatch"]
