@@ -60,8 +60,8 @@ def receipt_violations(receipts: DataFrame, fences: DataFrame, journal: DataFram
     return both.withColumn("code", code).where("code is not null").select("database", "code")
 
 
-def plan_count_violations(declared: DataFrame, ops: DataFrame) -> DataFrame:
-    """``run, table, code``: declared counts and hashes (inserts, updates, deletes, operations_sha256) against the operations."""
+def counted_operations(ops: DataFrame) -> DataFrame:
+    """``run, table, again, n_inserts, n_updates, n_deletes``: the hash and the numbers of each table's operations."""
     keys = ["run", "table"]
     line = F.concat_ws("|", "key_sha256", "kind", F.coalesce("source_row_sha256", F.lit("-")), F.coalesce("target_row_sha256", F.lit("-")))
     # key hashes are spread evenly: a run holds a millionth of a table's operations
@@ -73,10 +73,16 @@ def plan_count_violations(declared: DataFrame, ops: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run_of", "d"))), lambda x: x["d"]), "\n"), 256).alias("d"),
         *[F.sum(f"n_{k}s").alias(f"n_{k}s") for k in ("insert", "update", "delete")],
     )
-    again = runs.groupBy(*keys).agg(
+    return runs.groupBy(*keys).agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "d"))), lambda x: x["d"]), "\n"), 256).alias("again"),
         *[F.sum(f"n_{k}s").alias(f"n_{k}s") for k in ("insert", "update", "delete")],
     )
+
+
+def plan_count_violations(declared: DataFrame, ops: DataFrame) -> DataFrame:
+    """``run, table, code``: declared counts and hashes (inserts, updates, deletes, operations_sha256) against the operations."""
+    keys = ["run", "table"]
+    again = counted_operations(ops)
     n_declared = declared.groupBy(*keys).agg(F.count("*").alias("times"))
     both = declared.join(again, keys, "full_outer").join(n_declared, keys, "left")
     differ = F.lit(False)

@@ -96,13 +96,17 @@ def component_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count(catalog.component_drift(catalog.component_hashes(expected, none), catalog.component_hashes(moved, none)), "component", "state")
 
 
-@_query("SELECT CASE WHEN k % 4 = 0 THEN 'sha_same' ELSE 'sha_same' END AS state, 1::BIGINT AS n FROM (SELECT 1 AS k)")
+_WHOLE = """SELECT tb, sha256(string_agg(fact, chr(10) ORDER BY fact)) AS d FROM (SELECT 't' || o_custkey AS tb, 'column|c' || o_orderkey || '|' || CASE WHEN o_orderstatus = 'O' THEN 'text' ELSE 'bigint' END
+    || '|' || CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END || '|' || o_orderpriority || '|-|false|-' AS fact FROM orders) GROUP BY 1"""
+
+
+@_query(f"SELECT sha256(string_agg(tb || '|' || d, chr(10) ORDER BY tb || '|' || d)) AS schema_sha256, 2::BIGINT AS orders FROM ({_WHOLE})")
 def schema_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical order does not count: two orders of the same columns have one fingerprint."""
     expected, none = _catalog(spark, sf_dir), _no_constraints(spark)
     one = catalog.schema_fingerprint(catalog.component_hashes(expected, none))
     two = catalog.schema_fingerprint(catalog.component_hashes(expected.withColumn("ordinal", -F.col("ordinal")), none))
-    return one.unionAll(two).distinct().agg(F.when(F.count("*") == 1, "sha_same").otherwise("differ").alias("state"), F.count("*").alias("n"))
+    return one.unionAll(two).groupBy("schema_sha256").agg(F.count("*").alias("orders"))
 
 
 @_query("SELECT 't' || o_custkey AS \"table\", o_orderstatus AS name, string_agg('c' || o_orderkey, ',' ORDER BY o_orderkey) AS columns FROM orders GROUP BY 1, 2")

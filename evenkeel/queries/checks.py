@@ -350,17 +350,6 @@ def metadata_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count(history.metadata_state(d, fences, journal, plans), "state")
 
 
-@_query("SELECT code, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 6 = 0 THEN 'plan_count_mismatch' END AS code FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)) WHERE code IS NOT NULL GROUP BY 1")
-def plan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ops = table(spark, sf_dir, "orders").select(
-        F.lit("r").alias("run"), F.col("o_custkey").alias("table"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("key_sha256"),
-        F.lit("insert").alias("kind"), F.sha2("o_orderpriority", 256).alias("source_row_sha256"), F.lit(None).cast("string").alias("target_row_sha256"),
-    )
-    n = F.count("*") + F.max((F.col("table") % 6 == 0).cast("int"))
-    declared = ops.groupBy("run", "table").agg(n.alias("inserts")).withColumns({"updates": F.lit(0), "deletes": F.lit(0), "operations_sha256": F.lit(None).cast("string")})
-    return _count(history.plan_count_violations(declared, ops), "code")
-
-
 @_query("SELECT o_orderstatus AS run, sha256(string_agg(o_orderkey || ':' || o_orderpriority, '|' ORDER BY o_orderkey || ':' || o_orderpriority)) AS operations_sha256 FROM orders GROUP BY 1")
 def database_operations_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("run"), F.col("o_orderkey").cast("string").alias("table"), F.col("o_orderpriority").alias("operations_sha256"))
@@ -417,9 +406,3 @@ def compare_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["compare_sequences"] = "SELECT CAST(c_nationkey AS VARCHAR) AS \"table\", 'sequence-mismatch' AS code FROM customer WHERE c_nationkey % 5 = 0 GROUP BY 1"
-
-
-@_query(f"SELECT 1 AS tables, (SELECT count(*) FROM orders)::BIGINT AS rows")
-def database_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = evidence.database_evidence({"orders": (table(spark, sf_dir, "orders"), ORDERS)})
-    return history.database_rollup(one.withColumn("g", F.lit(1)), ["g"]).where("length(content_sha256) = 64").select(F.col("tables").cast("int").alias("tables"), "rows")

@@ -249,14 +249,6 @@ def adoption_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("code").agg(F.count("*").alias("n"))
 
 
-@_query("SELECT kept.n AS survivors, gone.n AS archived FROM (SELECT count(*) AS n FROM events WHERE event_type <> 'error') kept, (SELECT count(*) AS n FROM events WHERE event_type = 'error') gone")
-def archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    chosen = evidence.stored(events.where("event_type = 'error'"), "archive")
-    left = delta.survivors(events, chosen, ["event_id"])
-    return left.agg(F.count("*").alias("survivors")).crossJoin(F.broadcast(chosen.agg(F.count("*").alias("archived"))))
-
-
 @_query("SELECT o_orderstatus AS database, CASE WHEN o_orderkey % 7 = 0 THEN 'conflict' WHEN o_orderkey % 5 = 0 THEN 'new' ELSE 'replay' END AS state, count(*) AS n FROM orders GROUP BY 1, 2")
 def replay_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
