@@ -66,6 +66,14 @@ _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 # scripts that have no blanks between words
 _DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 _TERM = rf"[{_DENSE}]++|[\p{{L}}\p{{M}}\p{{N}}_&&[^{_DENSE}]]++"
+#: The same where no such script is, and where all is ASCII, which are much faster to look for.
+_SPACED_TERM, _ASCII_TERM = r"[\p{L}\p{M}\p{N}_]++", r"\w++"
+
+
+def _by_script(text: Column, of) -> Column:
+    """``of`` the pattern of terms that the text needs."""
+    dense = text.rlike(f"[{_DENSE}]")
+    return F.when(F.octet_length(text) == F.length(text), of(_ASCII_TERM)).when(dense, of(_TERM)).otherwise(of(_SPACED_TERM))
 
 
 def _digits(value: Column) -> Column:
@@ -242,7 +250,7 @@ def _folded(text: Column) -> Column:
 
 def _terms(text: Column) -> Column:
     """The different terms of a text."""
-    found = F.regexp_extract_all(_folded(text), F.lit(_TERM), F.lit(0))
+    found = _by_script(text, lambda pattern: F.regexp_extract_all(_folded(text), F.lit(pattern), F.lit(0)))
     dense = lambda m: F.when(m.rlike(f"^[{_DENSE}]"), F.transform(_pairs(m), lambda x: x["m"])).otherwise(F.array(m))
     any_dense = (F.octet_length(text) > F.length(text)) & text.rlike(f"[{_DENSE}]")
     return F.array_distinct(F.when(any_dense, F.flatten(F.transform(found, dense))).otherwise(found))
@@ -250,7 +258,8 @@ def _terms(text: Column) -> Column:
 
 def _term_places(texts: DataFrame, told: DataFrame) -> DataFrame:
     """``(key, s, e, disclosed)`` of the terms of the texts (key, clear) that are told (term, disclosed)."""
-    found = cut(texts.select("key", F.regexp_extract_all("clear", F.lit(_TERM), F.lit(0)).alias("v"), F.transform(F.split("clear", _TERM, -1), F.length).alias("g")), "found_terms")
+    found = cut(texts.select("key", _by_script(F.col("clear"), lambda pattern: F.regexp_extract_all("clear", F.lit(pattern), F.lit(0))).alias("v"),
+        F.transform(_by_script(F.col("clear"), lambda pattern: F.split("clear", pattern, -1)), F.length).alias("g")), "found_terms")
     one = found.select("key", F.posexplode("v").alias("i", "m"))
     whole = F.array(F.struct(F.col("m").alias("m"), F.lit(0).alias("at")))
     one = one.select("key", "i", F.explode(F.when((F.octet_length("m") > F.length("m")) & F.col("m").rlike(f"^[{_DENSE}]"), _pairs(F.col("m"))).otherwise(whole)).alias("x"))
