@@ -8,23 +8,25 @@ the task of the anchor; equal contexts are counted before they move. There the
 contexts of an anchor are aligned, the columns in which they differ are kept,
 and the rows of kept columns are suffix-sorted (see ``suffixes``): neighbours in
 order show how far each context agrees with another from each column on, so
-which of its windows stand elsewhere too. Contexts of an anchor with very many
-different ones are first cut into pieces of few windows, which are grouped by
-the bytes that all windows of the piece share.
+which of its windows stand elsewhere too. Of contexts that stand more than once
+all windows are repeated; two different contexts are compared directly. Where an
+anchor has more than ``MANY`` different contexts, their single windows are grouped
+by distance to the anchor and hash instead, in Spark.
 
-What a task holds is bounded by the contexts of an anchor or piece; documents
-are moved whole twice, to take out contexts and to take out what is repeated.
+What a task holds is bounded by ``MANY`` contexts of an anchor; documents are
+moved whole twice, to take out contexts and to take out what is repeated.
 
 Defined results: a null text is empty; texts shorter than ``length`` stay as
 they are; rows with equal id and text are occurrences of their own, so all of
 it is repeated if it is long enough; rows with a null id are no exception; an
-empty table gives an empty result; extra columns are not read. Anchors and
-documents are told apart by 64-bit hashes; windows are compared in full.
+empty table gives an empty result; a very long text is read whole by one task;
+extra columns are not read. Anchors, documents, equal contexts, and windows of
+anchors with very many contexts are told apart by 64-bit hashes; other windows are
+compared in full.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,8 @@ from evenkeel.llm.common import cut, inverse_powers, prefix_hashes, rows_of, sig
 from evenkeel.llm.suffixes import common_prefixes, suffix_array
 
 ANCHOR = 48
-#: Different contexts of an anchor from which they are cut into pieces, and windows in a piece.
-MANY, PIECE = 2048, 16
+#: Different contexts of an anchor that one task compares, at most.
+MANY = 2048
 #: Symbols in one suffix sort, about.
 SORTED = 1 << 17
 
@@ -115,31 +117,24 @@ def _contexts(length: int):
     return run
 
 
-def _pieces(length: int):
-    """Contexts as pieces of few windows, under a new anchor: what all windows of the piece share."""
+def _windows(length: int):
+    """The single windows of contexts: their distance to the anchor, place in the context, and hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            out: dict[str, list] = {k: [] for k in ("anchor", "same", "before", "windows", "context", "n", "whole", "whole_before", "shift")}
-            for r in rows.to_pylist():
-                for at in range(r["before"] // PIECE, -1, -1):
-                    # window starts are dealt by their distance to the anchor, which equal windows share
-                    a, b = max(0, r["before"] - PIECE * (at + 1) + 1), min(r["windows"], r["before"] - PIECE * at + 1)
-                    if a >= b:
-                        continue
-                    far = r["before"] - PIECE * at  # the last start of the piece, in this context's counting
-                    core = r["context"][max(far, 0) : far - PIECE + 1 + length]
-                    name = hashlib.blake2b(core + b"%d:%d" % (r["anchor"], at), digest_size=8).digest()
-                    for k, x in zip(out, (int.from_bytes(name, "little", signed=True), r["same"], far - a, b - a, r["context"][a : b + length - 1], r["n"], r["anchor"], r["before"], a), strict=True):
-                        out[k].append(x)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(_PIECE))
+        for rows, buf, offs in text_slices(batches, "context"):
+            count = rows.column("windows").to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(count)), count)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            start = offs[row] + at
+            h = span_hashes(prefix_hashes(buf), start, start + length)
+            same = rows.select(["anchor", "same", "before", "n"]).take(pa.array(row))
+            far = rows.column("before").to_numpy()[row] - at
+            columns = [*same.columns, pa.array(at.astype(np.int32)), pa.array(far.astype(np.int32)), pa.array(signed(h))]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "same", "before", "n", "at", "far", "h"])
 
     return run
 
 
-_PIECE = [("anchor", pa.int64()), ("same", pa.int64()), ("before", pa.int32()), ("windows", pa.int32()), ("context", pa.binary()), ("n", pa.int64()), ("whole", pa.int64()), ("whole_before", pa.int32()), ("shift", pa.int32())]
-
-
 class Group:
     """The different contexts of one anchor, aligned: a row each, with what lies outside marked by a symbol of its own."""
 
@@ -200,9 +195,9 @@ def agreements(groups: list[Group]) -> list[np.ndarray]:
 _FLAGGED = "anchor long, same long, before int, windows int, runs array<struct<a:int,b:int>>"
 
 
-def _flag(length: int, also: list[str]):
+def _flag(length: int):
     """Streams contexts in the order of their anchors; an anchor's are taken together."""
-    fields = ["anchor", "same", "before", "windows", *also]
+    fields = ["anchor", "same", "before", "windows"]
 
     def solve(rows: pa.RecordBatch) -> pa.RecordBatch:
         """The flagged windows of whole anchors."""
@@ -305,13 +300,14 @@ def without_repeats(docs: DataFrame, *, length: int = 200, id_col: str = "doc_id
     different = cut(contexts.groupBy(*whole).agg(F.first("context").alias("context"), F.count("*").alias("n")), "different")
     many = cut(different.groupBy("anchor").count().where(F.col("count") > MANY).select("anchor"), "many")
     few = different.join(many, "anchor", "left_anti")
-    flagged = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_flag(length, []), _FLAGGED)
+    flagged = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_flag(length), _FLAGGED)
     if not many.isEmpty():
-        names = ", ".join(f"{name} {'binary' if pa.types.is_binary(t) else 'long' if t == pa.int64() else 'int'}" for name, t in _PIECE)
-        pieces = different.join(many, "anchor", "left_semi").mapInArrow(_pieces(length), names)
-        parts = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_flag(length, ["whole", "whole_before", "shift"]), _FLAGGED.replace("runs", "whole long, whole_before int, shift int, runs"))
-        moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("shift")).alias("a"), (r["b"] + F.col("shift")).alias("b")))
-        flagged = flagged.unionByName(parts.select(F.col("whole").alias("anchor"), "same", F.col("whole_before").alias("before"), F.lit(None).cast("int").alias("windows"), moved.alias("runs")))
+        schema = "anchor long, same long, before int, n long, at int, far int, h long"
+        single = cut(different.join(many, "anchor", "left_semi").select(*whole, "context", "n").mapInArrow(_windows(length), schema), "windows")
+        again = single.groupBy("anchor", "far", "h").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "far", "h")
+        found = single.join(again, ["anchor", "far", "h"], "left_semi").groupBy("anchor", "same", "before")
+        runs = F.collect_list(F.struct(F.col("at").alias("a"), (F.col("at") + 1).alias("b"))).alias("runs")
+        flagged = flagged.unionByName(found.agg(runs).withColumn("windows", F.lit(None).cast("int")))
     flagged = flagged.drop("windows")
     found = contexts.select("anchor", "same", "before", "key", "start").join(flagged, ["anchor", "same", "before"])
     found = found.select("key", F.explode("runs").alias("r"), "start")
