@@ -8,8 +8,8 @@ collection's count of every test term, the second intersects, for every window
 of a test item, the position lists of its words, shifted by their offsets,
 from the rarest word on. Windows that lack a word in a block cost one lookup.
 
-The test items are sent to the tasks in parts of at most ``PART_WORDS`` words,
-one pass over the index for each part, so what is broadcast is bounded.
+The different test items are sent to the tasks in parts of about ``PART_WORDS``
+words, one pass over the index for each part, so what is broadcast is bounded.
 
 Defined results: a null text or item has no words; an item of fewer words than
 a window is one window of all its words; an item without words matches nothing;
@@ -26,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import ALNUM, cut, rows_of, text_slices, words
+from evenkeel.llm.common import ALNUM, cut, rows_of, text_slices, unused, words
 
 #: Words of test items that one pass over the index looks for.
 PART_WORDS = 1 << 20
+#: Words of a piece of an item, about.
+PIECE_WORDS = 1 << 15
 _INDEX = "block string, docs array<{id}>, starts binary, terms binary, counts binary, positions binary"
 
 
@@ -58,11 +60,22 @@ def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return cut(docs.mapInArrow(_index, _INDEX.format(id=kind)), "index")
 
 
-def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, buf, offs in text_slices(batches):
-        h, first = words(buf, offs, ALNUM)
-        lists = [h[first[i] : first[i + 1]].tobytes() for i in range(rows.num_rows)]
-        yield pa.RecordBatch.from_arrays([rows.column("item"), pa.array(np.diff(first)), pa.array(lists, pa.binary())], names=["item", "n", "words"])
+def _item_words(window: int, most: int):
+    """The words of items; those of a long item in pieces of about ``most`` words that share ``window`` - 1 of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in text_slices(batches):
+            h, first = words(buf, offs, ALNUM)
+            out: tuple[list, list, list] = ([], [], [])
+            for i, item in enumerate(rows.column("item").to_pylist()):
+                own = h[first[i] : first[i + 1]]
+                for at in range(0, max(1, len(own) - window + 1), most):
+                    piece = own[at : at + most + window - 1]
+                    for x, value in zip(out, (item, len(piece), piece.tobytes()), strict=True):
+                        x.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], names=["item", "n", "words"])
+
+    return run
 
 
 class Windows:
@@ -201,7 +214,9 @@ def contamination(
     index = positional_index(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    items = cut(items.mapInArrow(_item_words, "item string, n long, words binary"), "items").where("n > 0")
+    # equal items are looked for once
+    items = items.mapInArrow(_item_words(window, PIECE_WORDS), "item string, n long, words binary").where("n > 0")
+    items = cut(items.distinct(), "items")
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-2 * total // PART_WORDS))
     found = None
@@ -234,6 +249,7 @@ def contamination(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 10) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item, with all their columns."""
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))
-    found = contamination(keyed, benchmark, id_col="__key", text_col=text_col, window=window)
-    return keyed.join(found.where("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
+    (key,) = unused(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col)))
+    found = contamination(keyed, benchmark, id_col=key, text_col=text_col, window=window)
+    return keyed.join(found.where("n_hit > 0").select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)

@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.common import cut, mix, new_path, text_slices, words
 
-#: Text bytes whose pairs one shard holds, about, and words at most that are dealt by pair.
-SHARD_BYTES, MOST_HOT = 16 << 20, 256
+#: Text bytes whose pairs one shard holds, about, and array files that a worker keeps mapped at once.
+SHARD_BYTES, MAPS = 16 << 20, 4096
 #: Tokens whose pairs a task counts before it sends them on.
 BUFFER = 3 << 20
 
@@ -261,7 +261,7 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     path = new_path(spark, "model")
     hot = np.zeros(0, np.uint64)
     if bits > 1:  # only where pairs go depends on this sample
-        hot = _frequent(texts.sample(min(1.0, 4000 / rows), 1), 0.25 / (1 << bits))
+        hot = _frequent(texts.sample(min(1.0, max(4000, 64 << bits) / rows), 1), 0.25 / (1 << bits))
     counted = texts.mapInArrow(_count(hot, bits), "shard int, pairs binary")
     pairs = cut(counted.groupBy("shard").applyInArrow(_write_pairs(path), "shard int, of_counts array<long>, words binary"), "pairs")
     of_counts = [r[0] for r in pairs.agg(*[F.sum(F.element_at("of_counts", k)).alias(f"n{k}") for k in (1, 2, 3, 4)]).select(F.array("n1", "n2", "n3", "n4")).collect()]
@@ -281,12 +281,11 @@ def _frequent(texts: DataFrame, share: float) -> np.ndarray:
         for _, buf, offs in text_slices(batches):
             before, _, _ = token_pairs(buf, offs)
             word, n = np.unique(before, return_counts=True)
-            most = np.argsort(-n)[: 4 * MOST_HOT]
-            yield pa.RecordBatch.from_arrays([pa.array(word[most].view(np.int64)), pa.array(n[most])], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
 
     seen = cut(texts.mapInArrow(run, "word long, n long"), "frequent")
     total = seen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = seen.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > total * share).orderBy(F.desc("n"), "word").limit(MOST_HOT).collect()
+    hot = seen.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > total * share).select("word").collect()  # 1 / share words at most
     return np.sort(np.array([r["word"] for r in hot], np.int64).view(np.uint64))
 
 
@@ -305,6 +304,8 @@ class Arrays:
     def get(self, kind: str, shard: int) -> tuple[np.ndarray, ...]:
         key = (kind, shard)
         if key not in self.open:
+            if len(self.open) >= MAPS:
+                self.open.pop(next(iter(self.open)))  # the one that was mapped first
             self.open[key] = self._map(f"{self.model.path}/{kind}-{shard:06d}", _PAIRS if kind == "pairs" else _WORDS)
         return self.open[key]
 

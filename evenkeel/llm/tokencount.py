@@ -19,7 +19,9 @@ Two machines run over the texts of a slice at once:
 Defined results: a null or empty text has no bytes and no tokens; the
 tokenizer's special strings inside a text are one token each, as the library
 has it by default; every row is counted on its own, so repeated rows, null ids
-and extra columns need no care; an empty table gives an empty result.
+and extra columns need no care; bytes that are no UTF-8 count as replacement
+characters; a very long text is counted whole by one task; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -282,8 +284,9 @@ class Tokenizer:
         text = buf.tobytes().decode("utf-8", errors="replace")
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         lead = np.flatnonzero((buf & 0xC0) != 0x80)  # the byte with which each character begins
-        if len(lead) != len(points):
-            raise ValueError("the text isn't UTF-8")
+        if len(lead) != len(points):  # no UTF-8: what cannot be read is a replacement character
+            fixed = [buf[a:b].tobytes().decode("utf-8", errors="replace").encode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
+            return self.count(np.frombuffer(b"".join(fixed), np.uint8), np.cumsum([0, *map(len, fixed)]))
         classes = self.classes[points]
         extra = np.zeros(rows, np.int64)
         row_char = np.searchsorted(lead, offs)  # each row's first character
