@@ -4,8 +4,8 @@ Features are the presence of lower-cased n-grams of ``ORDERS`` characters, hashe
 to ``BINS``. On a bounded sample of labelled rows (``most`` of ``labelled_sample``),
 tasks count in how many documents of either class each bin is present; that gives
 every bin the ratio of its smoothed log frequencies in the two classes. A ridge
-logistic regression is fitted by Spark on the presence of all bins times their
-ratios, from sums over partitions; the driver holds vectors of ``BINS`` numbers
+logistic regression is fitted on the presence of all bins times their ratios, from
+sums that tasks make of their rows; the driver holds vectors of ``BINS`` numbers
 only. Scoring reads each whole text once and moves nothing between tasks.
 
 Defined results: a null or empty text has no n-grams and gets the model's base
@@ -23,16 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from evenkeel.llm.common import cut, discard, text_slices
 
 ORDERS = (4, 5, 6)
-BITS = 20
+BITS = 18
 BINS = 1 << BITS
 
 _U = np.uint64
@@ -96,27 +93,69 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (there, counts[0, there], counts[1, there])], names=["bin", "n0", "n1"])
 
 
-#: How Spark stores a sparse vector, so that a table of vectors is written from Arrow.
-_SPARSE = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, buf, offs in text_slices(batches, most=1 << 17):
+        row, bins = present(buf, offs)
+        first = pa.array(np.searchsorted(row, np.arange(len(offs))).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([rows.column("label"), pa.ListArray.from_arrays(first, pa.array(bins.astype(np.int32)))], names=["label", "bins"])
+
 
+def _slopes(sent):
+    """Of a task's rows: the loss, and the sums of its slopes by bin, the intercept's last."""
 
-def _vectors(ratio):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_slices(batches, most=1 << 19):
-            row, bins = present(buf, offs)
-            first = pa.array(np.searchsorted(row, np.arange(len(offs))).astype(np.int32))
-            n = rows.num_rows
-            lists = [pa.ListArray.from_arrays(first, pa.array(x)) for x in (bins.astype(np.int32), ratio.value[bins].astype(np.float64))]
-            vector = pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, BINS, np.int32)), *lists], names=["type", "size", "indices", "values"])
-            yield pa.RecordBatch.from_arrays([rows.column("label").cast(pa.float64()), vector], names=["label", "features"])
+        weights, base = sent.value
+        slopes, loss = np.zeros(BINS + 1, np.float32), 0.0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                rows = batch.slice(at, 128)
+                n = np.diff(rows.column("bins").offsets.to_numpy())
+                bins, row = rows.column("bins").flatten().to_numpy(), np.repeat(np.arange(len(n)), n)
+                z = base + np.bincount(row, weights[bins], len(n))
+                label = rows.column("label").to_numpy()
+                loss += float((np.logaddexp(0, z) - label * z).sum())
+                off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label
+                slopes[:-1] += np.bincount(bins, off[row], BINS).astype(np.float32)
+                slopes[-1] += off.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([slopes.tobytes()], pa.binary())], names=["loss", "slopes"])
 
     return run
 
 
-def fit(sample: DataFrame, *, parts: int = 4, ridge: float = 1.0, rounds: int = 50) -> Model:
+def minimise(value, x: np.ndarray, rounds: int, memory: int = 5) -> np.ndarray:
+    """The least of a smooth convex function (``value`` gives it with its slopes), by steps of limited-memory BFGS."""
+    f, g = value(x)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        step, used = -g, []
+        for s, y in reversed(past):
+            used.append(float(s @ step) / float(s @ y))
+            step = step - used[-1] * y
+        if past:
+            step = step * (float(past[-1][0] @ past[-1][1]) / float(past[-1][1] @ past[-1][1]))
+        else:
+            step = step / max(1.0, float(np.linalg.norm(g)))
+        for (s, y), w in zip(past, reversed(used), strict=True):
+            step = step + (w - float(y @ step) / float(s @ y)) * s
+        size, slope = 1.0, float(g @ step)
+        while True:
+            new, (f_new, g_new) = x + size * step, value(x + size * step)
+            if f_new <= f + 1e-4 * size * slope or size < 1e-3:
+                break
+            size /= 2
+        if float((new - x) @ (g_new - g)) > 0:
+            past = [*past, (new - x, g_new - g)][-memory:]
+        done = f - f_new < 1e-4 * abs(f)
+        x, f, g = new, f_new, g_new
+        if done:
+            break
+    return x
+
+
+def fit(sample: DataFrame, *, parts: int = 4, ridge: float = 1.0, rounds: int = 25) -> Model:
     """Fit the model to ``(text, label)`` rows, whose number the caller bounds."""
     spark = sample.sparkSession
-    sample = cut(sample.repartition(parts, "__id").select("text", "label"), "labelled")
+    sample = cut(sample.repartition(4 * parts, "__id").select("text", "label"), "labelled")
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     ones, zeros = size.get(1, 0), size.get(0, 0)
     if not ones or not zeros:
@@ -125,18 +164,24 @@ def fit(sample: DataFrame, *, parts: int = 4, ridge: float = 1.0, rounds: int =
     counts = sample.mapInArrow(_class_counts, "bin long, n0 long, n1 long")
     counts = counts.groupBy("bin").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     # at most BINS rows
-    found = counts.select("bin", (F.log((F.col("n1") + 1) / (ones + 2)) - F.log((F.col("n0") + 1) / (zeros + 2))).cast("float").alias("ratio")).toArrow()
-    ratio = np.zeros(BINS, np.float32)
+    found = counts.select(F.col("bin").cast("int"), (F.log((F.col("n1") + 1) / (ones + 2)) - F.log((F.col("n0") + 1) / (zeros + 2))).cast("float").alias("ratio")).toArrow()
+    ratio = np.zeros(BINS + 1, np.float32)
     ratio[found.column("bin").to_numpy()] = found.column("ratio").to_numpy()
-    del found
-    sent = spark.sparkContext.broadcast(ratio)
-    stored = cut(sample.mapInArrow(_vectors(sent), f"label double, features {_SPARSE}"), "vectors")
-    vectors = spark.read.schema(StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])).parquet(stored.stored_at)
-    fitted = LogisticRegression(regParam=ridge / (ones + zeros), maxIter=rounds, tol=1e-5, standardization=False).fit(vectors)
-    model = Model(fitted.coefficients.toArray().astype(np.float32) * ratio, float(fitted.intercept))
-    sent.destroy()
+    ratio[-1] = 1  # of the intercept
+    stored = cut(sample.mapInArrow(_bins, "label int, bins array<int>"), "bins")
+    keep = np.full(BINS + 1, ridge, np.float32)
+    keep[-1] = 0
+
+    def value(x: np.ndarray) -> tuple[float, np.ndarray]:
+        sent = spark.sparkContext.broadcast(((x * ratio)[:-1], float(x[-1])))
+        got = stored.coalesce(parts).mapInArrow(_slopes(sent), "loss double, slopes binary").toArrow()  # a row for each task
+        sent.destroy()
+        slopes = sum(np.frombuffer(s.as_buffer(), np.float32) for s in got.column("slopes"))
+        return sum(got.column("loss").to_pylist()) + 0.5 * float(keep @ (x * x)), slopes * ratio + keep * x
+
+    x = minimise(value, np.zeros(BINS + 1, np.float32), rounds)
     discard(sample, stored)
-    return model
+    return Model((x * ratio)[:-1], float(x[-1]))
 
 
 def toxicity(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
