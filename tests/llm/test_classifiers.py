@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from corpus import documents, table
 
@@ -62,3 +63,61 @@ def test_toxic_documents_go_with_all_columns(spark):
     left = toxicity.without_toxic(docs, sample)
     assert left.columns == docs.columns
     assert {r["doc_id"] for r in left.collect()} == {i for i, (_, t) in truth.items() if not t}
+
+
+def test_votes_are_those_of_all_cosines(spark):
+    docs, labels, _ = labelled(spark)
+    sample = labelled_sample(docs, labels, "quality", ~in_fold("doc_id", 4, 2), 300, "doc_id", "text")
+    model = quality.fit(sample)
+    rows = quality.quality(docs, sample).orderBy("doc_id").limit(60).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in rows:
+        raw = np.frombuffer(texts[r["doc_id"]].encode(), np.uint8)
+        v = model.project(quality.term_counts(raw, np.array([0, len(raw)])))[0]
+        near = sorted(((float(v @ w), -i) for i, w in enumerate(model.vectors)), reverse=True)[: quality.NEIGHBOURS]
+        weights = [max(s, 0) for s, _ in near]
+        vote = sum(w * model.labels[-i] for w, (_, i) in zip(weights, near, strict=True)) / sum(weights)
+        assert r["score"] == pytest.approx(vote, abs=1e-3), r["doc_id"]
+
+
+def bins_by_hand(text):
+    low = [32 if c.isspace() else ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in text]
+    out = set()
+    for n in toxicity.ORDERS:
+        for at in range(len(low) - n + 1):
+            h = 0
+            for c in low[at : at + n]:
+                h = (h * 0x100000001B3 + c + 1) % 2**64
+            out.add((h + n) * 0x9E3779B97F4A7C15 % 2**64 >> (64 - toxicity.BITS))
+    return out
+
+
+def test_features_are_all_character_grams():
+    texts = ["Straße ÄÖ\tu", "", "abc", "aaaaaaaa", "\U0001F600 grin \U0001F600 grin", "ab\ncd ef"]
+    raw = b"".join(t.encode() for t in texts)
+    offs = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    row, bins = toxicity.present(np.frombuffer(raw, np.uint8), offs)
+    for i, t in enumerate(texts):
+        assert set(bins[row == i]) == bins_by_hand(t) and (row == i).sum() == len(bins_by_hand(t)), t
+    broken = np.frombuffer(b"ok\xff\xfeok and more", np.uint8)
+    assert len(toxicity.present(broken, np.array([0, len(broken)]))[0]) > 0
+
+
+def test_the_fit_is_the_least_of_its_loss():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(200, 12)), rng.integers(0, 2, 200)
+
+    def value(w):
+        z = x @ w
+        p = 1 / (1 + np.exp(-z))
+        return float((np.logaddexp(0, z) - y * z).sum() + 0.5 * w @ w), x.T @ (p - y) + w
+
+    w = toxicity.minimise(value, np.zeros(12), 50)
+    assert value(w)[0] <= min(value(w + d)[0] for d in rng.normal(0, 0.05, (200, 12))) + 1e-2
+
+
+def test_the_sample_has_one_row_for_each_id(spark):
+    docs = table(spark, [(1, f"text {i}") for i in range(500)] + [(2, "b"), (2, "b"), (3, None)])
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (2, 1, 1), (3, 1, 0), (9, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = labelled_sample(docs, labels, "quality", ~in_fold("doc_id", 1000, 999), 10, "doc_id", "text").collect()
+    assert sorted((r["__id"], r["label"]) for r in rows) == [(1, 1), (2, 0), (3, 1)]
