@@ -356,10 +356,10 @@ def database_operations_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.database_operations_hash(rows, ["run"])
 
 
-@_query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE coalesce(value::DECIMAL(18,2), 0) END AS value, event_type FROM events WHERE event_type = 'click'")
+@_query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE coalesce(value::DECIMAL(18,2), 0) END AS value, event_type FROM events")
 def cast_to_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = TablePlan("events", (Column("event_id", "bigint"), Column("value", "numeric(18,2)"), Column("event_type", "text")))
-    rows = table(spark, sf_dir, "events").where("event_type = 'click'").withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value")))
+    rows = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value")))
     return mapping.cast_to_plan(rows, plan)
 
 

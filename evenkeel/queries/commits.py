@@ -1,4 +1,4 @@
-"""Whole-database work: keys, orphans, captures, sequences, adoption, and applying a plan once."""
+"""Whole-database work (keys, orphans, captures, sequences, adoption, applying a plan once), and contracts of single values and tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.operators import apply, delta, evidence, history
+from evenkeel.functions import scalars
+from evenkeel.functions.canonical import row_hash
+from evenkeel.operators import apply, catalog, delta, evidence, history, mapping, validate
 from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, Identity, TablePlan
 from evenkeel.queries.derive import CUSTOMER, ORDERS, derived, evidence_digest_sql, row_hash_sql, table, target_sql
 from evenkeel.sources import captures, snapshots
@@ -148,3 +150,58 @@ def plan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     said = said.unionAll(said.where((t % 14 == 0) & (t % 6 != 0) & (t % 10 != 0)))
     return history.plan_count_violations(said, ops).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@_query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || (event_id % 10) AS kept, ts AS cut, CAST(ts AS DATE) AS day FROM events""")
+def normal_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven-digit times stay text; others are timestamps or dates."""
+    events = table(spark, sf_dir, "events")
+    seven = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), (F.col("event_id") % 10).cast("string"))
+    kept, cut, day = mapping.normal_time(seven, "datetime2(7)"), mapping.normal_time(F.col("ts"), "datetime2(6)"), mapping.normal_time(F.col("ts"), "date")
+    return events.select("event_id", kept.alias("kept"), cut.alias("cut"), day.alias("day"))
+
+
+@_query("SELECT c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN '<identity-current>' ELSE c_name END AS value, count(*) AS n FROM customer GROUP BY 1, 2")
+def masked_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = table(spark, sf_dir, "customer").select("c_nationkey", F.when(F.col("c_custkey") % 3 == 0, "identity_current").otherwise("type").alias("attribute"), F.col("c_name").alias("value"))
+    return mapping.mask_volatile(facts).groupBy("c_nationkey", "value").agg(F.count("*").alias("n"))
+
+
+@_query("""SELECT p_partkey, sha256('{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","brand":' || CASE WHEN p_partkey % 4 = 0 THEN 'null' ELSE '"' || p_brand || '"' END || '}') AS digest FROM part""")
+def row_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").withColumn("brand", F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand")))
+    return part.select("p_partkey", scalars.row_digest("p_partkey", "p_name", "brand").alias("digest"))
+
+
+@_query("""SELECT s_suppkey, sha256(unhex('52') || unhex('00000002') || unhex('46') || unhex('00000005') || encode('bytea') || unhex('01') || unhex(lpad(to_hex(2 * octet_length(encode(s_name))), 8, '0')) || encode(lower(hex(encode(s_name))))
+    || unhex('46') || unhex('00000006') || encode('uuid[]') || CASE WHEN s_suppkey % 5 = 0 THEN unhex('00') ELSE unhex('01') || unhex(lpad(to_hex(octet_length(encode('uuid-array-v1:2:' || lower(s_name) || ',b'))), 8, '0')) || encode('uuid-array-v1:2:' || lower(s_name) || ',b') END || unhex('45')) AS row_sha256 FROM supplier""")
+def row_fingerprint_binary_and_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.encode("s_name", "UTF-8").alias("raw"), F.when(F.col("s_suppkey") % 5 != 0, F.array(F.col("s_name"), F.lit("B"))).alias("ids"))
+    columns = (Column("raw", "bytea"), Column("ids", "uuid[]"))
+    return rows.select("s_suppkey", row_hash(columns).alias("row_sha256"))
+
+
+@_query("SELECT r_regionkey, r_name FROM region")
+def bounded_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that may not have more rows than a limit, and one that must be empty."""
+    plan = TablePlan("absent", (Column("r_regionkey", "integer"),), known_empty=True)
+    region = table(spark, sf_dir, "region")
+    validate.require_empty(region.where("r_regionkey < 0"), plan)
+    return validate.require_at_most(region, 5)
+
+
+@_query("SELECT DISTINCT 't' || o_custkey AS \"table\", 'schema-hash' AS \"check\", 'schema-hash-mismatch' AS code FROM orders WHERE o_orderkey % 7 = 0 AND o_orderstatus <> 'X'")
+def compare_schema_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of a catalog, a column for each order, whose hash differs after some types changed."""
+    orders = table(spark, sf_dir, "orders")
+
+    def hashes(kind) -> DataFrame:
+        columns = orders.select(
+            F.concat(F.lit("t"), "o_custkey").alias("table"), F.col("o_orderkey").cast("int").alias("ordinal"), F.concat(F.lit("c"), "o_orderkey").alias("column"), kind.alias("type"), F.lit(True).alias("nullable"),
+            *[F.lit(None).cast("string").alias(c) for c in ("default", "generated", "collation")], F.lit(False).alias("identity"),
+        )
+        none = spark.createDataFrame([], "table string, kind string, name string, ordinal int, column string, detail string")
+        return catalog.component_hashes(columns, none).where("component = 'whole'")
+
+    before, after = hashes(F.col("o_orderstatus")), hashes(F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
+    return evidence.compare_values(before, after, "table", "sha256", "schema-hash").select("table", "check", "code")
