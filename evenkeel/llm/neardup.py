@@ -205,7 +205,7 @@ def near_duplicates(
         more = _links_apart(pairs, labels, percent)
         discard(pairs)
         if not more.isEmpty():  # links between components
-            joined = components(more).withColumnsRenamed({"node": "label", "label": "whole"})
+            joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("whole"))
             lone = more.select(F.explode(F.array("a", "b")).alias("node")).join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
             labels = labels.union(lone.distinct()).join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label"))
             labels = cut(labels, "labels")

@@ -10,13 +10,13 @@ hold x, a term t discloses the part
 of the information of entity e, 1 if t stands only where e does. Terms that
 disclose ``GENERALISE`` of an entity or more are replaced by a general word,
 from ``REMOVE`` on removed, wherever they stand in the corpus. Every pair that
-stands together counts, however rare, with what its rarity proves: documents
-drawn blindly must bring it together as often with a probability of at most
-``CHANCE`` for all terms of the corpus together, that is ``CHANCE`` / (number of
-terms) for a pair. A word that stands once, beside an address that stands once,
-proves nothing by this: some words of every document stand nowhere else. One
-that stands with it twice and nowhere else is proof from some thousand documents
-on. With ``per_pair`` the bound is ``CHANCE`` for each pair by itself.
+stands together counts, however rare, with what its rarity proves: the chance
+that documents drawn blindly bring the entity together as often with any of the
+terms that stand in as many documents must be at most ``CHANCE``, so that of a
+pair at most ``CHANCE`` / (number of such terms). A word that stands once, beside
+an address that stands once, proves nothing by this: some words of every document
+stand nowhere else. One that stands with it twice and nowhere else is proof. With
+``per_pair`` the bound is ``CHANCE`` for each pair by itself.
 
 Terms are all runs of letters, digits and underscores outside the patterns'
 spans; in scripts without blanks between words, all pairs of neighbours. All
@@ -27,8 +27,7 @@ a million addresses in one document is one class of entities. Only what cannot
 change the result is left out of pairs: terms in so many documents that they
 cannot reach ``GENERALISE`` for any entity beside them (p(e, t) is at most p(e), so
 a term discloses no more than log(p(t)) / log(p(e)) if it is the more frequent
-one), and terms and entities in so few documents that not even meeting in all of
-them is proof.
+one), and terms in so few documents that not even meeting in all of them is proof.
 
 Defined results: a null text is empty; rows with equal id and text are one
 document in the counts and get equal results; a null id is an id of its own; a
@@ -291,24 +290,16 @@ def _evidence(both: Column, one: Column, other: Column, n: Column) -> Column:
     return F.when(a > p, one * (a * F.log(a / p) + rest)).otherwise(0.0)
 
 
-def _disclosed(both: Column, entity: Column, term: Column, n: Column, proof: float) -> Column:
+def _disclosed(both: Column, entity: Column, term: Column, n: Column, proof: Column) -> Column:
     """The share of an entity's information that a term discloses; null if their meeting is no proof."""
-    sure = F.greatest(_evidence(both, entity, term, n), _evidence(both, term, entity, n)) >= proof - 1e-9
+    sure = F.greatest(_evidence(both, entity, term, n), _evidence(both, term, entity, n)) >= proof
     return F.when((n > entity) & sure, F.log(both * n / (entity * term)) / F.log(n / entity))
 
 
-def fewest_documents(n_docs: int, proof: float) -> int | None:
-    """The least number of documents in which meeting can be proof; None if no number is.
-
-    A pair that meets in k documents has evidence of k log(n / k) at most, which
-    grows up to k = n / e.
-    """
-    k = 1
-    while k * math.log(n_docs / k) < proof - 1e-9:
-        k += 1
-        if k > n_docs / math.e:
-            return None
-    return k
+def _most_evidence(documents: Column, n_docs: int) -> Column:
+    """What meeting in ``documents`` documents or fewer can prove at most: k log(n / k), which grows up to n / e."""
+    k = F.least(documents.cast("double"), F.lit(n_docs / math.e))
+    return k * F.log(n_docs / k)
 
 
 def _cleared(texts: DataFrame) -> DataFrame:
@@ -341,22 +332,23 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     if most is None:
         return nothing
     terms_counted = cut(words.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "counted_terms")
-    proof = math.log((1 if per_pair else max(1, terms_counted.count())) / CHANCE)
-    fewest = fewest_documents(n_docs, proof)
-    if fewest is None or fewest > most:
-        return nothing
+    alike = terms_counted.groupBy("n_term").agg(F.count("*").alias("alike"))  # a row for each number of documents
+    proof = F.lit(-math.log(CHANCE)) if per_pair else F.log(F.col("alike") / CHANCE)
     # what a term discloses of an entity in fewer documents is log(p(t)) / log(p(e)) at most
     reach = lambda n_entity: F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_entity, GENERALISE) * (1 + 1e-9)
     hot = terms_counted.where((F.col("n_term") > reach(F.lit(most))) & (F.col("n_term") * HOT > n_docs)).select("term")
     hot = F.broadcast(hot)
-    counted = terms_counted.where((F.col("n_term") <= reach(F.lit(most))) & (F.col("n_term") >= fewest))
+    counted = terms_counted.where(F.col("n_term") <= reach(F.lit(most))).join(alike, "n_term").withColumn("proof", proof - 1e-9)
+    counted = counted.where(_most_evidence(F.col("n_term"), n_docs) >= F.col("proof"))
     held = lambda docs: docs.select("key", F.explode("words").alias("term")).join(hot, "term", "left_anti")
     term_class, entity_class = (["n_" + x, x + "_1", x + "_2"] for x in ("term", "entity"))
-    beside = cut(own.join(entities.where(F.col("n_entity") >= fewest), "entity").select("key", *entity_class).distinct(), "beside")
+    term_class.append("proof")  # one for each number of documents
+    beside = cut(own.join(entities, "entity").select("key", *entity_class).distinct(), "beside")
     near = held(words.where("n > 0").join(beside.select("key").distinct(), "key", "left_semi")).join(counted, "term").select("key", *term_class).distinct()
-    pairs = near.join(beside, (near["key"] == beside["key"]) & (F.col("n_term") <= reach(F.col("n_entity")))).drop("key")
+    can = (F.col("n_term") <= reach(F.col("n_entity"))) & (_most_evidence(F.least("n_term", "n_entity"), n_docs) >= F.col("proof"))
+    pairs = near.join(beside, (near["key"] == beside["key"]) & can).drop("key")
     pairs = pairs.groupBy(*term_class, *entity_class).agg(F.count("*").alias("n_both"))
-    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), proof))
+    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), F.col("proof")))
     told = told.where(F.col("disclosed") >= GENERALISE).groupBy(*term_class).agg(F.max("disclosed").alias("disclosed"))
     told = cut(counted.join(told, term_class).select("term", "disclosed"), "told")
     sent = _sent(told)

@@ -100,7 +100,7 @@ def disclosed_by_hand(rows):
             clear = clear.replace(m.group(), " ")
         for w in re.findall(r"\w+", clear.lower()):
             term_docs.setdefault(w, set()).add((i, text))
-    n, proof = len(docs), math.log(len(term_docs) / pii.CHANCE)
+    n = len(docs)
 
     def evidence(both, one, other):
         a, p = both / one, other / n
@@ -109,7 +109,7 @@ def disclosed_by_hand(rows):
     told = set()
     for e in entity_docs.values():
         for w, t in term_docs.items():
-            both = len(e & t)
+            both, proof = len(e & t), math.log(sum(len(x) == len(t) for x in term_docs.values()) / pii.CHANCE)
             if both and max(evidence(both, len(e), len(t)), evidence(both, len(t), len(e))) >= proof - 1e-9:
                 if math.log(both * n / (len(e) * len(t))) / math.log(n / len(e)) >= pii.GENERALISE:
                     told.add(w)
