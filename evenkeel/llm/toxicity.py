@@ -122,6 +122,15 @@ def _slopes(sent):
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    slopes, loss = np.zeros(BINS + 1, np.float32), 0.0
+    for rows in batches:
+        loss += sum(rows.column("loss").to_pylist())
+        for s in rows.column("slopes"):
+            slopes += np.frombuffer(s.as_buffer(), np.float32)
+    yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([slopes.tobytes()], pa.binary())], names=["loss", "slopes"])
+
+
 def minimise(value, x: np.ndarray, rounds: int, memory: int = 5) -> np.ndarray:
     """The least of a smooth convex function (``value`` gives it with its slopes), by steps of limited-memory BFGS."""
     f, g = value(x)
@@ -152,10 +161,10 @@ def minimise(value, x: np.ndarray, rounds: int, memory: int = 5) -> np.ndarray:
     return x
 
 
-def fit(sample: DataFrame, *, parts: int = 4, ridge: float = 1.0, rounds: int = 25) -> Model:
+def fit(sample: DataFrame, *, parts: int = 16, ridge: float = 1.0, rounds: int = 25) -> Model:
     """Fit the model to ``(text, label)`` rows, whose number the caller bounds."""
     spark = sample.sparkSession
-    sample = cut(sample.repartition(4 * parts, "__id").select("text", "label"), "labelled")
+    sample = cut(sample.repartition(parts, "__id").select("text", "label"), "labelled")
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     ones, zeros = size.get(1, 0), size.get(0, 0)
     if not ones or not zeros:
@@ -174,7 +183,8 @@ def fit(sample: DataFrame, *, parts: int = 4, ridge: float = 1.0, rounds: int =
 
     def value(x: np.ndarray) -> tuple[float, np.ndarray]:
         sent = spark.sparkContext.broadcast(((x * ratio)[:-1], float(x[-1])))
-        got = stored.coalesce(parts).mapInArrow(_slopes(sent), "loss double, slopes binary").toArrow()  # a row for each task
+        kind = "loss double, slopes binary"
+        got = stored.mapInArrow(_slopes(sent), kind).repartition(2).mapInArrow(_summed, kind).toArrow()  # a row for each task
         sent.destroy()
         slopes = sum(np.frombuffer(s.as_buffer(), np.float32) for s in got.column("slopes"))
         return sum(got.column("loss").to_pylist()) + 0.5 * float(keep @ (x * x)), slopes * ratio + keep * x
