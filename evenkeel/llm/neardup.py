@@ -204,11 +204,8 @@ def near_duplicates(
         labels = cut(components(pairs.where("linked").select(F.col("c").alias("a"), F.col("node").alias("b"))), "labels")
         more = _links_apart(pairs, labels, percent)
         discard(pairs)
-        if not more.isEmpty():  # links between components
-            joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("whole"))
-            lone = more.select(F.explode(F.array("a", "b")).alias("node")).join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
-            labels = labels.union(lone.distinct()).join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label"))
-            labels = cut(labels, "labels")
+        if not more.isEmpty():
+            labels = cut(_merged(labels, more), "labels")
     if labels is None:
         named = nodes.select("node", "check", F.col("doc_id").alias("component_id"))
     else:
@@ -222,6 +219,13 @@ def near_duplicates(
     )
 
 
+def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels of nodes after links ``a, b`` between components; a node without a label is a component of its own."""
+    joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("whole"))
+    lone = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    return labels.union(lone).join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label"))
+
+
 def _links_apart(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """``a, b``: labels of components that are linked by members of a bucket other than its middle (see the module)."""
     at = pairs.join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -105,6 +105,49 @@ def test_work_on_members_apart_grows_with_their_number(spark, monkeypatch):
     assert all(late <= 8 * max(early, 200) for early, late in zip(*seen, strict=True)), seen
 
 
+def test_links_apart_are_those_of_all_pairs(spark):
+    """Members of one bucket around a middle that none is linked with: by the sets alone, against all pairs."""
+    rng = random.Random(9)
+    for trial in range(2):
+        c = set(range(1, 101))
+        sets, base = {}, {}
+        for g in range(6):  # families that share edits, each beyond the middle's reach
+            gone, new = rng.sample(range(1, 101), 14), [1000 * (g + 1) + k for k in range(14)]
+            base[g] = (c - set(gone)) | set(new)
+            for m in range(4):
+                own = set(base[g])
+                for k in range(rng.randrange(0, 9)):
+                    own.discard(rng.choice(sorted(own)))
+                    own.add(10_000 + 100 * g + 10 * m + k)
+                sets[10 * g + m + 1] = own
+        far = lambda a, b: 100 * len(a & b) < 80 * len(a | b)
+        assert all(far(c, s) for s in sets.values())
+        rows = [(0, i, len(c), len(s), len(s & c), False, sorted(s ^ c)) for i, s in sets.items()]
+        pairs = spark.createDataFrame(rows, neardup._DIFFERENCES)
+        labels = spark.createDataFrame([], "node long, label long")
+        got = {(r["a"], r["b"]) for r in neardup._links_apart(cut(pairs, "pairs"), labels, 80).collect()}
+        expected = {(i, k) for i in sets for k in sets if i < k and not far(sets[i], sets[k])}
+        assert expected and got <= expected
+        # what is certain is given by links with one member: the components are the same
+        nodes = {i: i for i in sets}
+
+        def whole(edges):
+            parent = dict(nodes)
+            for _ in nodes:
+                for a, b in edges:
+                    parent[a] = parent[b] = min(parent[a], parent[b])
+            return parent
+
+        assert whole(got) == whole(expected), trial
+
+
+def test_links_between_components_join_them(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (7, 7), (8, 7)], "node long, label long")
+    more = spark.createDataFrame([(1, 3), (3, 9)], "a long, b long")
+    got = {r["node"]: r["label"] for r in neardup._merged(labels, more).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 9: 1, 7: 7, 8: 7}
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (3, None), (4, ""), (5, "  "), (1, "other words here now")]
     got = neardup.near_duplicates(table(spark, rows), size=2).collect()
