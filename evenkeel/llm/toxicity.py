@@ -1,12 +1,13 @@
 """A toxicity classifier: a linear model over character n-grams, scaled by naive Bayes log-count ratios.
 
 Features are the presence of lower-cased n-grams of ``ORDERS`` characters, hashed
-to ``BINS``. On a bounded sample of labelled rows (``most`` of ``labelled_sample``),
-tasks count in how many documents of either class each bin is present; that gives
-every bin the ratio of its smoothed log frequencies in the two classes. A ridge
-logistic regression is fitted on the presence of all bins times their ratios, from
-sums that tasks make of their rows; the driver holds vectors of ``BINS`` numbers
-only. Scoring reads each whole text once and moves nothing between tasks.
+to ``BINS``. The sample of labelled rows is bounded (``most`` of
+``labelled_sample``), so one task fits the model to it: it counts in how many
+documents of either class each bin is present, which gives every bin the ratio of
+its smoothed log frequencies in the two classes, and fits a ridge logistic
+regression on the presence of all bins times their ratios. Only the fitted weights
+reach the driver. Scoring reads each whole text once and moves nothing between
+tasks.
 
 Defined results: a null or empty text has no n-grams and gets the model's base
 score; a very long text is read in one piece by one task; repeated rows are
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut, discard, text_slices
+from evenkeel.llm.common import text_slices
 
 ORDERS = (4, 5, 6)
 BITS = 18
@@ -82,55 +83,6 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, BINS), np.int64)
-    for rows, buf, offs in text_slices(batches, most=1 << 19):
-        label = rows.column("label").to_numpy()
-        row, feature = present(buf, offs)
-        for c in (0, 1):
-            counts[c] += np.bincount(feature[label[row] == c], minlength=BINS)
-    there = np.flatnonzero(counts.sum(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (there, counts[0, there], counts[1, there])], names=["bin", "n0", "n1"])
-
-
-def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, buf, offs in text_slices(batches, most=1 << 17):
-        row, bins = present(buf, offs)
-        first = pa.array(np.searchsorted(row, np.arange(len(offs))).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([rows.column("label"), pa.ListArray.from_arrays(first, pa.array(bins.astype(np.int32)))], names=["label", "bins"])
-
-
-def _slopes(sent):
-    """Of a task's rows: the loss, and the sums of its slopes by bin, the intercept's last."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, base = sent.value
-        slopes, loss = np.zeros(BINS + 1, np.float32), 0.0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                rows = batch.slice(at, 128)
-                n = np.diff(rows.column("bins").offsets.to_numpy())
-                bins, row = rows.column("bins").flatten().to_numpy(), np.repeat(np.arange(len(n)), n)
-                z = base + np.bincount(row, weights[bins], len(n))
-                label = rows.column("label").to_numpy()
-                loss += float((np.logaddexp(0, z) - label * z).sum())
-                off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label
-                slopes[:-1] += np.bincount(bins, off[row], BINS).astype(np.float32)
-                slopes[-1] += off.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([slopes.tobytes()], pa.binary())], names=["loss", "slopes"])
-
-    return run
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    slopes, loss = np.zeros(BINS + 1, np.float32), 0.0
-    for rows in batches:
-        loss += sum(rows.column("loss").to_pylist())
-        for s in rows.column("slopes"):
-            slopes += np.frombuffer(s.as_buffer(), np.float32)
-    yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([slopes.tobytes()], pa.binary())], names=["loss", "slopes"])
-
-
 def minimise(value, x: np.ndarray, rounds: int, memory: int = 5) -> np.ndarray:
     """The least of a smooth convex function (``value`` gives it with its slopes), by steps of limited-memory BFGS."""
     f, g = value(x)
@@ -154,44 +106,58 @@ def minimise(value, x: np.ndarray, rounds: int, memory: int = 5) -> np.ndarray:
             size /= 2
         if float((new - x) @ (g_new - g)) > 0:
             past = [*past, (new - x, g_new - g)][-memory:]
-        done = f - f_new < 1e-4 * abs(f)
+        done = f - f_new < 1e-3 * abs(f)
         x, f, g = new, f_new, g_new
         if done:
             break
     return x
 
 
-def fit(sample: DataFrame, *, parts: int = 16, ridge: float = 1.0, rounds: int = 25) -> Model:
+def _fitted(ridge: float, rounds: int):
+    """One task: the whole of a bounded sample in, one row of weights out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, label = [], np.zeros(0)
+        for rows, buf, offs in text_slices(batches, most=1 << 17):
+            row, bins = present(buf, offs)
+            parts.append((len(label), rows.num_rows, row.astype(np.int32), bins.astype(np.int32)))
+            label = np.append(label, rows.column("label").to_numpy())
+        ones = label.sum()
+        zeros = len(label) - ones
+        share = min(max(ones / max(1, len(label)), 1e-9), 1 - 1e-9)
+        x = np.append(np.zeros(BINS), np.log(share / (1 - share)))
+        if ones and zeros:
+            counts = np.zeros((2, BINS))
+            for at, _, row, bins in parts:
+                counts += np.bincount(bins + BINS * label[at + row].astype(np.int64), minlength=2 * BINS).reshape(2, BINS)
+            # of bins that the sample lacks there is nothing to learn
+            ratio = np.where(counts.any(axis=0), np.log((counts[1] + 1) / (ones + 2)) - np.log((counts[0] + 1) / (zeros + 2)), 0)
+            scale, keep = np.append(ratio, 1), np.append(np.full(BINS, ridge), 0)
+
+            def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+                weights, slopes, loss = w * scale, np.zeros(BINS + 1), 0.0
+                for at, n, row, bins in parts:
+                    z = weights[-1] + np.bincount(row, weights[bins], n)
+                    own = label[at : at + n]
+                    loss += float((np.logaddexp(0, z) - own * z).sum())
+                    off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - own
+                    slopes[:-1] += np.bincount(bins, off[row], BINS)
+                    slopes[-1] += off.sum()
+                return loss + 0.5 * float(keep @ (w * w)), slopes * scale + keep * w
+
+            x = minimise(value, np.zeros(BINS + 1), rounds) * scale
+        yield pa.RecordBatch.from_arrays([pa.array([x[:-1].astype(np.float32).tobytes()], pa.binary()), pa.array([float(x[-1])])], names=["weights", "base"])
+
+    return run
+
+
+def fit(sample: DataFrame, *, ridge: float = 1.0, rounds: int = 15) -> Model:
     """Fit the model to ``(text, label)`` rows, whose number the caller bounds."""
-    spark = sample.sparkSession
-    sample = cut(sample.repartition(parts, "__id").select("text", "label"), "labelled")
-    size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    ones, zeros = size.get(1, 0), size.get(0, 0)
-    if not ones or not zeros:
-        share = min(max(ones / max(1, ones + zeros), 1e-9), 1 - 1e-9)
-        return Model(np.zeros(BINS, np.float32), float(np.log(share / (1 - share))))
-    counts = sample.mapInArrow(_class_counts, "bin long, n0 long, n1 long")
-    counts = counts.groupBy("bin").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    # at most BINS rows
-    found = counts.select(F.col("bin").cast("int"), (F.log((F.col("n1") + 1) / (ones + 2)) - F.log((F.col("n0") + 1) / (zeros + 2))).cast("float").alias("ratio")).toArrow()
-    ratio = np.zeros(BINS + 1, np.float32)
-    ratio[found.column("bin").to_numpy()] = found.column("ratio").to_numpy()
-    ratio[-1] = 1  # of the intercept
-    stored = cut(sample.mapInArrow(_bins, "label int, bins array<int>"), "bins")
-    keep = np.full(BINS + 1, ridge, np.float32)
-    keep[-1] = 0
-
-    def value(x: np.ndarray) -> tuple[float, np.ndarray]:
-        sent = spark.sparkContext.broadcast(((x * ratio)[:-1], float(x[-1])))
-        kind = "loss double, slopes binary"
-        got = stored.mapInArrow(_slopes(sent), kind).repartition(2).mapInArrow(_summed, kind).toArrow()  # a row for each task
-        sent.destroy()
-        slopes = sum(np.frombuffer(s.as_buffer(), np.float32) for s in got.column("slopes"))
-        return sum(got.column("loss").to_pylist()) + 0.5 * float(keep @ (x * x)), slopes * ratio + keep * x
-
-    x = minimise(value, np.zeros(BINS + 1, np.float32), rounds)
-    discard(sample, stored)
-    return Model((x * ratio)[:-1], float(x[-1]))
+    rows = sample.select("__id", "text", "label").repartition(1).sortWithinPartitions("__id").select("text", "label")
+    found = rows.mapInArrow(_fitted(ridge, rounds), "weights binary, base double").collect()
+    if not found:  # no rows, no task
+        return Model(np.zeros(BINS, np.float32), float(np.log(1e-9 / (1 - 1e-9))))
+    return Model(np.frombuffer(bytes(found[0]["weights"]), np.float32), found[0]["base"])
 
 
 def toxicity(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
