@@ -51,3 +51,15 @@ e AS (SELECT c.source, c.bucket AS last, (x.rest - c.upto + c.words) / c.words A
 SELECT b.doc_id, b.size, x.source_size, x.target, CAST(x.whole * b.size + CASE WHEN b.bucket < coalesce(e.last, -1) THEN b.size WHEN b.bucket = e.last THEN CAST(floor(b.size * e.share + b.part) AS BIGINT) ELSE 0 END AS BIGINT) AS taken
 FROM b JOIN x ON x.source IS NOT DISTINCT FROM b.source LEFT JOIN e ON e.source IS NOT DISTINCT FROM b.source
 """
+
+URL_FILTERS = r"""
+WITH p AS (SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '://[^?#]*\?([^#]*)', 1), '&'),
+    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|referrer|fbclid|gclid|mc_cid|mc_eid)(=|\z)'))) AS q FROM pages),
+c AS (SELECT page_id, host, path, regexp_replace(host, '^www\.|\.?(:(80|443)?)?\z', '', 'g') || regexp_replace(path, '/+\z', '') || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS form FROM p),
+listed AS (SELECT DISTINCT form FROM c WHERE regexp_matches(host, '(^|\.)(ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.')),
+rules(says, h, t) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (SELECT page_id, arg_max(h || t, len(h || t)) AS rule, arg_max(says, len(h || t)) AS says FROM c JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, t) GROUP BY 1)
+SELECT c.page_id, host, path, rule, coalesce(says, CASE WHEN listed.form IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN fits USING (page_id) LEFT JOIN listed ON listed.form = c.form
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, substrings, tokencount, toxicity
+from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, substrings, tokencount, toxicity, urls
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
@@ -17,6 +17,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_decontamination": oracles.DECONTAMINATION,
     "op9_exact_top_k": oracles.TOP_K,
     "op10_mix_sources": oracles.MIXING,
+    "op11_url_filters": oracles.URL_FILTERS,
 }
 
 
@@ -92,4 +93,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources)}
+#: Rules of op11 (verdict, host, path), and the sites whose pages its list holds.
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+LISTED_SITES = ("ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(urls.host(F.col("url")).rlike(rf"(^|\.)({'|'.join(LISTED_SITES)})\."))
+    return urls.judge_urls(pages, listed, URL_RULES).drop("url")
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources, op11_url_filters)}
