@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, substrings, tokencount, toxicity, urls
+from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, repair, substrings, tokencount, toxicity, urls
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
@@ -104,4 +104,8 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, listed, URL_RULES).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources, op11_url_filters)}
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources, op11_url_filters, op12_conversation_repair)}
