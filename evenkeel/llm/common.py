@@ -140,6 +140,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def prefix_powers(n: int) -> np.ndarray:
+    """Odd factors that tell the places of a sequence apart."""
+    return _powers(n)[0]
+
+
 def inverse_powers(n: int) -> np.ndarray:
     """Factors that take the place of a span out of a difference of ``prefix_hashes``."""
     return _powers(n)[1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, repair, substrings, tokencount, toxicity, urls
+from evenkeel.llm import decontam, knn, lm, mixing, neardup, oracles, pii, quality, repair, substrings, tokencount, toxicity, trie, urls
 from evenkeel.llm.common import cut, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
@@ -108,4 +108,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_digests(repair.damage(table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources, op11_url_filters, op12_conversation_repair)}
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    paths = trie.turn_paths(table(spark, sf_dir, "conversations"), leader=conv - conv % 20, head=F.crc32(F.encode(conv.cast("string"), "utf-8")) % 4)
+    return trie.prefix_trie(paths)
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_pii, op3_minhash_neardup, op4_quality, op5_toxicity, op6_decontamination, op7_token_counts, op8_suffix_dedup, op9_exact_top_k, op10_mix_sources, op11_url_filters, op12_conversation_repair, op13_conversation_trie)}
