@@ -63,3 +63,45 @@ fits AS (SELECT page_id, arg_max(h || t, len(h || t)) AS rule, arg_max(says, len
 SELECT c.page_id, host, path, rule, coalesce(says, CASE WHEN listed.form IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM c LEFT JOIN fits USING (page_id) LEFT JOIN listed ON listed.form = c.form
 """
+
+_WORD_COUNT = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
+#: CRC-32 of an ASCII text, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda ch: ascii(ch)::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE kinds AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC32.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, right(rtrim(text, E' \t\n\x0b\x0c\r'), 1) AS last FROM damaged),
+t AS (SELECT conv_id, turn, role, text, i, left(role, 1) AS r, CASE WHEN last = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM numbered),
+counts AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM (SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM t) GROUP BY 1),
+moves(k, c, next) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+before(state, k, n) AS (VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1), (3, 3, 0), (3, 2, 1)),
+edits AS (SELECT conv_id, i, state, next, 2 * n + cost AS cost, repeat('I', n) || letter AS letters FROM (
+  SELECT conv_id, i, k, k AS next, 3 AS cost, 'D' AS letter FROM t, (VALUES (0), (1), (2), (3)) AS s(k)
+  UNION ALL SELECT conv_id, i, k, next, CASE WHEN c = r THEN 0 ELSE 2 END + CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END, CASE WHEN c = r THEN 'K' ELSE 'R' END FROM t JOIN moves ON c = r OR c <> 's' WHERE fault IN ('', 'truncated')) JOIN before USING (k)),
+best AS (SELECT conv_id, n + 1 AS i, state, lpad(cost::VARCHAR, 12, '0') || audit AS b FROM counts, (VALUES (0, 0, ''), (1, 4, 'II'), (2, 2, 'I'), (3, 0, '')) AS e(state, cost, audit)
+  UNION ALL SELECT e.conv_id, e.i, e.state, min(lpad((left(best.b, 12)::BIGINT + e.cost)::VARCHAR, 12, '0') || e.letters || substr(best.b, 13)) FROM best JOIN edits e ON e.conv_id IS NOT DISTINCT FROM best.conv_id AND e.i = best.i - 1 AND e.next = best.state GROUP BY 1, 2, 3),
+audits AS (SELECT conv_id, left(b, 12)::BIGINT AS cost, substr(b, 13) AS audit FROM best WHERE i = 1 AND state = 0),
+letters AS (SELECT conv_id, p, x, sum(CASE WHEN x = 'I' THEN 0 ELSE 1 END) OVER w AS i, sum(CASE WHEN x = 'D' THEN 0 ELSE 1 END) OVER w AS place, length(replace(audit, 'D', '')) % 2 AS odd
+  FROM (SELECT conv_id, audit, unnest(string_split(audit, '')) AS x, unnest(range(length(audit))) AS p FROM audits WHERE audit <> '') WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+turns AS (SELECT l.conv_id, l.place, CASE WHEN x = 'K' THEN t.role WHEN (l.place - 1) % 2 = odd THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE t.text END AS line FROM letters l LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM l.conv_id AND t.i = l.i WHERE x <> 'D'),
+texts AS (SELECT conv_id, string_agg(line, E'\n' ORDER BY place) AS s FROM turns GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(s, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN audits ON audits.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+CONVERSATION_TRIE = f"""
+WITH own AS (SELECT conv_id, {_WORD_COUNT.format("coalesce(text, '')")} AS words, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS print, turn, coalesce(role, '') AS role FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, print) AS pos FROM own),
+c AS (SELECT conv_id, {_CRC32.format("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+r AS (SELECT c.conv_id, pos, print, words FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos <= h UNION ALL SELECT c.conv_id, pos, print, words FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+p AS (SELECT c.conv_id, coalesce(path, []) AS path, coalesce(words, []) AS words FROM c LEFT JOIN (SELECT conv_id, list(print ORDER BY pos) AS path, list(words ORDER BY pos) AS words FROM r GROUP BY 1) USING (conv_id)),
+m AS (SELECT conv_id, path, d, path[1:d] AS node, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS w FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM p)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(w) AS saved, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = d), '')) AS ends_sha256 FROM m GROUP BY 1, 2),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+a AS (SELECT n.node[1:u] AS node, sum(saved) AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves FROM (SELECT *, unnest(range(0, d + 1)) AS u FROM n) n LEFT JOIN k ON k.node = n.node GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, parent.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN a ON a.node = n.node LEFT JOIN k ON k.node = n.node LEFT JOIN n parent ON n.d > 0 AND parent.node = n.node[1:n.d - 1]
+"""

@@ -18,6 +18,8 @@ ORACLE_SQL: dict[str, str] = {
     "op9_exact_top_k": oracles.TOP_K,
     "op10_mix_sources": oracles.MIXING,
     "op11_url_filters": oracles.URL_FILTERS,
+    "op12_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op13_conversation_trie": oracles.CONVERSATION_TRIE,
 }
 
 
