@@ -12,7 +12,8 @@ from evenkeel.functions.canonical import row_hash
 from evenkeel.operators import apply, catalog, delta, evidence, history, mapping, validate
 from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, Identity, TablePlan
 from evenkeel.queries.derive import CUSTOMER, ORDERS, derived, evidence_digest_sql, row_hash_sql, table, target_sql
-from evenkeel.sources import captures, snapshots
+from evenkeel.sources import buckets, captures, snapshots
+from evenkeel.streaming.upsert import upsert_batch
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -205,3 +206,23 @@ def compare_schema_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     before, after = hashes(F.col("o_orderstatus")), hashes(F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
     return evidence.compare_values(before, after, "table", "sha256", "schema-hash").select("table", "check", "code")
+
+
+@_query(f"""WITH old AS (SELECT o_orderkey, o_orderstatus, 0 AS at FROM {target_sql('orders')}),
+    one AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE 'V' END AS o_orderstatus, 2 AS at FROM orders WHERE o_orderkey % 5 < 2),
+    two AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 11 = 0),
+    first AS (SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM one) UNION ALL SELECT * FROM one WHERE o_orderkey % 5 = 0)
+    SELECT * FROM first WHERE o_orderkey NOT IN (SELECT o_orderkey FROM two)""")
+def upserts_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in buckets after two batches of changes (of a key's rows in a batch the last counts), one of them delivered twice."""
+    names = ["o_orderkey", "o_orderstatus", "at"]
+    orders = table(spark, sf_dir, "orders")
+    held = buckets.BucketTable(_root(spark), "orders", ("o_orderkey",), 16)
+    buckets.load(derived(orders, "o_orderkey", "o_orderstatus", "'X'").withColumn("at", F.lit(0)).select(*names), held)
+    some = orders.where("o_orderkey % 5 < 2")
+    early = some.select("o_orderkey", F.lit("W").alias("o_orderstatus"), F.lit(1).alias("at"), F.lit("upsert").alias("op"))
+    late = some.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, "U").otherwise("V").alias("o_orderstatus"), F.lit(2).alias("at"), F.when(F.col("o_orderkey") % 5 == 0, "upsert").otherwise("delete").alias("op"))
+    gone = orders.where("o_orderkey % 11 = 0").select("o_orderkey", F.lit(None).cast("string").alias("o_orderstatus"), F.lit(3).alias("at"), F.lit("delete").alias("op"))
+    for batch, df in ((0, early.unionAll(late)), (1, gone), (0, early)):
+        upsert_batch(df, batch, held, "at")
+    return buckets.read_buckets(spark, held).select(*names)

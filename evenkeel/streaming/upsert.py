@@ -1,42 +1,27 @@
-"""Keyed change rows from a stream, applied to a snapshot table batch by batch, each batch once."""
+"""Keyed change rows from a stream, added to a table in hash buckets batch by batch, each batch once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from evenkeel.operators.apply import upsert_rows
-from evenkeel.sources.snapshots import current_state, publish, stage
+from evenkeel.sources.buckets import BucketTable, append_changes, compact
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, root: str, table: str, keys: list[str], order: str) -> bool:
-    """Apply one batch; false if it was applied before.
+def upsert_batch(batch: DataFrame, batch_id: int, table: BucketTable, order: str, ratio: float = 0.5, most_changes: int = 8) -> bool:
+    """Add one batch, and compact the buckets that are due; false if the batch was added before.
 
-    Version and batch number stand in one pointer file, so a batch that is
-    delivered again after a crash finds its number and changes nothing.
+    The manifest and the batch number stand in one pointer file, so a batch that
+    is delivered again after a crash finds its number and changes nothing. Only
+    buckets that the batch touches get files.
     """
-    spark = batch.sparkSession
-    _, state = current_state(spark, root)
-    versions = state["versions"]
-    if state["batches"].get(table, -1) >= batch_id:
+    if not append_changes(batch, table, order, batch_id):
         return False
-    changes = batch.where(F.col("op") != "delete").drop("op")
-    if table in versions:
-        old = spark.read.parquet(f"{root}/{versions[table]}")
-        latest = batch.groupBy(*keys).agg(F.max_by("op", order).alias("op"))
-        old = old.join(latest.select(*keys), keys, "left_anti")
-        kept = changes.join(latest.where("op <> 'delete'").select(*keys), keys, "left_semi")
-        new = upsert_rows(old, kept, keys, order)
-    else:
-        latest = batch.groupBy(*keys).agg(F.max_by("op", order).alias("op")).where("op <> 'delete'")
-        new = upsert_rows(changes.limit(0), changes.join(latest.select(*keys), keys, "left_semi"), keys, order)
-    folder = stage(new, root, table)
-    publish(spark, root, {table: folder}, {table: versions.get(table)}, {table: batch_id})
+    compact(batch.sparkSession, table, ratio, most_changes)
     return True
 
 
-def upsert_stream(changes: DataFrame, root: str, table: str, keys: list[str], order: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def upsert_stream(changes: DataFrame, table: BucketTable, order: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Start the stream; change rows have the table's columns and ``op`` (upsert or delete), and ``order`` tells the last one."""
-    writer = changes.writeStream.foreachBatch(lambda df, i: upsert_batch(df, i, root, table, keys, order) and None).option("checkpointLocation", checkpoint)
+    writer = changes.writeStream.foreachBatch(lambda df, i: upsert_batch(df, i, table, order) and None).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()

@@ -8,7 +8,6 @@ from evenkeel.operators import apply, delta, evidence
 from evenkeel.operators.violations import ContractError
 from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, Identity, TablePlan
 from evenkeel.sources import captures, snapshots
-from evenkeel.streaming.upsert import upsert_batch, upsert_stream
 
 PLAN = TablePlan("t", (Column("id", "bigint", False), Column("v", "text")), ("id",))
 
@@ -58,27 +57,6 @@ def test_archive(spark, tmp_path):
     assert archive.count() == 4 and left.count() == 6
 
 
-def test_batches_apply_once(spark, tmp_path):
-    root = f"file://{tmp_path}"
-    one = spark.createDataFrame([(1, "a", "upsert", 1), (2, "b", "upsert", 1), (1, "c", "upsert", 2)], "id long, v string, op string, at int")
-    assert upsert_batch(one, 0, root, "t", ["id"], "at")
-    assert not upsert_batch(one, 0, root, "t", ["id"], "at")
-    two = spark.createDataFrame([(2, "b", "delete", 3), (3, "d", "upsert", 3)], one.schema)
-    assert upsert_batch(two, 1, root, "t", ["id"], "at")
-    now = spark.read.parquet(f"{root}/{snapshots.current_versions(spark, root)['t']}")
-    assert sorted((r["id"], r["v"]) for r in now.collect()) == [(1, "c"), (3, "d")]
-
-
-def test_stream(spark, tmp_path):
-    root, inbox = f"file://{tmp_path}/root", f"{tmp_path}/in"
-    rows = spark.createDataFrame([(1, "a", "upsert", 1), (2, "b", "upsert", 1)], "id long, v string, op string, at int")
-    rows.write.parquet(inbox)
-    changes = spark.readStream.schema(rows.schema).parquet(inbox)
-    for _ in range(2):  # the second run finds nothing new
-        upsert_stream(changes, root, "t", ["id"], "at", f"{tmp_path}/cp").awaitTermination(60)
-    assert spark.read.parquet(f"{root}/{snapshots.current_versions(spark, root)['t']}").count() == 2
-
-
 def test_pointers_survive_a_crash_and_other_publishers(spark, tmp_path, monkeypatch):
     root = f"file://{tmp_path}"
     publish = lambda name, **more: snapshots.publish(spark, root, {name: f"{name}/v"}, **more)
