@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canonical import key_hash, row_hash
-from evenkeel.operators.delta import adopt, key_violations, resolve_ops, survivors
-from evenkeel.operators.evidence import compare_evidence, database_evidence, table_evidence
+from evenkeel.operators.delta import adopt, key_violations, operations_sha256, resolve_ops, survivors
+from evenkeel.operators.evidence import compare_evidence, compare_values, database_evidence, table_evidence
 from evenkeel.operators.history import database_rollup
+from evenkeel.operators.ledger import LEDGER, database_ledger, ledger_violations
 from evenkeel.operators.validate import set_difference
 from evenkeel.operators.violations import ContractError, empty, require_none, violation
 from evenkeel.plans.table_plan import DatabasePlan, TablePlan, parent_first
@@ -19,6 +20,7 @@ from evenkeel.sources.snapshots import current_state, current_versions, publish,
 
 JOURNAL = "database string, plan_id string, plan_sha256 string, operations_sha256 string, evidence_sha256 string, committed_at timestamp"
 FENCES = "database string, schema_plan_sha256 string, target_schema_sha256 string, target_generation bigint, target_observation_sha256 string"
+LEDGERS = f"database string, plan_id string, {LEDGER}"
 SEQUENCES = "database string, table string, column string, next_value bigint"
 
 
@@ -183,7 +185,7 @@ def aligned_sequences(database: str, tables: Mapping[str, tuple[DataFrame, Table
 def apply_database(spark: SparkSession, root: str, db: DatabasePlan, sources: Mapping[str, DataFrame], ops: Mapping[str, DataFrame], checkpoint: Checkpoint) -> str:
     """Apply the plan of a whole database once: ``applied``, or ``replayed`` if it was applied before.
 
-    In this order: a plan of the journal is not applied again, and the target
+    In this order: the operations must be those whose hash the checkpoint holds; a plan of the journal is not applied again, and the target
     must still be what was committed; the stored fence must be that of the plan;
     keys must be filled and unique; operations must still hold; the new tables
     must equal their sources. Only then new tables, sequences, fence and journal
@@ -195,6 +197,8 @@ def apply_database(spark: SparkSession, root: str, db: DatabasePlan, sources: Ma
     stored = lambda name, schema: spark.read.schema(schema).parquet(f"{root}/{versions[name]}") if name in versions else empty(spark, schema)
     at = lambda name: spark.read.parquet(f"{root}/{versions[name]}")
     journal, fences = stored("_journal", JOURNAL), stored("_fence", FENCES)
+    if operations_sha256(ops) != checkpoint.operations_sha256:
+        raise ContractError({"canonical_delta_plan_conflict": 1})
     known = replay_state(journal, own.select("database", "plan_id", "plan_sha256", "operations_sha256")).first()["state"]
     if known == "conflict":
         raise ContractError({"canonical_delta_plan_conflict": 1})
@@ -218,12 +222,43 @@ def apply_database(spark: SparkSession, root: str, db: DatabasePlan, sources: Ma
     row = own.select("database", "plan_id", "plan_sha256", "operations_sha256", F.lit(said).alias("evidence_sha256"), F.current_timestamp().alias("committed_at"))
     fence = own.select("database", "schema_plan_sha256", "target_schema_sha256", (F.col("target_generation") + 1).alias("target_generation"), F.lit(said).alias("target_observation_sha256"))
     sequences = upsert_rows(stored("_sequences", SEQUENCES), aligned_sequences(checkpoint.database, written), ["database", "table", "column"])
-    for name, df in (("_journal", journal.unionByName(row)), ("_fence", upsert_rows(fences, fence, ["database"])), ("_sequences", sequences)):
+    ledger = database_ledger(written).select(F.lit(checkpoint.database).alias("database"), F.lit(checkpoint.plan_id).alias("plan_id"), "*")
+    ledgers = stored("_ledger", LEDGERS).where(F.col("database") != checkpoint.database).unionByName(ledger)
+    for name, df in (("_journal", journal.unionByName(row)), ("_fence", upsert_rows(fences, fence, ["database"])), ("_sequences", sequences), ("_ledger", ledgers)):
         staged[name] = stage(df.coalesce(1), root, name)  # a row for each plan, database, identity column
     publish(spark, root, staged, {n: versions.get(n) for n in staged})
     return "applied"
 
 
+def reconcile(spark: SparkSession, root: str, db: DatabasePlan, checkpoint: Checkpoint, sources: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Violations of a target against its committed plan, or, with ``sources``, against these.
+
+    A live source goes on after a plan is applied, so bound to the checkpoint
+    the committed evidence is what counts: the target's tables are added up and
+    held against the ledger that was published with the plan, their evidence
+    against the journal's hash, and the sequences against the values in use.
+    """
+    _, state = current_state(spark, root)
+    versions = state["versions"]
+    stored = lambda name, schema: spark.read.schema(schema).parquet(f"{root}/{versions[name]}") if name in versions else empty(spark, schema)
+    mine = (F.col("database") == checkpoint.database) & (F.col("plan_id") == checkpoint.plan_id)
+    said = stored("_journal", JOURNAL).where(mine & (F.col("plan_sha256") == checkpoint.plan_sha256) & (F.col("operations_sha256") == checkpoint.operations_sha256)).first()
+    if said is None:
+        raise ContractError({"canonical_delta_checkpoint_missing": 1})
+    tables = {n: (spark.read.parquet(f"{root}/{versions[n]}"), p) for n, p in db.tables.items()}
+    now = database_evidence(tables)
+    if sources is not None:
+        bad = compare_evidence(database_evidence({n: (sources[n], p) for n, p in db.tables.items()}), now)
+    else:
+        bad = ledger_violations(stored("_ledger", LEDGERS).where(mine).drop("database", "plan_id"), database_ledger(tables))
+        if evidence_hash(now) != said["evidence_sha256"]:
+            bad = bad.unionByName(spark.range(1).select(*violation(checkpoint.database, "checkpoint", "canonical_delta_checkpoint_drift", F.lit(said["evidence_sha256"]))))
+    key = F.concat_ws(".", "table", "column").alias("name")
+    used = aligned_sequences(checkpoint.database, tables).select(key, "next_value")
+    held = stored("_sequences", SEQUENCES).where(F.col("database") == checkpoint.database).select(key, "next_value")
+    return bad.unionByName(compare_values(held, used, "name", "next_value", "sequence"))
+
+
 def adopt_and_publish(spark: SparkSession, source: DataFrame, plan: TablePlan, root: str, id_col: str, key_col: str) -> tuple[int, int]:
     """Insert what the table lacks of ``source``, prove the result equal to it, set the next identity; (inserted, replayed)."""
     _, state = current_state(spark, root)

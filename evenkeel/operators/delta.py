@@ -6,7 +6,10 @@ are joined, so payload columns are never shuffled for planning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canonical import fingerprints, key_hash, row_hash
@@ -52,17 +55,35 @@ def _kind(source: Column, target: Column) -> Column:
 
 
 def compare_tables(source: DataFrame, target: DataFrame, plan: TablePlan) -> DataFrame:
-    """Every key of either side with its hashes and kind, unchanged rows included."""
+    """Every key of either side with its hashes and kind, unchanged rows included; a null or repeated key stops the job."""
+    return compare_fingerprints(fingerprints(typed_keys(source, plan), plan), fingerprints(typed_keys(target, plan), plan), plan)
+
+
+def _sound(prints: DataFrame, plan: TablePlan, side: str) -> DataFrame:
+    """Fingerprints whose keys are filled and unique. Rows are counted by key in the exchange and sort that the join needs anyway."""
+    keys, filled = [F.col(f"`{k}`") for k in require_key(plan)], F.lit(True)
+    for k in keys:
+        filled = filled & k.isNotNull()
+    n = F.count("*").over(Window.partitionBy(*keys))
+    bad = F.when(~filled, F.raise_error(F.lit(f"delta_primary_key_null: {plan.name}, {side}"))).when(F.col("__n") > 1, F.raise_error(F.lit(f"delta_duplicate_key: {plan.name}, {side}")))
+    return prints.withColumn("__n", n).withColumn("row_sha256", F.coalesce(bad.cast("string"), "row_sha256")).drop("__n")
+
+
+def compare_fingerprints(source: DataFrame, target: DataFrame, plan: TablePlan) -> DataFrame:
+    """``compare_tables`` of keys and hashes."""
     keys = list(require_key(plan))
-    s = fingerprints(typed_keys(source, plan), plan).withColumnsRenamed({"key_sha256": "__sk", "row_sha256": "source_row_sha256"})
-    t = fingerprints(typed_keys(target, plan), plan).withColumnsRenamed({"key_sha256": "__tk", "row_sha256": "target_row_sha256"})
+    s = _sound(source, plan, "source").withColumnsRenamed({"key_sha256": "__sk", "row_sha256": "source_row_sha256"})
+    t = _sound(target, plan, "target").withColumnsRenamed({"key_sha256": "__tk", "row_sha256": "target_row_sha256"})
     both = s.join(t, keys, "full_outer")
     kind = _kind(F.col("source_row_sha256"), F.col("target_row_sha256"))
     return both.select(*[f"`{k}`" for k in keys], kind.alias("kind"), F.coalesce("__sk", "__tk").alias("key_sha256"), "source_row_sha256", "target_row_sha256")
 
 
 def plan_delta(source: DataFrame, target: DataFrame, plan: TablePlan) -> DataFrame:
-    """The operations: key columns, kind, key_sha256, source_row_sha256, target_row_sha256. Unchanged rows have none."""
+    """The operations: key columns, kind, key_sha256, source_row_sha256, target_row_sha256. Unchanged rows have none.
+
+    A plan is not made over null or repeated keys: the job ends with ``delta_primary_key_null`` or ``delta_duplicate_key``.
+    """
     return compare_tables(source, target, plan).where("kind <> 'unchanged'")
 
 
@@ -103,6 +124,12 @@ def operations_hash(ops: DataFrame) -> DataFrame:
     return joined(joined(runs, ["part"], "run", "d", "e"), [], "part", "e", "operations_sha256")
 
 
+def operations_sha256(ops: Mapping[str, DataFrame]) -> str:
+    """One hash of the operations of a database's tables: of ``table:hash`` in order, joined by ``|``."""
+    lines = [f"{name}:{operations_hash(df).first()['operations_sha256']}" for name, df in ops.items()]  # a hash for each table
+    return hashlib.sha256("|".join(sorted(lines)).encode()).hexdigest()
+
+
 def shape_violations(ops: DataFrame, table: str) -> DataFrame:
     """Operations whose hashes are not those of their kind, or are not hashes."""
     hashed = lambda c: F.coalesce(F.col(c).rlike("^[0-9a-f]{64}$"), F.lit(False))

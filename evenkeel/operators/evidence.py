@@ -53,12 +53,13 @@ def limb_sums(h: Column) -> list[Column]:
 
 
 def multiset_digest(limbs: list[Column]) -> Column:
-    """SHA-256 of the 32 bytes of a sum modulo 2**256, from the sums of its parts."""
-    carry, words = F.lit(0).cast("decimal(38,0)"), []
+    """SHA-256 of the 32 bytes of a sum modulo 2**256, from the sums of its parts, which may be negative."""
+    carry, words, base = F.lit(0).cast("decimal(38,0)"), [], F.lit(1 << 32).cast("decimal(20,0)")
     for limb in reversed(limbs):
         total = (limb + carry).cast("decimal(38,0)")
-        carry = F.floor(total / F.lit(1 << 32)).cast("decimal(38,0)")
-        words.append((total - carry * F.lit(1 << 32).cast("decimal(20,0)")).cast("bigint"))
+        word = F.pmod(total, base)
+        carry = ((total - word) / base).cast("decimal(38,0)")  # a whole number: nothing is rounded
+        words.append(word.cast("bigint"))
     return F.sha2(F.unhex(F.concat(*[F.lpad(F.hex(w), 8, "0") for w in reversed(words)])), 256)
 
 
@@ -70,7 +71,7 @@ def table_evidence(df: DataFrame, plan: TablePlan, digest: str = "none", parents
     """
     hashed = df.select(*[f"`{c}`" for c in plan.names], row_hash(plan.columns).alias("__row"))
     nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"__null_{i}") for i, c in enumerate(plan.names)]
-    related = [F.count_if(_filled(fk.columns)).alias(f"__fk_{i}") for i, fk in enumerate(plan.foreign_keys)]
+    related = [F.count_if(filled(fk.columns)).alias(f"__fk_{i}") for i, fk in enumerate(plan.foreign_keys)]
     one = hashed.agg(F.count("*").alias("row_count"), *limb_sums(F.col("__row")), *nulls, *related)
     counts = lambda names, prefix: (
         F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(f"{prefix}{i}") for i in range(len(names))]))
@@ -94,7 +95,8 @@ def table_evidence(df: DataFrame, plan: TablePlan, digest: str = "none", parents
     return one
 
 
-def _filled(columns: tuple[str, ...]) -> Column:
+def filled(columns: tuple[str, ...]) -> Column:
+    """True where all of ``columns`` have a value."""
     out = F.lit(True)
     for c in columns:
         out = out & F.col(f"`{c}`").isNotNull()
@@ -146,16 +148,43 @@ def database_evidence(tables: Mapping[str, tuple[DataFrame, TablePlan]], digest:
     return out
 
 
+#: Hex digits that name a leaf and an inner node of a digest tree: 65,536 leaves, 256 nodes.
+LEAF, INNER = 4, 2
+
+
+def leaf_digests(rows: DataFrame, ranges: str, content: str) -> DataFrame:
+    """``prefix, rows, sha256`` of each leaf that has rows."""
+    sums = rows.groupBy(F.substring(ranges, 1, LEAF).alias("prefix")).agg(F.count("*").alias("rows"), *limb_sums(F.col(content)))
+    return sums.select("prefix", "rows", multiset_digest([F.col(f"limb_{i}") for i in range(_LIMBS)]).alias("sha256"))
+
+
+def above(nodes: DataFrame, prefix: Column) -> DataFrame:
+    """The digests of nodes of a tree, joined by a shorter prefix: at most 256 below each."""
+    line = F.concat_ws("|", "prefix", F.col("rows").cast("string"), "sha256")
+    return nodes.groupBy(prefix.alias("prefix")).agg(F.sum("rows").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("sha256"))
+
+
+def root_digest(leaves: DataFrame) -> DataFrame:
+    """One row, ``rows, sha256``; the empty text's hash for no rows."""
+    inner = above(leaves, F.substring("prefix", 1, INNER))
+    line = F.concat_ws("|", "prefix", F.col("rows").cast("string"), "sha256")
+    return inner.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("sha256"))
+
+
 def relation_digest(df: DataFrame, exclude: tuple[str, ...] = (), mode: str = "multiset", hexed: tuple[str, ...] = ()) -> DataFrame:
     """``rows, sha256`` of a table without the columns ``exclude``: rows as JSON, hashed.
 
-    ``sorted`` hashes the sorted hashes as a stream of chunks, in bounded memory
-    for any number of rows; ``multiset`` sums them and needs no order. Columns in ``hexed`` are taken as their
-    bytes in hex, so that a change of type alone leaves the digest as it is.
+    ``multiset`` sums the hashes; ``tree`` is the root of their digest tree, whose
+    nodes say where two tables differ; both are partial sums. ``sorted`` hashes
+    the sorted hashes as a stream, in bounded memory but in one task. Columns in
+    ``hexed`` are taken as their bytes in hex, so that a change of type alone
+    leaves the digest as it is.
     """
     names = [c for c in df.columns if c not in exclude]
     columns = [F.hex(F.encode(f"`{c}`", "UTF-8")).alias(c) if c in hexed else F.col(f"`{c}`") for c in names]
     h = df.select(F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256).alias("h"))
+    if mode == "tree":
+        return root_digest(leaf_digests(h, "h", "h"))
     if mode == "sorted":
         counted = h.groupBy().agg(F.count("*").alias("rows"))
         digest = sorted_sha256(h.withColumn("g", F.lit(0)), ["g"], "h", "").select("sha256")

@@ -97,7 +97,7 @@ def database_applied_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshots.publish(spark, root, {n: snapshots.stage(df, root, n) for n, df in old.items()})
     now = snapshots.read_database(spark, root, db)
     ops = {n: evidence.stored(delta.plan_delta(source[n], now[n], p), "ops") for n, p in _PLANS.items()}
-    check = apply.Checkpoint("main", "plan-1", "1" * 64, "2" * 64, "3" * 64, "4" * 64, 1, "5" * 64)
+    check = apply.Checkpoint("main", "plan-1", "1" * 64, delta.operations_sha256(ops), "3" * 64, "4" * 64, 1, "5" * 64)
     apply.write_fence(spark, root, check)
     states = [apply.apply_database(spark, root, db, source, ops, check) for _ in range(2)]
     journal = snapshots.read_current(spark, root, "_journal", apply.JOURNAL).count()

@@ -94,7 +94,8 @@ def test_a_plan_is_applied_once(spark, tmp_path):
     source = sides(spark, 7, "new")
     ops = {n: delta.plan_delta(source[n], now[n], p) for n, p in DB.tables.items()}
     ops = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in ops.items()}
-    check = apply.Checkpoint("d", "plan-1", "1" * 64, "2" * 64, "3" * 64, "4" * 64, 1, "5" * 64)
+    bound = delta.operations_sha256(ops)
+    check = apply.Checkpoint("d", "plan-1", "1" * 64, bound, "3" * 64, "4" * 64, 1, "5" * 64)
     run = lambda c=check, s=source, o=ops: apply.apply_database(spark, root, DB, s, o, c)
     with pytest.raises(ContractError, match="canonical_delta_fence_stale"):
         run()  # no fence yet
@@ -107,22 +108,33 @@ def test_a_plan_is_applied_once(spark, tmp_path):
     before = snapshots.current_state(spark, root)
     with pytest.raises(ContractError):
         run(s=sides(spark, 8, "new"))  # the source moved on
+    for other in (ops | {"p": ops["p"].where("kind <> 'insert'")}, ops | {"c": ops["p"]}):
+        with pytest.raises(ContractError, match="canonical_delta_plan_conflict"):
+            run(o=other)  # not the operations of the checkpoint
+    with pytest.raises(ContractError, match="canonical_delta_checkpoint_missing"):
+        apply.reconcile(spark, root, DB, check)
     assert snapshots.current_state(spark, root) == before, "a failed run leaves nothing visible"
     assert run() == "applied"
     now = snapshots.read_database(spark, root, DB)
     assert all(delta.plan_delta(source[n], now[n], p).isEmpty() for n, p in DB.tables.items())
     journal = snapshots.read_current(spark, root, "_journal", apply.JOURNAL).collect()
-    assert [(r["plan_id"], r["operations_sha256"]) for r in journal] == [("plan-1", "2" * 64)]
+    assert [(r["plan_id"], r["operations_sha256"]) for r in journal] == [("plan-1", bound)]
     assert snapshots.read_current(spark, root, "_fence", apply.FENCES).first()["target_generation"] == 2
     assert [tuple(r) for r in snapshots.read_current(spark, root, "_sequences", apply.SEQUENCES).collect()] == [("d", "p", "id", 7)]
     after = snapshots.current_state(spark, root)
     assert run() == "replayed" and snapshots.current_state(spark, root) == after, "a second run changes nothing"
+    assert apply.reconcile(spark, root, DB, check).isEmpty() and apply.reconcile(spark, root, DB, check, source).isEmpty()
+    codes = lambda df: {r["code"] for r in df.collect()}
+    assert "row-count-mismatch" in codes(apply.reconcile(spark, root, DB, check, sides(spark, 9, "new"))), "the source went on, the checkpoint holds"
     for other in (replace(check, operations_sha256="6" * 64), replace(check, plan_id="plan-2"), replace(check, plan_sha256="7" * 64)):
         with pytest.raises(ContractError, match="canonical_delta_plan_conflict"):
             run(other)
     snapshots.publish(spark, root, {"p": snapshots.stage(table(spark, 7, "drift"), root, "p")})
     with pytest.raises(ContractError, match="canonical_delta_replay_target_drift"):
         run()
+    assert codes(apply.reconcile(spark, root, DB, check)) == {"ledger-mismatch", "canonical_delta_checkpoint_drift"}
+    snapshots.publish(spark, root, {"p": snapshots.stage(table(spark, 3, "new"), root, "p")})
+    assert codes(apply.reconcile(spark, root, DB, check)) == {"ledger-mismatch", "canonical_delta_checkpoint_drift", "sequence-mismatch"}
 
 
 def test_orphans_are_evidence(spark):
