@@ -235,20 +235,6 @@ def extension_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count(preserve.extension_violations(one, one, {t: ["a"] for t in names}, {t: ["fk"] for t in names}), "code")
 
 
-@_query("SELECT count(*) AS rows, sha256(string_agg(h, '' ORDER BY h)) AS sha256 FROM (SELECT sha256('{\"s_suppkey\":' || s_suppkey || ',\"s_nationkey\":' || s_nationkey || '}') AS h FROM supplier)")
-def relation_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return evidence.relation_digest(rows, ("s_name",), "sorted")
-
-
-@_query("SELECT count(*) AS rows, sha256(string_agg(h, '' ORDER BY h)) AS sha256 FROM (SELECT sha256('{\"c_custkey\":' || c_custkey || ',\"c_mktsegment\":\"' || to_hex(encode(c_mktsegment)) || '\"}') AS h FROM customer)")
-def literal_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evidence.relation_digest(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), (), "sorted", ("c_mktsegment",))
-
-
-ORACLE_SQL["literal_digest"] = ORACLE_SQL["literal_digest"].replace("to_hex(encode(c_mktsegment))", "hex(c_mktsegment)")
-
-
 @_query("SELECT 'events' AS \"table\", 1 AS ordinal, 'event_id' AS \"column\", 'bigint' AS type FROM events HAVING count(*) > 0 UNION ALL SELECT 'events', 2, 'event_type', 'string' FROM events HAVING count(*) > 0")
 def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
