@@ -9,8 +9,6 @@ partitioning, for large ones.
 from __future__ import annotations
 
 import hashlib
-import tempfile
-import uuid
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -18,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canonical import row_hash
+from evenkeel.operators.storage import shared_folder as shared_folder
+from evenkeel.operators.storage import stored
 from evenkeel.operators.validate import fk_orphans
 from evenkeel.operators.violations import VIOLATION, empty
 from evenkeel.plans.table_plan import TablePlan, order_columns
@@ -28,24 +28,6 @@ EXACT_ROWS = 100_000
 _LIMBS = 8
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; on a local master without it, a new one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def limb_sums(h: Column) -> list[Column]:
     """Sums of the eight 32-bit parts of hex hashes, the lowest last; exact for any number of rows."""
     part = lambda i: F.conv(F.substring(h, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)")

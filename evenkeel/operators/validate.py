@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import row_size
+from evenkeel.operators.ordered import with_previous, with_running
 from evenkeel.operators.violations import ContractError, empty, violation
 from evenkeel.plans.table_plan import ForeignKey, TablePlan, Unique
 
@@ -139,32 +140,29 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def key_order_violations(df: DataFrame, ordinal: str, keys: list[str], run: list[str]) -> DataFrame:
     """Rows of inputs with an ordinal whose key does not rise: equal keys are duplicates, lower ones out of order.
 
-    ``run`` names the columns that tell inputs (files, logs, their parts) apart; each is checked by itself, by one task.
+    ``run`` names the columns that tell inputs (files, logs, their parts) apart, none for a single one.
     """
-    w = Window.partitionBy(*run).orderBy(ordinal)
-    key = F.struct(*keys)
-    before = F.lag(key).over(w)
+    key, before = F.struct(*keys), F.col("__before")
     code = F.when(before == key, "delta_duplicate_key").when(before > key, "delta_key_order_invalid")
-    return df.withColumn("code", code).where("code is not null")
+    return with_previous(df, run, ordinal, keys, "__before").withColumn("code", code).where("code is not null").drop("__before")
 
 
 def read_window_violations(windows: DataFrame, run: list[str], ordinal: str = "ordinal", start: str = "started_at", end: str = "completed_at", low: str = "run_started_at", high: str = "run_completed_at") -> DataFrame:
     """Read windows that end before they start, overlap the one before, or leave their run's interval."""
-    before = F.lag(end).over(Window.partitionBy(*run).orderBy(ordinal))
     code = (
         F.when(F.col(end) < F.col(start), "read_window_invalid")
-        .when(before > F.col(start), "read_window_overlap")
+        .when(F.col("__before")[end] > F.col(start), "read_window_overlap")
         .when((F.col(start) < F.col(low)) | (F.col(end) > F.col(high)), "read_window_outside")
     )
-    return windows.withColumn("code", code).where("code is not null")
+    return with_previous(windows, run, ordinal, [end], "__before").withColumn("code", code).where("code is not null").drop("__before")
 
 
 def op_order_violations(log: DataFrame, run: list[str], ordinal: str, rank: str, kind: str = "kind") -> DataFrame:
     """Operations out of foreign-key order: ranks must not fall for upserts, nor rise for deletes."""
     delete = F.col(kind) == "delete"
-    w = Window.partitionBy(*run, delete).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, -1)
-    bad = F.when(delete, F.min(rank).over(w) < F.col(rank)).otherwise(F.max(rank).over(w) > F.col(rank))
-    return log.withColumn("__bad", bad).where("__bad").drop("__bad")
+    signed = F.when(delete, -F.col(rank)).otherwise(F.col(rank))  # either way it must not fall
+    scanned = with_running(log.withColumn("__delete", delete), [*run, "__delete"], ordinal, signed, "max", "__most")
+    return scanned.where(F.col("__most") > signed).drop("__most", "__delete")
 
 
 def first_by_priority(found: DataFrame, group: list[str], code: str = "code", priority: str = "priority") -> DataFrame:
@@ -174,21 +172,20 @@ def first_by_priority(found: DataFrame, group: list[str], code: str = "code", pr
 
 def chain_violations(records: DataFrame, chain: list[str], ordinal: str, own: str, previous: str) -> DataFrame:
     """Records that do not carry the hash of the record before, or whose ordinals have a gap; the first carries none or zeros."""
-    w = Window.partitionBy(*chain).orderBy(ordinal)
-    before, at = F.lag(own).over(w), F.lag(ordinal).over(w)
+    before, at = F.col("__before")[own], F.col("__before")[ordinal]
     none = F.col(previous).isNull() | F.col(previous).rlike("^0+$")
     code = (
         F.when(at.isNull() & ((F.col(ordinal) != 1) | ~none), "chain_start_invalid")
         .when(at.isNotNull() & (F.col(ordinal) != at + 1), "chain_ordinal_gap")
         .when(at.isNotNull() & ~F.col(previous).eqNullSafe(before), "chain_link_broken")
     )
-    return records.withColumn("code", code).where("code is not null")
+    return with_previous(records, chain, ordinal, [own, ordinal], "__before").withColumn("code", code).where("code is not null").drop("__before")
 
 
 def prefix_violations(states: DataFrame, run: list[str], ordinal: str, applied: str = "applied") -> DataFrame:
     """Rows that are not applied while a later one of their run is."""
-    later = F.max(F.col(applied).cast("int")).over(Window.partitionBy(*run).orderBy(ordinal).rowsBetween(1, Window.unboundedFollowing))
-    return states.withColumn("__later", later).where((F.col("__later") == 1) & ~F.col(applied)).drop("__later")
+    scanned = with_running(states, run, ordinal, F.col(applied).cast("int"), "max", "__later", following=True)
+    return scanned.where((F.col("__later") == 1) & ~F.col(applied)).drop("__later")
 
 
 def sequence_next(states: DataFrame) -> DataFrame:
