@@ -10,7 +10,7 @@ from evenkeel.operators.violations import ContractError
 from evenkeel.plans.table_plan import DatabasePlan
 from evenkeel.queries.commits import _PLANS, _root
 from evenkeel.queries.derive import ORDERS, both_sides, compared_sql, derived, evidence_digest_sql, key_hash_sql, row_hash_sql, table, target_sql
-from evenkeel.sources import snapshots
+from evenkeel.sources import artifacts, snapshots
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -133,3 +133,16 @@ def checkpoint_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = apply.reconcile(spark, root, db, check).where("field = 'rows:'").first()
     steps.append(("target drifted", row["code"], int(row["expected"]) - int(row["observed"])))
     return spark.createDataFrame(steps, "step string, outcome string, differences bigint")
+
+
+_LINES_SQL = "SELECT o_custkey % 64 AS part, o_orderkey, o_orderkey || '|' || o_orderpriority || chr(10) AS line FROM orders"
+
+
+@_query(f"SELECT part, sum(strlen(line))::BIGINT AS byte_length, sha256(string_agg(line, '' ORDER BY o_orderkey)) AS observed_sha256 FROM ({_LINES_SQL}) GROUP BY 1")
+def artifact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of exported lines, read back in blocks: each file's length and hash."""
+    folder = _root(spark)
+    lines = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 64).alias("part"), "o_orderkey", F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").drop("o_orderkey").write.partitionBy("part").text(folder)
+    files = artifacts.scan_files(spark, folder, "part-*")
+    return files.select(F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint").alias("part"), "byte_length", "observed_sha256")

@@ -12,6 +12,7 @@ from evenkeel.operators.evidence import compare_evidence, database_evidence, joi
 from evenkeel.operators.validate import set_difference
 from evenkeel.operators.violations import VIOLATION, ContractError, require_none, violation
 from evenkeel.plans.table_plan import TablePlan
+from evenkeel.sources.artifacts import scan_artifacts
 
 MANIFEST = "database string, table string, capture_id string, rows bigint, aggregate_sha256 string, captured_at timestamp"
 
@@ -50,12 +51,6 @@ def snapshot_violations(source: DataFrame, manifest: DataFrame, plan: TablePlan)
     return both.select("table", F.lit("capture").alias("check"), "code", F.col("rows").cast("string").alias("expected"), F.col("now_rows").cast("string").alias("observed"), F.lit(None).cast("string").alias("field"))
 
 
-def scan_artifacts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """``file_name, byte_length, observed_sha256`` of every file below ``path``; one read of each."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("byte_length"), F.sha2("content", 256).alias("observed_sha256"))
-
-
 def export_tables(tables: dict[str, tuple[DataFrame, TablePlan]], folder: str) -> DataFrame:
     """Write tables to a new folder with a sorted manifest of all files and its digest; refused if the folder exists."""
     spark = next(iter(tables.values()))[0].sparkSession
