@@ -12,8 +12,8 @@ from evenkeel.functions.canonical import key_hash, row_hash
 from evenkeel.operators.delta import adopt, key_violations, operations_sha256, resolve_ops, survivors
 from evenkeel.operators.evidence import compare_evidence, compare_values, database_evidence, table_evidence
 from evenkeel.operators.history import database_rollup
-from evenkeel.operators.ledger import LEDGER, database_ledger, ledger_violations
-from evenkeel.operators.validate import set_difference
+from evenkeel.operators.ledger import LEDGER, database_ledger, ledger_violations, measures, observed
+from evenkeel.operators.validate import fk_orphans, set_difference
 from evenkeel.operators.violations import ContractError, empty, require_none, violation
 from evenkeel.plans.table_plan import DatabasePlan, TablePlan, parent_first
 from evenkeel.sources.snapshots import current_state, current_versions, publish, read_current, stage
@@ -118,23 +118,41 @@ class CopyResult:
     rows: int
 
 
+def _copied(source: DataFrame, plan: TablePlan, root: str) -> tuple[str, DataFrame]:
+    """Write a new version in one read of the source; its folder, and the ledger of what was read."""
+    stored = plan.without([c for c in plan.names if c not in plan.stored])
+    rows, said = observed(source.select(*[f"`{c}`" for c in plan.stored]), stored)
+    folder = stage(rows, root, plan.name)
+    got = measures(source.sparkSession.read.parquet(f"{root}/{folder}"), stored)
+    return folder, ledger_violations(said(), got, "shadow_copy_mismatch")
+
+
 def copy_table(source: DataFrame, plan: TablePlan, root: str) -> CopyResult:
-    """Write all stored columns to a new version and count it again."""
-    expected = source.count()
-    folder = stage(source.select(*[f"`{c}`" for c in plan.stored]), root, plan.name)
-    rows = source.sparkSession.read.parquet(f"{root}/{folder}").count()
-    if rows != expected:
-        raise ContractError({"shadow_copy_count_mismatch": 1})
-    return CopyResult(folder, rows)
+    """Write all stored columns to a new version and hold what was written against what was read.
+
+    The source is read once, by the write itself, which counts rows, nulls and
+    references and adds up row hashes; so a source that changes meanwhile does no
+    harm, and the copy is the state that was read.
+    """
+    folder, bad = _copied(source, plan, root)
+    require_none(bad)
+    return CopyResult(folder, source.sparkSession.read.parquet(f"{root}/{folder}").count())
 
 
 def copy_database(spark: SparkSession, source: Mapping[str, DataFrame], db: DatabasePlan, root: str) -> dict[str, CopyResult]:
-    """Copy every table, compare what was written with the source, and only then publish all of it."""
+    """Copy every table in one read, and publish all of them only if each is what was read and no reference lost its parent.
+
+    Tables are read one after the other. Where the source does not give all of
+    them as of one moment (see ``read_database``), references between them show
+    it: a row without a parent raises ``shadow_copy_orphans``.
+    """
     done = {name: copy_table(source[name], plan, root) for name, plan in db.tables.items()}
-    stored = {n: p.without([c for c in p.names if c not in p.stored]) for n, p in db.tables.items()}
-    said = database_evidence({n: (source[n], p) for n, p in stored.items()})
-    got = database_evidence({n: (spark.read.parquet(f"{root}/{done[n].folder}"), p) for n, p in stored.items()})
-    require_none(compare_evidence(said, got))
+    tables = {n: spark.read.parquet(f"{root}/{done[n].folder}") for n in db.tables}
+    orphans = 0
+    for name, plan in db.tables.items():
+        orphans += sum(fk_orphans(tables[name], tables[fk.parent], fk).count() for fk in plan.foreign_keys if fk.parent in tables)
+    if orphans:
+        raise ContractError({"shadow_copy_orphans": orphans})
     publish(spark, root, {n: r.folder for n, r in done.items()})
     return done
 

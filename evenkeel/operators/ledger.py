@@ -11,9 +11,11 @@ against its operations.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canonical import row_hash
@@ -29,12 +31,33 @@ def _entry(table: str, measure: str, name: str, value: Column) -> Column:
     return F.struct(F.lit(table).alias("table"), F.lit(measure).alias("measure"), F.lit(name).alias("name"), value.cast("decimal(38,0)").alias("value"))
 
 
-def measures(df: DataFrame, plan: TablePlan, sign: int = 1) -> DataFrame:
-    """The ledger of some rows of a table; with ``sign`` -1, what they take off."""
-    rows = df.select(*[f"`{c}`" for c in plan.names], row_hash(plan.columns).alias("__row"))
+def _sums(plan: TablePlan) -> list[Column]:
+    """The aggregates of a ledger: n, limb_i, null_i, fk_i."""
     nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(plan.names)]
     related = [F.count_if(filled(fk.columns)).alias(f"fk_{i}") for i, fk in enumerate(plan.foreign_keys)]
-    one = rows.agg(F.count("*").alias("n"), *limb_sums(F.col("__row")), *nulls, *related)
+    return [F.count(F.lit(1)).alias("n"), *limb_sums(row_hash(plan.columns)), *nulls, *related]
+
+
+def observed(df: DataFrame, plan: TablePlan) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df`` that is measured while it is written, and a call that gives its ledger afterwards.
+
+    Put it right before the write: rows are counted by the tasks that write
+    them, each task once, and the source is read no second time.
+    """
+    seen = Observation(f"ledger-{uuid.uuid4().hex}")
+
+    def ledger() -> DataFrame:
+        got = seen.get
+        values = [(ROWS, "", got["n"]), *[(LIMB, str(i), got[f"limb_{i}"]) for i in range(8)]]
+        values += [(NULLS, c, got[f"null_{i}"]) for i, c in enumerate(plan.names)] + [(RELATED, fk.name, got[f"fk_{i}"]) for i, fk in enumerate(plan.foreign_keys)]
+        return df.sparkSession.createDataFrame([(plan.name, m, n, Decimal(v)) for m, n, v in values], LEDGER)
+
+    return df.observe(seen, *_sums(plan)), ledger
+
+
+def measures(df: DataFrame, plan: TablePlan, sign: int = 1) -> DataFrame:
+    """The ledger of some rows of a table; with ``sign`` -1, what they take off."""
+    one = df.agg(*_sums(plan))
     entries = [
         _entry(plan.name, ROWS, "", sign * F.col("n")),
         *[_entry(plan.name, LIMB, str(i), sign * F.col(f"limb_{i}")) for i in range(8)],

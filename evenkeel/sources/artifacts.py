@@ -18,7 +18,6 @@ import heapq
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -66,6 +65,8 @@ class ArtifactReader(DataSourceReader):
         self.block, self.tasks = int(options.get("blockbytes", 0)), int(options.get("tasks", 0))
 
     def partitions(self) -> list[Pieces]:
+        from pyarrow import fs as arrow_fs  # starts threads, so not before a worker is forked
+
         store, root = arrow_fs.FileSystem.from_uri(self.root)
         found = [store.get_file_info(root)]
         if found[0].type == arrow_fs.FileType.Directory:
@@ -79,6 +80,8 @@ class ArtifactReader(DataSourceReader):
         return [Pieces(x) for x in dealt(pieces, tasks)] or [Pieces([])]
 
     def read(self, partition: Pieces) -> Iterator[tuple]:
+        from pyarrow import fs as arrow_fs
+
         store, _ = arrow_fs.FileSystem.from_uri(self.root)
         for path, length, start, n in partition.pieces:
             name = path.rsplit("/", 1)[-1]

@@ -155,15 +155,76 @@ def test_adoption_inserts_and_sets_the_next_identity(spark, tmp_path):
         apply.adopt_and_publish(spark, table(spark, 4), PARENT, root, "id", "v")
 
 
-def test_deliveries_go_on_where_they_ended(spark, tmp_path):
-    folder = f"file://{tmp_path}/out"
-    databases = {"one": {"p": (table(spark, 3), PARENT)}, "two": {"p": (table(spark, 4), PARENT)}}
-    assert captures.deliver(spark, {"one": databases["one"]}, folder) == {"one": "delivered"}
-    (tmp_path / "out" / "two" / "p").mkdir(parents=True)  # of a run that failed
-    assert captures.deliver(spark, databases, folder) == {"one": "verified", "two": "delivered"}
-    table(spark, 2).write.mode("overwrite").parquet(f"{folder}/one/p")
+def databases_of(spark):
+    return {"one": {"p": (table(spark, 3), PARENT)}, "two": {"p": (table(spark, 4), PARENT), "c": (spark.range(4).selectExpr("id", "id % 3 as p_id"), CHILD)}}
+
+
+PLANS = {"one": {"p": PARENT}, "two": {"p": PARENT, "c": CHILD}}
+
+
+@pytest.mark.parametrize("step", ["export_tables", "database_evidence", "aligned_sequences", "_entry_digest", "_next_inventory"])
+def test_deliveries_go_on_where_they_ended(spark, tmp_path, monkeypatch, step):
+    folder, databases = f"file://{tmp_path}/out", databases_of(spark)
+    assert captures.deliver(spark, {"one": databases["one"]}, folder, ["two", "one"]) == {"one": "delivered"}
+    with pytest.raises(ContractError, match="export_coverage_incomplete"):
+        captures.finalise(spark, folder, PLANS)
+    before, calls = captures.inventory(spark, folder), []
+    with monkeypatch.context() as m:
+        m.setattr(captures, step, lambda *a, **k: calls.append(1) or 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            captures.deliver(spark, {"two": databases["two"]}, folder)
+    assert calls and captures.inventory(spark, folder) == before, "a run that failed leaves nothing in the inventory"
+    assert captures.deliver(spark, {"two": databases["two"]}, folder) == {"two": "delivered"}
+    assert captures.inventory(spark, folder)[1]["delivered"]["one"] == before[1]["delivered"]["one"]
+
+
+def test_final_exports(spark, tmp_path):
+    folder, databases = f"file://{tmp_path}/out", databases_of(spark)
+    captures.deliver(spark, databases, folder)
+    with pytest.raises(ContractError, match="export_plan_conflict"):
+        captures.deliver(spark, {"three": databases["one"]}, folder)
+    with pytest.raises(ContractError, match="export_coverage_incomplete"):
+        captures.finalise(spark, folder, {"one": PLANS["one"]})
+    digest = captures.finalise(spark, folder, PLANS)
+    state = captures.inventory(spark, folder)
+    assert state[1]["final"] == digest and captures.finalise(spark, folder, PLANS) == digest
+    assert captures.deliver(spark, databases, folder) == {"one": "verified", "two": "verified"} and captures.inventory(spark, folder) == state
+    own = state[1]["delivered"]["two"]["folder"]
+    codes = lambda: {r["code"] for r in captures.verify_delivered(spark, folder, "two", PLANS["two"]).collect()}
+    assert codes() == set()
+    spark.createDataFrame([("", "p", "id", 99)], apply.SEQUENCES).write.mode("overwrite").parquet(f"{folder}/{own}/_sequences")
+    assert codes() == {"sequence-mismatch"}
+    table(spark, 2).write.parquet(f"{folder}/{own}/extra")
+    assert codes() == {"export_table_unexpected"}
+    table(spark, 2).write.mode("overwrite").parquet(f"{folder}/{state[1]['delivered']['one']['folder']}/p")
     with pytest.raises(ContractError, match="export_file_mismatch"):
-        captures.deliver(spark, databases, folder)
+        captures.finalise(spark, folder, PLANS)
+
+
+def test_a_source_may_change_while_it_is_copied(spark, tmp_path, monkeypatch):
+    """One read: the copy is the state that was read, and is proved against it."""
+    live, root = f"file://{tmp_path}/live", f"file://{tmp_path}/root"
+    table(spark, 5).write.parquet(live)
+    stage = apply.stage
+
+    def changed_after(df, *args):
+        out = stage(df, *args)
+        table(spark, 9, "later").write.mode("overwrite").parquet(live)
+        return out
+
+    monkeypatch.setattr(apply, "stage", changed_after)
+    done = apply.copy_database(spark, {"p": spark.read.parquet(live)}, DatabasePlan("d", {"p": PARENT}), root)
+    assert done["p"].rows == 5 and snapshots.read_database(spark, root, DatabasePlan("d", {"p": PARENT}))["p"].count() == 5
+    monkeypatch.setattr(apply, "stage", lambda df, root, name: stage(spark.createDataFrame(df.collect()[1:], df.schema), root, name) if df.count() else None)
+    with pytest.raises(ContractError, match="shadow_copy_mismatch"):
+        apply.copy_table(table(spark, 5), PARENT, root)
+
+
+def test_a_copy_without_parents_is_not_published(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    with pytest.raises(ContractError, match="shadow_copy_orphans"):
+        apply.copy_database(spark, sides(spark, 7, "x") | {"p": table(spark, 2)}, DB, root)
+    assert snapshots.current_versions(spark, root) == {}
 
 
 def test_a_capture_is_held_against_the_source(spark, tmp_path):
