@@ -233,6 +233,13 @@ def adopt(source: DataFrame, existing: DataFrame, id_col: str, key_col: str) ->
     return matched.where("code = 'insert'").drop("code"), matched.where("code = 'replay'").drop("code"), conflicts
 
 
+def partition_drift(declared: DataFrame, inserts: DataFrame, replays: DataFrame, id_col: str, table: str) -> DataFrame:
+    """Violations where the declared partition of an adoption (id, ``part``: insert or replay) is not the observed one, a row for each id."""
+    seen = inserts.select(F.col(id_col).alias("__id"), F.lit("insert").alias("seen")).unionAll(replays.select(id_col, F.lit("replay")))
+    both = declared.select(F.col(id_col).alias("__id"), "part").join(seen, "__id", "full_outer").where(~F.col("part").eqNullSafe(F.col("seen")))
+    return both.select(*violation(table, "adoption", "adoption_partition_drift", F.col("part"), F.col("seen"), F.col("__id")))
+
+
 def partition_by_keys(df: DataFrame, keys: DataFrame, plan: TablePlan) -> tuple[DataFrame, DataFrame]:
     """Rows whose key hash is among ``keys`` (key_sha256), and the others."""
     rows = df.withColumn("key_sha256", key_hash(plan))

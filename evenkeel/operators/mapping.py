@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.functions.canonical import key_hash
 from evenkeel.functions.scalars import default_value, offset_to_utc, tick, to_micros
 from evenkeel.operators.violations import violation
 from evenkeel.plans.table_plan import PlanError, TablePlan, spark_type
@@ -86,6 +87,16 @@ def with_defaults(df: DataFrame, plan: TablePlan) -> DataFrame:
     return df.withColumns({c.name: default_value(c.default, spark_type(c.type)) for c in missing}) if missing else df
 
 
+def insert_projection(df: DataFrame, plan: TablePlan) -> DataFrame:
+    """What an insert writes: the stored columns in plan order, no generated ones."""
+    return df.select(*[f"`{c}`" for c in plan.stored])
+
+
+def update_projection(df: DataFrame, plan: TablePlan) -> DataFrame:
+    """What an update writes: the key's hash that finds the row, and the columns that may change; neither key nor generated ones."""
+    return df.select(key_hash(plan).alias("key_sha256"), *[f"`{c}`" for c in plan.updated])
+
+
 def add_overlay(df: DataFrame, overlay: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """Add target-only columns (name to type and default) behind the source's own."""
     return df.withColumns({c: (F.lit(None) if d is None else F.lit(d)).cast(spark_type(t)) for c, (t, d) in overlay.items()})

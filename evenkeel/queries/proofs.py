@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.operators import apply, delta, digest_tree, evidence, ledger
+from evenkeel.functions import scalars
+from evenkeel.operators import apply, catalog, delta, digest_tree, evidence, ledger, mapping, validate
 from evenkeel.operators.violations import ContractError
-from evenkeel.plans.table_plan import DatabasePlan
+from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, TablePlan
 from evenkeel.queries.commits import _PLANS, _root
-from evenkeel.queries.derive import ORDERS, both_sides, compared_sql, derived, evidence_digest_sql, key_hash_sql, row_hash_sql, table, target_sql
-from evenkeel.sources import artifacts, snapshots
+from evenkeel.queries.derive import CUSTOMER, ORDERS, both_sides, compared_sql, derived, evidence_digest_sql, key_hash_sql, row_hash_sql, table, target_sql
+from evenkeel.sources import artifacts, captures, snapshots
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -146,3 +147,151 @@ def artifact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.repartition("part").sortWithinPartitions("part", "o_orderkey").drop("o_orderkey").write.partitionBy("part").text(folder)
     files = artifacts.scan_files(spark, folder, "part-*")
     return files.select(F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint").alias("part"), "byte_length", "observed_sha256")
+
+
+def _evidence_sql(name: str, plan: TablePlan, source: str | None = None) -> str:
+    source = source or name
+    return f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM {source}) AS rows, {evidence_digest_sql('h', f'(SELECT {row_hash_sql(plan)} AS h FROM {source})')} AS aggregate_sha256"
+
+
+_BOTH_SQL = f"{_evidence_sql('orders', ORDERS)} UNION ALL {_evidence_sql('customer', CUSTOMER)}"
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {n: table(spark, sf_dir, n).select(*p.names) for n, p in _PLANS.items()}
+
+
+@_query(_BOTH_SQL)
+def observed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database copied in one read of each table, proved by what was counted while writing."""
+    root, db = _root(spark), DatabasePlan("main", _PLANS)
+    apply.copy_database(spark, _sources(spark, sf_dir), db, root)
+    written = snapshots.read_database(spark, root, db)
+    found = ledger.ledger_evidence(ledger.database_ledger({n: (written[n], p) for n, p in _PLANS.items()}))
+    return found.select("table", F.col("row_count").alias("rows"), "aggregate_sha256")
+
+
+@_query(f"""SELECT 'one' AS database, 'verified' AS state, t.* FROM ({_evidence_sql('orders', ORDERS)}) t
+    UNION ALL SELECT 'two', 'verified', t.* FROM ({_evidence_sql('orders', ORDERS, target_sql('orders'))}) t UNION ALL SELECT 'two', 'verified', t.* FROM ({_evidence_sql('customer', CUSTOMER)}) t""")
+def final_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two databases, delivered one by one under one inventory, made final and verified again; their recorded evidence."""
+    folder, source = _root(spark), _sources(spark, sf_dir)
+    one, two = {"orders": (source["orders"], ORDERS)}, {"orders": (derived(source["orders"], "o_orderkey", "o_orderstatus", "'X'"), ORDERS), "customer": (source["customer"], CUSTOMER)}
+    captures.deliver(spark, {"one": one}, folder, ["one", "two"])
+    captures.deliver(spark, {"two": two}, folder)
+    captures.finalise(spark, folder, {"one": {"orders": ORDERS}, "two": {"orders": ORDERS, "customer": CUSTOMER}})
+    states, out = captures.deliver(spark, {"one": one, "two": two}, folder), None
+    for name, entry in captures.inventory(spark, folder)[1]["delivered"].items():
+        said = spark.read.parquet(f"{folder}/{entry['folder']}/_evidence").select(F.lit(name).alias("database"), F.lit(states[name]).alias("state"), "table", F.col("row_count").alias("rows"), "aggregate_sha256")
+        out = said if out is None else out.unionAll(said)
+    return out
+
+
+@_query(f"""SELECT 'replayed' AS outcome, rows, aggregate_sha256 FROM ({_evidence_sql('orders', ORDERS)})
+    UNION ALL SELECT 'capture_content_mismatch', count(*), NULL FROM orders WHERE o_orderkey % 3 = 0""")
+def capture_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured rows come back as they were; after rows were lost the capture is refused."""
+    folder, orders = _root(spark), _sources(spark, sf_dir)["orders"]
+    captures.capture_table(orders, ORDERS, folder, "main")
+    good = evidence.table_evidence(captures.replay_capture(spark, folder, ORDERS), ORDERS).select(F.lit("replayed").alias("outcome"), F.col("row_count").alias("rows"), "aggregate_sha256")
+    said = spark.read.parquet(f"{folder}/manifest")
+    broken, outcome = f"{folder}-broken", "replayed"
+    orders.where("o_orderkey % 3 <> 0").write.parquet(f"{broken}/rows")
+    said.write.parquet(f"{broken}/manifest")
+    try:
+        captures.replay_capture(spark, broken, ORDERS)
+    except ContractError as error:
+        outcome = ",".join(error.codes)
+    lost = said.select("rows").crossJoin(F.broadcast(spark.read.parquet(f"{broken}/rows").agg(F.count("*").alias("n"))))  # one row and one row
+    return good.unionAll(lost.select(F.lit(outcome), F.col("rows") - F.col("n"), F.lit(None).cast("string")))
+
+
+@_query("SELECT * FROM (VALUES ('same', ''), ('column missing', 'delta_row_shape_invalid'), ('column more', 'delta_row_shape_invalid')) AS v(shape, code), (SELECT count(*) AS rows FROM orders)")
+def exact_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, out = _sources(spark, sf_dir)["orders"], None
+    for shape, df in (("same", orders), ("column missing", orders.drop("o_orderdate")), ("column more", orders.withColumn("extra", F.lit(1)))):
+        code = ""
+        try:
+            validate.check_shape(df, ORDERS)
+        except ContractError as error:
+            code = ",".join(error.codes)
+        one = df.agg(F.count("*").alias("rows")).select(F.lit(shape).alias("shape"), F.lit(code).alias("code"), "rows")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+_FILLED = TablePlan("supplier", (Column("s_suppkey", "bigint"), Column("level", "integer", default="literal:7"), Column("word", "text", default="literal:new"), Column("visits", "numeric(18,2)", default="zero"), Column("made", "timestamp without time zone", default="utc-now"), Column("seen", "timestamp with time zone", default="now"), Column("id", "uuid", default="uuid")), ("s_suppkey",))
+
+
+@_query("SELECT s_suppkey, 7 AS level, 'new' AS word, 0::DECIMAL(18,2) AS visits, true AS timely, true AS same_moment, true AS unique_id FROM supplier")
+def default_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All kinds of defaults: literals and zero by value, both clocks within a day and a moment of each other, ids by form and number."""
+    rows = mapping.with_defaults(table(spark, sf_dir, "supplier").select("s_suppkey"), _FILLED)
+    rows = evidence.stored(rows, "defaults")
+    ids = rows.agg(F.count_distinct("id").alias("ids"), F.count("*").alias("n"))
+    near = lambda a, b, seconds: F.abs(F.unix_micros(a) - F.unix_micros(b)) <= seconds * 1_000_000
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    made = F.col("made").cast("timestamp")
+    form = F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") & (F.col("ids") == F.col("n"))
+    checked = rows.crossJoin(F.broadcast(ids))  # one row
+    return checked.select("s_suppkey", "level", "word", "visits", near(made, utc, 86_400).alias("timely"), near(F.to_utc_timestamp("seen", F.current_timezone()), made, 60).alias("same_moment"), form.alias("unique_id"))
+
+
+_WRITTEN = TablePlan("customer", (Column("c_custkey", "bigint"), Column("c_name", "text"), Column("c_acctbal", "numeric(18,2)"), Column("twice", "numeric(18,2)", generated="c_acctbal * 2")), ("c_custkey",))
+
+
+@_query(f"SELECT {key_hash_sql(CUSTOMER)} AS key_sha256, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer")
+def update_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An update names its row by the key's hash and writes neither key nor generated columns."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"), F.lit(0).alias("twice"))
+    return mapping.update_projection(rows, _WRITTEN)
+
+
+@_query("""WITH s AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'insert' WHEN event_id % 7 <> 0 THEN 'replay' END AS seen, CASE WHEN event_id % 4 = 0 THEN 'replay' WHEN event_id % 6 <> 1 THEN CASE WHEN event_id % 13 = 0 THEN 'insert' ELSE 'replay' END END AS part FROM events)
+    SELECT event_id, part AS expected, seen AS observed FROM s WHERE part IS DISTINCT FROM seen""")
+def adoption_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared partition into inserts and replays against the observed one, id by id."""
+    key, k = F.concat_ws("-", "event_type", F.col("event_id").cast("string")), F.col("event_id")
+    source = table(spark, sf_dir, "events").select("event_id", key.alias("event_key"), "user_id", "value", "ts")
+    existing = source.where("event_id % 13 <> 0").withColumn("user_id", F.when(k % 7 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    inserts, replays, _ = delta.adopt(source, existing, "event_id", "event_key")
+    declared = source.select("event_id", F.when(k % 4 == 0, "replay").when(k % 6 != 1, F.when(k % 13 == 0, "insert").otherwise("replay")).alias("part")).where("part is not null")
+    return delta.partition_drift(declared, inserts, replays, "event_id", "events").select(F.col("field").cast("bigint").alias("event_id"), "expected", "observed")
+
+
+_UTF16 = "string_agg(CASE WHEN c < 65536 THEN lpad(to_hex((c % 256) * 256 + c // 256), 4, '0') ELSE lpad(to_hex((h % 256) * 256 + h // 256), 4, '0') || lpad(to_hex((l % 256) * 256 + l // 256), 4, '0') END, '' ORDER BY i)"
+
+
+@_query(f"""WITH t AS (SELECT p_partkey, p_name || CASE p_partkey % 4 WHEN 0 THEN 'é' WHEN 1 THEN chr(128512) WHEN 2 THEN chr(57344) ELSE '' END AS s FROM part),
+    u AS (SELECT p_partkey, unnest(string_split(s, '')) AS x, unnest(range(length(s))) AS i FROM t),
+    v AS (SELECT p_partkey, i, unicode(x)::BIGINT AS c, 55296 + (unicode(x)::BIGINT - 65536) // 1024 AS h, 56320 + (unicode(x)::BIGINT - 65536) % 1024 AS l FROM u)
+    SELECT p_partkey, sum(CASE WHEN c < 65536 THEN 1 ELSE 2 END)::BIGINT AS units, sha256(unhex({_UTF16})) AS sha256 FROM v GROUP BY 1""")
+def unicode_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code units and digest of texts in UTF-16, beyond the basic plane as well."""
+    k = F.col("p_partkey") % 4
+    text = F.concat("p_name", F.when(k == 0, "é").when(k == 1, "\U0001f600").when(k == 2, "\ue000").otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", scalars.utf16_units(text).alias("units"), scalars.utf16_digest(text).alias("sha256"))
+
+
+_CHECKED = {
+    "orders": TablePlan("orders", ORDERS.columns, ("o_orderkey",), foreign_keys=(ForeignKey("orders_customer", ("o_custkey",), "customer", ("c_custkey",)),)),
+    "customer": TablePlan("customer", CUSTOMER.columns, ("c_nationkey", "c_mktsegment")),
+}
+
+
+@_query("""SELECT 'orders' AS "table", 'key' AS kind, 'orders_key' AS name, 'o_orderkey' AS columns, 0::BIGINT AS broken
+    UNION ALL SELECT 'customer', 'key', 'customer_key', 'c_nationkey,c_mktsegment', (SELECT count(*) FROM (SELECT 1 FROM customer WHERE c_custkey % 11 <> 0 GROUP BY c_nationkey, c_mktsegment HAVING count(*) > 1))
+    UNION ALL SELECT 'orders', 'foreign', 'orders_customer', 'o_custkey', (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0))""")
+def constraints_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The constraints that plans declare, each with the number of cases in which the tables break it."""
+    tables = _sources(spark, sf_dir)
+    tables["customer"] = tables["customer"].where("c_custkey % 11 <> 0")
+    found = None
+    for name, plan in _CHECKED.items():
+        repeated = delta.duplicate_keys(tables[name], plan.key).agg(F.count("*").alias("broken"))
+        ones = [repeated.select(F.lit(f"{name}_key").alias("name"), "broken")]
+        ones += [validate.fk_orphans(tables[name], tables[fk.parent], fk).agg(F.count("*").alias("broken")).select(F.lit(fk.name).alias("name"), "broken") for fk in plan.foreign_keys]
+        for one in ones:
+            found = one if found is None else found.unionAll(one)
+    declared = catalog.grouped_constraints(catalog.plan_constraints(spark, _CHECKED))
+    return declared.join(found, "name", "left").select("table", "kind", "name", F.array_join("columns", ",").alias("columns"), "broken")
