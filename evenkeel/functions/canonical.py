@@ -59,6 +59,11 @@ def canonical_text(c: Column, kind: str) -> Column:
     return c.cast("string")
 
 
+def order_key(c: Column, kind: str) -> Column:
+    """What a key column is ordered by: text by its UTF-16 code units, as bytes, all else by itself."""
+    return F.encode(c, "UTF-16BE") if kind.startswith(("text", "char", "string")) else c
+
+
 def _field(c: Column, column: PlanColumn) -> Column:
     kind = F.lit(column.type)
     if column.large:

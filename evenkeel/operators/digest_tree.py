@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.canonical import fingerprints
+from evenkeel.functions.canonical import fingerprints, order_key
 from evenkeel.operators.delta import compare_fingerprints, typed_keys
 from evenkeel.operators.evidence import INNER, LEAF, above, leaf_digests, root_digest, stored
 from evenkeel.plans.table_plan import TablePlan, require_key
@@ -65,4 +65,4 @@ def plan_by_ranges(source: DataFrame, target: DataFrame, plan: TablePlan, source
 
 def first_difference(source: DataFrame, target: DataFrame, plan: TablePlan) -> DataFrame:
     """The operation of the least key that differs; no row for equal tables."""
-    return plan_by_ranges(source, target, plan).orderBy(*[f"`{k}`" for k in require_key(plan)]).limit(1)
+    return plan_by_ranges(source, target, plan).orderBy(*[order_key(F.col(f"`{k}`"), plan.column(k).type) for k in require_key(plan)]).limit(1)

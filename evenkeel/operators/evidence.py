@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evenkeel.functions.canonical import row_hash
+from evenkeel.functions.canonical import order_key, row_hash
 from evenkeel.operators.storage import shared_folder as shared_folder
 from evenkeel.operators.storage import stored
 from evenkeel.operators.validate import fk_orphans
@@ -86,7 +86,7 @@ def filled(columns: tuple[str, ...]) -> Column:
 
 
 def ordered_digest(df: DataFrame, plan: TablePlan, mode: str = "exact", chunk_rows: int = 10_000) -> DataFrame:
-    """One row, ``content_sha256``: the row hashes in key order, joined by line feeds, hashed.
+    """One row, ``content_sha256``: the row hashes in key order (text by UTF-16 code units), joined by line feeds, hashed.
 
     ``exact`` gathers a small table's hashes in one group and refuses larger
     ones. ``chunked`` ranks rows over range partitions, digests runs of
@@ -94,7 +94,7 @@ def ordered_digest(df: DataFrame, plan: TablePlan, mode: str = "exact", chunk_ro
     the table is partitioned, but it is another number than the exact one.
     """
     keys = order_columns(plan)
-    rows = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], row_hash(plan.columns).alias("h"))
+    rows = df.select(*[order_key(F.col(f"`{k}`"), plan.column(k).type).alias(f"k{i}") for i, k in enumerate(keys)], row_hash(plan.columns).alias("h"))
     names = [f"k{i}" for i in range(len(keys))]
     join = lambda c: F.sha2(F.coalesce(F.concat_ws("\n", c), F.lit("")), 256)
     if mode == "exact":

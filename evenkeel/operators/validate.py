@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.functions.canonical import order_key
 from evenkeel.functions.scalars import row_size
 from evenkeel.operators.ordered import with_previous, with_running
 from evenkeel.operators.violations import ContractError, empty, violation
@@ -140,11 +141,13 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def key_order_violations(df: DataFrame, ordinal: str, keys: list[str], run: list[str]) -> DataFrame:
     """Rows of inputs with an ordinal whose key does not rise: equal keys are duplicates, lower ones out of order.
 
-    ``run`` names the columns that tell inputs (files, logs, their parts) apart, none for a single one.
+    ``run`` names the columns that tell inputs (files, logs, their parts) apart, none for a single one. Text is
+    ordered by UTF-16 code units.
     """
-    key, before = F.struct(*keys), F.col("__before")
+    own = {f"__key{i}": order_key(F.col(f"`{k}`"), df.schema[k].dataType.simpleString()) for i, k in enumerate(keys)}
+    key, before = F.struct(*own), F.col("__before")
     code = F.when(before == key, "delta_duplicate_key").when(before > key, "delta_key_order_invalid")
-    return with_previous(df, run, ordinal, keys, "__before").withColumn("code", code).where("code is not null").drop("__before")
+    return with_previous(df.withColumns(own), run, ordinal, list(own), "__before").withColumn("code", code).where("code is not null").drop("__before", *own)
 
 
 def read_window_violations(windows: DataFrame, run: list[str], ordinal: str = "ordinal", start: str = "started_at", end: str = "completed_at", low: str = "run_started_at", high: str = "run_completed_at") -> DataFrame:

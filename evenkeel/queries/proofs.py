@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import scalars
+from evenkeel.functions.canonical import order_key
 from evenkeel.operators import apply, catalog, delta, digest_tree, evidence, ledger, mapping, validate
 from evenkeel.operators.violations import ContractError
 from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, TablePlan
 from evenkeel.queries.commits import _PLANS, _root
 from evenkeel.queries.derive import CUSTOMER, ORDERS, both_sides, compared_sql, derived, evidence_digest_sql, key_hash_sql, row_hash_sql, table, target_sql
-from evenkeel.sources import artifacts, captures, snapshots
+from evenkeel.sources import artifacts, bucketed, captures, snapshots
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -295,3 +296,25 @@ def constraints_held(spark: SparkSession, sf_dir: str) -> DataFrame:
             found = one if found is None else found.unionAll(one)
     declared = catalog.grouped_constraints(catalog.plan_constraints(spark, _CHECKED))
     return declared.join(found, "name", "left").select("table", "kind", "name", F.array_join("columns", ",").alias("columns"), "broken")
+
+
+@_query("""WITH t AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN chr(128512) WHEN 1 THEN chr(57344) WHEN 2 THEN chr(65533) WHEN 3 THEN chr(65536) ELSE 'z' END || p_name AS k FROM part),
+    u AS (SELECT p_partkey, unnest(string_split(k, '')) AS x, unnest(range(length(k))) AS i FROM t),
+    v AS (SELECT p_partkey, i, unicode(x)::BIGINT AS c FROM u),
+    h AS (SELECT p_partkey, string_agg(CASE WHEN c < 65536 THEN lpad(to_hex(c), 4, '0') ELSE lpad(to_hex(55296 + (c - 65536) // 1024), 4, '0') || lpad(to_hex(56320 + (c - 65536) % 1024), 4, '0') END, '' ORDER BY i) AS k FROM v GROUP BY 1)
+    SELECT p_partkey, row_number() OVER (ORDER BY lower(k), p_partkey) - 1 AS rank FROM h""")
+def text_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys within and beyond the basic plane in the order of their UTF-16 code units."""
+    first = F.element_at(F.array(*[F.lit(x) for x in ("\U0001f600", "\ue000", "\ufffd", "\U00010000", "z")]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", order_key(F.concat(first, "p_name"), "text").alias("k"))
+    return evidence.ranked_by(rows, ["k", "p_partkey"]).select("p_partkey", "rank")
+
+
+@_query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice::DECIMAL(18,2) AS o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def bucketed_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drifted copy brought to its source, with both sides and the operations in buckets by key."""
+    source, target, plan = both_sides(spark, sf_dir, "orders")
+    root = _root(spark)
+    source, target = bucketed.stage_sides(source, target, plan, root, 16)
+    after = bucketed.apply_bucketed(source, target, bucketed.plan_bucketed(source, target, plan, root, 16), plan)
+    return after.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
