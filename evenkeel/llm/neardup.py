@@ -23,8 +23,12 @@ the shingles of each D are put in one order, from the most common in the bucket
 to the rarest; the rarest one that a linked pair shares stands at place
 (S(a) + S(b)) / 2 or later in both. Pairs are formed on such places alone and then
 tested on the whole D, which is exact; random edits of one text seldom share
-rare shingles. No link within a bucket is lost by that. Documents with equal
-sets are one node throughout.
+rare shingles. Where a shingle is not rare (a footer that a third of a bucket
+has), each of its members first meets the one of least S alone; what is linked
+becomes one team, and then no two members of a team meet. Of the rows that share
+a shingle, those of the largest team meet only the others. No link between
+components of a bucket is lost by that. Documents with equal sets are one node
+throughout.
 
 Defined results: a document without words (or null text) has an empty set, is
 linked with nothing and is its own component; a row whose id is null is linked
@@ -47,6 +51,8 @@ from evenkeel.llm.common import cut, discard, mix, rows_of, signed, text_slices,
 from evenkeel.llm.components import components
 
 BANDS, ROWS = 40, 5
+#: Rows that share a shingle of which each meets the nearest first, and how often.
+CROWD, HUB_ROUNDS = 32, 3
 SLOTS = BANDS * ROWS
 
 _U = np.uint64
@@ -253,25 +259,69 @@ def _links_apart(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     ranked = ranked.join(sized, ["c", "node"]).withColumns(
         {"as_far": F.expr(f"s + s_least > 0 and {2 * whole} * place >= s + s_least"), "as_near": F.expr(f"{whole} * place >= s and {2 * whole} * place > s - s_least")}
     )
-    ranked = cut(ranked.where("as_far or as_near"), "rare")
-
-    def side(df: DataFrame, x: str) -> DataFrame:
-        return df.select("c", "shingle", *[F.col(name).alias(f"{name}_{x}") for name in ("node", "n", "label", "s", "d", "place")])
-
-    met = "(s_a > s_b or s_a = s_b and node_a > node_b) and label_a <> label_b"
-    enough = f"least(place_a, place_b) * {2 * whole} >= s_a + s_b and least(d_a, d_b) * {2 * whole} >= s_a + s_b"
-    near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    found = side(ranked.where("as_far"), "a").join(side(ranked.where("as_near"), "b"), ["c", "shingle"]).where(f"{met} and {enough} and {near}")
-    found = cut(found.groupBy("node_a", "node_b").agg(F.min("c").alias("c")), "candidates")
-    sets = lambda x: at.select("c", *[F.col(name).alias(f"{name}_{x}") for name in ("node", "s", "label", "apart")])
-    tested = found.join(sets("a"), ["c", "node_a"]).join(sets("b"), ["c", "node_b"])
-    linked = tested.where(f"{2 * whole} * size(array_intersect(apart_a, apart_b)) >= s_a + s_b").select("label_a", "label_b")
+    ranked = cut(ranked.where("as_far or as_near").withColumn("team", F.col("label")), "rare")
+
+    known = sure
+    sets = at.select("c", "node", "s", "label", "apart")
+    for _ in range(HUB_ROUNDS):  # where very many members share a shingle, most are linked with one of them
+        hubs = cut(_hub_pairs(ranked), "hubs")
+        links = cut(_proved(hubs, sets, whole), "hub-links")
+        discard(hubs)
+        if links.isEmpty():
+            break
+        known = cut(known.union(links), "known")
+        joined = components(known.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("joined"))
+        last = ranked
+        ranked = cut(last.drop("team").join(joined, "label", "left").withColumn("team", F.coalesce("joined", "label")).drop("joined"), "rare")
+        discard(last)
+    found = cut(_close(_meetings(ranked), whole, percent).groupBy("node_a", "node_b").agg(F.min("c").alias("c")), "candidates")
     ends = [F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")]
-    links = cut(sure.union(linked).where("label_a <> label_b").select(*ends).distinct(), "links")
+    links = cut(known.union(_proved(found, sets, whole)).where("label_a <> label_b").select(*ends).distinct(), "links")
     discard(groups, often, recentred, least, ranked, found)
     return links
 
 
+def _side(df: DataFrame, x: str) -> DataFrame:
+    return df.select("c", "shingle", *[F.col(name).alias(f"{name}_{x}") for name in ("node", "n", "label", "team", "s", "d", "place")])
+
+
+def _shared(ranked: DataFrame) -> DataFrame:
+    """``c, shingle, rows, most``: shingles that members of different teams share, with the team that most of them are in."""
+    teams = ranked.groupBy("c", "shingle", "team").agg(F.count("*").alias("k"))
+    return teams.groupBy("c", "shingle").agg(F.count("*").alias("teams"), F.sum("k").alias("rows"), F.max_by("team", F.struct("k", "team")).alias("most")).where("teams > 1").drop("teams")
+
+
+def _hub_pairs(ranked: DataFrame) -> DataFrame:
+    """``c, node_a, node_b``: where over ``CROWD`` rows share a shingle, each row with that of least S."""
+    crowded = _shared(ranked).where(F.col("rows") > CROWD).select("c", "shingle")
+    rows = ranked.join(crowded, ["c", "shingle"], "left_semi")
+    hub = rows.groupBy("c", "shingle").agg(F.min_by(F.struct("node", "team"), F.struct("s", "node")).alias("hub"))
+    met = rows.join(hub, ["c", "shingle"]).where("team <> hub.team")
+    return met.select("c", F.col("node").alias("node_a"), F.col("hub.node").alias("node_b")).distinct()
+
+
+def _meetings(ranked: DataFrame) -> DataFrame:
+    """Rows of different teams that share a shingle at places where that can decide: of the team that most are in, no row meets another."""
+    rows = ranked.join(_shared(ranked), ["c", "shingle"]).withColumn("own", F.col("team") != F.col("most"))
+    far, near = rows.where("as_far"), rows.where("as_near")
+    meet = lambda a, b: _side(a, "a").join(_side(b, "b"), ["c", "shingle"])
+    return meet(far.where("own"), near.where("own")).union(meet(far.where("own"), near.where("not own"))).union(meet(far.where("not own"), near.where("own"))).where("team_a <> team_b")
+
+
+def _close(met: DataFrame, whole: int, percent: int) -> DataFrame:
+    """Of the rows that meet, those that can be linked."""
+    ordered = "(s_a > s_b or s_a = s_b and node_a > node_b)"
+    enough = f"least(place_a, place_b) * {2 * whole} >= s_a + s_b and least(d_a, d_b) * {2 * whole} >= s_a + s_b"
+    return met.where(f"{ordered} and {enough} and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+
+
+def _proved(found: DataFrame, sets: DataFrame, whole: int) -> DataFrame:
+    """``label_a, label_b`` of the pairs that are linked, by their whole sets."""
+    side = lambda x: sets.select("c", *[F.col(name).alias(f"{name}_{x}") for name in ("node", "s", "label", "apart")])
+    tested = found.join(side("a"), ["c", "node_a"]).join(side("b"), ["c", "node_b"])
+    return tested.where(f"{2 * whole} * size(array_intersect(apart_a, apart_b)) >= s_a + s_b").select("label_a", "label_b")
+
+
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does; of repeated rows one stays."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, size=size, percent=percent)

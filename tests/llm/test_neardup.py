@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from corpus import documents, table, words
 
 from evenkeel.llm import neardup
@@ -141,6 +142,74 @@ def test_links_apart_are_those_of_all_pairs(spark):
         assert whole(got) == whole(expected), trial
 
 
+def letters(members, seed=4):
+    """A form letter, two footers that a third of the rows have each, and own words."""
+    rng = random.Random(seed)
+    letter, footers = [f"l{i}" for i in range(158)], [[f"f{k}{i}" for i in range(9)] for k in range(2)]
+    rows = []
+    for i in range(members):
+        text = list(letter)
+        for k in range(3):
+            text[rng.randrange(len(text))] = f"own{i}x{k}"
+        for k in range(2):
+            text += footers[k] if rng.random() < 1 / 3 else []
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_footers_make_no_pairs(spark, monkeypatch):
+    """What meets on a shingle of a third of a group grows with the group, not with its square."""
+    met, meetings = [], neardup._meetings
+    monkeypatch.setattr(neardup, "_meetings", lambda ranked: met.append(meetings(ranked)) or met[-1].where("true"))
+    counts = []
+    for members in (200, 800):
+        monkeypatch.setattr(neardup, "discard", lambda *a: None)
+        found = neardup.near_duplicates(table(spark, letters(members)), size=2).collect()
+        if members == 200:
+            sets = sets_of(letters(members), 2)
+            close = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+            assert {frozenset(x) for x in _parts(sets, close)} == {frozenset(r["doc_id"] for r in found if r["component_id"] == c) for c in {r["component_id"] for r in found}}
+        counts.append(sum(df.count() for df in met))
+        met.clear()
+    assert counts[1] <= 6 * max(counts[0], 100), counts
+
+
+@pytest.mark.parametrize("members", [100, 400])
+def test_members_with_labels_of_their_own_share_footers(spark, monkeypatch, members):
+    """Links apart alone: 179 shingles, 20 apart, eight of them a footer of 40 %; the footer's members are one component."""
+    base = set(range(1, 180))
+    rng, rows, footer = random.Random(6), [], [900_000 + k for k in range(8)]
+    for i in range(members):
+        has = rng.random() < 0.4
+        new = [1_000_000 + 100 * i + k for k in range(12)] + (footer if has else [1_000_000 + 100 * i + 20 + k for k in range(8)])
+        rows.append((0, i + 1, len(base), len(base) + len(new), len(base), False, new))
+    met, meetings = [], neardup._meetings
+    monkeypatch.setattr(neardup, "_meetings", lambda ranked: met.append(cut(meetings(ranked), "met")) or met[-1])
+    pairs = spark.createDataFrame(rows, neardup._DIFFERENCES)
+    got = neardup._links_apart(cut(pairs, "pairs"), spark.createDataFrame([], "node long, label long"), 80).collect()
+    sets = {r[1]: base | set(r[6]) for r in rows}
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    assert all(linked(r["a"], r["b"]) for r in got) and met[0].count() <= 10 * members and len(got) <= 20 * members
+    parts = lambda edges: {frozenset(x) for x in _parts(sets, edges)}
+    assert parts([(r["a"], r["b"]) for r in got]) == parts([(a, b) for a in sets for b in sets if a < b and linked(a, b)])
+
+
+def _parts(nodes, edges):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in edges:
+        parent[root(a)] = root(b)
+    out = {}
+    for n in nodes:
+        out.setdefault(root(n), set()).add(n)
+    return out.values()
+
+
 def test_links_between_components_join_them(spark):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (7, 7), (8, 7)], "node long, label long")
     more = spark.createDataFrame([(1, 3), (3, 9)], "a long, b long")
