@@ -5,29 +5,36 @@ found by patterns. Words that stand in the documents of an entity may reveal it
 as well. The corpus says how strongly: with p(x) the share of documents that
 hold x, a term t discloses the part
 
-    log(p(e, t) / (p(e) p(t))) / log(1 / p(e))
+    log(p(e, t) / (p(e) p(t))) / log(1 / p(e)) = 1 - log(p(e | t)) / log(p(e))
 
 of the information of entity e, 1 if t stands only where e does. Terms that
 disclose ``GENERALISE`` of an entity or more are replaced by a general word,
-from ``REMOVE`` on removed, wherever they stand in the corpus. Every pair that
-stands together counts, however rare, with what its rarity proves: the chance
-that documents drawn blindly bring the entity together as often with any of the
-terms that stand in as many documents must be at most ``CHANCE``, so that of a
-pair at most ``CHANCE`` / (number of such terms). A word that stands once, beside
-an address that stands once, proves nothing by this: some words of every document
-stand nowhere else. One that stands with it twice and nowhere else is proof. With
-``per_pair`` the bound is ``CHANCE`` for each pair by itself.
+from ``REMOVE`` on removed, wherever they stand in the corpus.
+
+Counts are of distinct contents: equal texts count once, and so do near-equal
+ones that hold the same entities (of those with equal entities, texts that share
+a band of min-hashes of five-word shingles, in two steps). A copied text is no
+second witness. For p(e | t) stands what the other contents say of each one that
+holds t: with one content left out, the lower end of its interval of one
+standard error (Wilson). So a word that meets an entity in one content discloses
+nothing by that, and a rare pair less than a frequent one of the same share. As
+very many terms are asked, a pair must also be no chance: contents drawn blindly
+must bring the entity together as often with any of the terms that can stand in
+as many contents (all occurrences of terms, divided by their number) with a
+probability of at most ``CHANCE``. ``per_pair`` leaves nothing out and asks that
+of each pair alone: then each word of an address's only text may be treated.
 
 Terms are all runs of letters, digits and underscores outside the patterns'
 spans; in scripts without blanks between words, all pairs of neighbours. All
-counts cover all documents and all terms, by partial sums. Entities that stand in
-the same documents are one class, terms likewise (told apart by their number of
-documents and 128 bits of hash), and pairs are formed of classes, so a list of
-a million addresses in one document is one class of entities. Only what cannot
-change the result is left out of pairs: terms in so many documents that they
-cannot reach ``GENERALISE`` for any entity beside them (p(e, t) is at most p(e), so
-a term discloses no more than log(p(t)) / log(p(e)) if it is the more frequent
-one), and terms in so few documents that not even meeting in all of them is proof.
+counts cover all documents, by partial sums. Entities that stand in the same
+contents are one class, terms likewise (told apart by their number of contents
+and 128 bits of hash), and pairs are formed of classes, so a list of a million
+addresses in one document is one class of entities. Only what cannot change the
+result is left out: entities of a single content, terms that stand in one
+content with such entities, terms in so many contents that they cannot reach
+``GENERALISE`` for any entity beside them (p(e, t) is at most p(e), so a term
+discloses no more than log(p(t)) / log(p(e)) if it is the more frequent one), and
+terms in so few that not even meeting in all of them is proof.
 
 Defined results: a null text is empty; rows with equal id and text are one
 document in the counts and get equal results; a null id is an id of its own; a
@@ -48,12 +55,12 @@ from pyspark.sql import functions as F
 from evenkeel.llm.common import cut, discard, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Of a term in over a share 1 / ``HOT`` of the documents there are ``HOT`` times the terms of a document at most: few enough to broadcast.
-HOT = 100
 #: Rows of one term or key each, some 50 bytes, up to which a table is broadcast.
 SENT = 400_000
 #: Shares of an entity's information from which a term is treated, and the probability up to which meeting is no chance.
 GENERALISE, REMOVE, CHANCE = 0.8, 0.95, 0.01
+#: Bands of two min-hashes by which texts are near-equal: at a similarity of 0.8 all are missed with a probability of 0.0003.
+BANDS = 8
 
 # The base patterns, written so that no text makes the engine go back over what it has read:
 # a match begins where a run of its first characters begins, or where the last match ended.
@@ -290,10 +297,16 @@ def _evidence(both: Column, one: Column, other: Column, n: Column) -> Column:
     return F.when(a > p, one * (a * F.log(a / p) + rest)).otherwise(0.0)
 
 
-def _disclosed(both: Column, entity: Column, term: Column, n: Column, proof: Column) -> Column:
+def _lower(k: Column, n: Column) -> Column:
+    """The lower end of the interval of one standard error of a share of ``k`` in ``n`` (Wilson); null for none."""
+    p = F.try_divide(k, n)
+    return F.when(k > 0, (p + 0.5 / n - F.sqrt(p * (1 - p) / n + 0.25 / (n * n))) / (1 + 1.0 / n))
+
+
+def _disclosed(both: Column, entity: Column, term: Column, n: Column, proof: Column, left_out: int) -> Column:
     """The share of an entity's information that a term discloses; null if their meeting is no proof."""
     sure = F.greatest(_evidence(both, entity, term, n), _evidence(both, term, entity, n)) >= proof
-    return F.when((n > entity) & sure, F.log(both * n / (entity * term)) / F.log(n / entity))
+    return F.when((n > entity) & sure, 1 - F.log(_lower(both - left_out, term - left_out)) / F.log(entity / n))
 
 
 def _most_evidence(documents: Column, n_docs: int) -> Column:
@@ -314,46 +327,83 @@ def _sent(few: DataFrame) -> DataFrame:
     return F.broadcast(few) if few.count() <= SENT else few
 
 
+def _shingled(text: Column) -> Column:
+    """Hashes of the five-word shingles of a text; of all words, if there are fewer."""
+    words = F.split(F.lower(text), "[\\x20\\x09-\\x0D]+")
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 5, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(5))))
+
+
+def _same_contents(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """``key`` of the documents that are no contents of their own: copies, and near copies with the same entities."""
+    plain = found.where("size(spans) = 0").select("key", "content").distinct()
+    copies = plain.join(plain.groupBy("content").agg(F.min("key").alias("first"), F.count("*").alias("k")).where("k > 1"), "content").where("key <> first").select("key")
+    holders = found.where("size(spans) > 0").select("key", F.md5(F.array_join(F.array_sort(F.array_distinct("spans.entity")), "\n")).alias("held")).distinct()
+    several = holders.groupBy("held").agg(F.count("*").alias("k")).where("k > 1")
+    holders = cut(holders.join(several, "held").select("key", "held"), "holders")
+    keys = _sent(holders)
+    shingled = cut(texts.select("key", "text").join(keys, "key").select("key", "held", _shingled(F.col("text")).alias("h")).dropDuplicates(["key"]), "shingled")
+    least = lambda seed: F.array_min(F.transform("h", lambda x: F.xxhash64(x, F.lit(seed))))
+    lows = shingled.select("key", "held", *[least(i).alias(f"m{i}") for i in range(2 * BANDS)])
+    bands = F.array(*[F.xxhash64("held", F.lit(i), f"m{2 * i}", f"m{2 * i + 1}") for i in range(BANDS)])
+    bands = cut(lows.select("key", F.explode(bands).alias("band")), "near-bands")
+    label = bands.select("key", F.col("key").alias("first"), "band")
+    for _ in range(2):
+        first = label.groupBy("band").agg(F.min("first").alias("first"))
+        first = bands.join(first, "band").groupBy("key").agg(F.min("first").alias("first"))
+        label = bands.join(first, "key")
+    near = first.where("key <> first").select("key")
+    out = cut(copies.union(near), "same-contents")
+    discard(holders, shingled, bands)
+    return out
+
+
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_pair: bool = False) -> DataFrame:
     """``doc_id, key, spans, terms`` of each row: the patterns' spans, and those of disclosing terms (s, kind, e, disclosed)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("key", _key("doc_id", "text"))
+    left_out = 0 if per_pair else 1
     # spans are found anew where texts are read: that is less work than to store the texts
-    found = cut(base_spans(texts, "text").select("doc_id", "key", "spans"), "found")
+    found = cut(base_spans(texts, "text").select("doc_id", "key", "spans", F.unhex(F.md5("text")).alias("content")), "found")
     # rows with equal id and text are one document; nothing moves if there are none
     repeated = not found.groupBy("key").count().where("count > 1").isEmpty()
     once = lambda df: df.dropDuplicates(["key"]) if repeated else df
-    words = cut(once(_cleared(texts).select("key", F.size("spans").alias("n"), _terms(F.col("clear")).alias("words"))), "words")
-    own = cut(found.where("size(spans) > 0").select("key", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct(), "entities")
-    entities = cut(own.groupBy("entity").agg(*_documents("entity")), "counted_entities")
-    n_docs, most = words.count(), entities.agg(F.max("n_entity")).first()[0]
     none = F.array().cast("array<struct<s:int,kind:int,e:int,disclosed:double>>")
     nothing = found.select("doc_id", "key", "spans").withColumn("terms", none)
+    same = _same_contents(texts, found)
+    away = _sent(same)
+    own = found.where("size(spans) > 0").join(away, "key", "left_anti").select("key", F.explode(F.array_distinct("spans.entity")).alias("entity")).distinct()
+    own = cut(own, "entities")
+    entities = cut(own.groupBy("entity").agg(*_documents("entity")).where(F.col("n_entity") > left_out), "counted_entities")
+    most = entities.agg(F.max("n_entity")).first()[0]
     if most is None:
         return nothing
-    terms_counted = cut(words.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "counted_terms")
-    alike = terms_counted.groupBy("n_term").agg(F.count("*").alias("alike"))  # a row for each number of documents
-    proof = F.lit(-math.log(CHANCE)) if per_pair else F.log(F.col("alike") / CHANCE)
+    words = cut(once(_cleared(texts).select("key", F.size("spans").alias("n"), _terms(F.col("clear")).alias("words"))), "words")
+    counted_docs = words.join(away, "key", "left_anti")
+    n_docs, occurrences = counted_docs.agg(F.count("*"), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
+    entity_class, term_class = ["n_entity", "entity_1", "entity_2"], ["n_term", "term_1", "term_2"]
+    beside = cut(own.join(entities, "entity").select("key", *entity_class).distinct(), "beside")
+    near = counted_docs.where("n > 0").join(_sent(cut(beside.select("key").distinct(), "holders")), "key", "left_semi")
+    near = cut(near.select("key", F.explode("words").alias("term")), "near")
+    asked = _sent(cut(near.groupBy("term").agg(F.count("*").alias("k")).where(F.col("k") > left_out).select("term"), "asked"))
+    counted = counted_docs.select("key", F.explode("words").alias("term")).join(asked, "term").groupBy("term").agg(*_documents("term"))
     # what a term discloses of an entity in fewer documents is log(p(t)) / log(p(e)) at most
     reach = lambda n_entity: F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_entity, GENERALISE) * (1 + 1e-9)
-    hot = terms_counted.where((F.col("n_term") > reach(F.lit(most))) & (F.col("n_term") * HOT > n_docs)).select("term")
-    hot = F.broadcast(hot)
-    counted = terms_counted.where(F.col("n_term") <= reach(F.lit(most))).join(alike, "n_term").withColumn("proof", proof - 1e-9)
-    counted = counted.where(_most_evidence(F.col("n_term"), n_docs) >= F.col("proof"))
-    held = lambda docs: docs.select("key", F.explode("words").alias("term")).join(hot, "term", "left_anti")
-    term_class, entity_class = (["n_" + x, x + "_1", x + "_2"] for x in ("term", "entity"))
-    term_class.append("proof")  # one for each number of documents
-    beside = cut(own.join(entities, "entity").select("key", *entity_class).distinct(), "beside")
-    near = held(words.where("n > 0").join(beside.select("key").distinct(), "key", "left_semi")).join(counted, "term").select("key", *term_class).distinct()
-    can = (F.col("n_term") <= reach(F.col("n_entity"))) & (_most_evidence(F.least("n_term", "n_entity"), n_docs) >= F.col("proof"))
+    proof = F.lit(-math.log(CHANCE)) if per_pair else F.log(F.lit(float(occurrences)) / F.col("n_term") / CHANCE)
+    proof = proof - 1e-9
+    counted = cut(counted.where((F.col("n_term") <= reach(F.lit(most))) & (_most_evidence(F.col("n_term"), n_docs) >= proof)), "counted_terms")
+    can = (F.col("n_term") <= reach(F.col("n_entity"))) & (_most_evidence(F.least("n_term", "n_entity"), n_docs) >= proof)
+    near = near.join(counted, "term").select("key", *term_class).distinct()
     pairs = near.join(beside, (near["key"] == beside["key"]) & can).drop("key")
     pairs = pairs.groupBy(*term_class, *entity_class).agg(F.count("*").alias("n_both"))
-    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), F.col("proof")))
+    told = pairs.withColumn("disclosed", _disclosed(F.col("n_both"), F.col("n_entity"), F.col("n_term"), F.lit(n_docs), proof, left_out))
     told = told.where(F.col("disclosed") >= GENERALISE).groupBy(*term_class).agg(F.max("disclosed").alias("disclosed"))
     told = cut(counted.join(told, term_class).select("term", "disclosed"), "told")
+    if told.isEmpty():
+        discard(words, own, entities, beside, same, told)
+        return nothing
     sent = _sent(told)
     keys = _sent(cut(words.select("key", F.explode("words").alias("term")).join(sent, "term").select("key").distinct(), "marked"))
-    discard(words, terms_counted, own, entities, beside)
+    discard(words, own, entities, beside, same)
     marked = once(_cleared(texts.select("key", "text").join(keys, "key", "left_semi")).select("key", "clear"))
     terms = cut(_term_places(marked, sent), "places")
     terms = terms.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", F.lit(len(BASE)).alias("kind"), "e", "disclosed"))).alias("terms"))
