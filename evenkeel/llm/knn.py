@@ -26,6 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ from evenkeel.llm.common import cut
 PIVOTS = 64
 #: Rows in a block of a cell, and queries in a chunk, about.
 BLOCK, CHUNK = 4096, 2048
+#: Numbers in a matrix of vectors by pivots, at most (32 MB).
+ENTRIES = 1 << 22
 _LEAST = -(1 << 63)
 
 
@@ -73,13 +77,22 @@ def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: flo
     return rows.where(good).select("id", whole.alias("ints"), "asked")
 
 
-def _assign(pivots: np.ndarray, width: int):
+def _portions(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a matrix of their rows by ``columns`` has ``ENTRIES`` numbers at most (a row's alone, if that is more)."""
+    step = max(1, ENTRIES // max(1, columns))
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
+def _assign(sent: Broadcast, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots = sent.value
         with np.errstate(over="ignore"):
             half = (pivots**2).sum(axis=1) / 2
-        for rows in batches:
+        for rows in _portions(batches, len(pivots)):
             column = rows.column("ints")
-            n = np.diff(column.offsets.to_numpy())
+            n = pc.list_value_length(column).to_numpy()
             x = np.zeros((len(n), width))
             x[np.arange(width) < n[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
             with np.errstate(over="ignore", invalid="ignore"):
@@ -120,11 +133,12 @@ def _solve(k: int):
     return run
 
 
-def _cells(pivots: np.ndarray, radius: np.ndarray):
+def _cells(sent: Broadcast, sent_radius: Broadcast):
     """The cells that can hold a row which reaches the query's bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        pivots, radius = sent.value, sent_radius.value
+        for rows in _portions(batches, len(pivots)):
             x = _matrix(rows.column("vec"))
             with np.errstate(over="ignore", invalid="ignore"):
                 most = x @ pivots.T + np.sqrt((x**2).sum(axis=1))[:, None] * np.maximum(radius, 0)
@@ -151,12 +165,13 @@ def exact_top_k(
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     # as many vectors as the root of all
-    pivot_rows = ints.select("id", "ints").orderBy(F.xxhash64("id"), "id").limit(max(PIVOTS, math.isqrt(n))).select("ints").collect()
-    pivots = np.zeros((len(pivot_rows), width))
-    for i, row in enumerate(pivot_rows):
-        pivots[i, : len(row[0])] = row[0]
+    pivot_rows = ints.select("id", "ints").orderBy(F.xxhash64("id"), "id").limit(max(PIVOTS, math.isqrt(n))).select("ints").toArrow()
+    column = pivot_rows.column("ints").combine_chunks()
+    pivots = np.zeros((len(column), width))
+    pivots[np.arange(width) < pc.list_value_length(column).to_numpy()[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     pivots = np.unique(pivots, axis=0)
-    cells = ints.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_assign(pivots, width), "row long, id long, cell int, far double, asked boolean, vec binary")
+    sent = spark.sparkContext.broadcast(pivots)
+    cells = ints.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_assign(sent, width), "row long, id long, cell int, far double, asked boolean, vec binary")
     cells = cut(cells, "cells")
     pieces = lambda n, size: F.greatest(F.lit(1), F.ceil(F.col(n) / size)).cast("int")
     stats = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.count_if("asked").alias("q"))
@@ -180,7 +195,7 @@ def exact_top_k(
     place = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     bound = own.withColumn("rank", F.row_number().over(place)).where(F.col("rank") == k).select("row", F.col("score").alias("least"))
     bounded = queries.join(bound, "row", "left").withColumn("least", F.coalesce("least", lowest))
-    elsewhere = cut(bounded.mapInArrow(_cells(pivots, radius), "row long, id long, vec binary, least long, cell int"), "elsewhere")
+    elsewhere = cut(bounded.mapInArrow(_cells(sent, spark.sparkContext.broadcast(radius)), "row long, id long, vec binary, least long, cell int"), "elsewhere")
     sent_to = cut(elsewhere.groupBy("cell").agg(F.count("*").alias("q")).select("cell", pieces("q", CHUNK).alias("chunks")), "sent_to")
     found = own.union(solved(elsewhere, sent_to))
     ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)

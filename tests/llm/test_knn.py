@@ -1,6 +1,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,3 +44,14 @@ def test_few_rows_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in knn.exact_top_k(df, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 64 * 64 * 11)]
     assert knn.exact_top_k(df.limit(0), F.col("vec_id") % 20 == 0).isEmpty()
+
+
+def test_batches_are_cut_by_pivots(spark, monkeypatch):
+    """With room for a few rows at once, and with a vector of no components, the results are the same."""
+    rows = [(i, [float((i * 7 + k * 3) % 11 - 5) for k in range(4)]) for i in range(300)] + [(400, []), (401, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plain = sorted(map(tuple, knn.exact_top_k(df, F.col("vec_id") % 20 == 0, k=5).collect()))
+    monkeypatch.setattr(knn, "ENTRIES", 200)
+    assert sorted(map(tuple, knn.exact_top_k(df, F.col("vec_id") % 20 == 0, k=5).collect())) == plain and plain
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["x"])
+    assert [b.num_rows for b in knn._portions(iter([batch]), 70)] == [2] * 5 and [b.num_rows for b in knn._portions(iter([batch]), 999)] == [1] * 10
