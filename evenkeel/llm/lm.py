@@ -10,7 +10,10 @@ twice, or more often. The second exchange sums that by word into sorted word
 arrays. Only the sums of both array kinds, a row for each shard, reach the driver.
 
 Scoring maps the arrays into the workers' memory, so workers of a machine share
-the pages and only those that a text needs are read. For a token w after v
+the pages and only those that a text needs are read. The number of shards is
+bounded, and with it what meets in the second exchange, the list of frequent
+words and the files; at 100 TB a shard then holds the pairs of 1.6 GB of text. For
+a token w after v
 
     p(w | v) = max(c(v w) - D, 0) / c(v) + g(v) p(w)
     p(w)     = max(n(. w) - D', 0) / n(. .) + g' / (V + 1)
@@ -26,7 +29,8 @@ mounted folder, else its files are copied to a worker once.
 Defined results: a null text is empty and has the end token alone; repeated rows
 are texts of their own and count each; a row with a null id is learnt from; if
 there is nothing to learn from, the score is that of an equal choice of one; an
-empty table gives an empty result; extra columns are not read.
+empty table gives an empty result; extra columns are not read; a very long text is
+counted and scored by one task, in memory in proportion to it.
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ from evenkeel.llm.common import cut, mix, new_path, text_slices, words
 
 #: Text bytes whose pairs one shard holds, about, and array files that a worker keeps mapped at once.
 SHARD_BYTES, MAPS = 16 << 20, 4096
+#: Bits that name a shard of pairs and of words at most: beyond 65,536 shards (1 TB of text) shards grow instead.
+PAIR_BITS, WORD_BITS = 16, 10
 #: Tokens whose pairs a task counts before it sends them on.
 BUFFER = 3 << 20
 
@@ -195,14 +201,12 @@ def _deal_words(bits: int):
             for packed in rows.column("words"):
                 word, count, different, follow, *followers = _unpack(packed.as_py(), *_SENT)
                 w, f = (x >> _U(64 - bits) if bits else np.zeros(len(x), np.uint64) for x in (word, follow))
-                w_edge, f_edge = (np.searchsorted(x, np.arange((1 << bits) + 1, dtype=np.uint64)) for x in (w, f))
-                shards, out = [], []
-                for s in range(1 << bits):
-                    a, b = slice(w_edge[s], w_edge[s + 1]), slice(f_edge[s], f_edge[s + 1])
-                    if a.start < a.stop or b.start < b.stop:
-                        shards.append(s)
-                        out.append(_pack(word[a], count[a], different[a], follow[b], *(x[b] for x in followers)))
-                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(out, pa.binary())], names=["shard", "words"])
+                shards, out = np.union1d(w, f), []
+                edges = [np.searchsorted(x, shards, side) for x in (w, f) for side in ("left", "right")]
+                for a, a_end, b, b_end in zip(*(e.tolist() for e in edges), strict=True):
+                    ours, theirs = slice(a, a_end), slice(b, b_end)
+                    out.append(_pack(word[ours], count[ours], different[ours], follow[theirs], *(x[theirs] for x in followers)))
+                yield pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int32)), pa.array(out, pa.binary())], names=["shard", "words"])
 
     return run
 
@@ -257,7 +261,7 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     spark = texts.sparkSession
     texts = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size, rows = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
-    bits = max(0, int(np.ceil(np.log2(max(1, size / SHARD_BYTES)))))
+    bits = min(PAIR_BITS, max(0, int(np.ceil(np.log2(max(1, size / SHARD_BYTES))))))
     path = new_path(spark, "model")
     hot = np.zeros(0, np.uint64)
     if bits > 1:  # only where pairs go depends on this sample
@@ -265,7 +269,7 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     counted = texts.mapInArrow(_count(hot, bits), "shard int, pairs binary")
     pairs = cut(counted.groupBy("shard").applyInArrow(_write_pairs(path), "shard int, of_counts array<long>, words binary"), "pairs")
     of_counts = [r[0] for r in pairs.agg(*[F.sum(F.element_at("of_counts", k)).alias(f"n{k}") for k in (1, 2, 3, 4)]).select(F.array("n1", "n2", "n3", "n4")).collect()]
-    word_bits = max(0, bits - 2)
+    word_bits = min(WORD_BITS, max(0, bits - 2))
     dealt = pairs.select("words").mapInArrow(_deal_words(word_bits), "shard int, words binary")
     sums = cut(dealt.groupBy("shard").applyInArrow(_write_words(path), "shard int, sums array<long>"), "sums")
     total = sums.agg(*[F.coalesce(F.sum(F.element_at("sums", k)), F.lit(0)) for k in range(1, 8)]).first()
@@ -285,7 +289,7 @@ def _frequent(texts: DataFrame, share: float) -> np.ndarray:
 
     seen = cut(texts.mapInArrow(run, "word long, n long"), "frequent")
     total = seen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = seen.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > total * share).select("word").collect()  # 1 / share words at most
+    hot = seen.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > total * share).select("word").collect()  # 1 / share words at most, so four for each shard
     return np.sort(np.array([r["word"] for r in hot], np.int64).view(np.uint64))
 
 

@@ -33,9 +33,11 @@ def brute(train):
     return c, p
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 24, 1 << 10])
-def test_scores_are_those_of_plain_counting(spark, monkeypatch, shard_bytes):
+@pytest.mark.parametrize("shard_bytes, most", [(1 << 24, 16), (1 << 10, 16), (1 << 8, 3)])
+def test_scores_are_those_of_plain_counting(spark, monkeypatch, shard_bytes, most):
     monkeypatch.setattr(lm, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(lm, "PAIR_BITS", most)
+    monkeypatch.setattr(lm, "WORD_BITS", most - 2)
     monkeypatch.setattr(lm, "BUFFER", 500)
     rows = documents()
     train = [words(t) + ["</s>"] for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
