@@ -2,6 +2,11 @@
 
 Every stage takes what its predecessor kept and returns it with the columns of
 ``documents``; the last adds how many words of each document the mix takes.
+
+In every stage: null texts are empty texts, rows without id are documents (they
+are never near duplicates), repeated rows are judged alike (near duplicates keep
+one of them), texts of any length are read whole by one task, ties go to the
+smaller id, other columns stay, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import decontam, mixing, neardup, pii, queries, toxicity
-from evenkeel.llm.common import cut, table
+from evenkeel.llm.common import cut, discard, table
 from evenkeel.llm.labelled import in_fold, labelled_sample
 
 
@@ -54,7 +59,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
+        discard(*last)  # the next copy is there
+        last = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

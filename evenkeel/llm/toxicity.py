@@ -2,7 +2,9 @@
 
 Features are the presence of lower-cased n-grams of ``ORDERS`` characters, hashed
 to ``BINS``. The sample of labelled rows is bounded (``most`` of
-``labelled_sample``), so one task fits the model to it: it counts in how many
+``labelled_sample``, and ``FIT_BYTES`` of text, in the order of the ids' hashes; a
+text that does not fit into what is left of these is passed over), so one task
+fits the model to it, in some 17 bytes of memory for each byte of text: it counts in how many
 documents of either class each bin is present, which gives every bin the ratio of
 its smoothed log frequencies in the two classes, and fits a ridge logistic
 regression on the presence of all bins times their ratios. Only the fitted weights
@@ -31,6 +33,8 @@ from evenkeel.llm.common import text_slices
 
 ORDERS = (4, 5, 6)
 BITS = 18
+#: Bytes of text at most that the model is fitted to.
+FIT_BYTES = 32 << 20
 BINS = 1 << BITS
 
 _U = np.uint64
@@ -113,12 +117,15 @@ def minimise(value, x: np.ndarray, rounds: int, memory: int = 5) -> np.ndarray:
     return x
 
 
-def _fitted(ridge: float, rounds: int):
+def _fitted(ridge: float, rounds: int, most: int):
     """One task: the whole of a bounded sample in, one row of weights out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, label = [], np.zeros(0)
+        parts, label, held = [], np.zeros(0), 0
         for rows, buf, offs in text_slices(batches, most=1 << 17):
+            if held + len(buf) > most:
+                continue
+            held += len(buf)
             row, bins = present(buf, offs)
             parts.append((len(label), rows.num_rows, row.astype(np.int32), bins.astype(np.int32)))
             label = np.append(label, rows.column("label").to_numpy())
@@ -151,10 +158,10 @@ def _fitted(ridge: float, rounds: int):
     return run
 
 
-def fit(sample: DataFrame, *, ridge: float = 1.0, rounds: int = 15) -> Model:
-    """Fit the model to ``(text, label)`` rows, whose number the caller bounds."""
-    rows = sample.select("__id", "text", "label").repartition(1).sortWithinPartitions("__id").select("text", "label")
-    found = rows.mapInArrow(_fitted(ridge, rounds), "weights binary, base double").collect()
+def fit(sample: DataFrame, *, ridge: float = 1.0, rounds: int = 15, most_bytes: int = FIT_BYTES) -> Model:
+    """Fit the model to ``(text, label)`` rows, whose number the caller bounds, and to ``most_bytes`` of text at most."""
+    rows = sample.select("__id", "text", "label").repartition(1).sortWithinPartitions(F.xxhash64("__id"), "__id").select("text", "label")
+    found = rows.mapInArrow(_fitted(ridge, rounds, most_bytes), "weights binary, base double").collect()
     if not found:  # no rows, no task
         return Model(np.zeros(BINS, np.float32), float(np.log(1e-9 / (1 - 1e-9))))
     return Model(np.frombuffer(bytes(found[0]["weights"]), np.float32), found[0]["base"])

@@ -121,3 +121,14 @@ def test_the_sample_has_one_row_for_each_id(spark):
     labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (2, 1, 1), (3, 1, 0), (9, 1, 1)], "doc_id long, quality int, toxic int")
     rows = labelled_sample(docs, labels, "quality", ~in_fold("doc_id", 1000, 999), 10, "doc_id", "text").collect()
     assert sorted((r["__id"], r["label"]) for r in rows) == [(1, 1), (2, 0), (3, 1)]
+
+
+def test_the_fit_is_bounded_by_bytes(spark):
+    """Very long texts do not fill the task: they are passed over, and the rest is fitted as before."""
+    docs, labels, _ = labelled(spark)
+    sample = labelled_sample(docs, labels, "toxic", ~in_fold("doc_id", 5, 0), 1000, "doc_id", "text")
+    plain = toxicity.fit(sample)
+    more = sample.unionByName(spark.createDataFrame([(-1, "z" * 3_000_000, 1)], "__id long, text string, label int"))
+    bounded = toxicity.fit(more, most_bytes=1 << 20)
+    assert np.allclose(plain.weights, bounded.weights, atol=1e-5) and plain.base == pytest.approx(bounded.base)
+    assert not np.allclose(plain.weights, toxicity.fit(sample, most_bytes=1 << 14).weights, atol=1e-5)
