@@ -239,7 +239,7 @@ def extension_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
     found = catalog.catalog_columns(spark, {"events": events})
-    return found.join(F.broadcast(events.limit(1).select(F.lit("events").alias("table"))), "table").select("table", "ordinal", "column", "type")
+    return found.join(F.broadcast(events.groupBy(F.lit("events").alias("table")).agg(F.count("*").alias("n"))), "table").select("table", "ordinal", "column", "type")
 
 
 @_query("SELECT \"table\", count(*) AS n, max(o) AS last FROM (SELECT 't' || o_custkey AS \"table\", o_orderkey::INTEGER AS o FROM orders UNION ALL SELECT 't' || o_custkey, max(o_orderkey)::INTEGER + 1 FROM orders GROUP BY 1) GROUP BY 1")

@@ -318,3 +318,19 @@ def bucketed_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = bucketed.stage_sides(source, target, plan, root, 16)
     after = bucketed.apply_bucketed(source, target, bucketed.plan_bucketed(source, target, plan, root, 16), plan)
     return after.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+
+
+@_query("SELECT * FROM (VALUES ('limit', 'row_limit_exceeded'), ('known empty', 'source_empty_table_drift')) AS v(rule, code), (SELECT count(*) AS rows FROM customer)")
+def refused_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of more rows than its limit, and one that should be empty."""
+    customer, out = table(spark, sf_dir, "customer"), None
+    known = TablePlan("customer", CUSTOMER.columns, CUSTOMER.key, known_empty=True)
+    for rule, run in (("limit", lambda: validate.require_at_most(customer, 5)), ("known empty", lambda: validate.require_empty(customer, known))):
+        code = "accepted"
+        try:
+            run()
+        except ContractError as error:
+            code = ",".join(error.codes)
+        one = customer.agg(F.count("*").alias("rows")).select(F.lit(rule).alias("rule"), F.lit(code).alias("code"), "rows")
+        out = one if out is None else out.unionAll(one)
+    return out

@@ -232,3 +232,15 @@ def test_a_capture_is_held_against_the_source(spark, tmp_path):
     codes = lambda df: [r["code"] for r in captures.snapshot_violations(df, manifest, PLAN).collect()]
     assert codes(table(spark, 5)) == [] and codes(table(spark, 6)) == ["capture_source_count_mismatch"]
     assert codes(table(spark, 5, "y")) == ["capture_source_content_mismatch"]
+
+
+def test_old_versions_expire(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    for i in range(5):
+        snapshots.publish(spark, root, {"p": snapshots.stage(table(spark, i + 1), root, "p")})
+    snapshots.publish(spark, root, {"c": snapshots.stage(table(spark, 1), root, "c")})
+    before = snapshots.current_state(spark, root)
+    assert len(snapshots.expire(spark, root, 2)) == 4 and snapshots.expire(spark, root, 2) == []
+    assert snapshots.current_state(spark, root) == before and len(list((tmp_path / "p").glob("v=*"))) == 1
+    assert spark.read.parquet(f"{root}/{before[1]['versions']['p']}").count() == 5
+    assert snapshots.publish(spark, root, {"x": "x/v"}) == 7, "numbers go on"
