@@ -1,8 +1,9 @@
 """A quality classifier: similarity-weighted votes of the nearest labelled documents in a latent-semantic space.
 
-Terms are n-grams of character shapes (runs of upper case, lower case, digits,
-signs, white space), byte pairs and marks of repetition, hashed to ``TERMS``.
-A bounded sample of labelled rows (``most_rows``) gives the terms' weights, the
+Terms are n-grams of character shapes (upper case, lower case, digits, signs,
+white space), byte pairs and marks of repetition, hashed to ``TERMS``, and words,
+hashed to ``WORDS``. A bounded sample of labelled rows gives the terms' weights
+(rare terms count more; of words those that set the two labels apart), the
 ``DIMENSIONS`` leading directions of its weighted term matrix, and the labelled
 vectors in that space, which are broadcast (rows times dimensions numbers, both
 parameters). Every document is projected, its cosine with all labelled vectors
@@ -26,9 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import text_slices, word_spans, prefix_hashes, span_hashes
+from evenkeel.llm.common import prefix_hashes, rows_of, span_hashes, text_slices, word_spans, words
 
-TERMS, DIMENSIONS, NEIGHBOURS = 2048, 48, 25
+_U = np.uint64
+
+TERMS, WORDS, DIMENSIONS, NEIGHBOURS = 2048, 1024, 48, 25
+#: What words weigh beside the other terms.
+WORD_SHARE = 0.5
 #: Documents in one product with the labelled vectors.
 ROWS = 512
 
@@ -45,9 +50,9 @@ def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     row = np.repeat(np.arange(n), np.diff(offs))
     out = np.zeros(n * TERMS, np.float32)
 
-    def add(rows: np.ndarray, code: np.ndarray, kind: int, weight: float = 1.0) -> None:
+    def add(rows: np.ndarray, code: np.ndarray, kind: int) -> None:
         slot = ((code * 8 + kind) * 0x9E3779B1 & 0xFFFFFFFF) * TERMS >> 32
-        out[:] += weight * np.bincount(rows * TERMS + slot, minlength=n * TERMS)
+        out[:] += np.bincount(rows * TERMS + slot, minlength=n * TERMS)
 
     shape, raw = _SHAPE[buf], buf.astype(np.int64)
     same_2 = row[1:] == row[:-1]
@@ -55,7 +60,7 @@ def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     add(row, shape, 0)
     add(row[1:][same_2], (shape[:-1] * 256 + shape[1:])[same_2], 1)
     add(row[2:][same_3], (shape[:-2] * 65536 + shape[1:-1] * 256 + shape[2:])[same_3], 2)
-    add(row[1:][same_2], (raw[:-1] * 256 + raw[1:])[same_2], 3, 0.25)
+    add(row[1:][same_2], (raw[:-1] * 256 + raw[1:])[same_2], 3)
     starts, ends, first = word_spans(buf, offs)
     if len(starts):
         h = span_hashes(prefix_hashes(buf), starts, ends)
@@ -63,7 +68,7 @@ def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         for back in (1, 2, 4):  # words that stand again soon after
             if len(h) > back:
                 again = (h[back:] == h[:-back]) & (owner[back:] == owner[:-back])
-                add(owner[back:][again], np.full(int(again.sum()), back), 4, 8.0)
+                add(owner[back:][again], np.full(int(again.sum()), back), 4)
         line = np.zeros(256, bool)
         line[:] = True
         line[10] = False
@@ -73,12 +78,29 @@ def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         order = np.lexsort((lines, owner))
         again = (lines[order][1:] == lines[order][:-1]) & (owner[order][1:] == owner[order][:-1])
         rows = owner[order][1:][again]
-        add(rows, np.zeros(len(rows), np.int64), 5, 64.0)
-    return out.reshape(n, TERMS)
+        add(rows, np.zeros(len(rows), np.int64), 5)
+    h, first = words(buf, offs)
+    slot = (h >> _U(32)).astype(np.int64) * WORDS >> 32
+    used = np.bincount(rows_of(first) * WORDS + slot, minlength=n * WORDS).astype(np.float32)
+    return np.concatenate((out.reshape(n, TERMS), used.reshape(n, WORDS)), axis=1)
 
 
 def _hellinger(counts: np.ndarray) -> np.ndarray:
-    return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
+    """Roots of the shares that terms have of all, and words of all words."""
+    shares = lambda c: np.sqrt(c / np.maximum(c.sum(axis=1, keepdims=True), 1))
+    return np.concatenate((shares(counts[:, :TERMS]), shares(counts[:, TERMS:])), axis=1)
+
+
+def term_weights(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Weights of terms: the rarer the more; of words times how far the labels' means are apart, in deviations."""
+    weights = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
+    one, zero = x[labels == 1, TERMS:], x[labels == 0, TERMS:]
+    if not len(one) or not len(zero):
+        weights[TERMS:] = 0
+        return weights
+    deviation = np.sqrt((one.var(axis=0) + zero.var(axis=0)) / 2)
+    weights[TERMS:] *= WORD_SHARE * np.abs(one.mean(axis=0) - zero.mean(axis=0)) / (deviation + 1e-3)
+    return weights
 
 
 @dataclass
@@ -130,10 +152,10 @@ def fit(sample: DataFrame) -> Model:
     kind = sample.schema["__id"].dataType.simpleString()
     rows = sample.mapInArrow(_sample_terms, f"id {kind}, label int, terms binary").orderBy("id", "terms").toArrow()
     if not rows.num_rows:
-        return Model(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1)), np.zeros(0), 0.0)
-    x = np.frombuffer(b"".join(v.as_py() for v in rows.column("terms")), np.float16).reshape(-1, TERMS).astype(np.float32)
+        return Model(np.ones(TERMS + WORDS), np.zeros((TERMS + WORDS, 1)), np.zeros((0, 1)), np.zeros(0), 0.0)
+    x = np.frombuffer(b"".join(v.as_py() for v in rows.column("terms")), np.float16).reshape(-1, TERMS + WORDS).astype(np.float32)
     labels = rows.column("label").to_numpy().astype(float)
-    weights = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
+    weights = term_weights(x, labels)
     gram = (x * weights).T @ (x * weights)
     _, vectors = np.linalg.eigh(gram)
     model = Model(weights, vectors[:, ::-1][:, :DIMENSIONS].astype(np.float32).copy(), np.zeros((0, 1)), labels, float(labels.mean()))

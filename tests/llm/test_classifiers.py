@@ -132,3 +132,39 @@ def test_the_fit_is_bounded_by_bytes(spark):
     bounded = toxicity.fit(more, most_bytes=1 << 20)
     assert np.allclose(plain.weights, bounded.weights, atol=1e-5) and plain.base == pytest.approx(bounded.base)
     assert not np.allclose(plain.weights, toxicity.fit(sample, most_bytes=1 << 14).weights, atol=1e-5)
+
+
+def test_words_are_weighed_by_the_labels(spark):
+    """A word that only one label has sets texts apart; one that both have does not."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(30)) + (" telling" if i % 2 else " silence"), i % 2) for i in range(200)]
+    raw = b"".join(t.encode() for _, t, _ in rows)
+    offs = np.cumsum([0, *(len(t.encode()) for _, t, _ in rows)])
+    x = quality._hellinger(quality.term_counts(np.frombuffer(raw, np.uint8), offs))
+    labels = np.array([y for *_, y in rows])
+    weights = quality.term_weights(x, labels)
+    slot = lambda w: int(np.flatnonzero(quality.term_counts(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0, quality.TERMS :])[0])
+    word = weights[quality.TERMS :]
+    assert min(word[slot("telling")], word[slot("silence")]) > 5 * max(word[slot(w)] for w in ("alpha", "beta", "gamma"))
+    assert not quality.term_weights(x, np.ones(len(x)))[quality.TERMS :].any()
+    model = quality.fit(spark.createDataFrame(rows, "__id long, text string, label int"))
+    test = np.frombuffer(b"alpha beta gamma alpha tellingalpha beta gamma alpha silence", np.uint8)
+    good, bad = model.score(test, np.array([0, 30, 60]))
+    assert good > 0.9 and bad < 0.1
+
+
+def test_the_space_is_that_of_the_leading_directions(spark):
+    """The fitted directions and vectors are those of a singular value decomposition of the weighted terms."""
+    docs, labels, _ = labelled(spark, 120)
+    rows = labelled_sample(docs, labels, "quality", ~in_fold("doc_id", 4, 2), 300, "doc_id", "text").orderBy("__id").collect()
+    model = quality.fit(spark.createDataFrame(rows, "__id long, text string, label int"))
+    raw = b"".join(r["text"].encode() for r in rows)
+    offs = np.cumsum([0, *(len(r["text"].encode()) for r in rows)])
+    x = quality._hellinger(quality.term_counts(np.frombuffer(raw, np.uint8), offs))
+    own = np.array([r["label"] for r in rows])
+    u, s, v = np.linalg.svd(x * quality.term_weights(x, own), full_matrices=False)
+    k = 8  # the leading ones are well apart
+    assert np.allclose(np.abs((model.directions[:, :k] * v[:k].T).sum(axis=0)), 1, atol=0.05)
+    projected = (u * s)[:, : quality.DIMENSIONS]
+    projected /= np.linalg.norm(projected, axis=1, keepdims=True)
+    assert np.allclose(projected @ projected.T, model.vectors @ model.vectors.T, atol=0.05)
