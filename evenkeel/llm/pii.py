@@ -30,8 +30,8 @@ counts cover all documents, by partial sums. Entities that stand in the same
 contents are one class, terms likewise (told apart by their number of contents
 and 128 bits of hash), and pairs are formed of classes, so a list of a million
 addresses in one document is one class of entities. Only what cannot change the
-result is left out: entities of a single content, terms that stand in one
-content with such entities, terms in so many contents that they cannot reach
+result is left out: entities of a single content, terms that meet no entity in two
+contents, terms in so many contents that they cannot reach
 ``GENERALISE`` for any entity beside them (p(e, t) is at most p(e), so a term
 discloses no more than log(p(t)) / log(p(e)) if it is the more frequent one), and
 terms in so few that not even meeting in all of them is proof.
@@ -59,6 +59,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 SENT = 400_000
 #: Shares of an entity's information from which a term is treated, and the probability up to which meeting is no chance.
 GENERALISE, REMOVE, CHANCE = 0.8, 0.95, 0.01
+#: Of so many documents one is counted first, to see which terms are too common to be asked; the rest is counted in all.
+PART = 16
 #: Bands of two min-hashes by which texts are near-equal: at a similarity of 0.8 all are missed with a probability of 0.0003.
 BANDS = 8
 
@@ -327,9 +329,8 @@ def _sent(few: DataFrame) -> DataFrame:
     return F.broadcast(few) if few.count() <= SENT else few
 
 
-def _shingled(text: Column) -> Column:
-    """Hashes of the five-word shingles of a text; of all words, if there are fewer."""
-    words = F.split(F.lower(text), "[\\x20\\x09-\\x0D]+")
+def _shingles(words: Column) -> Column:
+    """Hashes of the five-word shingles of a stored array of words; of all words, if there are fewer."""
     return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 5, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(5))))
 
 
@@ -341,7 +342,9 @@ def _same_contents(texts: DataFrame, found: DataFrame) -> DataFrame:
     several = holders.groupBy("held").agg(F.count("*").alias("k")).where("k > 1")
     holders = cut(holders.join(several, "held").select("key", "held"), "holders")
     keys = _sent(holders)
-    shingled = cut(texts.select("key", "text").join(keys, "key").select("key", "held", _shingled(F.col("text")).alias("h")).dropDuplicates(["key"]), "shingled")
+    # words and shingles are stored, or they would be made anew for each element of what is made of them
+    split = cut(texts.select("key", "text").join(keys, "key").select("key", "held", F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+").alias("w")), "holders-words")
+    shingled = cut(split.select("key", "held", _shingles(F.col("w")).alias("h")).dropDuplicates(["key"]), "shingled")
     least = lambda seed: F.array_min(F.transform("h", lambda x: F.xxhash64(x, F.lit(seed))))
     lows = shingled.select("key", "held", *[least(i).alias(f"m{i}") for i in range(2 * BANDS)])
     bands = F.array(*[F.xxhash64("held", F.lit(i), f"m{2 * i}", f"m{2 * i + 1}") for i in range(BANDS)])
@@ -353,7 +356,7 @@ def _same_contents(texts: DataFrame, found: DataFrame) -> DataFrame:
         label = bands.join(first, "key")
     near = first.where("key <> first").select("key")
     out = cut(copies.union(near), "same-contents")
-    discard(holders, shingled, bands)
+    discard(holders, split, shingled, bands)
     return out
 
 
@@ -384,10 +387,18 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     beside = cut(own.join(entities, "entity").select("key", *entity_class).distinct(), "beside")
     near = counted_docs.where("n > 0").join(_sent(cut(beside.select("key").distinct(), "holders")), "key", "left_semi")
     near = cut(near.select("key", F.explode("words").alias("term")), "near")
-    asked = _sent(cut(near.groupBy("term").agg(F.count("*").alias("k")).where(F.col("k") > left_out).select("term"), "asked"))
-    counted = counted_docs.select("key", F.explode("words").alias("term")).join(asked, "term").groupBy("term").agg(*_documents("term"))
     # what a term discloses of an entity in fewer documents is log(p(t)) / log(p(e)) at most
     reach = lambda n_entity: F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_entity, GENERALISE) * (1 + 1e-9)
+    # how often a term stands at least: beside these entities, and in a part of all documents; that bounds what it can disclose
+    part = counted_docs.where(F.pmod(F.xxhash64("key"), F.lit(PART)) == 0).select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("part"))
+    few = near.groupBy("term").agg(F.count("*").alias("k")).where((F.col("k") > left_out) & (F.col("k") <= reach(F.lit(most))))
+    few = few.join(part, "term", "left").select("term", F.greatest("k", "part").alias("least"))
+    near = cut(near.join(few, "term"), "near-few")
+    met = near.join(beside, "key").groupBy("term", "least", *entity_class).agg(F.count("*").alias("k"))
+    share = F.pow(F.col("n_entity") / F.lit(float(n_docs)), F.lit(1 - GENERALISE))  # of a term's contents that must hold the entity
+    met = met.where((F.col("k") > left_out) & (F.col("k") * (1 + 1e-9) >= F.col("least") * share))
+    asked = _sent(cut(met.select("term").distinct(), "asked"))
+    counted = counted_docs.select("key", F.explode("words").alias("term")).join(asked, "term").groupBy("term").agg(*_documents("term"))
     proof = F.lit(-math.log(CHANCE)) if per_pair else F.log(F.lit(float(occurrences)) / F.col("n_term") / CHANCE)
     proof = proof - 1e-9
     counted = cut(counted.where((F.col("n_term") <= reach(F.lit(most))) & (_most_evidence(F.col("n_term"), n_docs) >= proof)), "counted_terms")
