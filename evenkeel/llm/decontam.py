@@ -14,7 +14,8 @@ words, one pass over the index for each part, so what is broadcast is bounded.
 Defined results: a null text or item has no words; an item of fewer words than
 a window is one window of all its words; an item without words matches nothing;
 repeated rows are documents of their own; items with one id are one item; an
-item without an id is left out; an empty table gives an empty result or no hits.
+item without an id is left out; a very long text is split by one task, slice by
+slice; an empty table gives an empty result or no hits.
 """
 
 from __future__ import annotations

@@ -87,7 +87,7 @@ def _counted(grammar: Grammar, column: str):
 
 def _taken(pairs: Sequence[tuple[int, int]], room: int) -> np.ndarray:
     left, right, alone, out = set(), set(), set(), []
-    for a, b in pairs[:]:
+    for a, b in pairs:
         if len(out) >= room or a in alone or b in alone or a in right or b in left or (a == b and (a in left or b in right)):
             continue
         if a == b:

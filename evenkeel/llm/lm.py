@@ -40,7 +40,6 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa

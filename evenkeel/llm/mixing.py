@@ -10,8 +10,10 @@ taken in part, so that a source's words meet its target.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; repeated rows are documents of their own (rows with equal ids
-share their draw); an empty table gives an empty result; extra columns stay,
-but for columns named as the results, which are replaced.
+share their draw); a text of any length is counted where it is read; an empty
+table gives an empty result; extra columns stay, but for columns named as the
+results, which are replaced, and names that begin with two underscores are the
+operator's own: rename such columns before.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ vote with their similarity.
 Defined results: a null or empty text has no terms and gets the sample's share
 of label 1; so does a text without a similar neighbour; ties in similarity go
 to the labelled row that comes first; repeated rows are scored alike; without
-labelled rows every score is 0; an empty table gives an empty result; extra
-columns are not read.
+labelled rows every score is 0; a very long text is read by one task, in memory
+in proportion to it; an empty table gives an empty result; extra columns are not
+read.
 """
 
 from __future__ import annotations
