@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from evenkeel.plans.table_plan import Column as PlanColumn
 from evenkeel.plans.table_plan import TablePlan, require_key
 
-# Fixed values of the row format: marks of a row, a column, a null, a value and the end.
+# Fixed values of the row format: marks of a row, a column, a null, a value and the end; how the text of an id array begins.
+UUID_ARRAY = "uuid-array-v1:"
 ROW, FIELD, NULL, VALUE, END = "52", "46", "00", "01", "45"
 
 
@@ -51,7 +52,7 @@ def canonical_text(c: Column, kind: str) -> Column:
     if kind == "bytea":
         return F.lower(F.hex(c))
     if kind == "uuid[]":
-        return F.when(c.isNotNull(), F.concat(F.lit("uuid-array-v1:"), F.size(c).cast("string"), F.lit(":"), F.array_join(F.transform(c, F.lower), ",")))
+        return F.when(c.isNotNull(), F.concat(F.lit(UUID_ARRAY), F.size(c).cast("string"), F.lit(":"), F.array_join(F.transform(c, F.lower), ",")))
     if kind == "uuid":
         return F.lower(c)
     if kind.startswith("numeric("):

@@ -98,7 +98,7 @@ _SIZES = {"boolean": 1, "smallint": 2, "integer": 4, "real": 4, "date": 4, "bigi
 
 
 def row_size(columns: list[PlanColumn]) -> Column:
-    """Estimated bytes of a row: 16 and the name for each column, and the value by its type (1 if null)."""
+    """Estimated bytes of a row: 16 and the name for each column, and the value by its type (1 if null). Fixed values of the format to match."""
     total = F.lit(0).cast("bigint")
     for c in columns:
         value = F.col(f"`{c.name}`")
