@@ -398,10 +398,13 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per
     share = F.pow(F.col("n_entity") / F.lit(float(n_docs)), F.lit(1 - GENERALISE))  # of a term's contents that must hold the entity
     met = met.where((F.col("k") > left_out) & (F.col("k") * (1 + 1e-9) >= F.col("least") * share))
     asked = _sent(cut(met.select("term").distinct(), "asked"))
-    counted = counted_docs.select("key", F.explode("words").alias("term")).join(asked, "term").groupBy("term").agg(*_documents("term"))
+    # all terms are counted, whatever is asked: the same work for any data of one size
+    every = cut(counted_docs.select("key", F.explode("words").alias("term")).groupBy("term").agg(*_documents("term")), "all-terms")
+    counted = every.join(asked, "term")
     proof = F.lit(-math.log(CHANCE)) if per_pair else F.log(F.lit(float(occurrences)) / F.col("n_term") / CHANCE)
     proof = proof - 1e-9
     counted = cut(counted.where((F.col("n_term") <= reach(F.lit(most))) & (_most_evidence(F.col("n_term"), n_docs) >= proof)), "counted_terms")
+    discard(every)
     can = (F.col("n_term") <= reach(F.col("n_entity"))) & (_most_evidence(F.least("n_term", "n_entity"), n_docs) >= proof)
     near = near.join(counted, "term").select("key", *term_class).distinct()
     pairs = near.join(beside, (near["key"] == beside["key"]) & can).drop("key")
