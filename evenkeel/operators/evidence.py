@@ -89,8 +89,9 @@ def ordered_digest(df: DataFrame, plan: TablePlan, mode: str = "exact", chunk_ro
 
     ``exact`` gathers a small table's hashes in one group and refuses larger
     ones. ``chunked`` ranks rows over range partitions, digests runs of
-    ``chunk_rows`` rows, and digests their digests; it does not depend on how
-    the table is partitioned, but it is another number than the exact one.
+    ``chunk_rows`` rows, and digests their digests, of which there may be any
+    number: one task hashes them as a stream. It does not depend on how the
+    table is partitioned, but it is another number than the exact one.
     """
     keys = order_columns(plan)
     rows = df.select(*[order_key(F.col(f"`{k}`"), plan.column(k).type).alias(f"k{i}") for i, k in enumerate(keys)], row_hash(plan.columns).alias("h"))
@@ -104,10 +105,33 @@ def ordered_digest(df: DataFrame, plan: TablePlan, mode: str = "exact", chunk_ro
     ranked = ranked_by(rows, [*names, "h"])
     chunk = F.floor(F.col("rank") / chunk_rows)
     digest = ranked.groupBy(chunk.alias("chunk")).agg(join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "h"))), lambda x: x["h"])).alias("d"))
-    while digest.limit(chunk_rows + 1).count() > chunk_rows:  # digests of digests, until one group holds them
-        up = F.floor(F.col("chunk") / chunk_rows)
-        digest = digest.groupBy(up.alias("chunk")).agg(join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "d"))), lambda x: x["d"])).alias("d"))
-    return digest.agg(join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "d"))), lambda x: x["d"])).alias("content_sha256"))
+    run = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "d"))), lambda x: x["d"])
+    runs = digest.groupBy(F.floor(F.col("chunk") / _RUN_DIGESTS).alias("run")).agg(F.array_join(run, "\n").alias("lines"))
+    found = runs.repartition(1).sortWithinPartitions("run").select("lines").mapInArrow(_joined_sha256("\n"), "sha256 string")
+    return found.agg(F.coalesce(F.max("sha256"), F.sha2(F.lit(""), 256)).alias("content_sha256"))
+
+
+#: Digests of chunks that are joined to one text before one task hashes these texts as a stream.
+_RUN_DIGESTS = 64
+
+
+def _joined_sha256(separator: str):
+    """SHA-256 of texts in the order in which they come, joined; no row for no text."""
+    mark = separator.encode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = None
+        for batch in batches:
+            for lines in batch.column("lines"):
+                if digest is None:
+                    digest = hashlib.sha256()
+                else:
+                    digest.update(mark)
+                digest.update(lines.as_py().encode())
+        if digest is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()])], names=["sha256"])
+
+    return run
 
 
 def ranked_by(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,7 +2,9 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from evenkeel.functions.canonical import row_hash
 from evenkeel.operators import catalog, evidence, history, preserve
+from evenkeel.plans.table_plan import Column, TablePlan
 
 
 def sha(text):
@@ -41,3 +43,13 @@ def test_occurrences_are_numbered_by_partition(spark):
     assert "__part" in plan(found) and found.columns == ["a", "b", "occurrence"]
     got = sorted((r["a"] or 0, r["occurrence"]) for r in found.collect())
     assert got == sorted([(1, i + 1) for i in range(30)] + [(0, i + 1) for i in range(11)] + [(3, 1)])
+
+
+def test_a_chunked_digest_has_two_levels_for_any_number_of_chunks(spark):
+    keyed = TablePlan("t", (Column("id", "bigint"), Column("v", "text")), ("id",))
+    df = spark.range(1403).selectExpr("id", "cast(id * 7 as string) as v")
+    hashes = [r["h"] for r in df.select("id", row_hash(keyed.columns).alias("h")).orderBy("id").collect()]
+    for rows in (10, 100, 2000):
+        chunks = [sha("\n".join(hashes[i : i + rows])) for i in range(0, len(hashes), rows)]
+        assert evidence.ordered_digest(df.repartition(5), keyed, "chunked", rows).first()[0] == sha("\n".join(chunks)), f"{len(chunks)} chunks of {rows}"
+    assert evidence.ordered_digest(df.limit(0), keyed, "chunked", 10).first()[0] == sha("")
