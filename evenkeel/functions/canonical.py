@@ -65,15 +65,21 @@ def order_key(c: Column, kind: str) -> Column:
     return F.encode(c, "UTF-16BE") if kind.startswith(("text", "char", "string")) else c
 
 
+def _length(n: Column) -> Column:
+    """``be32``; of short texts, which most are, without a detour through hex digits."""
+    return F.when(n < 128, F.concat(F.lit(bytes(3)), F.char(n).cast("binary"))).otherwise(be32(n))
+
+
 def _field(c: Column, column: PlanColumn) -> Column:
-    kind = F.lit(column.type)
+    kind = column.type.encode()
+    head = bytes.fromhex(FIELD) + len(kind).to_bytes(4, "big") + kind
     if column.large:
         payload = large_digest(c, column.type == "bytea")
     else:
         raw = text_bytes(canonical_text(c, column.type))
-        payload = F.concat(be32(F.octet_length(raw)), raw)
-    head = F.concat(F.unhex(F.lit(FIELD)), be32(F.octet_length(kind)), text_bytes(kind))
-    return F.concat(head, F.when(c.isNull(), F.unhex(F.lit(NULL))).otherwise(F.concat(F.unhex(F.lit(VALUE)), payload)))
+        payload = F.concat(_length(F.octet_length(raw)), raw)
+    # the value first: what a coalesce always evaluates is made once, what only a branch evaluates is made at each use
+    return F.coalesce(F.concat(F.lit(head + bytes.fromhex(VALUE)), payload), F.when(c.isNull(), F.lit(head + bytes.fromhex(NULL))))
 
 
 def row_hash(columns: Iterable[PlanColumn]) -> Column:

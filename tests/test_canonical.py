@@ -77,3 +77,12 @@ def test_names_json_and_expressions(spark):
     one = spark.sql("select cast(null as string) as a, 'Doe' as b, '{\"b\": [2, 1], \"a\": {\"d\": 1, \"c\": null}}' as j, ' ( a  +  b ) ' as e, '(a) + (b)' as f")
     row = one.select(scalars.full_name(F.col("a"), F.col("b")), scalars.sorted_json(F.col("j")), scalars.normal_expression(F.col("e")), scalars.normal_expression(F.col("f"))).first()
     assert tuple(row) == ("Doe", '{"a":{"c":null,"d":1},"b":[2,1]}', "a + b", "(a) + (b)")
+
+
+def test_lengths_of_short_and_long_texts(spark):
+    sizes = [0, 1, 126, 127, 128, 255, 256, 70_000]
+    rows = spark.createDataFrame([(n, "x" * n) for n in sizes] + [(-1, None)], "n int, v string")
+    got = {r["n"]: r["h"] for r in rows.select("n", row_hash([Column("v", "text")]).alias("h")).collect()}
+    head = bytes.fromhex("5200000001") + bytes.fromhex("4600000004") + b"text"
+    want = {n: hashlib.sha256(head + b"\x01" + n.to_bytes(4, "big") + b"x" * n + b"\x45").hexdigest() for n in sizes}
+    assert got == want | {-1: hashlib.sha256(head + b"\x00\x45").hexdigest()}

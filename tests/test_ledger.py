@@ -128,3 +128,16 @@ def test_checking_keys_costs_no_exchange(spark):
     plan.collect()
     final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert "FullOuter" in text and final.count("Exchange hashpartitioning") == 2
+
+
+def test_rows_are_hashed_once_while_they_are_measured(spark):
+    source, _ = tables(spark)
+    rows, _ = ledger.observed(source, PLAN)
+    for df in (rows, ledger.measures(source, PLAN)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
+
+
+def test_sums_of_hashes_of_equal_and_largest_parts(spark):
+    sums = spark.range(3000).select(F.lit("f" * 64).alias("h")).agg(*evidence.limb_sums(F.col("h"))).first()
+    assert [int(x) for x in sums] == [3000 * (2**32 - 1)] * 8
+    assert [int(x) for x in spark.range(0).select(F.lit("f" * 64).alias("h")).agg(*evidence.limb_sums(F.col("h"))).first()] == [0] * 8
