@@ -13,6 +13,7 @@ from evenkeel.operators.delta import adopt, key_violations, operations_sha256, r
 from evenkeel.operators.evidence import compare_evidence, compare_values, database_evidence, table_evidence
 from evenkeel.operators.history import database_rollup
 from evenkeel.operators.ledger import LEDGER, database_ledger, ledger_violations, measures, observed
+from evenkeel.operators.storage import stored as kept
 from evenkeel.operators.validate import fk_orphans, set_difference
 from evenkeel.operators.violations import ContractError, empty, require_none, violation
 from evenkeel.plans.table_plan import DatabasePlan, TablePlan, parent_first
@@ -42,15 +43,15 @@ class Checkpoint:
 
 
 def apply_delta(source: DataFrame, target: DataFrame, ops: DataFrame, plan: TablePlan) -> DataFrame:
-    """The target with the operations applied: one join by key hash.
+    """The target with the operations applied: one join by key hash, as bytes.
 
     Columns that only the target has keep the values of existing rows and are
     null in inserted ones; generated columns are computed anew.
     """
     extra = [c for c in target.columns if c not in plan.names]
-    s = source.select(key_hash(plan).alias("__key"), F.struct(*[f"`{c}`" for c in plan.names]).alias("__s"))
-    t = target.select(key_hash(plan).alias("__key"), F.struct(*[f"`{c}`" for c in [*plan.names, *extra]]).alias("__t"))
-    o = ops.select(F.col("key_sha256").alias("__key"), "kind")
+    s = source.select(F.unhex(key_hash(plan)).alias("__key"), F.struct(*[f"`{c}`" for c in plan.names]).alias("__s"))
+    t = target.select(F.unhex(key_hash(plan)).alias("__key"), F.struct(*[f"`{c}`" for c in [*plan.names, *extra]]).alias("__t"))
+    o = ops.select(F.unhex("key_sha256").alias("__key"), "kind")
     planned = s.join(o.where("kind <> 'delete'"), "__key").select("__key", "__s")
     gone = o.where("kind = 'delete'").select("__key")
     both = t.join(gone, "__key", "left_anti").join(planned, "__key", "full_outer")
@@ -167,9 +168,8 @@ def apply_and_publish(source: DataFrame, target: DataFrame, ops: DataFrame, plan
     spark = source.sparkSession
     base = current_versions(spark, root).get(plan.name)
     require_keys(source, target, plan)
-    good, bad = resolve_ops(ops, source, target, plan)
-    require_none(bad)
-    folder = stage(apply_delta(source, target, good, plan), root, plan.name)
+    require_none(resolve_ops(ops, source, target, plan)[1])  # all hold, so they need not be resolved again to be applied
+    folder = stage(apply_delta(source, target, ops, plan), root, plan.name)
     written = spark.read.parquet(f"{root}/{folder}")
     require_none(compare_evidence(table_evidence(source, plan), table_evidence(written, plan)))
     publish(spark, root, {plan.name: folder}, {plan.name: base})
@@ -222,7 +222,7 @@ def apply_database(spark: SparkSession, root: str, db: DatabasePlan, sources: Ma
         raise ContractError({"canonical_delta_plan_conflict": 1})
     if known == "replay":
         said = journal.where((F.col("plan_sha256") == checkpoint.plan_sha256) & (F.col("database") == checkpoint.database)).first()["evidence_sha256"]
-        if evidence_hash(database_evidence({n: (at(n), p) for n, p in db.tables.items()})) != said:
+        if evidence_hash(database_evidence({n: (at(n), p) for n, p in db.tables.items()}, orphans=False)) != said:
             raise ContractError({"canonical_delta_replay_target_drift": 1})
         return "replayed"
     require_none(fence_violations(fences, own))
@@ -230,11 +230,10 @@ def apply_database(spark: SparkSession, root: str, db: DatabasePlan, sources: Ma
     for name in parent_first(db.tables):
         plan, target = db.tables[name], at(name)
         require_keys(sources[name], target, plan)
-        good, bad = resolve_ops(ops[name], sources[name], target, plan)
-        require_none(bad)
-        staged[name] = stage(apply_delta(sources[name], target, good, plan), root, name)
+        require_none(resolve_ops(ops[name], sources[name], target, plan)[1])  # all hold, so they need not be resolved again to be applied
+        staged[name] = stage(apply_delta(sources[name], target, ops[name], plan), root, name)
     written = {n: (spark.read.parquet(f"{root}/{staged[n]}"), p) for n, p in db.tables.items()}
-    found = database_evidence(written)
+    found = kept(database_evidence(written).coalesce(1), "evidence")  # a row for each table
     require_none(compare_evidence(database_evidence({n: (sources[n], p) for n, p in db.tables.items()}), found))
     said = evidence_hash(found)
     row = own.select("database", "plan_id", "plan_sha256", "operations_sha256", F.lit(said).alias("evidence_sha256"), F.current_timestamp().alias("committed_at"))

@@ -55,8 +55,19 @@ def _kind(source: Column, target: Column) -> Column:
 
 
 def compare_tables(source: DataFrame, target: DataFrame, plan: TablePlan) -> DataFrame:
-    """Every key of either side with its hashes and kind, unchanged rows included; a null or repeated key stops the job."""
-    return compare_fingerprints(fingerprints(typed_keys(source, plan), plan), fingerprints(typed_keys(target, plan), plan), plan)
+    """Every key of either side with its hashes and kind, unchanged rows included; a null or repeated key stops the job.
+
+    Keys and row hashes as bytes are all that is exchanged; the key's hash follows from the key after the join.
+    """
+    keys = list(require_key(plan))
+    prints = lambda df, side: _sound(typed_keys(df, plan).select(*[f"`{k}`" for k in keys], F.unhex(row_hash(plan.columns)).alias("row_sha256")), plan, side)
+    s = prints(source, "source").withColumnRenamed("row_sha256", "__source_row")
+    t = prints(target, "target").withColumnRenamed("row_sha256", "__target_row")
+    both, text = s.join(t, keys, "full_outer"), lambda c: F.lower(F.hex(c))
+    return both.select(
+        *[f"`{k}`" for k in keys], _kind(F.col("__source_row"), F.col("__target_row")).alias("kind"), key_hash(plan).alias("key_sha256"),
+        text("__source_row").alias("source_row_sha256"), text("__target_row").alias("target_row_sha256"),
+    )
 
 
 def _sound(prints: DataFrame, plan: TablePlan, side: str) -> DataFrame:
@@ -66,11 +77,11 @@ def _sound(prints: DataFrame, plan: TablePlan, side: str) -> DataFrame:
         filled = filled & k.isNotNull()
     n = F.count("*").over(Window.partitionBy(*keys))
     bad = F.when(~filled, F.raise_error(F.lit(f"delta_primary_key_null: {plan.name}, {side}"))).when(F.col("__n") > 1, F.raise_error(F.lit(f"delta_duplicate_key: {plan.name}, {side}")))
-    return prints.withColumn("__n", n).withColumn("row_sha256", F.coalesce(bad.cast("string"), "row_sha256")).drop("__n")
+    return prints.withColumn("__n", n).withColumn("row_sha256", F.coalesce(bad.cast(prints.schema["row_sha256"].dataType), "row_sha256")).drop("__n")
 
 
 def compare_fingerprints(source: DataFrame, target: DataFrame, plan: TablePlan) -> DataFrame:
-    """``compare_tables`` of keys and hashes."""
+    """``compare_tables`` of fingerprints: keys with the hashes of key and row."""
     keys = list(require_key(plan))
     s = _sound(source, plan, "source").withColumnsRenamed({"key_sha256": "__sk", "row_sha256": "source_row_sha256"})
     t = _sound(target, plan, "target").withColumnsRenamed({"key_sha256": "__tk", "row_sha256": "target_row_sha256"})
@@ -116,10 +127,11 @@ def operations_hash(ops: DataFrame) -> DataFrame:
     """
 
     def joined(df: DataFrame, group: list[str], order: str, value: str, name: str) -> DataFrame:
-        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), "\n")
+        shown = (lambda x: F.lower(F.hex(x[value]))) if value == "h" else (lambda x: x[value])  # hashes of operations travel as bytes
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), shown), "\n")
         return df.groupBy(*group).agg(F.sha2(text, 256).alias(name))
 
-    one = ops.select(F.substring("key_sha256", 1, 5).alias("run"), "key_sha256", F.sha2(operation_json(), 256).alias("h"))
+    one = ops.select(F.substring("key_sha256", 1, 5).alias("run"), "key_sha256", F.unhex(F.sha2(operation_json(), 256)).alias("h"))
     runs = joined(one, ["run"], "key_sha256", "h", "d").withColumn("part", F.substring("run", 1, 2))
     return joined(joined(runs, ["part"], "run", "d", "e"), [], "part", "e", "operations_sha256")
 

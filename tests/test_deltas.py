@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from evenkeel.functions.canonical import fingerprints
 from evenkeel.operators import apply, delta, evidence, validate
 from evenkeel.operators.violations import ContractError, require_none
 from evenkeel.plans.table_plan import Column, TablePlan
@@ -109,3 +110,11 @@ def test_applying_a_plan_gives_the_source(spark, left, right):
     source, target = rows(spark, *left.items()), rows(spark, *right.items())
     after = apply.apply_delta(source, target, delta.plan_delta(source, target, PLAN), PLAN)
     assert dict(map(tuple, after.collect())) == left
+
+
+def test_plans_exchange_no_hashes_of_keys(spark):
+    source, target = rows(spark, (1, "same"), (2, "changed"), (4, "new")), rows(spark, (1, "same"), (2, "old"), (3, "removed"))
+    made = delta.compare_tables(source, target, PLAN)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 3, "a row's on either side, and the key's after the join"
+    prints = {r["Id"]: (r["key_sha256"], r["row_sha256"]) for df in (target, source) for r in fingerprints(df, PLAN).collect()}
+    assert {r["Id"]: (r["key_sha256"], r["source_row_sha256"] or r["target_row_sha256"]) for r in made.collect()} == prints
