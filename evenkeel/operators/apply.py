@@ -12,7 +12,7 @@ from evenkeel.functions.canonical import key_hash, row_hash
 from evenkeel.operators.delta import adopt, key_violations, operations_sha256, resolve_ops, survivors
 from evenkeel.operators.evidence import compare_evidence, compare_values, database_evidence, table_evidence
 from evenkeel.operators.history import database_rollup
-from evenkeel.operators.ledger import LEDGER, database_ledger, ledger_violations, measures, observed
+from evenkeel.operators.ledger import LEDGER, database_ledger, ledger_evidence, ledger_violations, measures, observed
 from evenkeel.operators.storage import stored as kept
 from evenkeel.operators.validate import fk_orphans, set_difference
 from evenkeel.operators.violations import ContractError, empty, require_none, violation
@@ -263,12 +263,12 @@ def reconcile(spark: SparkSession, root: str, db: DatabasePlan, checkpoint: Chec
     if said is None:
         raise ContractError({"canonical_delta_checkpoint_missing": 1})
     tables = {n: (spark.read.parquet(f"{root}/{versions[n]}"), p) for n, p in db.tables.items()}
-    now = database_evidence(tables)
     if sources is not None:
-        bad = compare_evidence(database_evidence({n: (sources[n], p) for n, p in db.tables.items()}), now)
+        bad = compare_evidence(database_evidence({n: (sources[n], p) for n, p in db.tables.items()}), database_evidence(tables))
     else:
-        bad = ledger_violations(stored("_ledger", LEDGERS).where(mine).drop("database", "plan_id"), database_ledger(tables))
-        if evidence_hash(now) != said["evidence_sha256"]:
+        ledger = kept(database_ledger(tables).coalesce(1), "ledger")  # a few rows for each table; its evidence follows from them
+        bad = ledger_violations(stored("_ledger", LEDGERS).where(mine).drop("database", "plan_id"), ledger)
+        if evidence_hash(ledger_evidence(ledger)) != said["evidence_sha256"]:
             bad = bad.unionByName(spark.range(1).select(*violation(checkpoint.database, "checkpoint", "canonical_delta_checkpoint_drift", F.lit(said["evidence_sha256"]))))
     key = F.concat_ws(".", "table", "column").alias("name")
     used = aligned_sequences(checkpoint.database, tables).select(key, "next_value")

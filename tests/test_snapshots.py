@@ -256,3 +256,17 @@ def test_operations_are_resolved_once(spark, tmp_path, monkeypatch):
     assert "Join" not in applied[0]._jdf.queryExecution().optimizedPlan().toString(), "what was found to hold is not joined again"
     now = snapshots.read_current(spark, root, "t", "id long, v string")
     assert sorted(map(tuple, now.collect())) == sorted(map(tuple, source.collect()))
+
+
+def test_a_checkpoint_is_read_once(spark, tmp_path, monkeypatch):
+    root, db = f"file://{tmp_path}", DatabasePlan("d", {"t": PLAN})
+    snapshots.publish(spark, root, {"t": snapshots.stage(table(spark, 10, "old"), root, "t")})
+    source, target = {"t": table(spark, 12)}, snapshots.read_database(spark, root, db)
+    ops = {"t": evidence.stored(delta.plan_delta(source["t"], target["t"], PLAN), "ops")}
+    check = apply.Checkpoint("d", "plan-1", "1" * 64, delta.operations_sha256(ops), "3" * 64, "4" * 64, 1, "5" * 64)
+    apply.write_fence(spark, root, check)
+    assert apply.apply_database(spark, root, db, source, ops, check) == "applied"
+    monkeypatch.setattr(apply, "database_evidence", None)  # the ledger's sums are all that is needed
+    assert apply.reconcile(spark, root, db, check).isEmpty()
+    snapshots.publish(spark, root, {"t": snapshots.stage(table(spark, 12, "drift"), root, "t")})
+    assert {r["code"] for r in apply.reconcile(spark, root, db, check).collect()} == {"ledger-mismatch", "canonical_delta_checkpoint_drift"}
