@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -55,3 +56,36 @@ def test_batches_are_cut_by_pivots(spark, monkeypatch):
     assert sorted(map(tuple, knn.exact_top_k(df, F.col("vec_id") % 20 == 0, k=5).collect())) == plain and plain
     batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["x"])
     assert [b.num_rows for b in knn._portions(iter([batch]), 70)] == [2] * 5 and [b.num_rows for b in knn._portions(iter([batch]), 999)] == [1] * 10
+
+
+def test_a_query_is_copied_for_units_and_not_for_cells(spark, monkeypatch):
+    """Where bounds leave out nothing, a query is stored once, with the units that it goes to, of which there are far fewer than cells."""
+    rng, stored = random.Random(8), {}
+    rows = [(i, [rng.gauss(0, 1) for _ in range(24)]) for i in range(2000)]
+    monkeypatch.setattr(knn, "cut", lambda df, name, cut=knn.cut: stored.setdefault(name, cut(df, name)))
+    got = knn.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=20).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows, 20))
+    assert stored["elsewhere"].count() == 100
+    assert stored["elsewhere"].agg(F.max(F.size("units"))).first()[0] <= 2 * 2000 / knn.SMALL_BLOCK
+    assert stored["cells"].agg(F.max(F.length("vec"))).first()[0] == 2 * 24, "two bytes for each number"
+
+
+def test_units_hold_whole_cells_of_about_a_block():
+    rng = np.random.default_rng(1)
+    pivots, sizes = np.concatenate([rng.normal(0, 1, (200, 5)), rng.normal(9, 1, (200, 5))]), rng.integers(0, 50, 400)
+    sizes[7] = 5000
+    unit = knn._units(pivots, sizes, 300)
+    held = np.bincount(unit, sizes)
+    assert unit[7] not in np.delete(unit, 7) and (np.delete(held, unit[7]) <= 300).all() and len(held) <= 3 * sizes.sum() / 300
+    assert len(set(unit[:200]) & set(unit[200:])) <= 1, "cells far apart are not of one unit, but for the one where rows are halved"
+    assert len(set(knn._units(np.array([[1e307, 0], [-1e307, 1], [0, 1e200], [1, 1]]), np.array([5, 5, 5, 5]), 5))) == 4
+    assert list(knn._units(np.zeros((1, 0)), np.array([9]), 3)) == [0]
+
+
+@pytest.mark.parametrize(("size", "kind"), [(100, "i1"), (1000, "i2"), (2**20, "i4"), (2**40, "f8")])
+def test_types_hold_all_numbers(spark, size, kind):
+    rng = random.Random(size)
+    rows = [(i, [float(rng.randint(-size, size)) / 64 for _ in range(3)]) for i in range(120)]
+    assert next(t for t, most in knn.TYPES if size <= most) == kind
+    got = knn.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=20).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows, 20))
