@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import scalars
 from evenkeel.operators import catalog, evidence, preserve
-from evenkeel.queries.derive import both_sides, derived, derived_sql, table
+from evenkeel.queries.derive import derived, derived_sql, drifted_sides, table
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -166,7 +166,7 @@ def occurrence_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""SELECT code, count(*) AS n FROM (SELECT CASE WHEN k % 13 = 0 THEN 'fact_removed' WHEN k % 7 = 0 THEN 'fact_changed' END AS code FROM (SELECT o_orderkey AS k FROM orders)
     UNION ALL SELECT 'fact_added' FROM orders WHERE o_orderkey % 17 = 0 AND o_orderpriority <> '1-URGENT') WHERE code IS NOT NULL GROUP BY 1""")
 def preservation_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, target, _ = both_sides(spark, sf_dir, "orders")
+    source, target, _ = drifted_sides(spark, sf_dir, "orders")
     fact = lambda df: df.select("o_orderkey", "o_orderpriority", F.sha2(F.concat_ws("|", "o_orderstatus", F.col("o_custkey").cast("string")), 256).alias("sha256"))
     allowed = source.where("o_orderpriority = '1-URGENT'").select("o_orderpriority")
     return _count(preserve.preservation_violations(fact(source), fact(target), allowed, ["o_orderkey"], "o_orderpriority"), "code")

@@ -11,7 +11,7 @@ from evenkeel.functions import scalars
 from evenkeel.functions.canonical import row_hash
 from evenkeel.operators import apply, catalog, delta, evidence, history, mapping, validate
 from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, Identity, TablePlan
-from evenkeel.queries.derive import CUSTOMER, ORDERS, derived, evidence_digest_sql, row_hash_sql, table, target_sql
+from evenkeel.queries.derive import CUSTOMER, ORDERS, derived, drifted, evidence_digest_sql, row_hash_sql, table, target_sql
 from evenkeel.sources import buckets, captures, snapshots
 from evenkeel.streaming.upsert import upsert_batch
 
@@ -93,7 +93,7 @@ def database_applied_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A database whose copy has drifted is brought to its source; the second run changes nothing."""
     root, db = _root(spark), DatabasePlan("main", _PLANS)
     source = {n: table(spark, sf_dir, n).select(*p.names) for n, p in _PLANS.items()}
-    old = {"customer": derived(source["customer"], "c_custkey", "c_mktsegment", "'CHANGED'"), "orders": derived(source["orders"], "o_orderkey", "o_orderstatus", "'X'")}
+    old = {"customer": drifted(source["customer"], "c_custkey", "c_mktsegment", "'CHANGED'"), "orders": drifted(source["orders"], "o_orderkey", "o_orderstatus", "'X'")}
     snapshots.publish(spark, root, {n: snapshots.stage(df, root, n) for n, df in old.items()})
     now = snapshots.read_database(spark, root, db)
     ops = {n: evidence.stored(delta.plan_delta(source[n], now[n], p), "ops") for n, p in _PLANS.items()}

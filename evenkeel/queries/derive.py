@@ -29,6 +29,8 @@ SUPPLIER = _plan("supplier", "s_suppkey", {"s_suppkey": "bigint", "s_name": TEXT
 EVENTS = _plan("events", "event_id", {"event_id": "bigint", "ts": TIME, "user_id": "bigint", "event_type": TEXT, "value": MONEY, "props": "jsonb"})
 NATION = _plan("nation", "n_nationkey", {"n_nationkey": "integer", "n_name": TEXT, "n_regionkey": "integer"})
 DOCUMENTS = _plan("documents", "doc_id", {"doc_id": "bigint", "text": "text!", "lang": TEXT, "source": TEXT, "n_chars": "bigint"})
+#: What is added to a key to make a new one, where SQL names it. Tables with keys beyond it can hold the new one already.
+SHIFT = 10_000_000
 #: Table, the column that the derived side changes, and its new value.
 CHANGED = {
     "orders": (ORDERS, "o_orderstatus", "'X'"),
@@ -38,10 +40,16 @@ CHANGED = {
 }
 
 
-def derived(df: DataFrame, key: str, column: str, value: str) -> DataFrame:
+def derived(df: DataFrame, key: str, column: str, value: str, shift: int = SHIFT) -> DataFrame:
     """Another side of a table: some rows are gone, some changed in a column, and some are copies under new keys."""
     kept = df.where(F.col(key) % 13 != 0).withColumn(column, F.when(F.col(key) % 7 == 0, F.expr(value)).otherwise(F.col(column)))
-    return kept.unionByName(df.where(F.col(key) % 17 == 0).withColumn(key, F.col(key) + 10_000_000))
+    return kept.unionByName(df.where(F.col(key) % 17 == 0).withColumn(key, F.col(key) + shift))
+
+
+def drifted(df: DataFrame, key: str, column: str, value: str) -> DataFrame:
+    """``derived`` for a query whose SQL does not name the new keys: they lie beyond all keys, so none is there twice."""
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    return derived(df, key, column, value, SHIFT if low is None else max(SHIFT, high - low + 1))
 
 
 def derived_sql(name: str, key: str, column: str, value: str) -> str:
@@ -55,6 +63,13 @@ def both_sides(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame,
     return source, derived(source, plan.key[0], column, value), plan
 
 
+def drifted_sides(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame, TablePlan]:
+    """``both_sides`` for a query whose SQL does not name the new keys."""
+    plan, column, value = CHANGED[name]
+    source = table(spark, sf_dir, name).select(*plan.names)
+    return source, drifted(source, plan.key[0], column, value), plan
+
+
 def target_sql(name: str) -> str:
     plan, column, value = CHANGED[name]
     return derived_sql(name, plan.key[0], column, value)

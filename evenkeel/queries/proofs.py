@@ -11,7 +11,7 @@ from evenkeel.operators import apply, catalog, delta, digest_tree, evidence, led
 from evenkeel.operators.violations import ContractError
 from evenkeel.plans.table_plan import Column, DatabasePlan, ForeignKey, TablePlan
 from evenkeel.queries.commits import _PLANS, _root
-from evenkeel.queries.derive import CUSTOMER, ORDERS, both_sides, compared_sql, derived, evidence_digest_sql, key_hash_sql, row_hash_sql, table, target_sql
+from evenkeel.queries.derive import CUSTOMER, ORDERS, both_sides, compared_sql, derived, drifted, drifted_sides, evidence_digest_sql, key_hash_sql, row_hash_sql, table, target_sql
 from evenkeel.sources import artifacts, bucketed, captures, snapshots
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -108,7 +108,7 @@ def checkpoint_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plan with other operations is refused; a committed one is the measure of its target when its source has gone on."""
     root, db = _root(spark), DatabasePlan("main", _PLANS)
     source = {n: table(spark, sf_dir, n).select(*p.names) for n, p in _PLANS.items()}
-    old = {"customer": derived(source["customer"], "c_custkey", "c_mktsegment", "'CHANGED'"), "orders": derived(source["orders"], "o_orderkey", "o_orderstatus", "'X'")}
+    old = {"customer": drifted(source["customer"], "c_custkey", "c_mktsegment", "'CHANGED'"), "orders": drifted(source["orders"], "o_orderkey", "o_orderstatus", "'X'")}
     snapshots.publish(spark, root, {n: snapshots.stage(df, root, n) for n, df in old.items()})
     now = snapshots.read_database(spark, root, db)
     ops = {n: evidence.stored(delta.plan_delta(source[n], now[n], p), "ops") for n, p in _PLANS.items()}
@@ -313,7 +313,7 @@ def text_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice::DECIMAL(18,2) AS o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def bucketed_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A drifted copy brought to its source, with both sides and the operations in buckets by key."""
-    source, target, plan = both_sides(spark, sf_dir, "orders")
+    source, target, plan = drifted_sides(spark, sf_dir, "orders")
     root = _root(spark)
     source, target = bucketed.stage_sides(source, target, plan, root, 16)
     after = bucketed.apply_bucketed(source, target, bucketed.plan_bucketed(source, target, plan, root, 16), plan)
